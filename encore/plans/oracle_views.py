@@ -98,4 +98,8 @@ def with_views(sql: str, extra_ctes: str = "") -> str:
         ctes.append(extra_ctes.strip())
     if not ctes:
         return sql
+    body = sql.lstrip()
+    if re.match(r"(?i)with\s", body):
+        # merge the query's own CTE list into ours
+        return "with " + ",\n".join(ctes) + ",\n" + body[4:].lstrip()
     return "with " + ",\n".join(ctes) + "\n" + sql
