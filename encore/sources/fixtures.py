@@ -152,3 +152,13 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("doc_id").cast("string"),
                  F.when(F.col("lang") == "en", F.lit(".csv")).otherwise(F.lit(".json"))).alias("file_name"),
     )
+
+
+def raw_play_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_plays`` in the 10-column raw CSV shape (+ user_id); absent fields are NULL."""
+    r = raw_plays(spark, sf_dir)
+    return r.select(
+        "user_id", "played_at", F.lit(None).cast("string").alias("track_name"), "artist_name",
+        F.lit(None).cast("string").alias("album_name"), "track_id", "artist_id",
+        F.lit(None).cast("string").alias("album_id"), F.lit(None).cast("int").alias("duration_ms"),
+        F.lit(None).cast("int").alias("popularity"), F.lit(None).cast("boolean").alias("explicit"))
