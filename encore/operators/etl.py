@@ -57,7 +57,11 @@ def clean_plays(raw: DataFrame, tz: str = DEFAULT_TZ, with_time: bool = True) ->
     Dedup key (user_id, track_id, played_at_utc) keeps the row that sorts first
     on the remaining columns (U03/W03); calendar fields come from the local time.
     """
-    rows = clean_plays_rows(raw, tz)
+    return finish_plays(clean_plays_rows(raw, tz), with_time)
+
+
+def finish_plays(rows: DataFrame, with_time: bool = True) -> DataFrame:
+    """U03/W03 dedup + P11, P10, P12, P13, P14 on cleaned rows (shared by batch and stream)."""
     spec = TABLES["user_tracks"]
     d = keep_one(rows, spec.key)
     cal = calendar_fields("played_at_local")
