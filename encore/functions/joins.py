@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a size check, with the shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows under which a derived (data-dependent) side may be broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` when it has at most ``max_rows`` rows, else leave the choice to the planner.
+
+    The check is one count over ``df`` (cheap: it is used for aggregated sides);
+    it stops at ``max_rows + 1`` rows. Beyond the bound the join stays a
+    shuffle join, where AQE's skew handling splits hot keys.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

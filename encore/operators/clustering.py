@@ -33,8 +33,10 @@ QUANTILES = (0.25, 0.5, 0.75)
 
 
 def _long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, v, tie) rows; ``tie`` is a deterministic row hash that splits runs of equal values."""
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])
-    return df.select(F.inline(pairs)).filter(F.col("v").isNotNull())
+    return df.select(tie.alias("tie"), F.inline(pairs)).filter(F.col("v").isNotNull())
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs=QUANTILES, partitions: int | None = None) -> DataFrame:
@@ -43,7 +45,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=QUANTILES, partitions:
     checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     long = _long(df, cols)
-    ranked = (long.repartitionByRange(n_parts, "feature", "v").sortWithinPartitions("feature", "v")
+    # the row hash is the last range key: a value shared by a third of all rows
+    # is still spread over many partitions (equal values are interchangeable)
+    ranked = (long.repartitionByRange(n_parts, "feature", "v", "tie").sortWithinPartitions("feature", "v", "tie")
               .select("feature", "v", F.spark_partition_id().alias("pid"),
                       F.monotonically_increasing_id().alias("mid")))
     ranked = ranked.checkpoint(eager=True)

@@ -11,6 +11,8 @@ size-bounded. The substring theta join runs once per *distinct* genre string
 (``explode`` -> ``distinct`` -> broadcast nested-loop join on ``contains``), and
 the per-genre scores are joined back to artists with an equi-join on the genre
 text, so the cost is distinct genres x 98 rather than artists x genres x 98.
+The score table is broadcast only after a row-count check (a shuffle join with
+AQE skew splitting beyond it).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions import labels as L
+from encore.functions.joins import broadcast_if_small
 
 # Category order (ties go to the earlier one) and the scoring rules
 # (category, weight, patterns), in the reference's order.
@@ -95,7 +98,9 @@ def genre_scores(artists: DataFrame, rules: DataFrame) -> DataFrame:
     distinct_g = elems.select("g").distinct()
     hits = (distinct_g.join(F.broadcast(rules), F.col("g").contains(F.col("pattern")))
             .groupBy("g", "category", "category_ord").agg(F.sum("weight").alias("w")))
-    return (elems.join(hits, "g")
+    # per-genre scores are one row per (distinct genre, category): broadcast when the
+    # checked count is small, so a hot genre string does not land in one join task
+    return (elems.join(broadcast_if_small(hits), "g")
             .groupBy("id", "category", "category_ord").agg(F.sum("w").alias("score")))
 
 

@@ -69,7 +69,7 @@ def upsert_batch(batch: DataFrame, table_path: str, with_time: bool = False) ->
     # materialise before overwriting the partitions we read from
     merged = merged.checkpoint(eager=True)
     out = etl.finish_plays(merged, with_time)
-    (out.repartition("user_id").sortWithinPartitions("user_id", "played_at_utc")
+    (out.hint("rebalance", "user_id").sortWithinPartitions("user_id", "played_at_utc")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("user_id").parquet(table_path))
 
 
