@@ -47,17 +47,20 @@ def top_artists(plays: DataFrame, as_of=None, days_back: int = 90, limit: int =
             .select("user_id", "rank", "artist_name", "play_count", "unique_tracks"))
 
 
+def _hourly_cols(as_of, days_back: int) -> list:
+    inwin = in_trailing_window(LOCAL, as_of, days_back)
+    return [F.array(*[F.count_if(inwin & (F.col("play_hour") == h)) for h in range(24)]).alias("hourly")]
+
+
 def hourly_pattern(plays: DataFrame, as_of=None, days_back: int = 30, user_id=None) -> DataFrame:
     """A02 + J02: plays per local hour, every user gets hours 0..23 (zeros filled)."""
-    inwin = in_trailing_window(LOCAL, as_of, days_back)
-    counts = F.array(*[F.count_if(inwin & (F.col("play_hour") == h)) for h in range(24)])
-    per_user = _scope(plays, user_id).groupBy("user_id").agg(counts.alias("c"))
-    return (per_user.select("user_id", F.posexplode("c").alias("hour", "play_count"))
+    per_user = _scope(plays, user_id).groupBy("user_id").agg(*_hourly_cols(as_of, days_back))
+    return (per_user.select("user_id", F.posexplode("hourly").alias("hour", "play_count"))
             .select("user_id", F.col("hour").cast("int").alias("hour"), "play_count",
                     L.hour_label("hour").alias("hour_label")))
 
 
-def _weekly_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFrame:
+def _weekly_cols(as_of, days_back: int) -> list:
     inwin = in_trailing_window(LOCAL, as_of, days_back)
     we = L.is_weekend("play_day_of_week")
     day = F.to_date(LOCAL)
@@ -69,23 +72,29 @@ def _weekly_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFr
             F.count_distinct(F.when(cond, day)).alias(f"{name}_days"),
             F.avg(F.when(cond, pop)).alias(f"{name}_pop"),
         ]
-    return _scope(plays, user_id).groupBy("user_id").agg(*cols)
+    return cols
+
+
+def _weekly_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFrame:
+    return _scope(plays, user_id).groupBy("user_id").agg(*_weekly_cols(as_of, days_back))
+
+
+def _weekly_rows() -> list:
+    total = F.col("weekday_plays") + F.col("weekend_plays")
+    return [F.struct(F.lit(n).alias("day_type"), F.col(f"{n}_plays").alias("play_count"),
+                     F.col(f"{n}_days").alias("active_days"),
+                     F.coalesce(F.col(f"{n}_pop"), F.lit(0.0)).alias("avg_popularity"),
+                     L.pct(F.col(f"{n}_plays"), total).alias("percentage"))
+            for n in L.DAY_TYPES]
 
 
 def weekday_weekend(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
     """A03 + J03 + A13: per day type plays, active days, avg popularity, share of plays."""
     a = _weekly_agg(plays, as_of, days_back, user_id)
-    total = F.col("weekday_plays") + F.col("weekend_plays")
-    rows = F.array(*[
-        F.struct(F.lit(n).alias("day_type"), F.col(f"{n}_plays").alias("play_count"),
-                 F.col(f"{n}_days").alias("active_days"),
-                 F.coalesce(F.col(f"{n}_pop"), F.lit(0.0)).alias("avg_popularity"),
-                 L.pct(F.col(f"{n}_plays"), total).alias("percentage"))
-        for n in L.DAY_TYPES])
-    return a.select("user_id", F.inline(rows))
+    return a.select("user_id", F.inline(F.array(*_weekly_rows())))
 
 
-def _popularity_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFrame:
+def _tier_cols(as_of, days_back: int) -> list:
     inwin = in_trailing_window(LOCAL, as_of, days_back) & F.col("popularity").isNotNull()
     tier = L.popularity_tier("popularity")
     pop = F.col("popularity").cast("double")
@@ -97,7 +106,11 @@ def _popularity_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> Da
             F.count_distinct(F.when(cond, F.col("artist_id"))).alias(f"{t}_artists"),
             F.avg(F.when(cond, pop)).alias(f"{t}_pop"),
         ]
-    return _scope(plays, user_id).groupBy("user_id").agg(*cols)
+    return cols
+
+
+def _popularity_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFrame:
+    return _scope(plays, user_id).groupBy("user_id").agg(*_tier_cols(as_of, days_back))
 
 
 def _total(prefix_cols) -> F.Column:
@@ -107,17 +120,34 @@ def _total(prefix_cols) -> F.Column:
     return out
 
 
+def _tier_total() -> F.Column:
+    return _total([f"{t}_plays" for t in L.POPULARITY_TIERS])
+
+
+def _tier_rows() -> list:
+    total = _tier_total()
+    return [F.struct(F.lit(t).alias("popularity_tier"), F.col(f"{t}_plays").alias("play_count"),
+                     F.col(f"{t}_artists").alias("unique_artists"),
+                     F.coalesce(F.col(f"{t}_pop"), F.lit(0.0)).alias("avg_popularity"),
+                     L.pct(F.col(f"{t}_plays"), total).alias("percentage"))
+            for t in L.POPULARITY_TIERS]
+
+
 def popularity_distribution(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
     """A04 + J03 + A13: per tier plays, distinct artists, avg popularity, share."""
     a = _popularity_agg(plays, as_of, days_back, user_id)
-    total = _total([f"{t}_plays" for t in L.POPULARITY_TIERS])
-    rows = F.array(*[
-        F.struct(F.lit(t).alias("popularity_tier"), F.col(f"{t}_plays").alias("play_count"),
-                 F.col(f"{t}_artists").alias("unique_artists"),
-                 F.coalesce(F.col(f"{t}_pop"), F.lit(0.0)).alias("avg_popularity"),
-                 L.pct(F.col(f"{t}_plays"), total).alias("percentage"))
-        for t in L.POPULARITY_TIERS])
-    return a.select("user_id", F.inline(rows))
+    return a.select("user_id", F.inline(F.array(*_tier_rows())))
+
+
+def user_category_aggregates(plays: DataFrame, as_of=None, hourly_days: int = 30, weekly_days: int = 90,
+                             pop_days: int = 90, user_id=None) -> DataFrame:
+    """Hourly, weekday/weekend and tier aggregates of every user in ONE scan and one shuffle.
+
+    Used by the composite products (C05, C07) so the play table is read once for
+    all category insights instead of once per insight.
+    """
+    cols = _hourly_cols(as_of, hourly_days) + _weekly_cols(as_of, weekly_days) + _tier_cols(as_of, pop_days)
+    return _scope(plays, user_id).groupBy("user_id").agg(*cols)
 
 
 def dominant_expr(prefix: str = "", suffix: str = "_plays") -> F.Column:
@@ -132,8 +162,7 @@ def dominant_expr(prefix: str = "", suffix: str = "_plays") -> F.Column:
 def popularity_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
     """Total plays with known popularity and the dominant tier per user."""
     a = _popularity_agg(plays, as_of, days_back, user_id)
-    total = _total([f"{t}_plays" for t in L.POPULARITY_TIERS])
-    return a.select("user_id", total.alias("total_plays"), dominant_expr().alias("dominant_tier"))
+    return a.select("user_id", _tier_total().alias("total_plays"), dominant_expr().alias("dominant_tier"))
 
 
 def insights_available(plays: DataFrame, as_of=None, user_id=None,

@@ -32,26 +32,30 @@ def _long(df: DataFrame, insight: str, item, position, play_count, distinct_coun
 def insights_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
     """The four insight families (+ tier summary) in one long table.
 
+    Two scans of the play table: the top-artist ranking (grouped by user and
+    artist) and ONE per-user aggregation holding the hourly, weekday/weekend and
+    tier aggregates, which is unpivoted into 24 + 2 + 3 + 1 rows per user.
     Hourly pattern uses ``min(days_back, 30)`` like the reference.
     """
     top = I.top_artists(plays, as_of, days_back, 10, user_id)
-    hourly = I.hourly_pattern(plays, as_of, min(days_back, 30), user_id)
-    weekly = I.weekday_weekend(plays, as_of, days_back, user_id)
-    pop = I.popularity_distribution(plays, as_of, days_back, user_id)
-    summ = I.popularity_summary(plays, as_of, days_back, user_id)
-    parts = [
-        _long(top, "top_artists", F.col("artist_name"), F.col("rank"), F.col("play_count"), F.col("unique_tracks")),
-        _long(hourly, "daily_pattern", F.col("hour_label"), F.col("hour"), F.col("play_count")),
-        _long(weekly, "weekly_pattern", F.col("day_type"), F.lit(None), F.col("play_count"), F.col("active_days"),
-              F.col("avg_popularity"), F.col("percentage")),
-        _long(pop, "popularity_distribution", F.col("popularity_tier"), F.lit(None), F.col("play_count"),
-              F.col("unique_artists"), F.col("avg_popularity"), F.col("percentage")),
-        _long(summ, "popularity_summary", F.col("dominant_tier"), F.lit(None), F.col("total_plays")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    agg = I.user_category_aggregates(plays, as_of, min(days_back, 30), days_back, days_back, user_id)
+    none_i, none_l, none_d = F.lit(None).cast("int"), F.lit(None).cast("bigint"), F.lit(None).cast("double")
+
+    def row(insight, item, position, play_count, distinct=none_l, avg_pop=none_d, pct=none_d):
+        return F.struct(F.lit(insight).alias("insight"), item.cast("string").alias("item"),
+                        position.cast("int").alias("position"), play_count.cast("bigint").alias("play_count"),
+                        distinct.cast("bigint").alias("distinct_count"), avg_pop.cast("double").alias("avg_popularity"),
+                        pct.cast("double").alias("percentage"))
+
+    rows = [row("daily_pattern", L.hour_label(F.lit(h)), F.lit(h), F.col("hourly")[h]) for h in range(24)]
+    rows += [row("weekly_pattern", w["day_type"], none_i, w["play_count"], w["active_days"], w["avg_popularity"],
+                 w["percentage"]) for w in I._weekly_rows()]
+    rows += [row("popularity_distribution", t["popularity_tier"], none_i, t["play_count"], t["unique_artists"],
+                 t["avg_popularity"], t["percentage"]) for t in I._tier_rows()]
+    rows.append(row("popularity_summary", I.dominant_expr(), none_i, I._tier_total()))
+    categories = agg.select("user_id", F.inline(F.array(*rows)))
+    return _long(top, "top_artists", F.col("artist_name"), F.col("rank"), F.col("play_count"),
+                 F.col("unique_tracks")).unionByName(categories)
 
 
 INSIGHTS = {
@@ -72,22 +76,21 @@ def run_insight(name: str, plays: DataFrame, as_of=None, days_back: int = 90, li
 def executive_summary(plays: DataFrame, as_of=None, days_back: int = 30, user_id=None) -> DataFrame:
     """Top artist, plays of the top 3, weekend preference, taste label, activity level.
 
-    Inputs are the 30-day top-3 artists, weekday/weekend and tier aggregates,
-    joined on user_id (each side is one row per user).
+    Two scans: the 30-day top-3 artists and one per-user aggregation with the
+    weekday/weekend and tier aggregates, joined on user_id (one row per user each).
     """
     top3 = I.top_artists(plays, as_of, days_back, 3, user_id)
     top = top3.groupBy("user_id").agg(
         F.min_by("artist_name", "rank").alias("top_artist_raw"),
         F.sum("play_count").alias("total_top_plays"))
-    weekly = I._weekly_agg(plays, as_of, days_back, user_id)
-    tiers = I._popularity_agg(plays, as_of, days_back, user_id)
-    users = weekly.select(
+    agg = I.user_category_aggregates(plays, as_of, days_back, days_back, days_back, user_id)
+    users = agg.select(
         "user_id",
         L.pct("weekend_plays", F.col("weekday_plays") + F.col("weekend_plays")).alias("weekend_pct"),
         (F.col("weekday_plays") + F.col("weekend_plays")).alias("plays_total"),
-        (F.col("weekday_days") + F.col("weekend_days")).alias("days_total"))
-    dom = tiers.select("user_id", I.dominant_expr().alias("dominant_tier"))
-    j = users.join(dom, "user_id", "left").join(top, "user_id", "left")
+        (F.col("weekday_days") + F.col("weekend_days")).alias("days_total"),
+        I.dominant_expr().alias("dominant_tier"))
+    j = users.join(top, "user_id", "left")
     return j.select(
         "user_id",
         F.coalesce("top_artist_raw", F.lit(L.NO_ARTIST)).alias("top_artist"),
