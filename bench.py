@@ -53,6 +53,26 @@ def main() -> None:
             best = min(best, time.perf_counter() - t0)
         timings[name] = round(best, 3)
 
+    oracle: dict[str, float] = {}
+    if os.environ.get("BENCH_ORACLE") == "1":
+        # single-node comparison point: the same queries' DuckDB oracle SQL on the same files
+        import duckdb
+
+        from encore.sources.tables import DRIVER_TABLES, table_path
+        con = duckdb.connect()
+        for t in DRIVER_TABLES:
+            con.execute(f"create view {t} as select * from read_parquet('{table_path(sf_dir, t)}')")
+        for name in names:
+            sql = reg[name].sql
+            if not sql:
+                continue
+            best = float("inf")
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                con.execute(sql).fetchall()
+                best = min(best, time.perf_counter() - t0)
+            oracle[name] = round(best, 3)
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_queries_total",
@@ -63,6 +83,9 @@ def main() -> None:
         "cpus": cpus,
         "repeat": repeat,
     }
+    if oracle:
+        out["duckdb_oracle"] = oracle
+        out["duckdb_oracle_total"] = round(sum(oracle.values()), 3)
     print(json.dumps(out))
     spark.stop()
 
