@@ -33,6 +33,10 @@ dedup as (
       album_name asc nulls last, duration_ms asc nulls last, popularity asc nulls last, explicit asc nulls last,
       played_at_local asc nulls last) rn
     from clean_rows) x where rn = 1)"""
+# Landing rows in CSV (as the collector does) cannot keep '' apart from NULL: an empty
+# field reads back as NULL (trap T4), so the landed-file pipelines see NULL there.
+DEDUP_CSV = DEDUP.replace("track_name, artist_name,", "track_name, nullif(artist_name, '') artist_name,", 1)
+assert DEDUP_CSV != DEDUP
 SEASON = ("case when month(played_at_local) between 3 and 5 then 'Spring' when month(played_at_local) between 6 and 8 "
           "then 'Summer' when month(played_at_local) between 9 and 11 then 'Fall' else 'Winter' end")
 

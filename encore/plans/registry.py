@@ -45,5 +45,5 @@ def query(name: str, sql: str | None = None, ctes: str = ""):
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries."""
     from encore.plans import (queries_catalog, queries_clean, queries_dashboard,  # noqa: F401
-                              queries_insights, queries_profiles)
+                              queries_ingest, queries_insights, queries_profiles)
     return REGISTRY

@@ -28,8 +28,9 @@ KIND_PATTERNS = [("likes", "likes"), ("followed", "followed"), ("top_tracks", "t
 
 
 def user_from_path() -> Column:
-    """The parent folder name of each input file."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    """The parent folder name of each input file (``<user>`` or Hive-style ``user_id=<user>``)."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    return F.regexp_replace(folder, r"^user_id=", "")
 
 
 def _scope(df: DataFrame, user_id: str | None) -> DataFrame:
@@ -51,10 +52,15 @@ def read_plays_csv(spark: SparkSession, root: str, user_id: str | None = ALL_USE
     """
     df = (_base(spark, RAW_PLAYS_DDL).option("header", True).option("pathGlobFilter", "*.csv")
           .csv(f"{root.rstrip('/')}/*/"))
-    df = df.select("*", user_from_path().alias("user_id"), F.col("_metadata.file_name").alias("source_file"))
+    df = with_path_user(df).withColumn("source_file", F.col("_metadata.file_name"))
     return _scope(df, user_id)
 
 
+def with_path_user(df: DataFrame) -> DataFrame:
+    """Add ``user_id`` (text) from the folder; replaces a discovered ``user_id=`` partition column."""
+    return df.drop("user_id").withColumn("user_id", user_from_path())
+
+
 def file_kind(name: Column) -> Column:
     """Ordered routing by file name (first matching pattern wins), JSON only."""
     expr = None
@@ -68,7 +74,7 @@ def _read_json_kind(spark: SparkSession, root: str, kind: str, ddl: str, glob: s
                     multi_line: bool = True) -> DataFrame:
     df = (_base(spark, ddl).option("multiLine", multi_line).option("pathGlobFilter", glob)
           .json(f"{root.rstrip('/')}/*/"))
-    df = df.select("*", user_from_path().alias("user_id"), F.col("_metadata.file_name").alias("source_file"))
+    df = with_path_user(df).withColumn("source_file", F.col("_metadata.file_name"))
     return df.filter(file_kind(F.col("source_file")) == kind)
 
 
@@ -94,6 +100,14 @@ def read_artists_json(spark: SparkSession, path: str, multi_line: bool = True) -
     return _base(spark, RAW_ARTISTS_DDL).option("multiLine", multi_line).json(path)
 
 
+def stage_plays_csv(rows: DataFrame, root: str) -> str:
+    """Land raw play rows as header CSV files under ``<root>/user_id=<user>/`` (the collector's layout)."""
+    (rows.hint("rebalance", "user_id").write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .partitionBy("user_id").csv(root))
+    return root
+
+
 def per_file_counts(df: DataFrame) -> DataFrame:
     """Rows per source file (and user), one aggregation."""
     return df.groupBy("user_id", "source_file").agg(F.count(F.lit(1)).alias("records"))
@@ -122,7 +136,7 @@ def read_pages(spark: SparkSession, root: str, ddl: str, glob: str) -> DataFrame
     """API response pages, one JSON document per file, with user and page file name."""
     df = (_base(spark, ddl).option("multiLine", True).option("pathGlobFilter", glob)
           .json(f"{root.rstrip('/')}/*/"))
-    return df.select("*", user_from_path().alias("user_id"), F.col("_metadata.file_name").alias("page_file"))
+    return with_path_user(df).withColumn("page_file", F.col("_metadata.file_name"))
 
 
 def flatten_play_items(pages: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from encore.functions.time import DEFAULT_TZ, to_local
 from encore.operators import etl
-from encore.sources.raw import user_from_path
+from encore.sources.raw import with_path_user
 from encore.sources.schemas import RAW_PLAYS_DDL, TABLES
 
 
@@ -32,8 +32,7 @@ def play_stream(spark: SparkSession, root: str, max_files_per_trigger: int | Non
          .option("pathGlobFilter", "*.csv"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.csv(f"{root.rstrip('/')}/*/")
-    return df.select("*", user_from_path().alias("user_id"))
+    return with_path_user(r.csv(f"{root.rstrip('/')}/*/"))
 
 
 def dedup_stream(raw: DataFrame, watermark: str = "2 days", tz: str = DEFAULT_TZ) -> DataFrame:
@@ -49,6 +48,11 @@ def dedup_stream(raw: DataFrame, watermark: str = "2 days", tz: str = DEFAULT_TZ
     return timed.unionByName(untimed)
 
 
+def read_user_table(spark: SparkSession, path: str) -> DataFrame:
+    """The per-user plays table with its declared schema (``user_id`` stays text)."""
+    return spark.read.schema(TABLES["user_tracks"].schema).parquet(path)
+
+
 ROW_COLUMNS = ["user_id", "track_id", "artist_id", "album_id", "played_at_utc", "track_name", "artist_name",
                "album_name", "duration_ms", "popularity", "explicit", "played_at_local"]
 
@@ -59,7 +63,7 @@ def upsert_batch(batch: DataFrame, table_path: str, with_time: bool = False) ->
     batch = batch.select(*ROW_COLUMNS)
     users = batch.select("user_id").distinct()
     try:
-        existing = spark.read.parquet(table_path)
+        existing = read_user_table(spark, table_path)
         old = existing.join(users, "user_id", "left_semi").select(*ROW_COLUMNS)
         merged = batch.unionByName(old)
     except Exception as e:
