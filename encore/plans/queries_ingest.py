@@ -13,11 +13,16 @@ from pyspark.sql import functions as F
 
 from encore.functions.output import instants_as_ntz
 from encore.operators import etl
+from encore.operators import genres as G
+from encore.operators import profiles as PR
+from encore.plans.queries_catalog import CATALOG
 from encore.plans.queries_clean import CLEAN_ROWS, DEDUP, DEDUP_CSV, SEASON
+from encore.plans.queries_profiles import PROFILE_TABLE_SQL
 from encore.plans.registry import query
 from encore.session import scratch_path
 from encore.sources import fixtures as fx
-from encore.sources import raw, sinks
+from encore.sources import catalog, raw, sinks
+from encore.sources.tables import read_table
 from encore.streaming import ingest
 
 OUT_COLS = ["user_id", "played_at_utc", "played_at_local", "track_id", "track_name", "artist_id", "artist_name",
@@ -182,3 +187,83 @@ def z03_hourly_stream(spark, sf):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return instants_as_ntz(spark.table(name))
+
+
+# --- sources over landed files, catalog, profile sinks ------------------------------------
+
+RAW_CSV = """landed as (
+  select user_id, played_at, cast(null as varchar) track_name, nullif(artist_name, '') artist_name,
+    cast(null as varchar) album_name, track_id, artist_id, cast(null as varchar) album_id, cast(null as int) duration_ms,
+    cast(null as int) popularity, cast(null as boolean) explicit
+  from raw_plays)"""
+
+
+@query("s01_plays_csv_scan", f"""with {RAW_CSV}
+select * from landed""")
+def s01_plays_csv_scan(spark, sf):
+    """Declared-schema CSV scan of every user's folder (header, no inference, '' reads as NULL)."""
+    r = raw.read_plays_csv(spark, _landed(spark, sf))
+    return r.drop("source_file")
+
+
+@query("s06_user_discovery", "select distinct user_id from raw_plays")
+def s06_user_discovery(spark, sf):
+    """Users found from the input folder names (all users, one read)."""
+    return raw.read_plays_csv(spark, _landed(spark, sf)).select("user_id").distinct()
+
+
+@query("s08_input_presence", """
+select cast(c_custkey as varchar) user_id, cast(c_custkey as varchar) in (select user_id from raw_plays) has_input
+from customer""")
+def s08_input_presence(spark, sf):
+    """Requested users (every customer id) against users with input files."""
+    requested = read_table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    return raw.user_presence(raw.read_plays_csv(spark, _landed(spark, sf)), requested)
+
+
+@query("s09_per_file_counts", "select user_id, count(*) records from raw_plays group by user_id")
+def s09_per_file_counts(spark, sf):
+    """Rows per source file, rolled up per user (file names are the writer's)."""
+    per_file = raw.per_file_counts(raw.read_plays_csv(spark, _landed(spark, sf)))
+    return per_file.groupBy("user_id").agg(F.sum("records").alias("records"))
+
+
+@query("s13_catalog_build", f"""with {CATALOG}
+select 'artists_catalog' table_name, true created, true "exists", true columns_match, true partitioned,
+  (select count(*) from (select distinct popularity_range, primary_genre from cat) d) partitions""")
+def s13_catalog_build(spark, sf):
+    """Create the database and the partitioned external table, repair partitions, verify (S13 + S14)."""
+    path = sinks.write_catalog(G.artist_catalog(fx.artists_raw(spark, sf)))
+    db = f"encore_{abs(hash(path)) % 10_000_000}"
+    return catalog.build_catalog(spark, db, {"artists_catalog": path}, replace=True)
+
+
+@query("s14_catalog_verify", f"""with {CATALOG}
+select popularity_range, primary_genre, count(*) artists from cat group by popularity_range, primary_genre""")
+def s14_catalog_verify(spark, sf):
+    """Query the registered table through the catalog: rows per registered partition."""
+    path = sinks.write_catalog(G.artist_catalog(fx.artists_raw(spark, sf)))
+    db = f"encore_{abs(hash(path)) % 10_000_000}"
+    catalog.build_catalog(spark, db, {"artists_catalog": path}, replace=True)
+    return (spark.table(f"{db}.artists_catalog").groupBy("popularity_range", "primary_genre")
+            .agg(F.count(F.lit(1)).alias("artists")))
+
+
+def _profile_table(spark, sf):
+    from encore.plans.queries_profiles import _profiled
+    return PR.profile_table(_profiled(spark, sf, 30), rounded=True, with_time=False)
+
+
+@query("s16_profile_csv_sink", PROFILE_TABLE_SQL)
+def s16_profile_csv_sink(spark, sf):
+    """Profile table written as header CSV (no index column) and read back with its schema."""
+    path = sinks.write_csv(_profile_table(spark, sf), scratch_path(spark, "profiles_csv"))
+    return raw.read_profiles(spark, path, fmt="csv")
+
+
+@query("s17_profile_scan", PROFILE_TABLE_SQL)
+def s17_profile_scan(spark, sf):
+    """Stored profile table read back (an absent path gives an empty table with the schema)."""
+    path = scratch_path(spark, "profiles")
+    _profile_table(spark, sf).write.mode("overwrite").parquet(path)
+    return raw.read_profiles(spark, path)

@@ -241,11 +241,14 @@ def w04_argmax_priority(spark, sf):
     return _profiled(spark, sf, 5).select("user_id", "profile_key", F.greatest(*SCORE_COLS).alias("best_score"))
 
 
-@query("m07_profile_table", f"""with {_profiled_sql(30)}
+PROFILE_TABLE_SQL = f"""with {_profiled_sql(30)}
 select user_id, cast(null as int) cluster, profile_name, profile_emoji, profile_description,
   profile_characteristics, profile_criteria,
   {', '.join(f'round_even(cast({c} as double), 2) {c}' for c in PR.METRICS)}, cast(null as varchar) generated_at
-from prof""")
+from prof"""
+
+
+@query("m07_profile_table", PROFILE_TABLE_SQL)
 def m07_profile_table(spark, sf):
     """Profile output rows with metrics rounded half-even to 2 places (cluster and time omitted)."""
     return PR.profile_table(_profiled(spark, sf, 30), rounded=True, with_time=False)
