@@ -34,7 +34,7 @@ TIER_SQL = ("case when followers >= 10000000 then 'mega' when followers >= 10000
             "when followers >= 100000 then 'established' when followers >= 10000 then 'emerging' else 'niche' end")
 CATALOG = f"""{SCORES},
 cat as (select ca.id, ca.name, ca.popularity, ca.followers, ca.genres, {RANGE_SQL} popularity_range,
-  coalesce(best.best, 'other') primary_genre, {TIER_SQL} followers_tier, 'spotify_api' data_source
+  coalesce(best.best, 'other') primary_genre, {TIER_SQL} followers_tier, '{G.DATA_SOURCE}' data_source
   from ca left join best using (id))"""
 
 

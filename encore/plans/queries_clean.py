@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from encore.functions.output import instants_as_ntz
 from encore.operators import etl
 from encore.operators.dedup import keep_one
+from encore.operators.genres import DATA_SOURCE
 from encore.plans.registry import query
 from encore.sources import fixtures as fx
 from encore.sources.schemas import TABLES
@@ -120,11 +121,11 @@ def p12_season(spark, sf):
 
 
 @query("p13_lineage", f"""with {DEDUP}
-select user_id, track_id, 'spotify_api' data_source, true has_processed_at from dedup""")
+select user_id, track_id, '{DATA_SOURCE}' data_source, true has_processed_at from dedup""")
 def p13_lineage(spark, sf):
     """Lineage columns: user_id from the input, a source literal and a processing time."""
     c = etl.clean_plays(_raw(spark, sf), with_time=True)
-    return c.select("user_id", "track_id", F.lit("spotify_api").alias("data_source"),
+    return c.select("user_id", "track_id", F.lit(DATA_SOURCE).alias("data_source"),
                     F.col("processed_at").isNotNull().alias("has_processed_at"))
 
 
