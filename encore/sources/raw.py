@@ -166,15 +166,21 @@ def flatten_top_items(pages: DataFrame, page_order: Column | None = None) -> Dat
     """S21 + S23: top-track items with rank = position + 1 across pages in (page, position) order.
 
     Writes the duration under ``duration`` like the collector does (trap T9).
-    The rank window is per user over that user's ranked list (bounded by the
-    service's list length), not over all rows.
+    The rank is the item's position plus the sizes of the user's earlier pages:
+    the only window runs over one row per (user, page), never over a user's
+    items, so a user with very many pages does not become one sorted group.
     """
     page_order = page_order if page_order is not None else F.col("page_file")
-    it = pages.select("user_id", page_order.alias("_page"), F.posexplode("items").alias("_pos", "t"))
-    w = Window.partitionBy("user_id").orderBy("_page", "_pos")
+    paged = pages.select("user_id", page_order.alias("_page"), "items")
+    sizes = paged.select("user_id", "_page", F.size("items").alias("_n"))
+    before = Window.partitionBy("user_id").orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("user_id", "_page", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    it = paged.join(offsets, ["user_id", "_page"]).select(
+        "user_id", "_offset", F.posexplode("items").alias("_pos", "t"))
     t = F.col("t")
     return it.select(
-        "user_id", F.row_number().over(w).alias("ith_preference"), t["id"].alias("track_id"),
+        "user_id", (F.col("_offset") + F.col("_pos") + 1).cast("int").alias("ith_preference"),
+        t["id"].alias("track_id"),
         t["album"]["id"].alias("album_id"), F.transform(t["artists"], lambda a: a["id"]).alias("artists_id"),
         t["explicit"].alias("explicit"), t["duration_ms"].alias("duration"), t["name"].alias("track_name"),
         t["popularity"].alias("track_popularity"))

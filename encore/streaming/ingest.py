@@ -57,24 +57,36 @@ ROW_COLUMNS = ["user_id", "track_id", "artist_id", "album_id", "played_at_utc",
                "album_name", "duration_ms", "popularity", "explicit", "played_at_local"]
 
 
+STREAM_PARTITIONS = ("user_id", "play_year", "play_month")
+
+
 def upsert_batch(batch: DataFrame, table_path: str, with_time: bool = False) -> None:
-    """Merge one micro-batch into the per-user table (dynamic partition overwrite)."""
+    """Merge one micro-batch into the plays table (dynamic partition overwrite).
+
+    The table is partitioned by (user_id, play_year, play_month); the month is a
+    function of the dedup key's time, so every copy of a play lives in one
+    partition and only the (user, month) partitions the batch touches are read
+    and rewritten, not a heavy user's whole history.
+    """
     spark = batch.sparkSession
-    batch = batch.select(*ROW_COLUMNS)
-    users = batch.select("user_id").distinct()
+    local = F.col("played_at_local")
+    batch = batch.select(*ROW_COLUMNS).withColumn("play_year", F.year(local)).withColumn("play_month", F.month(local))
+    touched = batch.select(*STREAM_PARTITIONS).distinct()
     try:
         existing = read_user_table(spark, table_path)
-        old = existing.join(users, "user_id", "left_semi").select(*ROW_COLUMNS)
+        cond = [existing[c].eqNullSafe(touched[c]) for c in STREAM_PARTITIONS]
+        old = existing.join(touched, cond, "left_semi").select(*batch.columns)
         merged = batch.unionByName(old)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e) and "UNABLE_TO_INFER" not in str(e):
             raise
         merged = batch
-    # materialise before overwriting the partitions we read from
+    # materialise (reliable checkpoint) before overwriting the partitions we read from
     merged = merged.checkpoint(eager=True)
-    out = etl.finish_plays(merged, with_time)
-    (out.hint("rebalance", "user_id").sortWithinPartitions("user_id", "played_at_utc")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("user_id").parquet(table_path))
+    out = etl.finish_plays(merged.select(*ROW_COLUMNS), with_time)
+    (out.hint("rebalance", *STREAM_PARTITIONS).sortWithinPartitions(*STREAM_PARTITIONS, "played_at_utc")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STREAM_PARTITIONS)
+     .parquet(table_path))
 
 
 def start_ingest(spark: SparkSession, root: str, table_path: str, checkpoint: str, watermark: str = "2 days",

@@ -170,3 +170,12 @@ def test_parse_is_session_zone_independent(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert epoch == int(dt.datetime(2024, 1, 10, 3, 46, 2, 123000, tzinfo=dt.timezone.utc).timestamp() * 1e6)
+
+
+def test_followed_document_splits_large_users(spark):
+    from encore.operators.explore import followed_document
+    rows = [("big", f"a{i:03d}") for i in range(50)] + [("small", "x")]
+    docs = followed_document(spark.createDataFrame(rows, "user_id string, artist_id string"), max_ids=10).collect()
+    big = [json.loads(d.document)["artists_ids"] for d in docs if d.user_id == "big"]
+    assert 2 <= len(big) <= 5 and sorted(x for d in big for x in d) == [f"a{i:03d}" for i in range(50)]
+    assert [json.loads(d.document) for d in docs if d.user_id == "small"] == [{"artists_ids": ["x"]}]
