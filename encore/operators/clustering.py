@@ -13,7 +13,9 @@ checkpoint folder so both uses see the same ranks even if a task is re-run.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -99,24 +101,36 @@ def robust_scale(features: DataFrame, cols: list[str] | None = None) -> DataFram
 
 
 def kmeans_clusters(features: DataFrame, k: int = K, seed: int = SEED, restarts: int = RESTARTS,
-                    max_iter: int = MAX_ITER, cols: list[str] | None = None):
+                    max_iter: int = MAX_ITER, cols: list[str] | None = None, parallel: int = 8):
     """Spark ML K-means on the robust-scaled features; best of ``restarts`` seeds by cost.
 
+    The restarts are independent fits, submitted from ``parallel`` driver threads
+    so the scheduler runs their jobs side by side instead of one after another.
+    The scaled input is checkpointed (stable across task retries) and persisted
+    once, so no fit caches its own copy. The winner is the lowest training cost,
+    ties going to the earlier seed, whatever order the fits finish in.
+
     Returns (DataFrame with ``cluster``, model). Labels are not comparable to other
     implementations; checked by invariants (sizes sum to users, cost).
     """
     cols = cols or CLUSTER_FEATURES
     scaled = robust_scale(features, cols)
     vec = VectorAssembler(inputCols=[f"{c}_scaled" for c in cols], outputCol="_x").transform(scaled)
-    vec = vec.checkpoint(eager=True)
-    best, best_cost = None, math.inf
-    for i in range(max(1, restarts)):
+    vec = vec.select("_x", *features.columns).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    data = vec.select("_x")
+
+    def fit(i: int):
         km = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="_x", predictionCol="cluster")
-        model = km.fit(vec)
-        cost = model.summary.trainingCost
-        if cost < best_cost:
-            best, best_cost = model, cost
-    out = best.transform(vec).drop("_x", *[f"{c}_scaled" for c in cols])
+        model = km.fit(data)
+        return model.summary.trainingCost, i, model
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel, restarts))) as pool:
+            fitted = list(pool.map(fit, range(max(1, restarts))))
+        _, _, best = min(fitted, key=lambda t: (t[0] if not math.isnan(t[0]) else math.inf, t[1]))
+        out = best.transform(vec).drop("_x")
+    finally:
+        vec.unpersist()
     return out, best
 
 

@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every Column call for error
+    # messages (several JVM round trips each); plans are built faster without it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -50,11 +53,15 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) do we create a scratch folder.
+    Only when the session names none and runs in local mode (tests) do we create
+    a scratch folder; on a cluster a machine-local folder would not survive the
+    loss of an executor, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage for this cluster")
         d = tempfile.mkdtemp(prefix="encore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

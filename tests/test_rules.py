@@ -150,6 +150,23 @@ def test_exact_quantiles_match_numpy(spark):
     assert params["c"] == (3.0, 1.0)                   # zero IQR -> scale 1 (T22)
 
 
+def test_kmeans_restarts_invariants(spark):
+    """One label per user, k labels, best restart no worse than any single seed, repeatable."""
+    rng = np.random.default_rng(11)
+    rows = [(f"u{i}", *[float(x) for x in rng.normal(loc=(i % 3) * 4.0, size=len(CL.CLUSTER_FEATURES))])
+            for i in range(90)]
+    df = spark.createDataFrame(rows, ["user_id", *CL.CLUSTER_FEATURES])
+    out, best = CL.kmeans_clusters(df, k=3, restarts=4, max_iter=50, parallel=4)
+    got = {r.user_id: r.cluster for r in out.select("user_id", "cluster").collect()}
+    assert len(got) == 90 and set(got.values()) == {0, 1, 2}
+    singles = [CL.kmeans_clusters(df, k=3, seed=CL.SEED + i, restarts=1, max_iter=50)[1].summary.trainingCost
+               for i in range(4)]
+    assert best.summary.trainingCost <= min(singles) + 1e-9
+    again, best2 = CL.kmeans_clusters(df, k=3, restarts=4, max_iter=50, parallel=2)
+    assert best2.summary.trainingCost == best.summary.trainingCost
+    assert {r.user_id: r.cluster for r in again.select("user_id", "cluster").collect()} == got
+
+
 def test_catalog_build_and_verify(spark, tmp_dir):
     from encore.sources import catalog, sinks
     raw = spark.createDataFrame([("a", "A", 85, 20_000_000, ["latin"]), ("b", "B", 10, 5, ["rock"])],
