@@ -4,11 +4,13 @@ Every function computes ALL users in one distributed pass with ``user_id`` as a
 column; a single-user answer is the same result plus ``user_id=...``.
 
 Scale notes
-* Category insights (hourly, weekday/weekend, popularity tiers) are ONE
+* Category insights (hourly, weekday/weekend, popularity tiers) end in ONE
   ``groupBy(user_id)`` with conditional aggregates: map-side partial aggregation
   collapses a hot user before the shuffle, and the category "spine" (all 24
   hours, both day types, all three tiers with zeros) comes from exploding a
   fixed-size array per user, so no join and no cross product is needed.
+  Distinct days / artists come from a (user, date) and a (user, tier, artist)
+  pre-aggregation rather than COUNT(DISTINCT), so no Expand multiplies the plays.
 * Top-k uses ``row_number`` + filter, which Catalyst turns into a partial
   ``WindowGroupLimit`` below the shuffle: each map task forwards at most k rows
   per user.
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions import labels as L
-from encore.functions.time import in_trailing_window
+from encore.functions.time import as_of_date, in_trailing_window
 
 LOCAL = "played_at_local"
 
@@ -60,23 +62,70 @@ def hourly_pattern(plays: DataFrame, as_of=None, days_back: int = 30, user_id=No
                     L.hour_label("hour").alias("hour_label")))
 
 
-def _weekly_cols(as_of, days_back: int) -> list:
-    inwin = in_trailing_window(LOCAL, as_of, days_back)
-    we = L.is_weekend("play_day_of_week")
+def _lo(as_of, days_back: int) -> F.Column:
+    return F.date_sub(as_of_date(as_of), int(days_back))
+
+
+# Distinct active days and distinct artists per category are counted in two
+# levels instead of with conditional COUNT(DISTINCT), which Catalyst plans as an
+# Expand copying every play once per distinct aggregate. Level 1 groups plays by
+# (user, local date) and by (user, tier, artist) -- partial aggregation on the
+# map side, so a hot user is collapsed before the shuffle -- and level 2 is one
+# groupBy(user) in which every level-1 row already IS one distinct date or
+# artist, so the distinct counts become plain conditional counts. Exact: the
+# averages are sum / count of integer popularities.
+
+def _day_level(plays: DataFrame, as_of, weekly_days: int, hourly_days: int | None = None) -> DataFrame:
+    """(user_id, d, n, pop_sum, pop_n[, h0..h23]) with d = local date inside the widest window, else NULL.
+
+    Out-of-window plays collapse into one (user, NULL) row per user, so every
+    user keeps a row (zeros in the result) without an extra join.
+    """
     day = F.to_date(LOCAL)
+    wide = max(weekly_days, hourly_days or 0)
     pop = F.col("popularity").cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(pop).alias("pop_sum"), F.count(pop).alias("pop_n")]
+    if hourly_days is not None:
+        in_h = day >= _lo(as_of, hourly_days)
+        aggs += [F.count_if(in_h & (F.col("play_hour") == h)).alias(f"h{h}") for h in range(24)]
+    return plays.groupBy("user_id", F.when(day >= _lo(as_of, wide), day).alias("d")).agg(*aggs)
+
+
+def _artist_level(plays: DataFrame, as_of, days_back: int, all_users: bool = True) -> DataFrame:
+    """(user_id, tier, artist_id, n, pop_sum) over in-window plays with known popularity.
+
+    With ``all_users`` the other plays collapse into one (user, NULL, NULL) row
+    per user instead of being filtered out.
+    """
+    cond = in_trailing_window(LOCAL, as_of, days_back) & F.col("popularity").isNotNull()
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("popularity").cast("double")).alias("pop_sum")]
+    if all_users:
+        keys = [F.when(cond, L.popularity_tier("popularity")).alias("tier"), F.when(cond, F.col("artist_id")).alias("artist_id")]
+        return plays.groupBy("user_id", *keys).agg(*aggs)
+    return plays.filter(cond).groupBy("user_id", L.popularity_tier("popularity").alias("tier"), "artist_id").agg(*aggs)
+
+
+def _hourly_sums() -> list:
+    return [F.array(*[F.coalesce(F.sum(f"h{h}"), F.lit(0)) for h in range(24)]).alias("hourly")]
+
+
+def _weekly_cols(as_of, days_back: int) -> list:
+    """Level-2 aggregates over day-level rows: plays, active days, avg popularity per day type."""
+    d = F.col("d")
+    inwin = d >= _lo(as_of, days_back)
+    we = L.is_weekend(F.dayofweek(d))
     cols = []
     for name, cond in (("weekday", inwin & ~we), ("weekend", inwin & we)):
         cols += [
-            F.count_if(cond).alias(f"{name}_plays"),
-            F.count_distinct(F.when(cond, day)).alias(f"{name}_days"),
-            F.avg(F.when(cond, pop)).alias(f"{name}_pop"),
+            F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).alias(f"{name}_plays"),
+            F.count_if(cond).alias(f"{name}_days"),
+            (F.sum(F.when(cond, F.col("pop_sum"))) / F.sum(F.when(cond, F.col("pop_n")))).alias(f"{name}_pop"),
         ]
     return cols
 
 
 def _weekly_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFrame:
-    return _scope(plays, user_id).groupBy("user_id").agg(*_weekly_cols(as_of, days_back))
+    return _day_level(_scope(plays, user_id), as_of, days_back).groupBy("user_id").agg(*_weekly_cols(as_of, days_back))
 
 
 def _weekly_rows() -> list:
@@ -94,23 +143,21 @@ def weekday_weekend(plays: DataFrame, as_of=None, days_back: int = 90, user_id=N
     return a.select("user_id", F.inline(F.array(*_weekly_rows())))
 
 
-def _tier_cols(as_of, days_back: int) -> list:
-    inwin = in_trailing_window(LOCAL, as_of, days_back) & F.col("popularity").isNotNull()
-    tier = L.popularity_tier("popularity")
-    pop = F.col("popularity").cast("double")
+def _tier_cols() -> list:
+    """Level-2 aggregates over artist-level rows: plays, distinct artists, avg popularity per tier."""
     cols = []
     for t in L.POPULARITY_TIERS:
-        cond = inwin & (tier == t)
+        cond = F.col("tier") == t
         cols += [
-            F.count_if(cond).alias(f"{t}_plays"),
-            F.count_distinct(F.when(cond, F.col("artist_id"))).alias(f"{t}_artists"),
-            F.avg(F.when(cond, pop)).alias(f"{t}_pop"),
+            F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).alias(f"{t}_plays"),
+            F.count_if(cond & F.col("artist_id").isNotNull()).alias(f"{t}_artists"),
+            (F.sum(F.when(cond, F.col("pop_sum"))) / F.sum(F.when(cond, F.col("n")))).alias(f"{t}_pop"),
         ]
     return cols
 
 
 def _popularity_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFrame:
-    return _scope(plays, user_id).groupBy("user_id").agg(*_tier_cols(as_of, days_back))
+    return _artist_level(_scope(plays, user_id), as_of, days_back).groupBy("user_id").agg(*_tier_cols())
 
 
 def _total(prefix_cols) -> F.Column:
@@ -141,13 +188,17 @@ def popularity_distribution(plays: DataFrame, as_of=None, days_back: int = 90, u
 
 def user_category_aggregates(plays: DataFrame, as_of=None, hourly_days: int = 30, weekly_days: int = 90,
                              pop_days: int = 90, user_id=None) -> DataFrame:
-    """Hourly, weekday/weekend and tier aggregates of every user in ONE scan and one shuffle.
+    """Hourly, weekday/weekend and tier aggregates of every user, one row per user.
 
-    Used by the composite products (C05, C07) so the play table is read once for
-    all category insights instead of once per insight.
+    Used by the composite products (C05, C07): the day level (which keeps every
+    user) and the artist level (in-window plays only) are unioned and reduced by
+    ONE groupBy(user), instead of one aggregation per insight.
     """
-    cols = _hourly_cols(as_of, hourly_days) + _weekly_cols(as_of, weekly_days) + _tier_cols(as_of, pop_days)
-    return _scope(plays, user_id).groupBy("user_id").agg(*cols)
+    p = _scope(plays, user_id)
+    days = _day_level(p, as_of, weekly_days, hourly_days)
+    arts = _artist_level(p, as_of, pop_days, all_users=False)
+    both = days.unionByName(arts, allowMissingColumns=True)
+    return both.groupBy("user_id").agg(*_hourly_sums(), *_weekly_cols(as_of, weekly_days), *_tier_cols())
 
 
 def dominant_expr(prefix: str = "", suffix: str = "_plays") -> F.Column:
