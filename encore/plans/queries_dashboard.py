@@ -491,6 +491,6 @@ from (select distinct user_id from raw_rows) r left join (select user_id, count(
 def a26_job_outcome(spark, sf):
     """Per-user job status of the plays ETL (processed when it produced rows)."""
     raw = fx.raw_play_rows(spark, sf)
-    q = etl.plays_quality(raw, etl.clean_plays(raw, with_time=False))
+    q = etl.plays_quality_one_pass(raw)
     return q.select("user_id", F.when(F.col("clean_records") > 0, "processed").otherwise("skipped").alias("status"),
                     F.col("clean_records").alias("records"))

@@ -59,6 +59,8 @@ def test_plays_csv_etl(spark, tmp_dir):
     q = {x.user_id: x for x in etl.plays_quality(r, clean).collect()}        # A17
     assert q["u1"].raw_records == 7 and q["u1"].valid_records == 5 and q["u1"].clean_records == 4
     assert q["u1"].duplicates_removed == 1 and q["u1"].null_track_ids == 1 and q["u1"].unparsed_times == 1
+    one = {x.user_id: x for x in etl.plays_quality_one_pass(r).collect()}   # A17 without the clean table
+    assert {k: v.asDict() for k, v in one.items()} == {k: v.asDict() for k, v in q.items()}
     pres = {x.user_id: x.has_input for x in raw.user_presence(
         r, spark.createDataFrame([("u1",), ("u2",), ("u3",)], "user_id string")).collect()}
     assert pres == {"u1": True, "u2": True, "u3": False}
