@@ -47,13 +47,14 @@ def insights_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=
                         distinct.cast("bigint").alias("distinct_count"), avg_pop.cast("double").alias("avg_popularity"),
                         pct.cast("double").alias("percentage"))
 
-    rows = [row("daily_pattern", L.hour_label(F.lit(h)), F.lit(h), F.col("hourly")[h]) for h in range(24)]
-    rows += [row("weekly_pattern", w["day_type"], none_i, w["play_count"], w["active_days"], w["avg_popularity"],
-                 w["percentage"]) for w in I._weekly_rows()]
+    # the 24 hourly rows come from one lambda over the hourly array (position = hour)
+    hourly = F.transform("hourly", lambda c, h: row("daily_pattern", L.hour_label(h), h, c))
+    rows = [row("weekly_pattern", w["day_type"], none_i, w["play_count"], w["active_days"], w["avg_popularity"],
+                w["percentage"]) for w in I._weekly_rows()]
     rows += [row("popularity_distribution", t["popularity_tier"], none_i, t["play_count"], t["unique_artists"],
                  t["avg_popularity"], t["percentage"]) for t in I._tier_rows()]
     rows.append(row("popularity_summary", I.dominant_expr(), none_i, I._tier_total()))
-    categories = agg.select("user_id", F.inline(F.array(*rows)))
+    categories = agg.select("user_id", F.inline(F.concat(hourly, F.array(*rows))))
     return _long(top, "top_artists", F.col("artist_name"), F.col("rank"), F.col("play_count"),
                  F.col("unique_tracks")).unionByName(categories)
 
