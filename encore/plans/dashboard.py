@@ -123,16 +123,22 @@ def top_by_range(plays: DataFrame, as_of=None, ranges: dict | None = None, limit
     """Top ``limit`` artists per user for each time range, ranked by plays.
 
     The source of truth in the reference is an external service; here the ranking
-    is derived from plays (ties: name ascending). One pass: every play is
-    tagged with each range it falls into (array of at most 3 range names).
+    is derived from plays (ties: name ascending). One aggregation per (user,
+    artist) with a conditional count and max popularity per range (the widest
+    window's lower bound is pushed to the scan), unpivoted to one row per range
+    the artist was played in; no play is copied per range.
     """
     ranges = ranges or RANGES
-    tags = F.filter(F.array(*[F.when(in_trailing_window("played_at_local", as_of, d), F.lit(r))
-                              for r, d in ranges.items()]), lambda x: x.isNotNull())
     keys = list(keys)
-    per = (plays.select("user_id", *keys, "popularity", F.explode(tags).alias("time_range"))
-           .groupBy("user_id", "time_range", *keys)
-           .agg(F.count(F.lit(1)).alias("play_count"), F.max("popularity").alias("popularity")))
+    aggs = []
+    for i, days in enumerate(ranges.values()):
+        inwin = in_trailing_window("played_at_local", as_of, days)
+        aggs += [F.count_if(inwin).alias(f"_n{i}"), F.max(F.when(inwin, F.col("popularity"))).alias(f"_p{i}")]
+    widest = in_trailing_window("played_at_local", as_of, max(ranges.values()))
+    per_key = plays.filter(widest).groupBy("user_id", *keys).agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(r).alias("time_range"), F.col(f"_n{i}").alias("play_count"),
+                              F.col(f"_p{i}").alias("popularity")) for i, r in enumerate(ranges)])
+    per = per_key.select("user_id", *keys, F.inline(rows)).filter(F.col("play_count") > 0)
     w = Window.partitionBy("user_id", "time_range").orderBy(F.desc("play_count"), *[F.asc(k) for k in keys])
     return (per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
             .select("user_id", "time_range", "rank", *keys, "play_count", "popularity"))
