@@ -11,7 +11,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -34,10 +33,10 @@ def main() -> None:
     from encore.plans.registry import load_all
     from encore.session import build_session
 
-    scratch = tempfile.mkdtemp(prefix="encore-bench-")
+    # spark.checkpoint.dir: taken from the session config when given; only an unset
+    # folder in local mode gets a scratch folder (encore.session.checkpoint_dir)
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app_name="encore-bench",
-                          extra={"spark.checkpoint.dir": f"{scratch}/ckpt",
-                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"})
+                          extra={"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"})
     reg = load_all()
     names = only or HEADLINE
 
