@@ -93,3 +93,20 @@ def test_single_family_insights_match_combined(spark, rows):
         for t in TIERS:
             assert tiers[(u, t)].play_count == e[f"{t}_plays"] and tiers[(u, t)].unique_artists == e[f"{t}_artists"]
             assert _close(tiers[(u, t)].avg_popularity, e[f"{t}_pop"] if e[f"{t}_pop"] is not None else 0.0)
+
+
+def test_hours_sum_to_window_plays_and_shares_to_100(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF01
+    from encore.functions.time import in_trailing_window
+    from encore.plans.oracle_views import AS_OF
+    from encore.sources import fixtures as fx
+    p = fx.plays(spark, SF01)
+    hours = I.hourly_pattern(p, AS_OF, 30).groupBy("user_id").agg(F.sum("play_count").alias("h"))
+    direct = p.groupBy("user_id").agg(F.count_if(in_trailing_window("played_at_local", AS_OF, 30)).alias("h"))
+    assert hours.exceptAll(direct).count() == 0 and direct.exceptAll(hours).count() == 0
+    for df in (I.weekday_weekend(p, AS_OF, 90), I.popularity_distribution(p, AS_OF, 90)):
+        s = df.groupBy("user_id").agg(F.sum("percentage").alias("s"), F.sum("play_count").alias("n"))
+        bad = s.filter((F.col("n") > 0) & (F.abs(F.col("s") - 100) > 1e-9)).count()
+        assert bad == 0

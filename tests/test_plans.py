@@ -53,8 +53,9 @@ def test_genre_rules_are_broadcast(spark):
     assert "BroadcastNestedLoopJoin" in text and "Contains(" in text
 
 
-def test_results_do_not_depend_on_partitioning(spark):
-    name = "c05_insights_summary"
+@pytest.mark.parametrize("name", ["c05_insights_summary", "c01_plays_etl", "a17_quality_report",
+                                  "j06_rank_comparison", "g02_artist_catalog"])
+def test_results_do_not_depend_on_partitioning(spark, name):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
