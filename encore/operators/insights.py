@@ -211,8 +211,15 @@ def dominant_expr(prefix: str = "", suffix: str = "_plays") -> F.Column:
 
 
 def popularity_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
-    """Total plays with known popularity and the dominant tier per user."""
-    a = _popularity_agg(plays, as_of, days_back, user_id)
+    """Total plays with known popularity and the dominant tier per user.
+
+    Only play counts per tier are needed, so this is one conditional aggregation
+    per user (no artist level).
+    """
+    inwin = in_trailing_window(LOCAL, as_of, days_back) & F.col("popularity").isNotNull()
+    tier = L.popularity_tier("popularity")
+    a = _scope(plays, user_id).groupBy("user_id").agg(
+        *[F.count_if(inwin & (tier == t)).alias(f"{t}_plays") for t in L.POPULARITY_TIERS])
     return a.select("user_id", _tier_total().alias("total_plays"), dominant_expr().alias("dominant_tier"))
 
 
