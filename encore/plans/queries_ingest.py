@@ -267,3 +267,85 @@ def s17_profile_scan(spark, sf):
     path = scratch_path(spark, "profiles")
     _profile_table(spark, sf).write.mode("overwrite").parquet(path)
     return raw.read_profiles(spark, path)
+
+
+# --- API pages built from the driver tables, landed as JSON lines, flattened (S19-S21, S23) -------
+
+PAGE_SIZE = 50          # items per page, the API's page limit
+TOP_PAGE_SIZE = 20
+
+
+def _track(track_id, name, duration_ms, popularity, explicit, artists) -> F.Column:
+    no_album = F.struct(F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("name"))
+    return F.struct(track_id.alias("id"), name.alias("name"), duration_ms.cast("int").alias("duration_ms"),
+                    popularity.cast("int").alias("popularity"), explicit.alias("explicit"),
+                    artists.alias("artists"), no_album.alias("album"))
+
+
+def _hash_pages(df, key_cols: list[str], size: int):
+    """Page number per row: a hash of its key into ceil(n / size) pages of its user (no per-user sort)."""
+    counts = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    pages = F.ceil(F.col("_n") / F.lit(float(size)))
+    return df.join(counts, "user_id").withColumn("_page", F.pmod(F.xxhash64(*key_cols), pages))
+
+
+@query("s19_flatten_play_items", """
+select user_id, strftime(played_at_utc, '%Y-%m-%dT%H:%M:%S.') || strftime(played_at_utc, '%g') || 'Z' played_at,
+  'Track ' || track_id track_name, artist_name, cast(null as varchar) album_name, track_id, artist_id,
+  cast(null as varchar) album_id, cast(duration_ms as int) duration_ms, popularity, explicit
+from plays""")
+def s19_flatten_play_items(spark, sf):
+    """Recently-played pages (<= 50 items, two artists per track) landed as JSON, read back and flattened."""
+    p = fx.plays(spark, sf)
+    artists = F.array(F.struct(F.col("artist_id").alias("id"), F.col("artist_name").alias("name")),
+                      F.struct(F.concat(F.lit("X"), "artist_id").alias("id"), F.lit("featured").alias("name")))
+    item = F.struct(F.date_format("played_at_utc", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("played_at"),
+                    _track(F.col("track_id"), F.concat(F.lit("Track "), "track_id"), F.col("duration_ms"),
+                           F.col("popularity"), F.col("explicit"), artists).alias("track"))
+    pages = (p.groupBy("user_id", F.floor(F.col("event_id") / PAGE_SIZE).alias("_page"))
+             .agg(F.collect_list(item).alias("items")).drop("_page"))
+    root = raw.stage_pages(pages, scratch_path(spark, "play_pages"))
+    return raw.flatten_play_items(raw.read_pages(spark, root, raw.PLAYS_PAGE_DDL, "*.json", multi_line=False))
+
+
+@query("s20_flatten_like_items", """
+select user_id, track_id, cast(null as varchar) album_id,
+  case when artists_id = '' then cast([] as varchar[]) else [artists_id] end artists_id, explicit,
+  cast(duration_ms as int) duration_ms, cast(null as varchar) track_name, track_popularity,
+  strftime(added_at_utc, '%Y-%m-%dT%H:%M:%SZ') added_at
+from likes""")
+def s20_flatten_like_items(spark, sf):
+    """Saved-track pages landed as JSON, read back and flattened to like documents (all artist ids)."""
+    lk = fx.likes(spark, sf)
+    artists = (F.when(F.col("artists_id") == "", F.array().cast(f"array<{raw.ARTIST}>"))
+               .otherwise(F.array(F.struct(F.col("artists_id").alias("id"), F.lit(None).cast("string").alias("name")))))
+    item = F.struct(F.date_format("added_at_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("added_at"),
+                    _track(F.col("track_id"), F.lit(None).cast("string"), F.col("duration_ms"),
+                           F.col("track_popularity"), F.col("explicit"), artists).alias("track"))
+    pages = (_hash_pages(lk, ["track_id", "added_at_utc"], PAGE_SIZE).groupBy("user_id", "_page")
+             .agg(F.collect_list(item).alias("items")).drop("_page"))
+    root = raw.stage_pages(pages, scratch_path(spark, "like_pages"))
+    return raw.flatten_like_items(raw.read_pages(spark, root, raw.LIKES_PAGE_DDL, "*.json", multi_line=False))
+
+
+@query("s21_top_item_pages", """
+select user_id, ith_preference, track_id, cast(null as varchar) album_id, [artists_id] artists_id,
+  cast(null as boolean) explicit, cast(track_popularity * 1000 as int) duration, cast(null as varchar) track_name,
+  track_popularity
+from top_tracks""")
+def s21_top_item_pages(spark, sf):
+    """S21 + S23: ranked top-track pages (20 items each, with the API's offset) landed as JSON lines,
+    concatenated in page order and ranked by position: the ranks come back as stored."""
+    t = fx.top_tracks(spark, sf)
+    artists = F.array(F.struct(F.col("artists_id").alias("id"), F.lit(None).cast("string").alias("name")))
+    track = _track(F.col("track_id"), F.lit(None).cast("string"), F.col("track_popularity") * 1000,
+                   F.col("track_popularity"), F.lit(None).cast("boolean"), artists)
+    page_no = F.floor((F.col("ith_preference") - 1) / TOP_PAGE_SIZE)
+    pages = (t.groupBy("user_id", page_no.alias("_page"))
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("ith_preference").alias("pos"), track.alias("t"))))
+                  .alias("_items"))
+             .select("user_id", (F.col("_page") * TOP_PAGE_SIZE).cast("int").alias("offset"),
+                     F.transform("_items", lambda x: x["t"]).alias("items")))
+    root = raw.stage_pages(pages, scratch_path(spark, "top_pages"))
+    read = raw.read_pages(spark, root, raw.TOP_PAGE_DDL, "*.json", multi_line=False)
+    return raw.flatten_top_items(read, F.col("offset"))

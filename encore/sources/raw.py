@@ -129,16 +129,23 @@ TRACK = (f"struct<id:string,name:string,duration_ms:int,popularity:int,explicit:
          f"artists:array<{ARTIST}>,album:struct<id:string,name:string>>")
 PLAYS_PAGE_DDL = f"items array<struct<played_at:string,track:{TRACK}>>"
 LIKES_PAGE_DDL = f"items array<struct<added_at:string,track:{TRACK}>>"
-TOP_PAGE_DDL = f"items array<{TRACK}>"
+TOP_PAGE_DDL = f"offset int, items array<{TRACK}>"
 
 
-def read_pages(spark: SparkSession, root: str, ddl: str, glob: str) -> DataFrame:
-    """API response pages, one JSON document per file, with user and page file name."""
-    df = (_base(spark, ddl).option("multiLine", True).option("pathGlobFilter", glob)
+def read_pages(spark: SparkSession, root: str, ddl: str, glob: str, multi_line: bool = True) -> DataFrame:
+    """API response pages with user and page file name: one JSON document per file
+    (as the collector saves them), or JSON lines (one page per line) with ``multi_line=False``."""
+    df = (_base(spark, ddl).option("multiLine", multi_line).option("pathGlobFilter", glob)
           .json(f"{root.rstrip('/')}/*/"))
     return with_path_user(df).withColumn("page_file", F.col("_metadata.file_name"))
 
 
+def stage_pages(pages: DataFrame, root: str) -> str:
+    """Land page documents (``user_id`` + page fields) as JSON lines under ``<root>/user_id=<user>/``."""
+    pages.hint("rebalance", "user_id").write.mode("overwrite").partitionBy("user_id").json(root)
+    return root
+
+
 def flatten_play_items(pages: DataFrame) -> DataFrame:
     """Recently-played items -> the 10 CSV columns (first artist only)."""
     it = pages.select("user_id", F.explode("items").alias("it"))
