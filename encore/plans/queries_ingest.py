@@ -349,3 +349,12 @@ def s21_top_item_pages(spark, sf):
     root = raw.stage_pages(pages, scratch_path(spark, "top_pages"))
     read = raw.read_pages(spark, root, raw.TOP_PAGE_DDL, "*.json", multi_line=False)
     return raw.flatten_top_items(read, F.col("offset"))
+
+
+@query("s05_artists_json_scan", "select id, name, popularity, followers, genres from artists_raw")
+def s05_artists_json_scan(spark, sf):
+    """Artist catalog documents landed as JSON lines (null fields omitted, as the writer does) and read
+    back with the declared schema: padded names, NULL popularity and NULL / empty genre lists survive."""
+    root = scratch_path(spark, "artists_json")
+    fx.artists_raw(spark, sf).write.mode("overwrite").json(root)
+    return raw.read_artists_json(spark, root, multi_line=False)
