@@ -56,6 +56,8 @@ GENRE_RULES = [
     ("classical", 10, ["classical", "orchestral", "opera", "symphony", "baroque"]),
     ("classical", 8, ["instrumental", "chamber music", "contemporary classical"]),
 ]
+# The empty-genres placeholder, the no-match category and the
+# lineage literal written into every catalog / play row.
 UNKNOWN_GENRE = "unknown"
 OTHER = "other"
 DATA_SOURCE = "spotify_api"
