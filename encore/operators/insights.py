@@ -49,14 +49,24 @@ def top_artists(plays: DataFrame, as_of=None, days_back: int = 90, limit: int =
             .select("user_id", "rank", "artist_name", "play_count", "unique_tracks"))
 
 
-def _hourly_cols(as_of, days_back: int) -> list:
-    inwin = in_trailing_window(LOCAL, as_of, days_back)
-    return [F.array(*[F.count_if(inwin & (F.col("play_hour") == h)) for h in range(24)]).alias("hourly")]
+def _with_all_users(rows: DataFrame, plays: DataFrame) -> DataFrame:
+    """``rows`` plus a ``user_id``-only row per play of the whole table.
+
+    Window insights read only the window (a filter that reaches the scan as a
+    time bound); the spine of users comes from the ``user_id`` column alone (a
+    partition column of the per-user layout, so no data pages are read there).
+    The final per-user aggregation collapses these rows map-side, and a user
+    without plays in the window keeps a row of zeros.
+    """
+    return rows.unionByName(plays.select("user_id"), allowMissingColumns=True)
 
 
 def hourly_pattern(plays: DataFrame, as_of=None, days_back: int = 30, user_id=None) -> DataFrame:
     """A02 + J02: plays per local hour, every user gets hours 0..23 (zeros filled)."""
-    per_user = _scope(plays, user_id).groupBy("user_id").agg(*_hourly_cols(as_of, days_back))
+    p = _scope(plays, user_id)
+    recent = p.filter(in_trailing_window(LOCAL, as_of, days_back)).select("user_id", "play_hour")
+    per_user = _with_all_users(recent, p).groupBy("user_id").agg(
+        F.array(*[F.count_if(F.col("play_hour") == h) for h in range(24)]).alias("hourly"))
     return (per_user.select("user_id", F.posexplode("hourly").alias("hour", "play_count"))
             .select("user_id", F.col("hour").cast("int").alias("hour"), "play_count",
                     L.hour_label("hour").alias("hour_label")))
@@ -76,11 +86,8 @@ def _lo(as_of, days_back: int) -> F.Column:
 # averages are sum / count of integer popularities.
 
 def _day_level(plays: DataFrame, as_of, weekly_days: int, hourly_days: int | None = None) -> DataFrame:
-    """(user_id, d, n, pop_sum, pop_n[, h0..h23]) with d = local date inside the widest window, else NULL.
-
-    Out-of-window plays collapse into one (user, NULL) row per user, so every
-    user keeps a row (zeros in the result) without an extra join.
-    """
+    """(user_id, d, n, pop_sum, pop_n[, h0..h23]) per user and local date inside the widest window,
+    plus the user spine (``_with_all_users``) so every user keeps a row (zeros in the result)."""
     day = F.to_date(LOCAL)
     wide = max(weekly_days, hourly_days or 0)
     pop = F.col("popularity").cast("double")
@@ -88,21 +95,17 @@ def _day_level(plays: DataFrame, as_of, weekly_days: int, hourly_days: int | Non
     if hourly_days is not None:
         in_h = day >= _lo(as_of, hourly_days)
         aggs += [F.count_if(in_h & (F.col("play_hour") == h)).alias(f"h{h}") for h in range(24)]
-    return plays.groupBy("user_id", F.when(day >= _lo(as_of, wide), day).alias("d")).agg(*aggs)
+    days = plays.filter(day >= _lo(as_of, wide)).groupBy("user_id", day.alias("d")).agg(*aggs)
+    return _with_all_users(days, plays)
 
 
 def _artist_level(plays: DataFrame, as_of, days_back: int, all_users: bool = True) -> DataFrame:
-    """(user_id, tier, artist_id, n, pop_sum) over in-window plays with known popularity.
-
-    With ``all_users`` the other plays collapse into one (user, NULL, NULL) row
-    per user instead of being filtered out.
-    """
+    """(user_id, tier, artist_id, n, pop_sum) over in-window plays with known popularity,
+    plus the user spine when ``all_users`` (see ``_with_all_users``)."""
     cond = in_trailing_window(LOCAL, as_of, days_back) & F.col("popularity").isNotNull()
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("popularity").cast("double")).alias("pop_sum")]
-    if all_users:
-        keys = [F.when(cond, L.popularity_tier("popularity")).alias("tier"), F.when(cond, F.col("artist_id")).alias("artist_id")]
-        return plays.groupBy("user_id", *keys).agg(*aggs)
-    return plays.filter(cond).groupBy("user_id", L.popularity_tier("popularity").alias("tier"), "artist_id").agg(*aggs)
+    arts = plays.filter(cond).groupBy("user_id", L.popularity_tier("popularity").alias("tier"), "artist_id").agg(*aggs)
+    return _with_all_users(arts, plays) if all_users else arts
 
 
 def _hourly_sums() -> list:
@@ -216,10 +219,11 @@ def popularity_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_i
     Only play counts per tier are needed, so this is one conditional aggregation
     per user (no artist level).
     """
+    p = _scope(plays, user_id)
     inwin = in_trailing_window(LOCAL, as_of, days_back) & F.col("popularity").isNotNull()
-    tier = L.popularity_tier("popularity")
-    a = _scope(plays, user_id).groupBy("user_id").agg(
-        *[F.count_if(inwin & (tier == t)).alias(f"{t}_plays") for t in L.POPULARITY_TIERS])
+    recent = p.filter(inwin).select("user_id", L.popularity_tier("popularity").alias("tier"))
+    a = _with_all_users(recent, p).groupBy("user_id").agg(
+        *[F.count_if(F.col("tier") == t).alias(f"{t}_plays") for t in L.POPULARITY_TIERS])
     return a.select("user_id", _tier_total().alias("total_plays"), dominant_expr().alias("dominant_tier"))
 
 
@@ -228,15 +232,19 @@ def insights_available(plays: DataFrame, as_of=None, user_id=None,
                        pop_days: int = 90) -> DataFrame:
     """TRUE when any of the four insight families has data for the user.
 
-    One aggregation: each family reduces to "any play inside its window" (plus
-    known popularity for the tier family).
+    One aggregation over the widest window plus the user spine: each family
+    reduces to "any play inside its window" (plus known popularity for the tier
+    family); a user without such a play gets FALSE.
     """
     def any_in(days, extra=None):
         c = in_trailing_window(LOCAL, as_of, days)
         if extra is not None:
             c = c & extra
-        return F.bool_or(c)
-    a = _scope(plays, user_id).groupBy("user_id").agg(
+        return F.coalesce(F.bool_or(c), F.lit(False))
+    p = _scope(plays, user_id)
+    widest = max(top_days, hourly_days, weekly_days, pop_days)
+    recent = p.filter(in_trailing_window(LOCAL, as_of, widest)).select("user_id", LOCAL, "popularity")
+    a = _with_all_users(recent, p).groupBy("user_id").agg(
         any_in(top_days).alias("has_top_artists"),
         any_in(hourly_days).alias("has_daily_data"),
         any_in(weekly_days).alias("has_weekly_data"),

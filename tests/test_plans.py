@@ -73,3 +73,18 @@ def test_category_distinct_counts_do_not_expand_plays(spark, name):
     """Distinct days / artists come from a two-level aggregation, not an Expand of every play."""
     text = REG[name].build(spark, SF01)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in text
+
+
+def test_window_insights_push_time_bound_and_read_user_spine_only(spark, tmp_path):
+    """On a stored play table the window reaches the scan as a time bound; the user spine reads user_id only."""
+    from conftest import SF001
+    from encore.operators import insights as I
+    from encore.plans.oracle_views import AS_OF
+    from encore.sources import fixtures as fx
+    path = str(tmp_path / "user_tracks")
+    fx.plays(spark, SF001).write.mode("overwrite").parquet(path)
+    df = spark.read.parquet(path)
+    for built in (I.hourly_pattern(df, AS_OF, 30), I.user_category_aggregates(df, AS_OF, 30, 90, 90)):
+        scans = [x for x in built._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+        assert any("GreaterThanOrEqual(played_at_local," in x for x in scans)
+        assert any("ReadSchema: struct<user_id:string>" in x for x in scans)
