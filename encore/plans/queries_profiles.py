@@ -370,8 +370,8 @@ def a16_cluster_centroids(spark, sf):
     return CL.cluster_centroids(clustered)
 
 
-@query("c08_profiles_pipeline")
-def c08_profiles_pipeline(spark, sf):
+@query("c08_profiles_end_to_end")
+def c08_profiles_end_to_end(spark, sf):
     """Features -> scaling -> K-means -> scores -> profile table with cluster (rows-only)."""
     clustered, _ = CL.kmeans_clusters(_features(spark, sf, 30))
     return PR.profile_table(PR.assign_profiles(clustered), with_time=True)
