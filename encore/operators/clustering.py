@@ -116,12 +116,13 @@ def kmeans_clusters(features: DataFrame, k: int = K, seed: int = SEED, restarts:
     cols = cols or CLUSTER_FEATURES
     scaled = robust_scale(features, cols)
     vec = VectorAssembler(inputCols=[f"{c}_scaled" for c in cols], outputCol="_x").transform(scaled)
+    # the persisted frame itself goes to fit(): Spark ML then sees it cached and
+    # does not cache a private copy of the vectors per concurrent fit
     vec = vec.select("_x", *features.columns).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
-    data = vec.select("_x")
 
     def fit(i: int):
         km = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="_x", predictionCol="cluster")
-        model = km.fit(data)
+        model = km.fit(vec)
         return model.summary.trainingCost, i, model
 
     try:
