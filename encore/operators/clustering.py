@@ -100,6 +100,14 @@ def robust_scale(features: DataFrame, cols: list[str] | None = None) -> DataFram
     return features.select(*features.columns, *scaled)
 
 
+def _restart_order(fit) -> tuple:
+    """Lowest cost first, compared at 10 significant digits: restarts that reach the same
+    clustering (labels permuted) differ only in the last bits of their summed cost, and
+    must tie so the earliest seed wins on every run."""
+    cost, i, _ = fit
+    return (float(f"{cost:.10g}") if math.isfinite(cost) else math.inf, i)
+
+
 def kmeans_clusters(features: DataFrame, k: int = K, seed: int = SEED, restarts: int = RESTARTS,
                     max_iter: int = MAX_ITER, cols: list[str] | None = None, parallel: int = 8):
     """Spark ML K-means on the robust-scaled features; best of ``restarts`` seeds by cost.
@@ -108,7 +116,7 @@ def kmeans_clusters(features: DataFrame, k: int = K, seed: int = SEED, restarts:
     so the scheduler runs their jobs side by side instead of one after another.
     The scaled input is checkpointed (stable across task retries) and persisted
     once, so no fit caches its own copy. The winner is the lowest training cost,
-    ties going to the earlier seed, whatever order the fits finish in.
+    ties (costs equal to 10 significant digits) going to the earlier seed, whatever order the fits finish in.
 
     Returns (DataFrame with ``cluster``, model). Labels are not comparable to other
     implementations; checked by invariants (sizes sum to users, cost).
@@ -128,7 +136,7 @@ def kmeans_clusters(features: DataFrame, k: int = K, seed: int = SEED, restarts:
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallel, restarts))) as pool:
             fitted = list(pool.map(fit, range(max(1, restarts))))
-        _, _, best = min(fitted, key=lambda t: (t[0] if not math.isnan(t[0]) else math.inf, t[1]))
+        _, _, best = min(fitted, key=_restart_order)
         out = best.transform(vec).drop("_x")
     finally:
         vec.unpersist()
