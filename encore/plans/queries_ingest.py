@@ -358,3 +358,46 @@ def s05_artists_json_scan(spark, sf):
     root = scratch_path(spark, "artists_json")
     fx.artists_raw(spark, sf).write.mode("overwrite").json(root)
     return raw.read_artists_json(spark, root, multi_line=False)
+
+
+# --- raw documents landed per kind as JSON lines and read back by the document readers (S02-S04) ----
+
+FOLLOW_DOC_SIZE = 1000   # ids per followed-artists document; larger users get several documents
+
+
+@query("s02_likes_json_scan", """
+select user_id, track_id, cast(null as varchar) album_id,
+  case when artists_id = '' then cast([] as varchar[]) else [artists_id] end artists_id, explicit,
+  cast(duration_ms as int) duration_ms, cast(null as varchar) track_name, track_popularity,
+  strftime(added_at_utc, '%Y-%m-%dT%H:%M:%SZ') added_at
+from likes""")
+def s02_likes_json_scan(spark, sf):
+    """Like documents of every user landed as JSON lines (one folder per user) and read with the declared schema."""
+    root = scratch_path(spark, "likes_json")
+    raw_likes_rows(spark, sf).hint("rebalance", "user_id").write.mode("overwrite").partitionBy("user_id").json(root)
+    return raw.read_likes_json(spark, root, multi_line=False, routed=False).drop("source_file")
+
+
+@query("s03_followed_json_scan", "select user_id, artist_id from follows_raw")
+def s03_followed_json_scan(spark, sf):
+    """Followed-artist documents ({"artists_ids": [...]}, at most 1000 ids each) landed and exploded back."""
+    docs = (_hash_pages(fx.follows_raw(spark, sf), ["artist_id"], FOLLOW_DOC_SIZE)
+            .groupBy("user_id", "_page").agg(F.collect_list("artist_id").alias("artists_ids")).drop("_page"))
+    root = scratch_path(spark, "followed_json")
+    docs.hint("rebalance", "user_id").write.mode("overwrite").partitionBy("user_id").json(root)
+    return raw.read_followed_json(spark, root, multi_line=False, routed=False).select("user_id", "artist_id")
+
+
+@query("s04_top_tracks_json_scan", """
+select user_id, ith_preference, track_id, cast(null as varchar) album_id, [artists_id] artists_id,
+  cast(null as boolean) explicit, cast(null as int) duration_ms, cast(track_popularity * 1000 as int) duration,
+  cast(null as varchar) track_name, track_popularity
+from top_tracks""")
+def s04_top_tracks_json_scan(spark, sf):
+    """Ranked top-track documents (duration under the writer's ``duration`` key, T9) landed and read back."""
+    t = fx.top_tracks(spark, sf)
+    docs = t.select("user_id", "ith_preference", "track_id", F.array("artists_id").alias("artists_id"),
+                    (F.col("track_popularity") * 1000).cast("int").alias("duration"), "track_popularity")
+    root = scratch_path(spark, "top_tracks_json")
+    docs.hint("rebalance", "user_id").write.mode("overwrite").partitionBy("user_id").json(root)
+    return raw.read_top_tracks_json(spark, root, multi_line=False, routed=False).drop("source_file")

@@ -71,28 +71,40 @@ def file_kind(name: Column) -> Column:
 
 
 def _read_json_kind(spark: SparkSession, root: str, kind: str, ddl: str, glob: str,
-                    multi_line: bool = True) -> DataFrame:
-    df = (_base(spark, ddl).option("multiLine", multi_line).option("pathGlobFilter", glob)
+                    multi_line: bool = True, routed: bool = True) -> DataFrame:
+    """Documents of one kind under ``<root>/<user>/``.
+
+    ``routed`` picks them by file name among the collector's mixed files (S07);
+    ``routed=False`` reads every ``*.json`` of a folder that holds only this kind
+    (e.g. a landing zone written by Spark, whose files are named ``part-*``).
+    ``multi_line=False`` reads JSON lines instead of one array/object per file.
+    """
+    df = (_base(spark, ddl).option("multiLine", multi_line).option("pathGlobFilter", glob if routed else "*.json")
           .json(f"{root.rstrip('/')}/*/"))
     df = with_path_user(df).withColumn("source_file", F.col("_metadata.file_name"))
-    return df.filter(file_kind(F.col("source_file")) == kind)
+    return df.filter(file_kind(F.col("source_file")) == kind) if routed else df
 
 
-def read_likes_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS) -> DataFrame:
+def read_likes_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS,
+                    multi_line: bool = True, routed: bool = True) -> DataFrame:
     """S02 (+S07, S09): every likes document (JSON array) of every user, one row per like."""
-    return _scope(_read_json_kind(spark, root, "likes", RAW_LIKES_DDL, "*likes*.json"), user_id)
+    df = _read_json_kind(spark, root, "likes", RAW_LIKES_DDL, "*likes*.json", multi_line, routed)
+    return _scope(df, user_id)
 
 
-def read_followed_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS) -> DataFrame:
+def read_followed_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS,
+                       multi_line: bool = True, routed: bool = True) -> DataFrame:
     """``{"artists_ids": [...]}`` documents exploded to (user_id, artist_id, source_file)."""
-    df = _read_json_kind(spark, root, "followed", RAW_FOLLOWED_DDL, "*followed*.json")
+    df = _read_json_kind(spark, root, "followed", RAW_FOLLOWED_DDL, "*followed*.json", multi_line, routed)
     df = df.select("user_id", "source_file", F.explode("artists_ids").alias("artist_id"))
     return _scope(df, user_id)
 
 
-def read_top_tracks_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS) -> DataFrame:
+def read_top_tracks_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS,
+                         multi_line: bool = True, routed: bool = True) -> DataFrame:
     """Ranked top-track documents; both ``duration_ms`` and the writer's ``duration`` key are read."""
-    return _scope(_read_json_kind(spark, root, "top_tracks", RAW_TOP_TRACKS_DDL, "*top_*.json"), user_id)
+    df = _read_json_kind(spark, root, "top_tracks", RAW_TOP_TRACKS_DDL, "*top_*.json", multi_line, routed)
+    return _scope(df, user_id)
 
 
 def read_artists_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
