@@ -401,3 +401,30 @@ def s04_top_tracks_json_scan(spark, sf):
     root = scratch_path(spark, "top_tracks_json")
     docs.hint("rebalance", "user_id").write.mode("overwrite").partitionBy("user_id").json(root)
     return raw.read_top_tracks_json(spark, root, multi_line=False, routed=False).drop("source_file")
+
+
+# Fixed values of this check: file-name prefixes the collector writes, plus an
+# ambiguous one ('top_likes_') where the first matching pattern must win.
+ROUTING_PREFIXES = ["likes_list_", "followed_artists_", "top_tracks_", "recently_played_", "top_likes_"]
+
+
+@query("s07_file_kind_routing", """
+with m as (
+  select source user_id,
+    case doc_id % 5 when 0 then 'likes_list_' when 1 then 'followed_artists_' when 2 then 'top_tracks_'
+      when 3 then 'recently_played_' else 'top_likes_' end || cast(doc_id as varchar) ||
+    case when lang = 'en' then '.csv' else '.json' end file_name
+  from documents)
+select user_id, file_name,
+  case when contains(file_name, 'likes') and suffix(file_name, '.json') then 'likes'
+       when contains(file_name, 'followed') and suffix(file_name, '.json') then 'followed'
+       when contains(file_name, 'top_') and suffix(file_name, '.json') then 'top_tracks' end kind
+from m""")
+def s07_file_kind_routing(spark, sf):
+    """Document kind of every file in a listing derived from the documents table (first match wins, JSON only)."""
+    d = read_table(spark, sf, "documents").select("doc_id", "source", "lang")
+    prefix = F.element_at(F.array(*[F.lit(p) for p in ROUTING_PREFIXES]), (F.col("doc_id") % 5 + 1).cast("int"))
+    ext = F.when(F.col("lang") == "en", F.lit(".csv")).otherwise(F.lit(".json"))
+    files = d.select(F.col("source").alias("user_id"),
+                     F.concat(prefix, F.col("doc_id").cast("string"), ext).alias("file_name"))
+    return files.select("user_id", "file_name", raw.file_kind(F.col("file_name")).alias("kind"))
