@@ -110,3 +110,31 @@ def test_hours_sum_to_window_plays_and_shares_to_100(spark):
         s = df.groupBy("user_id").agg(F.sum("percentage").alias("s"), F.sum("play_count").alias("n"))
         bad = s.filter((F.col("n") > 0) & (F.abs(F.col("s") - 100) > 1e-9)).count()
         assert bad == 0
+
+
+def test_top_by_range_matches_brute_force(spark):
+    """W06 on edge cases: NULL popularity, plays older than every range, rank ties broken by name."""
+    from encore.plans import dashboard as D
+    rnd = random.Random(9)
+    ranges = {"short": 3, "long": 10}
+    rows = []
+    for i in range(300):
+        day = AS_OF + dt.timedelta(days=rnd.randint(-14, 1))
+        ts = dt.datetime.combine(day, dt.time(rnd.randint(0, 23)))
+        pop = None if rnd.random() < 0.3 else rnd.randint(0, 100)
+        rows.append((f"u{i % 4}", f"Artist {rnd.randint(0, 5)}", ts, pop))
+    df = spark.createDataFrame(rows, "user_id string, artist_name string, played_at_local timestamp_ntz, popularity int")
+    got = {(r.user_id, r.time_range, r.rank): (r.artist_name, r.play_count, r.popularity)
+           for r in D.top_by_range(df, AS_OF, ranges, 2).collect()}
+    exp = {}
+    for u in sorted({r[0] for r in rows}):
+        for name, days in ranges.items():
+            sel = [r for r in rows if r[0] == u and r[2].date() >= AS_OF - dt.timedelta(days=days)]
+            per = {}
+            for r in sel:
+                n, p = per.get(r[1], (0, None))
+                per[r[1]] = (n + 1, p if r[3] is None else (r[3] if p is None else max(p, r[3])))
+            ranked = sorted(per.items(), key=lambda kv: (-kv[1][0], kv[0]))[:2]
+            for k, (artist, (n, p)) in enumerate(ranked, 1):
+                exp[(u, name, k)] = (artist, n, p)
+    assert got == exp
