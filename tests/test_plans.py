@@ -88,3 +88,9 @@ def test_window_insights_push_time_bound_and_read_user_spine_only(spark, tmp_pat
         scans = [x for x in built._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
         assert any("GreaterThanOrEqual(played_at_local," in x for x in scans)
         assert any("ReadSchema: struct<user_id:string>" in x for x in scans)
+
+
+def test_range_rankings_do_not_copy_plays_per_range(spark):
+    """Conditional per-range aggregates, no explode of plays into ranges before the aggregation."""
+    text = REG["w06_top_by_range"].build(spark, SF01)._jdf.queryExecution().executedPlan().toString()
+    assert "explode(" not in text and "WindowGroupLimit" in text
