@@ -17,7 +17,8 @@ Jobs, each a DataFrame step with Spark doing the partitioning:
    texts for a passage that a third of them share; such shingles rank last in the frequency order.
 3. per class: its shared shingles; classes where fewer than ceil(t * n) are shared have no partner.
 4. links, round 1: in each posting list (classes with the same first-order prefix shingle) everyone is compared
-   with the list's least class. Verified links are merged into components.
+   with the class that has the smallest share of shingles of its own: in a group of edited copies that is the text
+   they were made from, or the least edited one. Verified links are merged into components.
 5. links, round 2: all other pairs of a posting list whose members are in *different* components (size and
    position filters in the join). Pairs within one component need no test: their result is known. So a large
    group of near copies costs its size, not its square, and no link between components is lost.
@@ -115,8 +116,8 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=_RUN_COLUMNS)
 
 
-def _homeward(sigs: np.ndarray, ns: np.ndarray, sid: np.ndarray, vals: np.ndarray, parts: int, via: int) -> list[tuple]:
-    """Runs for the class ranges: vals grouped by class (sid indexes sigs and ns)."""
+def _homeward(sigs: np.ndarray, ns: np.ndarray, sid: np.ndarray, vals: np.ndarray, parts: int) -> list[tuple]:
+    """Runs for the class ranges (by way of the task of the same number): vals grouped by class (sid indexes sigs and ns)."""
     if not len(vals):
         return []
     home = (fmix(sigs.view(U64)) % U64(parts)).astype(np.int64)
@@ -127,12 +128,12 @@ def _homeward(sigs: np.ndarray, ns: np.ndarray, sid: np.ndarray, vals: np.ndarra
     out = []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         own, counts = np.unique(sid[a:b], return_counts=True)
-        out.append((via, int(at[a]), sigs[own].tobytes(), ns[own].astype(np.int32).tobytes(),
+        out.append((int(at[a]), int(at[a]), sigs[own].tobytes(), ns[own].astype(np.int32).tobytes(),
                     counts.astype(np.int32).tobytes(), vals[a:b].tobytes(), None))
     return out
 
 
-def _pack(sets: dict[int, np.ndarray], parts: int, common: int, via: int) -> list[tuple]:
+def _pack(sets: dict[int, np.ndarray], parts: int, common: int) -> list[tuple]:
     """Runs of a batch of classes, for the hash ranges (and straight home, for common shingles)."""
     sigs, ns = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()], np.int64)
     ref = np.repeat(np.arange(len(ns), dtype=U64), ns)
@@ -141,7 +142,7 @@ def _pack(sets: dict[int, np.ndarray], parts: int, common: int, via: int) -> lis
     cuts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
     many = np.repeat(np.diff(cuts) >= common, np.diff(cuts))
     often = np.unique(token[many])
-    out = _homeward(sigs, ns, (packed[many] & U64(0xFFFF)).astype(np.int64), token[many] | U64(_LAST_RANK << TOKEN_BITS), parts, via)
+    out = _homeward(sigs, ns, (packed[many] & U64(0xFFFF)).astype(np.int64), token[many] | U64(_LAST_RANK << TOKEN_BITS), parts)
     packed, token = packed[~many], token[~many]
     edges = [(i << TOKEN_BITS) // parts for i in range(1, parts)]
     at = np.searchsorted(token, np.array(edges, U64))
@@ -163,17 +164,17 @@ def _shared_shingles(docs: DataFrame, p: JoinParams, text_col: str) -> DataFrame
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[int, np.ndarray] = {}
-        size = flushed = 0
+        size = 0
         for b in batches:
             for s in _sets(b.column(0), p.words):
                 if len(s) and (sig := _signature(s)) not in sets:
                     sets[sig] = s
                     size += len(s)
                     if size >= p.batch_tokens or len(sets) == 1 << 16:
-                        yield _rows(_pack(sets, parts, p.common, flushed % parts))
-                        sets, size, flushed = {}, 0, flushed + 1
+                        yield _rows(_pack(sets, parts, p.common))
+                        sets, size = {}, 0
         if sets:
-            yield _rows(_pack(sets, parts, p.common, flushed % parts))
+            yield _rows(_pack(sets, parts, p.common))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed, sigs, ns, common, base = [], [], [], [], 0
@@ -217,7 +218,7 @@ def _shared_shingles(docs: DataFrame, p: JoinParams, text_col: str) -> DataFrame
         df = np.repeat(np.diff(cuts), np.diff(cuts))
         keep = known | (df > 1)
         rank = np.where(known, _LAST_RANK, np.minimum(4 * np.log2(np.maximum(df, 1)), _LAST_RANK - 1)).astype(U64)
-        out = _homeward(sigs, ns, sid[keep], token[keep] | rank[keep] << U64(TOKEN_BITS), parts, 0)
+        out = _homeward(sigs, ns, sid[keep], token[keep] | rank[keep] << U64(TOKEN_BITS), parts)
         if out:
             yield _rows(out)
 
@@ -289,7 +290,8 @@ def class_links(docs: DataFrame, p: JoinParams = JoinParams(), text_col: str = "
     post = shared.select("sig", "n", F.octet_length("vals").alias("m"), F.posexplode("prefix").alias("pos", "val")) \
         .withColumn("m", (F.col("m") / 8).cast("long"))
     fits = lambda a, b: (100 * F.least(a, b) >= p.percent * F.greatest(a, b))
-    lists = post.groupBy("val").agg(F.min(F.struct("sig", "n")).alias("lead"), F.count("*").alias("held")).where("held > 1")
+    alone = (1000 * (F.col("n") - F.col("m")) / F.col("n")).cast("int").alias("alone")  # what it shares with nobody
+    lists = post.groupBy("val").agg(F.min(F.struct(alone, "sig", "n")).alias("lead"), F.count("*").alias("held")).where("held > 1")
     first = post.join(lists, "val").where((F.col("sig") != F.col("lead.sig")) & fits(F.col("n"), F.col("lead.n"))) \
         .select(F.col("lead.sig").alias("a"), F.col("sig").alias("b")).distinct().checkpoint()
     linked = _verify(first, shared, p).checkpoint()
@@ -341,6 +343,6 @@ def keep_one_per_group(docs: DataFrame, p: JoinParams = JoinParams(), id_col: st
     one = stay.where(~lone & F.col("component_id").isNotNull()).groupBy("component_id").agg(F.min("uid").alias("_uid"))
     rest = stay.where(lone | F.col("component_id").isNull()).select(F.col("uid").alias("_uid")).distinct()
     chosen = one.select("_uid").unionByName(rest).distinct()
-    keyed = docs.withColumn("_uid", row_uid(id_col, text_col))
-    kept = keyed.join(chosen, "_uid", "left_semi")
-    return kept.dropDuplicates(["_uid"]).select(*docs.columns)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # whole, so no column name can clash
+    kept = docs.select(row_uid(id_col, text_col).alias("_uid"), row).join(chosen, "_uid", "left_semi")
+    return kept.dropDuplicates(["_uid"]).select("row.*")
