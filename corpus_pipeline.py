@@ -7,6 +7,7 @@ the last returns the ids of the pieces.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.llm import piece_viterbi, raking
 from encore.llm.compression import keep_compressible
@@ -34,7 +35,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the raked mixture samples."""
-    return raking.mix(raking.with_topics(docs), MIX).where("sampled").select(*docs.columns)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # whole, so no column name can clash
+    asked = raking.with_topics(docs.select("doc_id", "source", "lang", "text", row))
+    return raking.mix(asked, MIX).where("sampled").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,7 +173,7 @@ def sanitise(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure(), id
     cuts = found.select("uid", F.explode("base").alias("s")).select("uid", "s.start", "s.end", label.alias("put")).unionByName(
         found.select("uid", F.explode("terms").alias("s")).select("uid", "s.start", "s.end", F.when(F.col("s.disclosure") >= p.remove, "").otherwise(shape).alias("put")))
     cuts = cuts.distinct().groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "put"))).alias("_cuts"))
-    text = F.col(text_col)
+    text = F.col(f"row.{text_col}")
 
     def step(acc: Column, c: Column) -> Column:
         gap = F.substring(text, (acc["at"] + 1).cast("int"), (c["start"] - acc["at"]).cast("int"))
@@ -182,5 +182,7 @@ def sanitise(docs: DataFrame, found: DataFrame, p: Disclosure = Disclosure(), id
 
     done = F.aggregate("_cuts", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step,
                        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    joined = docs.withColumn("_uid", row_uid(id_col, text_col)).join(cuts.withColumnRenamed("uid", "_uid"), "_uid", "left")
-    return joined.withColumn(text_col, F.when(F.col("_cuts").isNull(), text).otherwise(done)).select(*docs.columns)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")  # whole, so no column name can clash
+    joined = docs.select(row_uid(id_col, text_col).alias("uid"), row).join(cuts, "uid", "left")
+    new = F.when(F.col("_cuts").isNull(), text).otherwise(done).alias(text_col)
+    return joined.select(*(new if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
