@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Formats and zone used by the raw inputs.
 PLAYED_AT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSX"   # 'Z' read as a UTC offset, not a literal
+SECONDS_PATTERN = "yyyy-MM-dd'T'HH:mm:ssX"         # without the fraction
 DEFAULT_TZ = "America/Mexico_City"
 DISPLAY_FORMAT = "yyyy-MM-dd"
 EXPORT_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -19,12 +20,12 @@ def _c(c) -> Column:
 
 
 def parse_utc(c, pattern: str = PLAYED_AT_PATTERN) -> Column:
-    """ISO text -> instant; rows without millis fall back to a plain cast.
+    """ISO text with or without a fraction of three digits -> instant.
 
-    Unparseable text gives NULL instead of failing the job under ANSI mode.
+    Other text (a time or a year alone, other formats) gives NULL; it never becomes a time of the run's own day.
     """
     c = _c(c)
-    return F.coalesce(F.try_to_timestamp(c, F.lit(pattern)), c.try_cast("timestamp"))
+    return F.coalesce(F.try_to_timestamp(c, F.lit(pattern)), F.try_to_timestamp(c, F.lit(SECONDS_PATTERN)))
 
 
 def to_local(ts_utc, tz: str = DEFAULT_TZ) -> Column:

@@ -6,22 +6,17 @@ category; the best category wins with ties going to the earlier category, and
 artists with no hit get ``other`` (an empty genre list was replaced by
 ``['unknown']``, which hits nothing).
 
-Plan: the rule table is a fixed 98-row parameter, so broadcasting it is
-size-bounded. The substring theta join runs once per *distinct* genre string
-(``explode`` -> ``distinct`` -> broadcast nested-loop join on ``contains``), and
-the per-genre scores are joined back to artists with an equi-join on the genre
-text, so the cost is distinct genres x 98 rather than artists x genres x 98.
-The score table is broadcast only after a row-count check (a shuffle join with
-AQE skew splitting beyond it).
+The score depends on the row alone, so it is an expression of the row: one
+``aggregate`` over the genres per category with the fixed rules as literals. No
+join, no shuffle; rows that share an id are scored apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions import labels as L
-from encore.functions.joins import broadcast_if_small
 
 # Category order (ties go to the earlier one) and the scoring rules
 # (category, weight, patterns), in the reference's order.
@@ -77,11 +72,6 @@ def rule_rows(rules=None) -> list[tuple]:
     return rows
 
 
-def rules_frame(spark: SparkSession, rules=None) -> DataFrame:
-    return spark.createDataFrame(
-        rule_rows(rules), "rule_no int, category string, category_ord int, weight int, pattern string")
-
-
 def clean_artists(raw: DataFrame) -> DataFrame:
     """Drop rows without id/name, strip names, default numbers and genres."""
     genres = F.coalesce(F.col("genres"), F.array().cast("array<string>"))
@@ -94,41 +84,56 @@ def clean_artists(raw: DataFrame) -> DataFrame:
     )
 
 
-def genre_scores(artists: DataFrame, rules: DataFrame) -> DataFrame:
-    """(id, category, score) for every artist with at least one pattern hit."""
-    elems = artists.select("id", F.explode("genres").alias("genre")).select("id", F.lower("genre").alias("g"))
-    distinct_g = elems.select("g").distinct()
-    hits = (distinct_g.join(F.broadcast(rules), F.col("g").contains(F.col("pattern")))
-            .groupBy("g", "category", "category_ord").agg(F.sum("weight").alias("w")))
-    # per-genre scores are one row per (distinct genre, category): broadcast when the
-    # checked count is small, so a hot genre string does not land in one join task
-    return (elems.join(broadcast_if_small(hits), "g")
-            .groupBy("id", "category", "category_ord").agg(F.sum("w").alias("score")))
+def _genre_weight(genre: Column, rules: list[tuple]) -> Column:
+    """Weights of the rules whose patterns the lower-cased genre contains."""
+    text, total = F.lower(genre), F.lit(0)
+    for _, weight, patterns in rules:
+        for p in patterns:
+            total = total + F.when(text.contains(p), weight).otherwise(0)
+    return F.coalesce(total, F.lit(0))
+
+
+def _category_score(genres, rules: list[tuple]) -> Column:
+    return F.aggregate(genres, F.lit(0), lambda acc, g: acc + _genre_weight(g, rules))
+
+
+def category_scores(genres="genres", rules=None) -> Column:
+    """Per row: array<struct<score, minus_ord, category>> of the categories with a hit, in category order."""
+    rules = rules or GENRE_RULES
+    entries = []
+    for k, cat in enumerate(GENRE_CATEGORIES):
+        own = [r for r in rules if r[0] == cat]
+        entries.append(F.struct(_category_score(genres, own).cast("bigint").alias("score"), F.lit(-k).alias("minus_ord"), F.lit(cat).alias("category")))
+    return F.filter(F.array(*entries), lambda e: e["score"] > 0)
+
+
+def genre_scores(artists: DataFrame, rules=None) -> DataFrame:
+    """(id, category, score) for every artist row and category with at least one pattern hit."""
+    return artists.select("id", F.explode(category_scores("genres", rules)).alias("e")).select("id", "e.category", "e.score")
+
+
+def best_category(artists: DataFrame, rules=None) -> DataFrame:
+    """(id, best, best_score) for artist rows with hits; ties go to the earlier category."""
+    best = artists.select("id", F.array_max(category_scores("genres", rules)).alias("b")).where("b is not null")
+    return best.select("id", F.col("b.category").alias("best"), F.col("b.score").alias("best_score"))
 
 
-def best_category(artists: DataFrame, rules: DataFrame) -> DataFrame:
-    """(id, best, best_score) for artists with hits; ties go to the earlier category."""
-    return (genre_scores(artists, rules)
-            .groupBy("id").agg(F.max_by(F.struct("category", "score"),
-                                        F.struct("score", -F.col("category_ord"))).alias("b"))
-            .select("id", F.col("b.category").alias("best"), F.col("b.score").alias("best_score")))
+def primary_genre_of(genres="genres", rules=None) -> Column:
+    """The best category of a genre list, ``other`` without hits."""
+    return F.coalesce(F.array_max(category_scores(genres, rules))["category"], F.lit(OTHER))
 
 
-def primary_genre(artists: DataFrame, rules: DataFrame) -> DataFrame:
-    """(id, primary_genre) for every artist, ``other`` without hits."""
-    return artists.select("id").join(best_category(artists, rules), "id", "left").select(
-        "id", F.coalesce("best", F.lit(OTHER)).alias("primary_genre"))
+def primary_genre(artists: DataFrame, rules=None) -> DataFrame:
+    """(id, primary_genre) for every artist row, ``other`` without hits."""
+    return artists.select("id", primary_genre_of("genres", rules).alias("primary_genre"))
 
 
-def artist_catalog(raw: DataFrame, rules: DataFrame | None = None, with_time: bool = True) -> DataFrame:
+def artist_catalog(raw: DataFrame, rules=None, with_time: bool = True) -> DataFrame:
     """Cleaned catalog with popularity range, primary genre and followers tier (P14 order)."""
-    spark = raw.sparkSession
-    rules = rules if rules is not None else rules_frame(spark)
-    a = clean_artists(raw)
-    return a.join(best_category(a, rules), "id", "left").select(
+    return clean_artists(raw).select(
         "id", "name", "popularity", "followers", "genres",
         L.popularity_range("popularity").alias("popularity_range"),
-        F.coalesce("best", F.lit(OTHER)).alias("primary_genre"),
+        primary_genre_of("genres", rules).alias("primary_genre"),
         L.followers_tier("followers").alias("followers_tier"),
         (F.current_timestamp() if with_time else F.lit(None).cast("timestamp")).alias("processed_at"),
         F.lit(DATA_SOURCE).alias("data_source"),

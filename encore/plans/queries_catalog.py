@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from encore.functions import labels as L
+from encore.operators import etl
 from encore.operators import genres as G
 from encore.plans.registry import query
 from encore.sources import fixtures as fx
@@ -17,17 +18,17 @@ def _rules_values() -> str:
 
 
 CLEAN = """ca as (
-  select id, regexp_replace(name, '^\\s+|\\s+$', '', 'g') name, coalesce(popularity, 0) popularity,
+  select row_number() over () rn_, id, regexp_replace(name, '^\\s+|\\s+$', '', 'g') name, coalesce(popularity, 0) popularity,
     coalesce(followers, 0) followers,
     case when len(coalesce(genres, [])) > 0 then genres else ['unknown'] end genres
   from artists_raw where id is not null and name is not null)"""
 SCORES = f"""{_rules_values()},
 {CLEAN},
-ex as (select id, lower(unnest(genres)) g from ca),
-sc as (select ex.id, r.category, r.category_ord, sum(r.weight) score
-       from ex join rules r on contains(ex.g, r.pattern) group by ex.id, r.category, r.category_ord),
-best as (select id, category best, score best_score from (
-  select *, row_number() over (partition by id order by score desc, category_ord) rn from sc) where rn = 1)"""
+ex as (select rn_, id, lower(unnest(genres)) g from ca),
+sc as (select ex.rn_, ex.id, r.category, r.category_ord, cast(sum(r.weight) as bigint) score
+       from ex join rules r on contains(ex.g, r.pattern) group by ex.rn_, ex.id, r.category, r.category_ord),
+best as (select rn_, id, category best, score best_score from (
+  select *, row_number() over (partition by rn_ order by score desc, category_ord) rn from sc) where rn = 1)"""
 RANGE_SQL = ("case when popularity >= 80 then 'very_high' when popularity >= 60 then 'high' "
              "when popularity >= 40 then 'medium' when popularity >= 20 then 'low' else 'very_low' end")
 TIER_SQL = ("case when followers >= 10000000 then 'mega' when followers >= 1000000 then 'major' "
@@ -35,7 +36,7 @@ TIER_SQL = ("case when followers >= 10000000 then 'mega' when followers >= 10000
 CATALOG = f"""{SCORES},
 cat as (select ca.id, ca.name, ca.popularity, ca.followers, ca.genres, {RANGE_SQL} popularity_range,
   coalesce(best.best, 'other') primary_genre, {TIER_SQL} followers_tier, '{G.DATA_SOURCE}' data_source
-  from ca left join best using (id))"""
+  from ca left join best using (rn_))"""
 
 
 def _raw(spark, sf):
@@ -57,11 +58,11 @@ def g02_artist_catalog(spark, sf):
 
 
 @query("g01_genre_scoring", f"""with {SCORES}
-select ca.id, coalesce(best.best, 'other') primary_genre from ca left join best using (id)""")
+select ca.id, coalesce(best.best, 'other') primary_genre from ca left join best using (rn_)""")
 def g01_genre_scoring(spark, sf):
     """Primary genre per artist from the 27 weighted substring rules."""
     a = G.clean_artists(_raw(spark, sf))
-    return G.primary_genre(a, G.rules_frame(spark))
+    return G.primary_genre(a)
 
 
 @query("j07_substring_theta_join", f"""with {SCORES}
@@ -69,7 +70,7 @@ select id, category, score from sc""")
 def j07_substring_theta_join(spark, sf):
     """Per artist and category, summed weights of all (genre, pattern) substring hits."""
     a = G.clean_artists(_raw(spark, sf))
-    return G.genre_scores(a, G.rules_frame(spark)).select("id", "category", "score")
+    return G.genre_scores(a)
 
 
 @query("w05_argmax_category", f"""with {SCORES}
@@ -77,7 +78,7 @@ select id, best, best_score from best""")
 def w05_argmax_category(spark, sf):
     """Best category and its score per scored artist (ties to the earlier category)."""
     a = G.clean_artists(_raw(spark, sf))
-    return G.best_category(a, G.rules_frame(spark))
+    return G.best_category(a)
 
 
 @query("p07_drop_missing", """
@@ -106,8 +107,7 @@ def p06_empty_list_default(spark, sf):
 select id, case when len(genres) > 0 then genres[1] else '-1' end first_genre from artists_raw""")
 def p15_primary_artist(spark, sf):
     """First element of a list column, '-1' when the list is NULL or empty."""
-    r = _raw(spark, sf)
-    return r.select("id", F.when(F.size("genres") > 0, F.get("genres", 0)).otherwise(F.lit("-1")).alias("first_genre"))
+    return _raw(spark, sf).select("id", etl.first_or_sentinel("genres").alias("first_genre"))
 
 
 @query("p17_popularity_range", f"""with {CLEAN}
@@ -160,17 +160,17 @@ def a22_range_distribution(spark, sf):
 
 
 @query("k06_partition_pruned_lookup", f"""with {CATALOG}
-select id, name, followers from cat where popularity_range = 'high' and primary_genre = 'latin'""")
+select id, name, followers from cat where popularity_range = 'very_high' and primary_genre = 'latin' order by followers desc, id""")
 def k06_partition_pruned_lookup(spark, sf):
     """Write the catalog partitioned (S11), read back with a partition filter (pruned scan).
 
-    The catalog is written under the session's checkpoint folder; the lookup
+    The most followed artists come first. The catalog is written under the session's checkpoint folder; the lookup
     plan carries PartitionFilters on both partition columns.
     """
     path = sinks.write_catalog(_catalog(spark, sf))
     return (spark.read.parquet(path)
-            .filter((F.col("popularity_range") == "high") & (F.col("primary_genre") == "latin"))
-            .select("id", "name", "followers"))
+            .filter((F.col("popularity_range") == "very_high") & (F.col("primary_genre") == "latin"))
+            .select("id", "name", "followers").orderBy(F.desc("followers"), "id"))
 
 
 @query("s11_partitioned_sink", f"""with {CATALOG}
@@ -183,8 +183,11 @@ def s11_partitioned_sink(spark, sf):
             .agg(F.count(F.lit(1)).alias("artists"), F.sum("followers").alias("followers")))
 
 
-@query("s12_partition_layout")
+@query("s12_partition_layout", f"""with {CATALOG}
+select popularity_range, primary_genre, count(*) "rows", true has_files, true has_bytes from cat
+group by popularity_range, primary_genre""")
 def s12_partition_layout(spark, sf):
-    """Files, rows and bytes per partition directory of the written catalog (rows-only check)."""
+    """Rows per partition directory of the written catalog, and that it holds files with bytes."""
     path = sinks.write_catalog(_catalog(spark, sf))
-    return sinks.partition_layout(spark.read.parquet(path), G.PARTITION_COLUMNS)
+    layout = sinks.partition_layout(spark.read.parquet(path), G.PARTITION_COLUMNS)
+    return layout.select("popularity_range", "primary_genre", "rows", (F.col("files") >= 1).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
