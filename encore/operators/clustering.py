@@ -2,12 +2,12 @@
 
 Exact, interpolated quartiles (trap T22: Spark ML's ``RobustScaler`` uses
 approximate, non-interpolated quantiles and maps a zero range to 0) without
-gathering a column into one task: the values are range-partitioned and sorted
-across the cluster, each row gets its global rank from per-partition counts
-(a table of partitions x features rows), and only the 2 order statistics that
-bracket each quantile are picked out by a join on (feature, rank) against a
-54-row target table. The sorted, ranked frame is checkpointed to the session's
-checkpoint folder so both uses see the same ranks even if a task is re-run.
+gathering a column into one task. Equal values are counted first (combined
+before the shuffle, so a value that a third of all rows share is one row), the
+distinct values fall into buckets between approximate quantiles, prefix sums of
+the bucket counts give the ranks at which each bucket starts, and only the
+buckets that hold a wanted rank are sorted. Approximate borders decide how the
+work is split, never the result.
 """
 
 from __future__ import annotations
@@ -34,39 +34,36 @@ MAX_ITER = 500
 QUANTILES = (0.25, 0.5, 0.75)
 
 
-def _long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(feature, v, tie) rows; ``tie`` is a deterministic row hash that splits runs of equal values."""
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+def value_counts_long(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(feature, v, cnt): how often each non-null value of each column occurs."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])
-    return df.select(tie.alias("tie"), F.inline(pairs)).filter(F.col("v").isNotNull())
+    return df.select(F.inline(pairs)).filter(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs=QUANTILES, partitions: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs=QUANTILES, buckets: int = 64) -> DataFrame:
     """(feature, p, q): linear-interpolated quantiles, exact, computed without a single-task gather."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    long = _long(df, cols)
-    # the row hash is the last range key: a value shared by a third of all rows
-    # is still spread over many partitions (equal values are interchangeable)
-    ranked = (long.repartitionByRange(n_parts, "feature", "v", "tie").sortWithinPartitions("feature", "v", "tie")
-              .select("feature", "v", F.spark_partition_id().alias("pid"),
-                      F.monotonically_increasing_id().alias("mid")))
-    ranked = ranked.checkpoint(eager=True)
-    per_part = ranked.groupBy("feature", "pid").agg(F.count(F.lit(1)).alias("cnt"), F.min("mid").alias("mid0"))
-    w = Window.partitionBy("feature").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("feature", "pid", "mid0",
-                              F.coalesce(F.sum("cnt").over(w), F.lit(0)).alias("offset"),
-                              F.sum("cnt").over(Window.partitionBy("feature")).alias("n"))
+    checkpoint_dir(df.sparkSession)
+    counts = value_counts_long(df, cols).checkpoint(eager=True)      # counted values, read three times below
+    cuts = [i / buckets for i in range(1, buckets)] or [0.5]
+    borders = counts.groupBy("feature").agg(F.percentile_approx("v", cuts, 1000).alias("borders"), F.sum("cnt").alias("n"))
+    placed = counts.join(F.broadcast(borders), "feature").select(
+        "feature", "v", "cnt", "n", F.size(F.filter("borders", lambda b: b < F.col("v"))).alias("bucket"))
+    w = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (placed.groupBy("feature", "bucket").agg(F.sum("cnt").alias("held"), F.first("n").alias("n"))
+              .withColumn("start", F.coalesce(F.sum("held").over(w), F.lit(0))))
     # target ranks (0-based) bracketing each quantile position h = (n - 1) * p
-    pos = offsets.select("feature", "n").distinct().select(
-        "feature", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    pos = pos.withColumn("h", (F.col("n") - 1) * F.col("p"))
-    targets = pos.select("feature", "p", "h", F.explode(F.array_distinct(F.array(
-        F.floor("h").cast("bigint"), F.ceil("h").cast("bigint")))).alias("rank"))
-    rows = (ranked.join(F.broadcast(offsets.select("feature", "pid", "mid0", "offset")), ["feature", "pid"])
-            .select("feature", "v", (F.col("offset") + F.col("mid") - F.col("mid0")).alias("rank")))
-    picked = rows.join(F.broadcast(targets), ["feature", "rank"])
+    h = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("p"), ((F.col("n") - 1) * F.lit(float(p))).alias("h")) for p in probs]))
+    targets = borders.select("feature", h.alias("t")).select("feature", "t.p", "t.h", F.explode(F.array_distinct(F.array(
+        F.floor("t.h").cast("bigint"), F.ceil("t.h").cast("bigint")))).alias("rank"))
+    # at most columns x probabilities x 2 rows, found among columns x buckets rows
+    wanted = starts.join(F.broadcast(targets), "feature").filter(
+        (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("held")))
+    needed = wanted.select("feature", "bucket", "start").distinct()
+    inside = Window.partitionBy("feature", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (placed.select("feature", "bucket", "v", "cnt").join(F.broadcast(needed), ["feature", "bucket"])
+              .withColumn("upto", F.col("start") + F.sum("cnt").over(inside)))
+    picked = ranked.join(F.broadcast(wanted.select("feature", "bucket", "p", "h", "rank")), ["feature", "bucket"]).filter(
+        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("cnt")))
     agg = picked.groupBy("feature", "p", "h").agg(
         F.min_by("v", "rank").alias("v_lo"), F.max_by("v", "rank").alias("v_hi"), F.min("rank").alias("r_lo"))
     return agg.select("feature", "p", (F.col("v_lo") + (F.col("h") - F.col("r_lo")) * (F.col("v_hi") - F.col("v_lo")))

@@ -78,11 +78,11 @@ def first_or_sentinel(arr) -> F.Column:
 
 
 def clean_likes(raw: DataFrame, tz: str = DEFAULT_TZ, with_time: bool = True) -> DataFrame:
-    """Raw likes (all users) -> likes. ``added_at`` has no millis: plain cast."""
+    """Raw likes (all users) -> likes. ``added_at`` has no millis (both patterns are read)."""
     df = raw.select(
         "user_id", "track_id", "album_id", "explicit", F.col("duration_ms").cast("bigint").alias("duration_ms"),
         F.trim("track_name").alias("track_name"), "track_popularity",
-        F.col("added_at").try_cast("timestamp").alias("added_at_utc"),
+        parse_utc("added_at").alias("added_at_utc"),
         first_or_sentinel("artists_id").alias("artists_id"))
     df = df.withColumn("added_at_local", to_local("added_at_utc", tz))
     df = _fill(df, TRACK_DEFAULTS)

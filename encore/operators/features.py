@@ -32,26 +32,40 @@ FEATURE_COLUMNS = [
 
 
 def user_stats(plays: DataFrame, min_plays: int = MIN_PLAYS) -> DataFrame:
-    """A06 + A10 + A11 + A12: 14 listening aggregates per user, users with >= ``min_plays``."""
+    """A06 + A10 + A11 + A12: 14 listening aggregates per user, users with >= ``min_plays``.
+
+    Plays are reduced to one row per (user, artist, track) first, before any shuffle; the distinct artists are the rows
+    of the next level, the distinct tracks those of a second grouping of the reduced rows, so no play is copied.
+    Popularity is an integer, so its moments are exact in integers at every level.
+    """
     h = F.col("play_hour")
     dow = F.col("play_day_of_week")
-    pop = valid_range("popularity")
+    pop = F.when(valid_range("popularity").isNotNull(), F.col("popularity").cast("bigint"))
     p = plays.filter(F.col("user_id").isNotNull() & h.isNotNull() & dow.isNotNull())
-    return (p.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("total_plays"),
-        F.count_distinct("artist_id").alias("artist_diversity"),
-        F.count_distinct("track_id").alias("track_diversity"),
-        F.avg(pop).alias("avg_popularity"),
-        F.avg(h.cast("double")).alias("peak_hour"),
-        (F.avg(F.when(F.col("explicit"), 1.0).otherwise(0.0)) * 100).alias("explicit_percentage"),
-        F.avg(F.col("duration_minutes").cast("double")).alias("avg_track_duration"),
-        F.stddev_samp(pop).alias("popularity_variance"),
-        F.count_if(h.between(22, 23) | h.between(0, 5)).alias("night_plays"),
-        F.count_if(h.between(6, 21)).alias("day_plays"),
-        F.count_if(h.between(9, 17)).alias("work_hours_plays"),
-        F.count_if(dow.isin(1, 7)).alias("weekend_plays"),
-        F.count_if(dow.between(2, 6)).alias("weekday_plays"))
-        .filter(F.col("total_plays") >= min_plays))
+    sums = {
+        "total_plays": F.count(F.lit(1)), "_pn": F.count(pop), "_ps": F.sum(pop), "_pq": F.sum(pop * pop),
+        "_hours": F.sum(h.cast("bigint")), "_explicit": F.count_if(F.col("explicit")),
+        "_minutes": F.sum(F.col("duration_minutes").cast("double")), "_timed": F.count("duration_minutes"),
+        "night_plays": F.count_if(h.between(22, 23) | h.between(0, 5)), "day_plays": F.count_if(h.between(6, 21)),
+        "work_hours_plays": F.count_if(h.between(9, 17)), "weekend_plays": F.count_if(dow.isin(1, 7)),
+        "weekday_plays": F.count_if(dow.between(2, 6))}
+    reduced = p.groupBy("user_id", "artist_id", "track_id").agg(*[e.alias(c) for c, e in sums.items()])
+    up = [F.sum(c).alias(c) for c in sums]
+    by_artist = reduced.groupBy("user_id", "artist_id").agg(*up)
+    user = by_artist.groupBy("user_id").agg(F.count("artist_id").alias("artist_diversity"), *up).filter(F.col("total_plays") >= min_plays)
+    tracks = reduced.groupBy("user_id", "track_id").agg(F.lit(1).alias("_one")).groupBy("user_id").agg(
+        F.count("track_id").alias("track_diversity"))
+    n, s, q = (F.col(c).cast("decimal(38,0)") for c in ("_pn", "_ps", "_pq"))
+    spread = (n * q - s * s).cast("double")
+    pairs = F.col("_pn").cast("double") * (F.col("_pn") - 1)
+    return user.join(tracks, "user_id").select(
+        "user_id", "total_plays", "artist_diversity", "track_diversity",
+        F.when(F.col("_pn") > 0, F.col("_ps") / F.col("_pn")).alias("avg_popularity"),
+        (F.col("_hours") / F.col("total_plays")).alias("peak_hour"),
+        (F.col("_explicit") / F.col("total_plays") * 100).alias("explicit_percentage"),
+        F.when(F.col("_timed") > 0, F.col("_minutes") / F.col("_timed")).alias("avg_track_duration"),
+        F.when(F.col("_pn") > 1, F.sqrt(spread / pairs)).alias("popularity_variance"),
+        "night_plays", "day_plays", "work_hours_plays", "weekend_plays", "weekday_plays")
 
 
 def _artist_present(c: str) -> F.Column:

@@ -123,10 +123,14 @@ def profile_summary(profiled: DataFrame) -> DataFrame:
 
 
 def profile_stats(profiles: DataFrame) -> DataFrame:
-    """Users and share per profile name from a stored profile table."""
+    """Users and share per profile name from a stored profile table, and the totals over all profiles.
+
+    The windows run over the (<= 5 row) aggregate.
+    """
     per = profiles.groupBy("profile_name").agg(F.count(F.lit(1)).alias("user_count"))
-    total = F.sum("user_count").over(Window.partitionBy())
-    return per.withColumn("percentage", F.col("user_count") / total * 100)
+    whole = Window.partitionBy()
+    return per.select("profile_name", "user_count", (F.col("user_count") / F.sum("user_count").over(whole) * 100).alias("percentage"),
+                      F.sum("user_count").over(whole).alias("total_users"), F.count(F.lit(1)).over(whole).alias("profiles"))
 
 
 def lookup_profiles(probes: DataFrame, profiles: DataFrame, stats: DataFrame) -> DataFrame:

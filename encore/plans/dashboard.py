@@ -115,27 +115,29 @@ def recent_plays(plays: DataFrame, n: int = 10, user_id=None) -> DataFrame:
                     date_part_of_iso(iso).alias("played_date")))
 
 
-RANGES = {"short_term": 7, "medium_term": 14, "long_term": 3650}
+# The reference's time ranges, in days: about 4 weeks, about 6 months, all history.
+RANGES: dict[str, int | None] = {"short_term": 28, "medium_term": 182, "long_term": None}
 
 
 def top_by_range(plays: DataFrame, as_of=None, ranges: dict | None = None, limit: int = 5,
                  keys: tuple = ("artist_name",)) -> DataFrame:
-    """Top ``limit`` artists per user for each time range, ranked by plays.
+    """Top ``limit`` artists (or tracks: ``keys``) per user for each time range, ranked by plays.
 
     The source of truth in the reference is an external service; here the ranking
     is derived from plays (ties: name ascending). One aggregation per (user,
     artist) with a conditional count and max popularity per range (the widest
     window's lower bound is pushed to the scan), unpivoted to one row per range
-    the artist was played in; no play is copied per range.
+    the artist was played in; no play is copied per range. A range of ``None`` days has no lower bound.
     """
     ranges = ranges or RANGES
     keys = list(keys)
     aggs = []
     for i, days in enumerate(ranges.values()):
-        inwin = in_trailing_window("played_at_local", as_of, days)
+        inwin = in_trailing_window("played_at_local", as_of, days) if days is not None else F.lit(True)
         aggs += [F.count_if(inwin).alias(f"_n{i}"), F.max(F.when(inwin, F.col("popularity"))).alias(f"_p{i}")]
-    widest = in_trailing_window("played_at_local", as_of, max(ranges.values()))
-    per_key = plays.filter(widest).groupBy("user_id", *keys).agg(*aggs)
+    days = list(ranges.values())
+    read = plays if None in days else plays.filter(in_trailing_window("played_at_local", as_of, max(days)))
+    per_key = read.groupBy("user_id", *keys).agg(*aggs)
     rows = F.array(*[F.struct(F.lit(r).alias("time_range"), F.col(f"_n{i}").alias("play_count"),
                               F.col(f"_p{i}").alias("popularity")) for i, r in enumerate(ranges)])
     per = per_key.select("user_id", *keys, F.inline(rows)).filter(F.col("play_count") > 0)
@@ -147,14 +149,16 @@ def top_by_range(plays: DataFrame, as_of=None, ranges: dict | None = None, limit
 def rank_comparison(plays: DataFrame, as_of=None, ranges: dict | None = None, limit: int = 50) -> DataFrame:
     """J06 + K04: per user and artist, rank in each range; keep artists ranked in >= 2 ranges.
 
-    ``pivot`` over the three ranges equals the full outer join of the three lists.
+    ``pivot`` over the ranges equals the full outer join of their lists. Sorted by user, then the rank in the second
+    range (nulls last), then the name.
     """
     ranges = ranges or RANGES
     ranked = top_by_range(plays, as_of, ranges, limit)
     piv = ranked.groupBy("user_id", "artist_name").pivot("time_range", list(ranges)).agg(F.min("rank"))
     present = sum((F.col(r).isNotNull().cast("int") for r in ranges), F.lit(0))
     return (piv.filter(present >= 2)
-            .select("user_id", "artist_name", *[F.col(r).alias(f"rank_{r}") for r in ranges]))
+            .select("user_id", "artist_name", *[F.col(r).alias(f"rank_{r}") for r in ranges])
+            .orderBy("user_id", F.asc_nulls_last(f"rank_{list(ranges)[min(1, len(ranges) - 1)]}"), "artist_name"))
 
 
 def distinct_ranked_names(plays: DataFrame, as_of=None, ranges: dict | None = None, limit: int = 50) -> DataFrame:
@@ -162,7 +166,7 @@ def distinct_ranked_names(plays: DataFrame, as_of=None, ranges: dict | None = No
     return top_by_range(plays, as_of, ranges, limit).select("user_id", "artist_name").distinct()
 
 
-def recents_card(plays: DataFrame, artists: DataFrame, as_of=None) -> DataFrame:
+def recents_card(plays: DataFrame, artists: DataFrame, as_of=None, days: int = RANGES["short_term"]) -> DataFrame:
     """10 recent plays (W02, P22) + top 5 short-range artists (W06) with the
     catalog's decile popularity (P21, default 50) and genres text (P24).
 
@@ -173,7 +177,7 @@ def recents_card(plays: DataFrame, artists: DataFrame, as_of=None) -> DataFrame:
         "user_id", F.lit("recent").alias("card"), F.col("recent_rank").alias("position"),
         F.col("track_id").alias("item"), F.col("played_date").alias("detail"),
         F.lit(None).cast("int").alias("popularity"))
-    top = top_by_range(plays, as_of, {"short_term": RANGES["short_term"]}, 5, ("artist_id", "artist_name"))
+    top = top_by_range(plays, as_of, {"short_term": days}, 5, ("artist_id", "artist_name"))
     cat = artists.select(F.col("id").alias("artist_id"), F.col("genres").alias("cat_genres"),
                          F.col("popularity").alias("cat_pop"))
     tops = (top.join(cat, "artist_id", "left")

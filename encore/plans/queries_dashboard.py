@@ -158,25 +158,32 @@ def w01_positional_rank(spark, sf):
     return D.recent_plays(_plays(spark, sf), 50)
 
 
-RANGES_SQL = "rng(time_range, d) as (values ('short_term', 7), ('medium_term', 14), ('long_term', 3650))"
+RANGES = {"short_term": 7, "medium_term": 14, "long_term": None}   # the fixture's month has no 4-week-old plays to tell apart
+RANGES_SQL = "rng(time_range, d) as (values ('short_term', 7), ('medium_term', 14), ('long_term', null))"
 
 
-def _ranges_sql(limit: int) -> str:
+def _ranges_sql(limit: int, key: str = "artist_name") -> str:
     return f"""
 with {RANGES_SQL},
-t as (select p.user_id, p.artist_name, p.popularity, rng.time_range from plays p
-      join rng on cast(p.played_at_local as date) >= date '{AS_OF}' - rng.d),
-g as (select user_id, time_range, artist_name, count(*) play_count, max(popularity) popularity
-      from t group by user_id, time_range, artist_name)
-select user_id, time_range, cast(rank as int) rank, artist_name, play_count, popularity from (
-  select *, row_number() over (partition by user_id, time_range order by play_count desc, artist_name) rank from g) r
+t as (select p.user_id, p.{key}, p.popularity, rng.time_range from plays p
+      join rng on rng.d is null or cast(p.played_at_local as date) >= date '{AS_OF}' - rng.d),
+g as (select user_id, time_range, {key}, count(*) play_count, max(popularity) popularity
+      from t group by user_id, time_range, {key})
+select user_id, time_range, cast(rank as int) rank, {key}, play_count, popularity from (
+  select *, row_number() over (partition by user_id, time_range order by play_count desc, {key}) rank from g) r
 where rank <= {limit}"""
 
 
 @query("w06_top_by_range", _ranges_sql(5))
 def w06_top_by_range(spark, sf):
-    """Top 5 artists per user for the 7 / 14 / 3650-day ranges, ranked by plays."""
-    return D.top_by_range(_plays(spark, sf), AS_OF, None, 5)
+    """Top 5 artists per user for three ranges (the longest without a bound), ranked by plays."""
+    return D.top_by_range(_plays(spark, sf), AS_OF, RANGES, 5)
+
+
+@query("w06_top_tracks_by_range", _ranges_sql(5, "track_id"))
+def w06_top_tracks_by_range(spark, sf):
+    """Top 5 tracks per user for the same ranges."""
+    return D.top_by_range(_plays(spark, sf), AS_OF, RANGES, 5, ("track_id",))
 
 
 J06_SQL = f"""
@@ -193,27 +200,27 @@ where (rank_short_term is not null)::int + (rank_medium_term is not null)::int +
 @query("j06_rank_comparison", J06_SQL)
 def j06_rank_comparison(spark, sf):
     """Artists ranked in at least two of the three ranges, with their rank in each (top 50)."""
-    return D.rank_comparison(_plays(spark, sf), AS_OF, None, 50)
+    return D.rank_comparison(_plays(spark, sf), AS_OF, RANGES, 50)
 
 
 @query("k04_nulls_last_sort", f"""
 with j as ({J06_SQL})
-select user_id, artist_name, rank_medium_term from (
-  select *, row_number() over (partition by user_id order by rank_medium_term asc nulls last, artist_name) rn from j) x
-where rn = 1""")
+select user_id, artist_name, rank_medium_term, cast(row_number() over (
+  partition by user_id order by rank_medium_term asc nulls last, artist_name) as int) position from j
+order by user_id, position""")
 def k04_nulls_last_sort(spark, sf):
-    """Per user, the first artist of the comparison ordered by medium-range rank, nulls last."""
-    j = D.rank_comparison(_plays(spark, sf), AS_OF, None, 50)
+    """Per user, the whole comparison in the order of medium-range rank, nulls last, with each row's position."""
+    j = D.rank_comparison(_plays(spark, sf), AS_OF, RANGES, 50)
     w = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("rank_medium_term"), F.asc("artist_name"))
-    return (j.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") == 1)
-            .select("user_id", "artist_name", "rank_medium_term"))
+    return (j.withColumn("position", F.row_number().over(w)).select("user_id", "artist_name", "rank_medium_term", "position")
+            .orderBy("user_id", "position"))
 
 
 @query("u02_distinct_names", f"""
 select distinct user_id, artist_name from ({_ranges_sql(50)}) r""")
 def u02_distinct_names(spark, sf):
     """Distinct union of artist names over the three ranked lists."""
-    return D.distinct_ranked_names(_plays(spark, sf), AS_OF, None, 50)
+    return D.distinct_ranked_names(_plays(spark, sf), AS_OF, RANGES, 50)
 
 
 C10_SQL = f"""
@@ -236,7 +243,7 @@ from tr left join ca on ca.id = tr.artist_id"""
 def c10_recents_card(spark, sf):
     """10 recent plays + top 5 short-range artists with decile popularity and genres text."""
     catalog = G.clean_artists(fx.artists_raw(spark, sf))
-    return D.recents_card(_plays(spark, sf), catalog, AS_OF)
+    return D.recents_card(_plays(spark, sf), catalog, AS_OF, RANGES["short_term"])
 
 
 @query("c11_weekly_evolution", """
@@ -449,11 +456,10 @@ def k07_head_tail(spark, sf):
 
 
 @query("s15_parquet_scan", """
-select event_id, user_id, value from events where event_type = 'view'""")
+select event_id, user_id, value from events""")
 def s15_parquet_scan(spark, sf):
-    """Direct parquet scan with a pushed filter and a 3-column read schema."""
-    ev = read_table(spark, sf, "events")
-    return ev.filter(F.col("event_type") == "view").select("event_id", "user_id", "value")
+    """Direct parquet scan of one table file with a 3-column read schema, all rows."""
+    return read_table(spark, sf, "events").select("event_id", "user_id", "value")
 
 
 @query("s18_sync_ledger", """
@@ -478,9 +484,10 @@ def j08_anti_join(spark, sf):
 
 
 @query("s22_followed_document", """
-select user_id, to_json({'artists_ids': list_sort(list(artist_id))}) document from follows group by user_id""")
+select user_id, cast(0 as int) document_no, to_json({'artists_ids': list_sort(list(artist_id))}) document
+from follows group by user_id""")
 def s22_followed_document(spark, sf):
-    """One {"artists_ids": [...]} JSON document per user."""
+    """Numbered {"artists_ids": [...]} JSON documents per user (one each here: up to 100,000 artists a document)."""
     return X.followed_document(fx.follows(spark, sf))
 
 

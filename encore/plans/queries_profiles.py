@@ -266,10 +266,11 @@ def a15_profile_summary(spark, sf):
 
 
 @query("a14_profile_stats", f"""with {_profiled_sql(30)}
-select profile_name, count(*) user_count, count(*) / sum(count(*)) over () * 100 percentage
+select profile_name, count(*) user_count, count(*) / sum(count(*)) over () * 100 percentage,
+  cast(sum(count(*)) over () as bigint) total_users, cast(count(*) over () as bigint) profiles
 from prof group by profile_name""")
 def a14_profile_stats(spark, sf):
-    """Users and share per profile name of the stored profile table."""
+    """Users and share per profile name of the stored profile table, with the totals of users and profiles."""
     return PR.profile_stats(PR.profile_table(_profiled(spark, sf, 30), with_time=False))
 
 
@@ -356,22 +357,41 @@ def m03_robust_scaling(spark, sf):
     return CL.robust_scaling_params(_features(spark, sf, 30))
 
 
-@query("m04_kmeans")
+def _clustered(spark, sf):
+    return CL.kmeans_clusters(_features(spark, sf, 30))[0]
+
+
+@query("m04_kmeans", f"""with {_features_sql(30)}
+select user_id, true valid_label, {CL.K} labels_used from feat""")
 def m04_kmeans(spark, sf):
-    """K-means (k=5, seed 42, 20 restarts, 500 iterations) on robust-scaled features (rows-only)."""
-    clustered, _ = CL.kmeans_clusters(_features(spark, sf, 30))
-    return clustered.select("user_id", "cluster")
+    """K-means (k=5, seed 42, 20 restarts, 500 iterations) on robust-scaled features: one label per user, all k used.
+
+    Labels themselves are engine-specific, so the query states what holds for any of them.
+    """
+    c = _clustered(spark, sf).select("user_id", "cluster")
+    used = c.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).cast("int").alias("labels_used"))
+    return c.join(F.broadcast(used), F.lit(True)).select("user_id", F.col("cluster").between(0, CL.K - 1).alias("valid_label"), "labels_used")
 
 
-@query("a16_cluster_centroids")
+@query("a16_cluster_centroids", f"""with {_features_sql(30)}
+select {CL.K} clusters, count(*) users, {", ".join(f"round(avg({c}), 6) {c}_mean" for c in CL.CLUSTER_FEATURES)} from feat""")
 def a16_cluster_centroids(spark, sf):
-    """Cluster sizes and feature means in feature units (rows-only: labels are engine-specific)."""
-    clustered, _ = CL.kmeans_clusters(_features(spark, sf, 30))
-    return CL.cluster_centroids(clustered)
+    """Cluster sizes and feature means in feature units, folded: sizes sum to the users, weighted means to the means."""
+    c = CL.cluster_centroids(_clustered(spark, sf))
+    return c.agg(F.count(F.lit(1)).cast("int").alias("clusters"), F.sum("users").alias("users"),
+                 *[F.round(F.sum(F.col(f"{x}_mean") * F.col("users")) / F.sum("users"), 6).alias(f"{x}_mean") for x in CL.CLUSTER_FEATURES])
 
 
-@query("c08_profiles_end_to_end")
+@query("c08_profiles_end_to_end", f"""with {_profiled_sql(30)},
+summary as (select profile_name, count(*) profile_users from prof group by profile_name)
+select user_id, true valid_cluster, prof.profile_name, profile_emoji, profile_description, profile_characteristics, profile_criteria,
+  {', '.join(f'round_even(cast({c} as double), 2) {c}' for c in PR.METRICS)}, true has_time, profile_users
+from prof join summary on prof.profile_name = summary.profile_name""")
 def c08_profiles_end_to_end(spark, sf):
-    """Features -> scaling -> K-means -> scores -> profile table with cluster (rows-only)."""
-    clustered, _ = CL.kmeans_clusters(_features(spark, sf, 30))
-    return PR.profile_table(PR.assign_profiles(clustered), with_time=True)
+    """Features -> scaling -> K-means -> scores -> profile table with cluster, beside the profile's summary."""
+    profiled = PR.assign_profiles(_clustered(spark, sf)).checkpoint()
+    table = PR.profile_table(profiled, rounded=True, with_time=True)
+    summary = PR.profile_summary(profiled).select("profile_name", F.col("user_count").alias("profile_users"))   # <= 5 rows
+    return table.join(F.broadcast(summary), "profile_name").select(
+        "user_id", F.col("cluster").between(0, CL.K - 1).alias("valid_cluster"), "profile_name", "profile_emoji", "profile_description",
+        "profile_characteristics", "profile_criteria", *PR.METRICS, F.col("generated_at").isNotNull().alias("has_time"), "profile_users")

@@ -180,4 +180,16 @@ def test_followed_document_splits_large_users(spark):
     docs = followed_document(spark.createDataFrame(rows, "user_id string, artist_id string"), max_ids=10).collect()
     big = [json.loads(d.document)["artists_ids"] for d in docs if d.user_id == "big"]
     assert 2 <= len(big) <= 5 and sorted(x for d in big for x in d) == [f"a{i:03d}" for i in range(50)]
-    assert [json.loads(d.document) for d in docs if d.user_id == "small"] == [{"artists_ids": ["x"]}]
+    assert [(d.document_no, json.loads(d.document)) for d in docs if d.user_id == "small"] == [(0, {"artists_ids": ["x"]})]
+    assert len({d.document_no for d in docs if d.user_id == "big"}) == len(big)
+
+
+def test_text_that_is_no_time_gives_null(spark):
+    from encore.functions.time import parse_utc
+    texts = ["12:30", "T01:00", "2024", "2024-01-10", "2024-01-10T03:46:02Z", "2024-01-10T03:46:02.123Z", "2024-01-10 03:46:02", "bad", "", None]
+    got = [r.t for r in spark.createDataFrame([(t,) for t in texts], "s string").select(parse_utc("s").alias("t")).collect()]
+    assert [t is not None for t in got] == [False, False, False, False, True, True, False, False, False, False]
+    raw = spark.createDataFrame([("u", "12:30", None, None, None, "t", "a", None, 1, 1, True)],
+                                "user_id string, played_at string, track_name string, artist_name string, album_name string, "
+                                "track_id string, artist_id string, album_id string, duration_ms int, popularity int, explicit boolean")
+    assert etl.clean_plays(raw).first().played_at_utc is None

@@ -131,18 +131,31 @@ def test_genre_traps(spark):
 def test_genre_scores_sum_duplicates_and_ignore_order(spark):
     raw = spark.createDataFrame([("x", "X", 1, 1, ["trap", "trap", "k-pop"]), ("y", "Y", 1, 1, ["k-pop", "trap", "trap"])],
                                 "id string, name string, popularity int, followers bigint, genres array<string>")
-    sc = {(r.id, r.category): r.score for r in G.genre_scores(G.clean_artists(raw), G.rules_frame(spark)).collect()}
+    sc = {(r.id, r.category): r.score for r in G.genre_scores(G.clean_artists(raw)).collect()}
     assert sc[("x", "hip_hop")] == 40 and sc[("x", "pop")] == 16
     assert sc[("y", "hip_hop")] == 40 and sc[("y", "pop")] == 16
 
 
+def test_rows_that_share_an_id_are_scored_apart(spark):
+    raw = spark.createDataFrame([("x", "X", 1, 1, ["k-pop"]), ("x", "X", 1, 1, ["death metal"]), ("z", "Z", 1, 1, ["a", None])],
+                                "id string, name string, popularity int, followers bigint, genres array<string>")
+    got = sorted((r.id, r.primary_genre) for r in G.artist_catalog(raw).collect())
+    assert got == [("x", "pop"), ("x", "rock"), ("z", "other")]
+
+
+def test_genre_scoring_needs_no_shuffle(spark):
+    raw = spark.createDataFrame([("x", "X", 1, 1, ["k-pop"])], "id string, name string, popularity int, followers bigint, genres array<string>")
+    plan = G.artist_catalog(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(7)
     a = rng.normal(size=1001)
     b = rng.integers(0, 5, size=1001).astype(float)
     c = np.full(1001, 3.0)
     df = spark.createDataFrame([(float(x), float(y), float(z)) for x, y, z in zip(a, b, c)], "a double, b double, c double")
-    got = {(r.feature, r.p): r.q for r in CL.exact_quantiles(df, ["a", "b", "c"], partitions=7).collect()}
+    got = {(r.feature, r.p): r.q for r in CL.exact_quantiles(df, ["a", "b", "c"], buckets=7).collect()}
     for name, arr in (("a", a), ("b", b), ("c", c)):
         for p in (0.25, 0.5, 0.75):
             assert abs(got[(name, p)] - np.quantile(arr, p)) < 1e-12
@@ -150,6 +163,21 @@ def test_exact_quantiles_match_numpy(spark):
     assert params["c"] == (3.0, 1.0)                   # zero IQR -> scale 1 (T22)
 
 
+def test_exact_quantiles_of_a_hot_value_and_few_rows(spark, tmp_dir):
+    """One value in a third of all rows, nulls, a one-row column; only the asked columns are read."""
+    rng = np.random.default_rng(8)
+    vals = [7.0] * 1000 + [float(x) for x in rng.normal(7, 2, 2000)]
+    rows = [(v, None if i else 4.0, "text" * 10) for i, v in enumerate(vals)]
+    spark.createDataFrame(rows, "a double, one double, other string").write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t")
+    for buckets in (1, 3, 64):
+        got = {(r.feature, r.p): r.q for r in CL.exact_quantiles(df, ["a", "one"], probs=(0.0, 0.1, 0.5, 0.9, 1.0), buckets=buckets).collect()}
+        for p in (0.0, 0.1, 0.5, 0.9, 1.0):
+            assert abs(got[("a", p)] - np.quantile(vals, p)) < 1e-12 and got[("one", p)] == 4.0
+    plan = CL.value_counts_long(df, ["a"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<a:double>" in plan and "partial_count" in plan
+
+
 def test_kmeans_restarts_invariants(spark):
     """One label per user, k labels, best restart no worse than any single seed, repeatable."""
     rng = np.random.default_rng(11)
