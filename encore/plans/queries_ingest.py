@@ -141,52 +141,44 @@ def _landed(spark, sf):
     return raw.stage_plays_csv(fx.raw_play_rows(spark, sf), scratch_path(spark, "raw_plays_csv"))
 
 
+def _streamed(spark, sf, hourly: bool = False) -> tuple[str, str | None]:
+    """Two runs: the files of the later half of the month, then the late files of the earlier half."""
+    rows = fx.raw_play_rows(spark, sf)
+    late = F.coalesce(F.col("played_at") < "2024-01-16", F.lit(False))
+    root = scratch_path(spark, "raw_plays_csv")
+    table, ckpt = scratch_path(spark, "user_tracks_stream"), scratch_path(spark, "ingest_ckpt")
+    counts = scratch_path(spark, "hourly_stream") if hourly else None
+    for part in (rows.filter(~late), rows.filter(late)):
+        raw.stage_plays_csv(part, root, mode="append")
+        ingest.ingest_available(spark, root, table, ckpt, counts)
+    return table, counts
+
+
 @query("z02_stream_batch_equivalence", C01_CSV_SQL)
 def z02_stream_batch_equivalence(spark, sf):
-    """Incremental ingest (availableNow + per-batch upsert) over landed CSVs; equals the batch ETL.
+    """Incremental ingest (availableNow + per-batch merge) over landed CSVs; equals the batch ETL.
 
     Landing in CSV turns an empty name into an empty field, which reads back as
     NULL (then 'Unknown Artist'), exactly as the batch job reading the same files.
     """
-    root = _landed(spark, sf)
-    table, ckpt = scratch_path(spark, "user_tracks_stream"), scratch_path(spark, "ingest_ckpt")
-    q = ingest.start_ingest(spark, root, table, ckpt)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return instants_as_ntz(ingest.read_user_table(spark, table).select(*OUT_COLS))
+    return instants_as_ntz(ingest.read_plays(spark, _streamed(spark, sf)[0]).select(*OUT_COLS))
 
 
 @query("z01_incremental_ingest", f"""with {CLEAN_ROWS}
-select distinct user_id, track_id, played_at_utc from clean_rows where played_at_utc is not null
-union all
-select user_id, track_id, played_at_utc from clean_rows where played_at_utc is null""")
+select distinct user_id, track_id, played_at_utc from clean_rows""")
 def z01_incremental_ingest(spark, sf):
-    """Stream of new CSV files with in-stream dedup inside the watermark (keys that reach the sink)."""
-    root = _landed(spark, sf)
-    name = f"z01_{abs(hash(root))}"
-    q = (ingest.dedup_stream(ingest.play_stream(spark, root)).select("user_id", "track_id", "played_at_utc")
-         .writeStream.format("memory").queryName(name)
-         .option("checkpointLocation", scratch_path(spark, "z01_ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return instants_as_ntz(spark.table(name))
+    """Keys in the table after two runs over new files, the second with older plays: none is lost, none is double."""
+    return instants_as_ntz(ingest.read_plays(spark, _streamed(spark, sf)[0]).select("user_id", "track_id", "played_at_utc"))
 
 
 @query("z03_hourly_stream", f"""with {CLEAN_ROWS},
 k as (select distinct user_id, track_id, played_at_utc from clean_rows where played_at_utc is not null),
 w as (select user_id, time_bucket(interval 1 hour, played_at_utc) hour_start_utc, count(*) plays from k group by all)
 select user_id, hour_start_utc, hour_start_utc - interval 6 hour hour_start_local,
-  cast(hour(hour_start_utc - interval 6 hour) as int) play_hour, plays
-from w where hour_start_utc + interval 1 hour <= (select max(played_at_utc) from k) - interval 2 hour""")
+  cast(hour(hour_start_utc - interval 6 hour) as int) play_hour, plays from w""")
 def z03_hourly_stream(spark, sf):
-    """Plays per user and hour from the stream; hours closed by the 2-hour watermark are final."""
-    root = _landed(spark, sf)
-    name = f"z03_{abs(hash(root))}"
-    q = (ingest.hourly_counts_stream(ingest.play_stream(spark, root)).writeStream.format("memory").queryName(name)
-         .outputMode("append").option("checkpointLocation", scratch_path(spark, "z03_ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return instants_as_ntz(spark.table(name))
+    """Plays per user and hour kept by the stream, late plays included, all hours."""
+    return instants_as_ntz(ingest.read_hourly(spark, _streamed(spark, sf, hourly=True)[1]))
 
 
 # --- sources over landed files, catalog, profile sinks ------------------------------------
@@ -282,11 +274,18 @@ def _track(track_id, name, duration_ms, popularity, explicit, artists) -> F.Colu
                     artists.alias("artists"), no_album.alias("album"))
 
 
-def _hash_pages(df, key_cols: list[str], size: int):
-    """Page number per row: a hash of its key into ceil(n / size) pages of its user (no per-user sort)."""
+def _pages(df, order_cols: list[str], size: int):
+    """``df`` with the page of every row: rows of a user in order, ``size`` to a page, none larger.
+
+    A user's rows are first spread over hash chunks of about 64 pages; rows are numbered inside a chunk, so no sort
+    runs over a whole hot user, and equal keys fill pages like any others.
+    """
     counts = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-    pages = F.ceil(F.col("_n") / F.lit(float(size)))
-    return df.join(counts, "user_id").withColumn("_page", F.pmod(F.xxhash64(*key_cols), pages))
+    spread = df.join(counts, "user_id").withColumn("_row", F.monotonically_increasing_id()).checkpoint()   # ids are drawn once
+    chunks = F.ceil(F.col("_n") / F.lit(64.0 * size))
+    spread = spread.withColumn("_chunk", F.pmod(F.xxhash64("_row"), chunks))
+    w = Window.partitionBy("user_id", "_chunk").orderBy(*order_cols, "_row")
+    return spread.withColumn("_page", F.floor((F.row_number().over(w) - 1) / size)).drop("_n", "_row")
 
 
 @query("s19_flatten_play_items", """
@@ -322,8 +321,8 @@ def s20_flatten_like_items(spark, sf):
     item = F.struct(F.date_format("added_at_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("added_at"),
                     _track(F.col("track_id"), F.lit(None).cast("string"), F.col("duration_ms"),
                            F.col("track_popularity"), F.col("explicit"), artists).alias("track"))
-    pages = (_hash_pages(lk, ["track_id", "added_at_utc"], PAGE_SIZE).groupBy("user_id", "_page")
-             .agg(F.collect_list(item).alias("items")).drop("_page"))
+    pages = (_pages(lk, ["track_id", "added_at_utc"], PAGE_SIZE).groupBy("user_id", "_chunk", "_page")
+             .agg(F.collect_list(item).alias("items")).drop("_chunk", "_page"))
     root = raw.stage_pages(pages, scratch_path(spark, "like_pages"))
     return raw.flatten_like_items(raw.read_pages(spark, root, raw.LIKES_PAGE_DDL, "*.json", multi_line=False))
 
@@ -381,8 +380,8 @@ def s02_likes_json_scan(spark, sf):
 @query("s03_followed_json_scan", "select user_id, artist_id from follows_raw")
 def s03_followed_json_scan(spark, sf):
     """Followed-artist documents ({"artists_ids": [...]}, at most 1000 ids each) landed and exploded back."""
-    docs = (_hash_pages(fx.follows_raw(spark, sf), ["artist_id"], FOLLOW_DOC_SIZE)
-            .groupBy("user_id", "_page").agg(F.collect_list("artist_id").alias("artists_ids")).drop("_page"))
+    docs = (_pages(fx.follows_raw(spark, sf), ["artist_id"], FOLLOW_DOC_SIZE)
+            .groupBy("user_id", "_chunk", "_page").agg(F.collect_list("artist_id").alias("artists_ids")).drop("_chunk", "_page"))
     root = scratch_path(spark, "followed_json")
     docs.hint("rebalance", "user_id").write.mode("overwrite").partitionBy("user_id").json(root)
     return raw.read_followed_json(spark, root, multi_line=False, routed=False).select("user_id", "artist_id")

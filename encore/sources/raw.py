@@ -112,9 +112,9 @@ def read_artists_json(spark: SparkSession, path: str, multi_line: bool = True) -
     return _base(spark, RAW_ARTISTS_DDL).option("multiLine", multi_line).json(path)
 
 
-def stage_plays_csv(rows: DataFrame, root: str) -> str:
+def stage_plays_csv(rows: DataFrame, root: str, mode: str = "overwrite") -> str:
     """Land raw play rows as header CSV files under ``<root>/user_id=<user>/`` (the collector's layout)."""
-    (rows.hint("rebalance", "user_id").write.mode("overwrite").option("header", True)
+    (rows.hint("rebalance", "user_id").write.mode(mode).option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy("user_id").csv(root))
     return root

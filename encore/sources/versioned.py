@@ -1,0 +1,90 @@
+"""Versioned partitions: tables that a stream merges into, safe against crashes at any point.
+
+Layout: ``<table>/data/version=<v>/bucket=<b>/month=<m>/*.parquet`` and one small manifest per version,
+``<table>/manifest/version=<v>/``, naming for every partition the version that holds it now. A version is
+written whole, then published by its manifest, a single file that appears by a rename; until then readers see
+the one before. Writing a version again (a retried batch) starts from the versions before it. Users are hashed
+into a fixed number of buckets, so partitions (and manifest rows) are bounded by buckets x months, not by users.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+BUCKETS = 64
+NO_MONTH = "none"
+Manifest = dict[tuple[int, str], int]
+
+
+def with_partition(df: DataFrame, user: str, time: Column, buckets: int = BUCKETS) -> DataFrame:
+    """Add ``bucket`` (of the user) and ``month`` (of the time, 'none' without one)."""
+    return df.withColumn("bucket", F.pmod(F.xxhash64(user), F.lit(buckets)).cast("int")).withColumn(
+        "month", F.coalesce(F.date_format(time, "yyyy-MM"), F.lit(NO_MONTH)))
+
+
+def manifest(spark: SparkSession, table: str, before: int | None = None) -> Manifest:
+    """The newest published manifest (older than version ``before``): at most buckets x months entries."""
+    try:
+        rows = spark.read.schema("bucket int, month string, held_by long, version long").parquet(f"{table}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    if before is not None:
+        rows = rows.filter(F.col("version") < before)
+    newest = rows.agg(F.max("version")).first()[0]
+    return {} if newest is None else {(r.bucket, r.month): r.held_by for r in rows.filter(F.col("version") == newest).collect()}
+
+
+def partition_paths(table: str, state: Manifest, only: list[tuple[int, str]] | None = None) -> list[str]:
+    keys = sorted(state) if only is None else sorted(k for k in only if k in state)
+    return [f"{table}/data/version={state[k]}/bucket={k[0]}/month={k[1]}" for k in keys]
+
+
+def read_current(spark: SparkSession, table: str, schema: StructType, state: Manifest | None = None,
+                 only: list[tuple[int, str]] | None = None) -> DataFrame:
+    """The published rows (of the partitions ``only``); other partitions are not opened."""
+    paths = partition_paths(table, manifest(spark, table) if state is None else state, only)
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def write_version(rows: DataFrame, table: str, version: int, sort_cols: list[str]) -> None:
+    """Write the partitions of a version (not visible before ``publish``); rows carry ``bucket`` and ``month``."""
+    (rows.hint("rebalance", "bucket", "month").sortWithinPartitions("bucket", "month", *sort_cols)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").option("maxRecordsPerFile", 5_000_000)
+     .partitionBy("bucket", "month").parquet(f"{table}/data/version={version}"))
+
+
+def publish(spark: SparkSession, table: str, version: int, state: Manifest, touched: list[tuple[int, str]]) -> Manifest:
+    """Make a written version current for the touched partitions."""
+    new = state | dict.fromkeys(touched, version)
+    rows = [(b, m, v) for (b, m), v in sorted(new.items())]
+    (spark.createDataFrame(rows, "bucket int, month string, held_by long").coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{table}/manifest/version={version}"))
+    return new
+
+
+def vacuum(spark: SparkSession, table: str) -> int:
+    """Remove partitions and manifests that the newest manifest doesn't name; run when no one reads older ones."""
+    state = manifest(spark, table)
+    if not state:
+        return 0
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    root = fs_path(table)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    keep = {p.removeprefix(table) for p in partition_paths(table, state)}
+    newest = max(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(fs_path(f"{table}/manifest")) if "=" in s.getPath().getName())
+    removed = 0
+    for s in fs.globStatus(fs_path(f"{table}/data/version=*/bucket=*/month=*")) or []:
+        tail = "/".join(s.getPath().toString().split("/")[-4:])
+        if f"/{tail}" not in keep and int(tail.split("/")[1].split("=")[1]) <= newest:
+            fs.delete(s.getPath(), True)
+            removed += 1
+    for s in fs.listStatus(fs_path(f"{table}/manifest")):
+        name = s.getPath().getName()
+        if "=" in name and int(name.split("=")[1]) < newest:
+            fs.delete(s.getPath(), True)
+    return removed

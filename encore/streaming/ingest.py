@@ -1,16 +1,15 @@
 """Incremental play ingest with Structured Streaming.
 
-* Z01: new CSV files only (file source + checkpoint), overlapping pulls removed
-  with ``dropDuplicatesWithinWatermark`` on the play key, ``availableNow``
-  trigger so a scheduler can run it every few hours and stop.
-* Z02: each micro-batch is *upserted* into the per-user table: the affected
-  users' partitions are re-read, unioned with the batch, deduplicated with the
-  same deterministic rule as the batch job and written back with dynamic
-  partition overwrite. The streamed table therefore equals the batch rebuild
-  (C01), including rows older than the watermark and rows whose time cannot be
-  parsed; the batch job stays the source of truth for repairs.
-* Z03: plays per user and hour with an event-time window + watermark, append
-  mode (rows are final once the watermark passes the hour).
+* Z01: new CSV files only (file source + checkpoint) under an ``availableNow`` trigger, so a scheduler can run
+  it every few hours and stop. Every cleaned row reaches the keyed merge, however late: a new user's old history
+  or a delayed file is merged like any other, and overlapping pulls meet on the play key there. No watermark
+  decides about rows; the state is the table itself.
+* Z02: each micro-batch is merged into the plays table. Only the (bucket, month) partitions that the batch
+  touches are opened; the merged partitions are written as a new version and published by a manifest
+  (``sources.versioned``), so a crash at any point leaves the old version readable and a retried batch gives the
+  same table. The keep-one rule is associative, so the streamed table equals the batch rebuild (C01).
+* Z03: plays per user and hour, recounted from the merged plays of the touched partitions and published the same
+  way: late rows correct their hour, nothing waits for a watermark, nothing is collected.
 """
 
 from __future__ import annotations
@@ -22,9 +21,14 @@ from pyspark.sql.types import StructType
 
 from encore.functions.time import DEFAULT_TZ, to_local
 from encore.operators import etl
+from encore.sources import versioned
 from encore.sources.raw import with_path_user
 from encore.sources.schemas import RAW_PLAYS_DDL, TABLES
 
+ROW_COLUMNS = ["user_id", "track_id", "artist_id", "album_id", "played_at_utc", "track_name", "artist_name",
+               "album_name", "duration_ms", "popularity", "explicit", "played_at_local"]
+HOURLY_DDL = "user_id string, hour_start_utc timestamp, hour_start_local timestamp_ntz, play_hour int, plays bigint"
+
 
 def play_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw CSV rows of all users as a stream (declared schema, user from the path)."""
@@ -35,85 +39,74 @@ def play_stream(spark: SparkSession, root: str, max_files_per_trigger: int | Non
     return with_path_user(r.csv(f"{root.rstrip('/')}/*/"))
 
 
-def dedup_stream(raw: DataFrame, watermark: str = "2 days", tz: str = DEFAULT_TZ) -> DataFrame:
-    """Cleaned rows with the first copy of each play kept inside the watermark.
-
-    Rows whose time cannot be parsed have no event time; they bypass the
-    watermark (kept, not dropped) and are deduplicated by the upsert (Z02).
-    """
-    rows = etl.clean_plays_rows(raw, tz)
-    timed = (rows.filter(F.col("played_at_utc").isNotNull()).withWatermark("played_at_utc", watermark)
-             .dropDuplicatesWithinWatermark(list(TABLES["user_tracks"].key)))
-    untimed = rows.filter(F.col("played_at_utc").isNull())
-    return timed.unionByName(untimed)
-
-
 def read_user_table(spark: SparkSession, path: str) -> DataFrame:
     """The per-user plays table with its declared schema (``user_id`` stays text)."""
     return spark.read.schema(TABLES["user_tracks"].schema).parquet(path)
 
 
-ROW_COLUMNS = ["user_id", "track_id", "artist_id", "album_id", "played_at_utc", "track_name", "artist_name",
-               "album_name", "duration_ms", "popularity", "explicit", "played_at_local"]
+def read_plays(spark: SparkSession, table: str) -> DataFrame:
+    """The streamed plays table as published now."""
+    return versioned.read_current(spark, table, TABLES["user_tracks"].schema)
 
 
-STREAM_PARTITIONS = ("user_id", "play_year", "play_month")
+def read_hourly(spark: SparkSession, table: str) -> DataFrame:
+    """The streamed hourly counts as published now."""
+    return versioned.read_current(spark, table, StructType.fromDDL(HOURLY_DDL))
 
 
-def upsert_batch(batch: DataFrame, table_path: str, with_time: bool = False) -> None:
-    """Merge one micro-batch into the plays table (dynamic partition overwrite).
+def hourly_counts(plays: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    """Plays per user and hour of deduplicated plays; plays without a time have no hour."""
+    hour = F.date_trunc("HOUR", "played_at_utc")
+    g = plays.filter(F.col("played_at_utc").isNotNull()).groupBy("user_id", hour.alias("hour_start_utc")).agg(
+        F.count(F.lit(1)).alias("plays"))
+    local = to_local("hour_start_utc", tz)
+    return g.select("user_id", "hour_start_utc", local.alias("hour_start_local"), F.hour(local).alias("play_hour"), "plays")
 
-    The table is partitioned by (user_id, play_year, play_month); the month is a
-    function of the dedup key's time, so every copy of a play lives in one
-    partition and only the (user, month) partitions the batch touches are read
-    and rewritten, not a heavy user's whole history.
+
+def upsert_batch(batch: DataFrame, table: str, version: int, hourly: str | None = None, with_time: bool = False) -> None:
+    """Z02 (+ Z03): merge one micro-batch into the plays table (and the hourly counts) as ``version``.
+
+    The partition is a function of the dedup key, so every copy of a play lives in one partition. A batch that was
+    published before and runs again starts from the versions before its own and gives the same result.
     """
     spark = batch.sparkSession
-    local = F.col("played_at_local")
-    batch = batch.select(*ROW_COLUMNS).withColumn("play_year", F.year(local)).withColumn("play_month", F.month(local))
-    touched = batch.select(*STREAM_PARTITIONS).distinct()
+    rows = versioned.with_partition(batch.select(*ROW_COLUMNS), "user_id", F.col("played_at_utc")).persist()
     try:
-        existing = read_user_table(spark, table_path)
-        cond = [existing[c].eqNullSafe(touched[c]) for c in STREAM_PARTITIONS]
-        old = existing.join(touched, cond, "left_semi").select(*batch.columns)
-        merged = batch.unionByName(old)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e) and "UNABLE_TO_INFER" not in str(e):
-            raise
-        merged = batch
-    # materialise (reliable checkpoint) before overwriting the partitions we read from
-    merged = merged.checkpoint(eager=True)
-    out = etl.finish_plays(merged.select(*ROW_COLUMNS), with_time)
-    (out.hint("rebalance", *STREAM_PARTITIONS).sortWithinPartitions(*STREAM_PARTITIONS, "played_at_utc")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STREAM_PARTITIONS)
-     .parquet(table_path))
-
-
-def start_ingest(spark: SparkSession, root: str, table_path: str, checkpoint: str, watermark: str = "2 days",
-                 available_now: bool = True, dedup_in_stream: bool = False) -> StreamingQuery:
-    """Z01 + Z02: start the incremental ingest; ``availableNow`` processes what is there and stops.
-
-    By default every cleaned row reaches the upsert, whose keep-one rule is
-    associative (the survivor of old survivor + new rows = survivor of all rows
-    ever seen), so the table equals the batch rebuild exactly. With
-    ``dedup_in_stream`` overlapping pulls are dropped inside the watermark
-    first (less data, but when two copies of a play differ in a non-key column
-    the stream keeps the first to arrive).
-    """
-    rows = play_stream(spark, root)
-    stream = dedup_stream(rows, watermark) if dedup_in_stream else etl.clean_plays_rows(rows)
+        touched = [(r.bucket, r.month) for r in rows.select("bucket", "month").distinct().collect()]   # buckets x months at most
+        if not touched:
+            return
+        state = versioned.manifest(spark, table, before=version)
+        old = versioned.read_current(spark, table, TABLES["user_tracks"].schema, state, touched)
+        merged = etl.finish_plays(rows.select(*ROW_COLUMNS).unionByName(old.select(*ROW_COLUMNS)), with_time)
+        versioned.write_version(versioned.with_partition(merged, "user_id", F.col("played_at_utc")), table, version, ["user_id", "played_at_utc"])
+        state = versioned.publish(spark, table, version, state, touched)
+    finally:
+        rows.unpersist()
+    if hourly:
+        plays = versioned.read_current(spark, table, TABLES["user_tracks"].schema, state, touched)
+        counts = versioned.with_partition(hourly_counts(plays), "user_id", F.col("hour_start_utc"))
+        versioned.write_version(counts, hourly, version, ["user_id", "hour_start_utc"])
+        timed = [k for k in touched if k[1] != versioned.NO_MONTH]
+        versioned.publish(spark, hourly, version, versioned.manifest(spark, hourly, before=version), timed)
+
+
+def start_ingest(spark: SparkSession, root: str, table: str, checkpoint: str, hourly: str | None = None,
+                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the incremental ingest; ``availableNow`` processes what is there and stops."""
+    stream = etl.clean_plays_rows(play_stream(spark, root, max_files_per_trigger))
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, _epoch: upsert_batch(df, table_path)))
+         .foreachBatch(lambda df, epoch: upsert_batch(df, table, epoch, hourly)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def hourly_counts_stream(raw: DataFrame, watermark: str = "2 hours", tz: str = DEFAULT_TZ) -> DataFrame:
-    """Plays per user per hour (event time), final once the watermark passes the hour."""
-    rows = etl.clean_plays_rows(raw, tz).filter(F.col("played_at_utc").isNotNull())
-    agg = (rows.withWatermark("played_at_utc", watermark)
-           .dropDuplicatesWithinWatermark(list(TABLES["user_tracks"].key))
-           .groupBy("user_id", F.window("played_at_utc", "1 hour")).agg(F.count(F.lit(1)).alias("plays")))
-    local = to_local(F.col("window.start"), tz)
-    return agg.select("user_id", F.col("window.start").alias("hour_start_utc"), local.alias("hour_start_local"),
-                      F.hour(local).alias("play_hour"), "plays")
+def ingest_available(spark: SparkSession, root: str, table: str, checkpoint: str, hourly: str | None = None,
+                     max_files_per_trigger: int | None = None) -> None:
+    """Ingest all files that are there, wait, and remove the versions that are no longer current."""
+    q = start_ingest(spark, root, table, checkpoint, hourly, max_files_per_trigger=max_files_per_trigger)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    for t in (table, hourly):
+        if t:
+            versioned.vacuum(spark, t)

@@ -193,3 +193,12 @@ def test_text_that_is_no_time_gives_null(spark):
                                 "user_id string, played_at string, track_name string, artist_name string, album_name string, "
                                 "track_id string, artist_id string, album_id string, duration_ms int, popularity int, explicit boolean")
     assert etl.clean_plays(raw).first().played_at_utc is None
+
+
+def test_pages_never_pass_their_size(spark):
+    """One key in nearly all rows of a user still fills pages one after another."""
+    from encore.plans.queries_ingest import _pages
+    rows = [("u", "hot")] * 5000 + [("u", f"a{i}") for i in range(100)] + [("v", "x")]
+    paged = _pages(spark.createDataFrame(rows, "user_id string, artist_id string"), ["artist_id"], 30)
+    sizes = [r["count"] for r in paged.groupBy("user_id", "_chunk", "_page").count().collect()]
+    assert max(sizes) <= 30 and sum(sizes) == 5101 and len(sizes) <= 5101 / 30 + 6

@@ -2,8 +2,11 @@
 
 import os
 
+import pytest
+
 from encore.operators import etl
-from encore.sources import raw
+from encore.sources import raw, versioned
+from encore.sources.schemas import TABLES
 from encore.streaming import ingest
 
 from test_raw_etl import HEADER, write
@@ -18,56 +21,71 @@ def snapshot(df):
 
 
 def test_stream_equals_batch(spark, tmp_dir):
-    root, table, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    root, table, ckpt, hourly = (f"{tmp_dir}/{x}" for x in ("raw", "table", "ckpt", "hourly"))
     write(f"{root}/u1/recently_played_1.csv", HEADER +
           "2024-01-10T03:46:02.123Z,A,X,Al,t1,a1,al1,1000,50,True\n"
           "2024-01-10T04:46:02.123Z,B,X,Al,t2,a1,al1,1000,50,False\n"
           "bad,C,X,Al,t3,a1,al1,1000,50,False\n")
-    q = ingest.start_ingest(spark, root, table, ckpt)
-    q.awaitTermination(120)
-    assert q.exception() is None
-    first = spark.read.parquet(table)
-    assert first.count() == 3
+    ingest.ingest_available(spark, root, table, ckpt, hourly)
+    assert ingest.read_plays(spark, table).count() == 3
     # second pull overlaps the first (t2 again, with another popularity), brings one new and one very late play
     write(f"{root}/u1/recently_played_2.csv", HEADER +
           "2024-01-10T04:46:02.123Z,B,X,Al,t2,a1,al1,1000,40,False\n"
           "2024-01-12T00:00:00.000Z,D,X,Al,t4,a1,al1,1000,50,False\n"
           "2023-01-01T00:00:00.000Z,E,X,Al,t5,a1,al1,1000,50,False\n"
           "bad,C,X,Al,t3,a1,al1,1000,50,False\n")
-    write(f"{root}/u2/recently_played_1.csv", HEADER + "2024-01-11T00:00:00.000Z,S,Y,Al,t9,a9,al9,1,5,True\n")
-    q = ingest.start_ingest(spark, root, table, ckpt)
-    q.awaitTermination(120)
-    assert q.exception() is None
-    streamed = spark.read.parquet(table)
+    # a new user whose history is older than everything seen
+    write(f"{root}/u2/recently_played_1.csv", HEADER + "".join(
+        f"2024-01-0{d}T00:10:00.000Z,S,Y,Al,t9,a9,al9,1,5,True\n" for d in range(1, 6)))
+    ingest.ingest_available(spark, root, table, ckpt, hourly)
+    streamed = ingest.read_plays(spark, table)
     batch = etl.clean_plays(raw.read_plays_csv(spark, root), with_time=False)
     assert snapshot(streamed) == snapshot(batch)                      # Z02
-    assert streamed.count() == 6                                      # t1 t2 t3 t4 t5 + u2 t9
+    assert streamed.count() == 10                                     # t1 t2 t3 t4 t5 + five old plays of u2
     assert streamed.filter("track_id = 't2'").collect()[0].popularity == 40
+    counts = ingest.read_hourly(spark, hourly)                        # Z03: late hours too, nothing missing
+    want = ingest.hourly_counts(batch)
+    assert sorted(map(repr, counts.collect())) == sorted(map(repr, want.collect())) and counts.count() == 9
+    assert not [f for f in os.listdir(f"{table}/manifest") if f == "version=0"]   # older versions are gone
+
+
+def _rows(spark, *plays):
+    r = spark.createDataFrame([(*p, None, "Ar", "Al", "a1", "al1", 1000, 50, True) for p in plays],
+                              "user_id string, played_at string, track_id string, track_name string, artist_name string, album_name string, "
+                              "artist_id string, album_id string, duration_ms int, popularity int, explicit boolean")
+    return etl.clean_plays_rows(r)
+
+
+def test_a_batch_opens_only_the_partitions_it_touches(spark, tmp_dir):
+    table = f"{tmp_dir}/t"
+    ingest.upsert_batch(_rows(spark, *((f"u{i}", f"2024-0{1 + i % 3}-10T00:00:00Z", "t") for i in range(60))), table, 0)
+    state = versioned.manifest(spark, table)
+    touched = sorted(state)[:2]
+    files = versioned.read_current(spark, table, TABLES["user_tracks"].schema, state, touched).inputFiles()
+    assert len(state) > 20 and {tuple(f.split("/")[-3:-1]) for f in files} == {(f"bucket={b}", f"month={m}") for b, m in touched}
+    ingest.upsert_batch(_rows(spark, ("u1", "2024-02-11T00:00:00Z", "t")), table, 1)
+    after = versioned.manifest(spark, table)
+    assert [k for k in after if after[k] != state.get(k)] == [k for k in after if after[k] == 1] and sum(v == 1 for v in after.values()) == 1
+    assert ingest.read_plays(spark, table).count() == 61
+
+
+def test_crashes_and_retries_lose_nothing(spark, tmp_dir, monkeypatch):
+    table = f"{tmp_dir}/t"
+    first, second = _rows(spark, ("u", "2024-01-10T00:00:00Z", "t1")), _rows(spark, ("u", "2024-01-11T00:00:00Z", "t2"))
+    ingest.upsert_batch(first, table, 0)
+    with monkeypatch.context() as m:      # the job dies after the data of version 1, before its manifest
+        m.setattr(versioned, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            ingest.upsert_batch(second, table, 1)
+    assert [r.track_id for r in ingest.read_plays(spark, table).collect()] == ["t1"]     # the old version still stands
+    for _ in range(2):                    # the retry, and a second one after it was published
+        ingest.upsert_batch(second, table, 1)
+        assert sorted(r.track_id for r in ingest.read_plays(spark, table).collect()) == ["t1", "t2"]
+    assert versioned.vacuum(spark, table) == 1 and ingest.read_plays(spark, table).count() == 2
+    ingest.upsert_batch(second.limit(0), table, 2)
+    assert ingest.read_plays(spark, table).count() == 2
 
 
-def test_in_stream_dedup_drops_overlap(spark, tmp_dir):
-    root = f"{tmp_dir}/raw"
-    write(f"{root}/u1/a.csv", HEADER + "2024-01-10T03:46:02.123Z,A,X,Al,t1,a1,al1,1000,50,True\n")
-    write(f"{root}/u1/b.csv", HEADER + "2024-01-10T03:46:02.123Z,A,X,Al,t1,a1,al1,1000,50,True\n"
-                                       "2024-01-10T05:00:00.000Z,B,X,Al,t2,a1,al1,1000,50,True\n")
-    s = ingest.dedup_stream(ingest.play_stream(spark, root))        # Z01
-    q = (s.writeStream.format("memory").queryName("z01_out").option("checkpointLocation", f"{tmp_dir}/c")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    assert spark.table("z01_out").count() == 2
-
-
-def test_hourly_counts_stream(spark, tmp_dir):
-    root = f"{tmp_dir}/raw"
-    write(f"{root}/u1/a.csv", HEADER +
-          "2024-01-10T03:10:00.000Z,A,X,Al,t1,a1,al1,1000,50,True\n"
-          "2024-01-10T03:50:00.000Z,B,X,Al,t2,a1,al1,1000,50,True\n"
-          "2024-01-10T09:00:00.000Z,C,X,Al,t3,a1,al1,1000,50,True\n")
-    s = ingest.hourly_counts_stream(ingest.play_stream(spark, root))  # Z03
-    q = (s.writeStream.format("memory").queryName("z03_out").outputMode("append")
-         .option("checkpointLocation", f"{tmp_dir}/c").trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    rows = {(r.play_hour, r.plays) for r in spark.table("z03_out").collect()}
-    # 03:xx UTC is 21:00 local the day before; the 09:00 hour is not final yet (watermark 2 h)
-    assert (21, 2) in rows
-    assert os.path.isdir(f"{tmp_dir}/c")
+def test_empty_table(spark, tmp_dir):
+    assert versioned.manifest(spark, f"{tmp_dir}/none") == {} and ingest.read_plays(spark, f"{tmp_dir}/none").count() == 0
+    assert versioned.vacuum(spark, f"{tmp_dir}/none") == 0
