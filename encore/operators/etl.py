@@ -137,26 +137,3 @@ def plays_quality_one_pass(raw: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
         (F.sum("n_valid") - F.count_if(clean)).alias("duplicates_removed"),
         F.min(utc).alias("min_utc"), F.max(utc).alias("max_utc"),
         F.min(local).alias("min_local"), F.max(local).alias("max_local"))
-
-
-def plays_quality(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """Per user raw rows, null track ids, valid rows, clean rows, duplicates removed, time range.
-
-    For a job that already holds the clean table (e.g. just written): two partial
-    aggregations (raw side, clean side), joined on user_id (one row per user on
-    each side). From raw rows alone, ``plays_quality_one_pass`` is cheaper.
-    """
-    r = raw.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("raw_records"),
-        F.count_if(F.col("track_id").isNull()).alias("null_track_ids"),
-        F.count_if(plays_valid(raw)).alias("valid_records"),
-        F.count_if(plays_valid(raw) & parse_utc("played_at").isNull()).alias("unparsed_times"))
-    c = clean.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("clean_records"),
-        F.min("played_at_utc").alias("min_utc"), F.max("played_at_utc").alias("max_utc"),
-        F.min("played_at_local").alias("min_local"), F.max("played_at_local").alias("max_local"))
-    return (r.join(c, "user_id", "left")
-            .select("user_id", "raw_records", "null_track_ids", "valid_records", "unparsed_times",
-                    F.coalesce("clean_records", F.lit(0)).alias("clean_records"),
-                    (F.col("valid_records") - F.coalesce("clean_records", F.lit(0))).alias("duplicates_removed"),
-                    "min_utc", "max_utc", "min_local", "max_local"))

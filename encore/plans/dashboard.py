@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from encore.functions import labels as L
 from encore.functions.time import date_part_of_iso, in_trailing_window
 from encore.operators import insights as I
+from encore.operators.profiles import DEFAULT_PROFILE
 
 SUMMARY_COLUMNS = ["user_id", "insight", "item", "position", "play_count", "distinct_count",
                    "avg_popularity", "percentage"]
@@ -197,3 +198,24 @@ def weekly_evolution(plays: DataFrame) -> DataFrame:
     return per.select("user_id", "week_start", "plays", "distinct_artists",
                       (F.col("plays") - prev).alias("plays_change"),
                       F.when(prev > 0, (F.col("plays") - prev) / prev.cast("double") * 100).alias("plays_change_pct"))
+
+
+def dashboard(plays: DataFrame, profiles: DataFrame, as_of=None, days_back: int = 90, recent: int = 10, tops: int = 5) -> DataFrame:
+    """One row per user with the four parts of the dashboard.
+
+    ``recents`` and ``tops`` are arrays of at most ``recent`` and ``tops`` structs in rank order; the executive summary
+    (C07) and whether any insight is available (A27) follow; users without a stored profile get the default one.
+    """
+    def listed(df: DataFrame, rank: str, name: str) -> DataFrame:
+        cols = [rank, *[c for c in df.columns if c not in ("user_id", rank)]]
+        return df.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
+
+    rec = listed(recent_plays(plays, recent), "recent_rank", "recents")
+    top = listed(I.top_artists(plays, as_of, days_back, tops), "rank", "tops")
+    available = I.insights_available(plays, as_of).select("user_id", "insights_available")
+    prof = profiles.select("user_id", "profile_name", "profile_emoji")
+    j = (rec.join(top, "user_id", "left").join(available, "user_id", "left")
+         .join(executive_summary(plays, as_of), "user_id", "left").join(prof, "user_id", "left"))
+    return j.withColumns({"tops": F.coalesce("tops", F.array().cast(top.schema["tops"].dataType)),
+                          "profile_name": F.coalesce("profile_name", F.lit(DEFAULT_PROFILE["name"])),
+                          "profile_emoji": F.coalesce("profile_emoji", F.lit(DEFAULT_PROFILE["emoji"]))})

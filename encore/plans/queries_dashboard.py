@@ -262,29 +262,28 @@ def c11_weekly_evolution(spark, sf):
 
 J09_SQL = f"""
 with {_profiled_sql(30)},
-rc as (select user_id, count(*) n_recent from (
-         select *, row_number() over (partition by user_id order by played_at_utc desc, track_id, artist_id) rn
-         from plays) r where rn <= 10 group by user_id),
-tp as (select user_id, artist_name top_artist from ({_top_sql(90, 1)}) t),
+rc as (select user_id, string_agg(recent_rank || ' ' || track_id || ' ' || played_date, '|' order by recent_rank) recents
+       from ({RECENT_SQL.format(n=10)}) r group by user_id),
+tp as (select user_id, string_agg("rank" || ' ' || artist_name || ' ' || play_count, '|' order by "rank") tops
+       from ({_top_sql(90, 5)}) t group by user_id),
+ex as ({_exec_sql(30)}),
 av as (select user_id, bool_or({win(90)}) or bool_or({win(30)}) insights_available from plays group by user_id)
-select rc.user_id, rc.n_recent, tp.top_artist, av.insights_available,
-  coalesce(prof.profile_name, 'Casual Listener') profile_name
+select rc.user_id, rc.recents, coalesce(tp.tops, '') tops, av.insights_available, ex.top_artist, ex.listening_preference,
+  ex.music_taste_profile, ex.activity_level, coalesce(prof.profile_name, 'Casual Listener') profile_name,
+  coalesce(prof.profile_emoji, '🎵') profile_emoji
 from rc left join tp on tp.user_id = rc.user_id left join av on av.user_id = rc.user_id
-left join prof on prof.user_id = rc.user_id"""
+left join ex on ex.user_id = rc.user_id left join prof on prof.user_id = rc.user_id"""
 
 
 @query("j09_dashboard_combination", J09_SQL)
 def j09_dashboard_combination(spark, sf):
-    """Per user: recent-play count, top artist, insight availability and profile name in one row."""
+    """Per user in one row: the recent plays, the top artists, the executive insights and the profile."""
     from encore.plans.queries_profiles import _profiled
-    p = _plays(spark, sf)
-    rc = D.recent_plays(p, 10).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_recent"))
-    tp = I.top_artists(p, AS_OF, 90, 1).select("user_id", F.col("artist_name").alias("top_artist"))
-    av = I.insights_available(p, AS_OF).select("user_id", "insights_available")
-    prof = _profiled(spark, sf, 30).select("user_id", "profile_name")
-    return (rc.join(tp, "user_id", "left").join(av, "user_id", "left").join(prof, "user_id", "left")
-            .select("user_id", "n_recent", "top_artist", "insights_available",
-                    F.coalesce("profile_name", F.lit("Casual Listener")).alias("profile_name")))
+    d = D.dashboard(_plays(spark, sf), _profiled(spark, sf, 30), AS_OF)
+    line = lambda c, *keys: F.array_join(F.transform(c, lambda x: F.concat_ws(" ", *[x[k].cast("string") for k in keys])), "|")
+    return d.select("user_id", line("recents", "recent_rank", "track_id", "played_date").alias("recents"),
+                    line("tops", "rank", "artist_name", "play_count").alias("tops"), "insights_available", "top_artist",
+                    "listening_preference", "music_taste_profile", "activity_level", "profile_name", "profile_emoji")
 
 
 # --- row-level labels ------------------------------------------------------------

@@ -8,6 +8,8 @@ real readers; so the work grows with the tables and the oracle can check it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,9 +17,10 @@ from encore.functions.output import instants_as_ntz
 from encore.operators import etl
 from encore.operators import genres as G
 from encore.operators import profiles as PR
+from encore.plans import jobs
 from encore.plans.queries_catalog import CATALOG
 from encore.plans.queries_clean import CLEAN_ROWS, DEDUP, DEDUP_CSV, SEASON
-from encore.plans.queries_profiles import PROFILE_TABLE_SQL
+from encore.plans.queries_profiles import PROFILE_SUMMARY_SQL, PROFILE_TABLE_SQL
 from encore.plans.registry import query
 from encore.session import scratch_path
 from encore.sources import fixtures as fx
@@ -90,7 +93,7 @@ def raw_likes_rows(spark, sf):
         F.date_format("added_at_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("added_at"))
 
 
-@query("c02_likes_etl", """
+C02_SQL = """
 with r as (
   select user_id, track_id, cast(null as varchar) album_id,
     case when artists_id = '' then [] else [artists_id] end artists_id, explicit, duration_ms,
@@ -107,32 +110,43 @@ d as (select *, added_at_utc - interval 6 hour added_at_local, row_number() over
         duration_ms asc nulls last, track_name asc nulls last, track_popularity asc nulls last,
         artists_id asc nulls last) rn from c)
 select user_id, added_at_utc, added_at_local, track_id, track_name, artists_id, album_id, track_popularity,
-  explicit, duration_ms from d where rn = 1""")
+  explicit, duration_ms from d where rn = 1"""
+
+
+@query("c02_likes_etl", C02_SQL)
 def c02_likes_etl(spark, sf):
     """Raw like documents of all users -> likes (first artist, defaults, dedup, local time)."""
     out = etl.clean_likes(raw_likes_rows(spark, sf), with_time=False).drop("processed_at")
     return instants_as_ntz(out)
 
 
-@query("c03_follows_etl", """
-select distinct user_id, artist_id from follows_raw""")
+C03_SQL = "select distinct user_id, artist_id from follows_raw"
+
+
+@query("c03_follows_etl", C03_SQL)
 def c03_follows_etl(spark, sf):
     """Exploded follow documents -> followed_artists (dedup on user and artist)."""
     return etl.clean_follows(fx.follows_raw(spark, sf), with_time=False).drop("processed_at")
 
 
-@query("c04_top_tracks_etl", """
+C04_SQL = """
 select user_id, ith_preference, track_id, 'Unknown Track' track_name, artists_id, '-1' album_id,
   track_popularity, false explicit, cast(track_popularity * 1000 as bigint) duration_ms
-from top_tracks""")
+from top_tracks"""
+
+
+def raw_top_rows(spark, sf):
+    """Ranked tracks in the raw document shape, the duration under the writer's ``duration`` key."""
+    return fx.top_tracks(spark, sf).select(
+        "user_id", "ith_preference", "track_id", F.lit(None).cast("string").alias("album_id"), F.array("artists_id").alias("artists_id"),
+        F.lit(None).cast("boolean").alias("explicit"), F.lit(None).cast("int").alias("duration_ms"),
+        (F.col("track_popularity") * 1000).cast("int").alias("duration"), F.lit(None).cast("string").alias("track_name"), "track_popularity")
+
+
+@query("c04_top_tracks_etl", C04_SQL)
 def c04_top_tracks_etl(spark, sf):
     """Raw ranked documents (duration under the writer's ``duration`` key) -> top_tracks."""
-    t = fx.top_tracks(spark, sf)
-    docs = t.select("user_id", "ith_preference", "track_id", F.lit(None).cast("string").alias("album_id"),
-                    F.array("artists_id").alias("artists_id"), F.lit(None).cast("boolean").alias("explicit"),
-                    F.lit(None).cast("int").alias("duration_ms"), (F.col("track_popularity") * 1000).alias("duration"),
-                    F.lit(None).cast("string").alias("track_name"), "track_popularity")
-    return etl.clean_top_tracks(docs, with_time=False).drop("processed_at")
+    return etl.clean_top_tracks(raw_top_rows(spark, sf), with_time=False).drop("processed_at")
 
 
 # --- streams over landed CSV files -------------------------------------------------------
@@ -200,8 +214,8 @@ def s01_plays_csv_scan(spark, sf):
 
 @query("s06_user_discovery", "select distinct user_id from raw_plays")
 def s06_user_discovery(spark, sf):
-    """Users found from the input folder names (all users, one read)."""
-    return raw.read_plays_csv(spark, _landed(spark, sf)).select("user_id").distinct()
+    """Users found from a listing of the input folders; no file is opened."""
+    return raw.list_files(spark, _landed(spark, sf), "*.csv").select("user_id").distinct()
 
 
 @query("s08_input_presence", """
@@ -210,7 +224,7 @@ from customer""")
 def s08_input_presence(spark, sf):
     """Requested users (every customer id) against users with input files."""
     requested = read_table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
-    return raw.user_presence(raw.read_plays_csv(spark, _landed(spark, sf)), requested)
+    return raw.user_presence(raw.list_files(spark, _landed(spark, sf), "*.csv"), requested)
 
 
 @query("s09_per_file_counts", "select user_id, count(*) records from raw_plays group by user_id")
@@ -220,14 +234,103 @@ def s09_per_file_counts(spark, sf):
     return per_file.groupBy("user_id").agg(F.sum("records").alias("records"))
 
 
-@query("s13_catalog_build", f"""with {CATALOG}
-select 'artists_catalog' table_name, true created, true "exists", true columns_match, true partitioned,
-  (select count(*) from (select distinct popularity_range, primary_genre from cat) d) partitions""")
+def _job_input(spark, sf, name: str) -> tuple[str, dict]:
+    """The raw documents of one kind, landed per user: root and read options."""
+    if name == "user_tracks":
+        return _landed(spark, sf), {}
+    if name == "followed_artists":
+        rows = (_pages(fx.follows_raw(spark, sf), ["artist_id"], FOLLOW_DOC_SIZE).groupBy("user_id", "_chunk", "_page")
+                .agg(F.collect_list("artist_id").alias("artists_ids")).drop("_chunk", "_page"))
+    else:
+        rows = raw_likes_rows(spark, sf) if name == "likes" else raw_top_rows(spark, sf)
+    root = scratch_path(spark, f"raw_{name}")
+    rows.hint("rebalance", "user_id").write.mode("overwrite").partitionBy("user_id").json(root)
+    return root, {"multi_line": False, "routed": False}
+
+
+def _job(spark, sf, name: str) -> jobs.JobResult:
+    root, options = _job_input(spark, sf, name)
+    return jobs.run_job(spark, name, root, scratch_path(spark, "processed"), with_time=False, **options)
+
+
+def _job_table(spark, sf, name: str):
+    return instants_as_ntz(_job(spark, sf, name).table.drop("processed_at"))
+
+
+@query("c01_plays_job", C01_CSV_SQL)
+def c01_plays_job(spark, sf):
+    """Plays from the raw CSV files to the written per-user table, read back."""
+    return instants_as_ntz(_job(spark, sf, "user_tracks").table.select(*OUT_COLS))
+
+
+@query("c02_likes_job", C02_SQL)
+def c02_likes_job(spark, sf):
+    """Likes from the raw documents to the written per-user table, read back."""
+    return _job_table(spark, sf, "likes")
+
+
+@query("c03_follows_job", C03_SQL)
+def c03_follows_job(spark, sf):
+    """Followed artists from the raw documents to the written per-user table, read back."""
+    return _job_table(spark, sf, "followed_artists")
+
+
+@query("c04_top_tracks_job", C04_SQL)
+def c04_top_tracks_job(spark, sf):
+    """Top tracks from the raw documents to the written per-user table, read back."""
+    return _job_table(spark, sf, "top_tracks")
+
+
+@query("a17_quality_all_tables", f"""with {DEDUP_CSV},
+lk as (select user_id, count(*) raw_records, min(added_at_utc) lo, max(added_at_utc) hi,
+         count(distinct (track_id, date_trunc('second', added_at_utc))) clean from likes group by user_id),
+fo as (select user_id, count(*) raw_records, count(distinct artist_id) clean from follows_raw group by user_id),
+tt as (select user_id, count(*) raw_records from top_tracks group by user_id),
+r as (select user_id, count(*) raw_records, count(*) filter (where track_id is null) null_track_ids,
+        count(*) filter (where played_at is not null and track_id is not null and artist_id is not null) valid_records
+      from raw_rows group by user_id),
+c as (select user_id, count(*) clean_records, min(played_at_utc) min_utc, max(played_at_utc) max_utc from dedup group by user_id)
+select 'user_tracks' table_name, r.user_id, raw_records, null_track_ids, valid_records, coalesce(clean_records, 0) clean_records,
+  valid_records - coalesce(clean_records, 0) duplicates_removed, min_utc, max_utc from r left join c using (user_id)
+union all select 'likes', user_id, raw_records, 0, raw_records, clean, raw_records - clean, date_trunc('second', lo), date_trunc('second', hi) from lk
+union all select 'followed_artists', user_id, raw_records, 0, raw_records, clean, raw_records - clean, null, null from fo
+union all select 'top_tracks', user_id, raw_records, 0, raw_records, raw_records, 0, null, null from tt""")
+def a17_quality_all_tables(spark, sf):
+    """The quality reports of all four jobs, per table and user."""
+    reports = [_job(spark, sf, name).quality for name in jobs.JOBS]
+    return instants_as_ntz(reduce(lambda a, b: a.unionByName(b), reports))
+
+
+@query("a26_job_summary", f"""with {DEDUP_CSV},
+q as (select cast(c_custkey as varchar) user_id from customer),
+r as (select user_id, count(*) n from raw_rows group by user_id),
+c as (select user_id, count(*) n from dedup group by user_id)
+select count(*) users, count(*) filter (where coalesce(c.n, 0) > 0) processed,
+  count(*) filter (where r.n is not null and coalesce(c.n, 0) = 0) failed, count(*) filter (where r.n is null) skipped,
+  cast(coalesce(sum(c.n), 0) as bigint) clean_records, cast(coalesce(sum(r.n), 0) as bigint) file_records
+from q left join r on q.user_id = r.user_id left join c on q.user_id = c.user_id""")
+def a26_job_summary(spark, sf):
+    """Outcome of the plays job for every customer id: processed, failed, skipped, rows (the number of files is the writer's)."""
+    requested = read_table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    root, options = _job_input(spark, sf, "user_tracks")
+    res = jobs.run_job(spark, "user_tracks", root, scratch_path(spark, "processed"), requested, with_time=False, **options)
+    return jobs.outcome_summary(res.outcome).drop("files")
+
+
+@query("s13_catalog_build", f"""with {CATALOG},
+p as (
+  select 'artists_catalog' table_name, count(*) partitions from (select distinct popularity_range, primary_genre from cat) d
+  union all select 'user_tracks', count(distinct user_id) from raw_plays where played_at is not null and track_id is not null and artist_id is not null
+  union all select 'likes', count(distinct user_id) from likes
+  union all select 'followed_artists', count(distinct user_id) from follows_raw
+  union all select 'top_tracks', count(distinct user_id) from top_tracks)
+select table_name, true created, true "exists", true columns_match, true properties_match, true partitioned, partitions from p""")
 def s13_catalog_build(spark, sf):
-    """Create the database and the partitioned external table, repair partitions, verify (S13 + S14)."""
-    path = sinks.write_catalog(G.artist_catalog(fx.artists_raw(spark, sf)))
-    db = f"encore_{abs(hash(path)) % 10_000_000}"
-    return catalog.build_catalog(spark, db, {"artists_catalog": path}, replace=True)
+    """Create the database and its five external tables over what the jobs wrote, repair partitions, verify (S13 + S14)."""
+    at = {name: _job(spark, sf, name).path for name in jobs.JOBS}
+    at["artists_catalog"] = sinks.write_catalog(G.artist_catalog(fx.artists_raw(spark, sf)))
+    db = f"encore_{abs(hash(at['artists_catalog'])) % 10_000_000}"
+    return catalog.build_catalog(spark, db, at, replace=True)
 
 
 @query("s14_catalog_verify", f"""with {CATALOG}
@@ -253,6 +356,18 @@ def s16_profile_csv_sink(spark, sf):
     return raw.read_profiles(spark, path, fmt="csv")
 
 
+@query("s16_cluster_stats_csv", PROFILE_SUMMARY_SQL)
+def s16_cluster_stats_csv(spark, sf):
+    """The profile statistics written beside the profile CSV, read back."""
+    from encore.plans.queries_profiles import _profiled
+    profiled = _profiled(spark, sf, 30)
+    _, path = sinks.write_profiles(PR.profile_table(profiled, rounded=True, with_time=False), PR.profile_summary(profiled),
+                                   scratch_path(spark, "profiles_csv"))
+    return spark.read.schema("profile_name string, profile_emoji string, user_count bigint, avg_popularity_mean double, "
+                             "daily_intensity_mean double, artist_diversity_mean double, night_preference_mean double, "
+                             "percentage double").option("header", True).csv(path)
+
+
 @query("s17_profile_scan", PROFILE_TABLE_SQL)
 def s17_profile_scan(spark, sf):
     """Stored profile table read back (an absent path gives an empty table with the schema)."""

@@ -254,12 +254,15 @@ def m07_profile_table(spark, sf):
     return PR.profile_table(_profiled(spark, sf, 30), rounded=True, with_time=False)
 
 
-@query("a15_profile_summary", f"""with {_profiled_sql(30)}
+PROFILE_SUMMARY_SQL = f"""with {_profiled_sql(30)}
 select profile_name, profile_emoji, count(*) user_count, avg(avg_popularity) avg_popularity_mean,
   avg(daily_listening_intensity) daily_intensity_mean, avg(artist_diversity) artist_diversity_mean,
   avg(night_preference_ratio) night_preference_mean,
   count(*) / sum(count(*)) over () * 100 percentage
-from prof group by profile_name, profile_emoji""")
+from prof group by profile_name, profile_emoji"""
+
+
+@query("a15_profile_summary", PROFILE_SUMMARY_SQL)
 def a15_profile_summary(spark, sf):
     """Users, share and four feature means per profile."""
     return PR.profile_summary(_profiled(spark, sf, 30))

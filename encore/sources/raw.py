@@ -13,6 +13,7 @@ lines (``multi_line=False``).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,7 +24,6 @@ from encore.sources.schemas import (RAW_ARTISTS_DDL, RAW_FOLLOWED_DDL, RAW_LIKES
 ALL_USERS = "ALL"
 
 # File naming used by the collector.
-PLAYS_PREFERRED_GLOB = "recently_played_*.csv"
 KIND_PATTERNS = [("likes", "likes"), ("followed", "followed"), ("top_tracks", "top_")]   # ordered: first match wins
 
 
@@ -47,8 +47,8 @@ def _base(spark: SparkSession, ddl: str):
 def read_plays_csv(spark: SparkSession, root: str, user_id: str | None = ALL_USERS) -> DataFrame:
     """S01 + S06 + S09: every ``<root>/<user>/*.csv`` with the declared 10-column schema.
 
-    ``source_file`` keeps provenance. Users without any CSV simply produce no
-    rows (S08 presence check); see ``user_presence`` for the status rows.
+    ``source_file`` keeps provenance. Users without any CSV produce no rows; see ``list_files`` and
+    ``user_presence`` (S08) for who has input.
     """
     df = (_base(spark, RAW_PLAYS_DDL).option("header", True).option("pathGlobFilter", "*.csv")
           .csv(f"{root.rstrip('/')}/*/"))
@@ -120,13 +120,29 @@ def stage_plays_csv(rows: DataFrame, root: str, mode: str = "overwrite") -> str:
     return root
 
 
+def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """(user_id, file_name, bytes) of the files under ``<root>/<user>/``: a listing, no file is opened."""
+    try:
+        found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(f"{root.rstrip('/')}/*/")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "user_id string, file_name string, bytes bigint")
+    parts = F.split("path", "/")
+    return found.select(F.regexp_replace(F.element_at(parts, -2), r"^user_id=", "").alias("user_id"), F.element_at(parts, -1).alias("file_name"),
+                        F.col("length").alias("bytes"))
+
+
 def per_file_counts(df: DataFrame) -> DataFrame:
     """Rows per source file (and user), one aggregation."""
     return df.groupBy("user_id", "source_file").agg(F.count(F.lit(1)).alias("records"))
 
 
 def user_presence(found: DataFrame, requested: DataFrame | None = None) -> DataFrame:
-    """S08 + A26: (user_id, has_input) for requested users; found-only when no request list is given."""
+    """S08 + A26: (user_id, has_input) for requested users; found-only when no request list is given.
+
+    ``found`` is a listing (``list_files``): a user with a file has input, whatever the file holds.
+    """
     f = found.select("user_id").distinct().withColumn("has_input", F.lit(True))
     if requested is None:
         return f
@@ -220,7 +236,7 @@ def read_profiles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
         df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
         df.schema  # resolve the path now
         return df
-    except Exception as e:  # only a missing path falls back
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+    except AnalysisException as e:  # only a missing path falls back
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)

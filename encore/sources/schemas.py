@@ -33,6 +33,12 @@ class TableSpec:
     description: str = ""
     properties: dict = field(default_factory=dict)
 
+    @property
+    def table_properties(self) -> dict[str, str]:
+        """What the catalog records beside the schema: format, key and storage order, and the table's own entries."""
+        base = {"classification": "parquet", "encore.key": ",".join(self.key), "encore.sort": ",".join(self.sort)}
+        return {k: v for k, v in (base | self.properties).items() if v}
+
     @property
     def columns(self) -> list[str]:
         return [f.name for f in StructType.fromDDL(self.ddl).fields]

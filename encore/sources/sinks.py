@@ -58,3 +58,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header CSV (no index column); the Parquet copy is the primary output."""
     df.write.mode(mode).option("header", True).csv(path)
     return path
+
+
+def write_profiles(profiles: DataFrame, stats: DataFrame, path: str) -> tuple[str, str]:
+    """The profile table as CSV, and its statistics beside it under ``<path>_cluster_stats``."""
+    return write_csv(profiles, path), write_csv(stats.coalesce(1), f"{path}_cluster_stats")

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from encore.operators import etl
+from encore.plans import jobs
 from encore.sources import raw, sinks
 
 HEADER = "played_at,track_name,artist_name,album_name,track_id,artist_id,album_id,duration_ms,popularity,explicit\n"
@@ -56,14 +57,19 @@ def test_plays_csv_etl(spark, tmp_dir):
     assert c.played_at_utc is None and c.season == "Winter"                  # T2 garbage -> NULL, T3
     assert c.artist_name == ""                                               # T4 blank stays ''
     assert rows[("u1", "t6")].season == "Summer"
-    q = {x.user_id: x for x in etl.plays_quality(r, clean).collect()}        # A17
+    q = {x.user_id: x for x in etl.plays_quality_one_pass(r).collect()}     # A17 without the clean table
     assert q["u1"].raw_records == 7 and q["u1"].valid_records == 5 and q["u1"].clean_records == 4
     assert q["u1"].duplicates_removed == 1 and q["u1"].null_track_ids == 1 and q["u1"].unparsed_times == 1
-    one = {x.user_id: x for x in etl.plays_quality_one_pass(r).collect()}   # A17 without the clean table
-    assert {k: v.asDict() for k, v in one.items()} == {k: v.asDict() for k, v in q.items()}
+    same = {x.user_id: x for x in jobs.table_quality("user_tracks", r, clean).collect()}   # A17 beside the clean table
+    for k, v in same.items():
+        assert all(v[c] == q[k][c] for c in ("raw_records", "null_track_ids", "valid_records", "clean_records", "duplicates_removed", "min_utc", "max_utc"))
+    write(f"{root}/u4/empty.csv", HEADER)                                   # S08: a file without rows is input
+    listed = raw.list_files(spark, root, "*.csv")
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString().split("ReadSchema:")[-1]
+    assert listed.filter("user_id = 'u1'").count() == 2
     pres = {x.user_id: x.has_input for x in raw.user_presence(
-        r, spark.createDataFrame([("u1",), ("u2",), ("u3",)], "user_id string")).collect()}
-    assert pres == {"u1": True, "u2": True, "u3": False}
+        listed, spark.createDataFrame([("u1",), ("u2",), ("u3",), ("u4",)], "user_id string")).collect()}
+    assert pres == {"u1": True, "u2": True, "u3": False, "u4": True}
     one = raw.read_plays_csv(spark, root, user_id="u2")
     assert [x.user_id for x in one.select("user_id").distinct().collect()] == ["u2"]
 
@@ -77,6 +83,19 @@ def test_all_users_equals_union_of_single_users(spark, tmp_dir):
     assert sorted(map(repr, all_users.collect())) == sorted(map(repr, single.collect()))
 
 
+def test_job_from_files_to_table_with_reports(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    make_plays(root)
+    write(f"{root}/u5/recently_played_1.csv", HEADER + ",No time,A,B,t,a,al,1,1,True\n")
+    users = spark.createDataFrame([("u1",), ("u2",), ("u3",), ("u5",)], "user_id string")
+    res = jobs.run_job(spark, "user_tracks", root, f"{tmp_dir}/out", users)
+    assert res.table.count() == 5 and os.path.isdir(f"{res.path}/user_id=u1")                    # C01, S10
+    got = {r.user_id: (r.status, r.clean_records, r.files, r.file_records) for r in res.outcome.collect()}   # A26
+    assert got == {"u1": ("processed", 4, 2, 7), "u2": ("processed", 1, 1, 1), "u3": ("skipped", 0, 0, 0), "u5": ("failed", 0, 1, 1)}
+    total = jobs.outcome_summary(res.outcome).first()
+    assert (total.users, total.processed, total.failed, total.skipped, total.files, total.file_records) == (4, 2, 1, 1, 4, 9)
+
+
 def test_per_user_sink_and_idempotent_dedup(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     make_plays(root)

@@ -207,7 +207,16 @@ def test_catalog_build_and_verify(spark, tmp_dir):
                     "and primary_genre = 'latin'").collect()
     assert [x.id for x in got] == ["a"]
     again = catalog.build_catalog(spark, "encore_test", {"artists_catalog": path}, replace=True).collect()[0]
-    assert again.created and again.columns_match
+    assert again.created and again.columns_match and again.properties_match
+    # an older table lacks a column and the properties: found, and mended by the update
+    spark.sql("DROP TABLE encore_test.artists_catalog")
+    spark.sql("CREATE TABLE encore_test.artists_catalog (id string, popularity_range string, primary_genre string) USING parquet "
+              f"PARTITIONED BY (popularity_range, primary_genre) LOCATION '{path}'")
+    old = catalog.build_catalog(spark, "encore_test", {"artists_catalog": path}).collect()[0]
+    assert old.exists and not old.created and not old.columns_match and not old.properties_match
+    new = catalog.build_catalog(spark, "encore_test", {"artists_catalog": path}, replace=True).collect()[0]
+    assert new.created and new.columns_match and new.properties_match
+    assert spark.table("encore_test.artists_catalog").filter("id = 'a'").first().followers_tier == "mega"
 
 
 def test_profile_lookup_defaults(spark):
