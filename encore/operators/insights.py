@@ -49,23 +49,21 @@ def top_artists(plays: DataFrame, as_of=None, days_back: int = 90, limit: int =
             .select("user_id", "rank", "artist_name", "play_count", "unique_tracks"))
 
 
-def _with_all_users(rows: DataFrame, plays: DataFrame) -> DataFrame:
-    """``rows`` plus a ``user_id``-only row per play of the whole table.
-
-    Window insights read only the window (a filter that reaches the scan as a
-    time bound); the spine of users comes from the ``user_id`` column alone (a
-    partition column of the per-user layout, so no data pages are read there).
-    The final per-user aggregation collapses these rows map-side, and a user
-    without plays in the window keeps a row of zeros.
+def _with_all_users(rows: DataFrame, plays: DataFrame, users: DataFrame | None = None, user_id=None) -> DataFrame:
+    """``rows`` plus one ``user_id``-only row per user, so that a user without plays in the window keeps a row of zeros.
+
+    ``users`` is the user dimension (one row per user). Pass it in: a window insight then reads the window and the
+    dimension only. Without it the users are taken from the whole play table's ``user_id`` column.
     """
-    return rows.unionByName(plays.select("user_id"), allowMissingColumns=True)
+    spine = _scope(users, user_id) if users is not None else plays
+    return rows.unionByName(spine.select("user_id"), allowMissingColumns=True)
 
 
-def hourly_pattern(plays: DataFrame, as_of=None, days_back: int = 30, user_id=None) -> DataFrame:
+def hourly_pattern(plays: DataFrame, as_of=None, days_back: int = 30, user_id=None, users: DataFrame | None = None) -> DataFrame:
     """A02 + J02: plays per local hour, every user gets hours 0..23 (zeros filled)."""
     p = _scope(plays, user_id)
     recent = p.filter(in_trailing_window(LOCAL, as_of, days_back)).select("user_id", "play_hour")
-    per_user = _with_all_users(recent, p).groupBy("user_id").agg(
+    per_user = _with_all_users(recent, p, users, user_id).groupBy("user_id").agg(
         F.array(*[F.count_if(F.col("play_hour") == h) for h in range(24)]).alias("hourly"))
     return (per_user.select("user_id", F.posexplode("hourly").alias("hour", "play_count"))
             .select("user_id", F.col("hour").cast("int").alias("hour"), "play_count",
@@ -85,7 +83,7 @@ def _lo(as_of, days_back: int) -> F.Column:
 # artist, so the distinct counts become plain conditional counts. Exact: the
 # averages are sum / count of integer popularities.
 
-def _day_level(plays: DataFrame, as_of, weekly_days: int, hourly_days: int | None = None) -> DataFrame:
+def _day_level(plays: DataFrame, as_of, weekly_days: int, hourly_days: int | None = None, users=None, user_id=None) -> DataFrame:
     """(user_id, d, n, pop_sum, pop_n[, h0..h23]) per user and local date inside the widest window,
     plus the user spine (``_with_all_users``) so every user keeps a row (zeros in the result)."""
     day = F.to_date(LOCAL)
@@ -96,16 +94,16 @@ def _day_level(plays: DataFrame, as_of, weekly_days: int, hourly_days: int | Non
         in_h = day >= _lo(as_of, hourly_days)
         aggs += [F.count_if(in_h & (F.col("play_hour") == h)).alias(f"h{h}") for h in range(24)]
     days = plays.filter(day >= _lo(as_of, wide)).groupBy("user_id", day.alias("d")).agg(*aggs)
-    return _with_all_users(days, plays)
+    return _with_all_users(days, plays, users, user_id)
 
 
-def _artist_level(plays: DataFrame, as_of, days_back: int, all_users: bool = True) -> DataFrame:
+def _artist_level(plays: DataFrame, as_of, days_back: int, all_users: bool = True, users=None, user_id=None) -> DataFrame:
     """(user_id, tier, artist_id, n, pop_sum) over in-window plays with known popularity,
     plus the user spine when ``all_users`` (see ``_with_all_users``)."""
     cond = in_trailing_window(LOCAL, as_of, days_back) & F.col("popularity").isNotNull()
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("popularity").cast("double")).alias("pop_sum")]
     arts = plays.filter(cond).groupBy("user_id", L.popularity_tier("popularity").alias("tier"), "artist_id").agg(*aggs)
-    return _with_all_users(arts, plays) if all_users else arts
+    return _with_all_users(arts, plays, users, user_id) if all_users else arts
 
 
 def _hourly_sums() -> list:
@@ -127,8 +125,8 @@ def _weekly_cols(as_of, days_back: int) -> list:
     return cols
 
 
-def _weekly_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFrame:
-    return _day_level(_scope(plays, user_id), as_of, days_back).groupBy("user_id").agg(*_weekly_cols(as_of, days_back))
+def _weekly_agg(plays: DataFrame, as_of, days_back: int, user_id=None, users=None) -> DataFrame:
+    return _day_level(_scope(plays, user_id), as_of, days_back, None, users, user_id).groupBy("user_id").agg(*_weekly_cols(as_of, days_back))
 
 
 def _weekly_rows() -> list:
@@ -140,9 +138,9 @@ def _weekly_rows() -> list:
             for n in L.DAY_TYPES]
 
 
-def weekday_weekend(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
+def weekday_weekend(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None, users: DataFrame | None = None) -> DataFrame:
     """A03 + J03 + A13: per day type plays, active days, avg popularity, share of plays."""
-    a = _weekly_agg(plays, as_of, days_back, user_id)
+    a = _weekly_agg(plays, as_of, days_back, user_id, users)
     return a.select("user_id", F.inline(F.array(*_weekly_rows())))
 
 
@@ -159,8 +157,8 @@ def _tier_cols() -> list:
     return cols
 
 
-def _popularity_agg(plays: DataFrame, as_of, days_back: int, user_id=None) -> DataFrame:
-    return _artist_level(_scope(plays, user_id), as_of, days_back).groupBy("user_id").agg(*_tier_cols())
+def _popularity_agg(plays: DataFrame, as_of, days_back: int, user_id=None, users=None) -> DataFrame:
+    return _artist_level(_scope(plays, user_id), as_of, days_back, True, users, user_id).groupBy("user_id").agg(*_tier_cols())
 
 
 def _total(prefix_cols) -> F.Column:
@@ -183,14 +181,14 @@ def _tier_rows() -> list:
             for t in L.POPULARITY_TIERS]
 
 
-def popularity_distribution(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
+def popularity_distribution(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None, users: DataFrame | None = None) -> DataFrame:
     """A04 + J03 + A13: per tier plays, distinct artists, avg popularity, share."""
-    a = _popularity_agg(plays, as_of, days_back, user_id)
+    a = _popularity_agg(plays, as_of, days_back, user_id, users)
     return a.select("user_id", F.inline(F.array(*_tier_rows())))
 
 
 def user_category_aggregates(plays: DataFrame, as_of=None, hourly_days: int = 30, weekly_days: int = 90,
-                             pop_days: int = 90, user_id=None) -> DataFrame:
+                             pop_days: int = 90, user_id=None, users: DataFrame | None = None) -> DataFrame:
     """Hourly, weekday/weekend and tier aggregates of every user, one row per user.
 
     Used by the composite products (C05, C07): the day level (which keeps every
@@ -198,7 +196,7 @@ def user_category_aggregates(plays: DataFrame, as_of=None, hourly_days: int = 30
     ONE groupBy(user), instead of one aggregation per insight.
     """
     p = _scope(plays, user_id)
-    days = _day_level(p, as_of, weekly_days, hourly_days)
+    days = _day_level(p, as_of, weekly_days, hourly_days, users, user_id)
     arts = _artist_level(p, as_of, pop_days, all_users=False)
     both = days.unionByName(arts, allowMissingColumns=True)
     return both.groupBy("user_id").agg(*_hourly_sums(), *_weekly_cols(as_of, weekly_days), *_tier_cols())
@@ -213,7 +211,7 @@ def dominant_expr(prefix: str = "", suffix: str = "_plays") -> F.Column:
             .otherwise("established"))
 
 
-def popularity_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
+def popularity_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None, users: DataFrame | None = None) -> DataFrame:
     """Total plays with known popularity and the dominant tier per user.
 
     Only play counts per tier are needed, so this is one conditional aggregation
@@ -222,14 +220,14 @@ def popularity_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_i
     p = _scope(plays, user_id)
     inwin = in_trailing_window(LOCAL, as_of, days_back) & F.col("popularity").isNotNull()
     recent = p.filter(inwin).select("user_id", L.popularity_tier("popularity").alias("tier"))
-    a = _with_all_users(recent, p).groupBy("user_id").agg(
+    a = _with_all_users(recent, p, users, user_id).groupBy("user_id").agg(
         *[F.count_if(F.col("tier") == t).alias(f"{t}_plays") for t in L.POPULARITY_TIERS])
     return a.select("user_id", _tier_total().alias("total_plays"), dominant_expr().alias("dominant_tier"))
 
 
 def insights_available(plays: DataFrame, as_of=None, user_id=None,
                        top_days: int = 90, hourly_days: int = 30, weekly_days: int = 90,
-                       pop_days: int = 90) -> DataFrame:
+                       pop_days: int = 90, users: DataFrame | None = None) -> DataFrame:
     """TRUE when any of the four insight families has data for the user.
 
     One aggregation over the widest window plus the user spine: each family
@@ -244,7 +242,7 @@ def insights_available(plays: DataFrame, as_of=None, user_id=None,
     p = _scope(plays, user_id)
     widest = max(top_days, hourly_days, weekly_days, pop_days)
     recent = p.filter(in_trailing_window(LOCAL, as_of, widest)).select("user_id", LOCAL, "popularity")
-    a = _with_all_users(recent, p).groupBy("user_id").agg(
+    a = _with_all_users(recent, p, users, user_id).groupBy("user_id").agg(
         any_in(top_days).alias("has_top_artists"),
         any_in(hourly_days).alias("has_daily_data"),
         any_in(weekly_days).alias("has_weekly_data"),

@@ -30,16 +30,17 @@ def _long(df: DataFrame, insight: str, item, position, play_count, distinct_coun
     )
 
 
-def insights_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None) -> DataFrame:
+def insights_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=None,
+                     users: DataFrame | None = None) -> DataFrame:
     """The four insight families (+ tier summary) in one long table.
 
-    Two scans of the play table: the top-artist ranking (grouped by user and
-    artist) and ONE per-user aggregation holding the hourly, weekday/weekend and
-    tier aggregates, which is unpivoted into 24 + 2 + 3 + 1 rows per user.
+    Three reads of the window: the top-artist ranking (by user and artist), the day level and the artist level; the
+    last two end in ONE per-user aggregation holding the hourly, weekday/weekend and tier aggregates, which is
+    unpivoted into 24 + 2 + 3 + 1 rows per user. With ``users`` (the user dimension) nothing outside the window is read.
     Hourly pattern uses ``min(days_back, 30)`` like the reference.
     """
     top = I.top_artists(plays, as_of, days_back, 10, user_id)
-    agg = I.user_category_aggregates(plays, as_of, min(days_back, 30), days_back, days_back, user_id)
+    agg = I.user_category_aggregates(plays, as_of, min(days_back, 30), days_back, days_back, user_id, users)
     none_i, none_l, none_d = F.lit(None).cast("int"), F.lit(None).cast("bigint"), F.lit(None).cast("double")
 
     def row(insight, item, position, play_count, distinct=none_l, avg_pop=none_d, pct=none_d):
@@ -61,31 +62,33 @@ def insights_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=
 
 
 INSIGHTS = {
-    "top_artists": lambda plays, as_of, days_back, limit: I.top_artists(plays, as_of, days_back, limit),
-    "daily_pattern": lambda plays, as_of, days_back, limit: I.hourly_pattern(plays, as_of, min(days_back, 30)),
-    "weekly_pattern": lambda plays, as_of, days_back, limit: I.weekday_weekend(plays, as_of, days_back),
-    "popularity_distribution": lambda plays, as_of, days_back, limit: I.popularity_distribution(plays, as_of, days_back),
+    "top_artists": lambda plays, as_of, days_back, limit, users: I.top_artists(plays, as_of, days_back, limit),
+    "daily_pattern": lambda plays, as_of, days_back, limit, users: I.hourly_pattern(plays, as_of, min(days_back, 30), users=users),
+    "weekly_pattern": lambda plays, as_of, days_back, limit, users: I.weekday_weekend(plays, as_of, days_back, users=users),
+    "popularity_distribution": lambda plays, as_of, days_back, limit, users: I.popularity_distribution(plays, as_of, days_back, users=users),
 }
 
 
-def run_insight(name: str, plays: DataFrame, as_of=None, days_back: int = 90, limit: int = 10) -> DataFrame:
+def run_insight(name: str, plays: DataFrame, as_of=None, days_back: int = 90, limit: int = 10,
+                users: DataFrame | None = None) -> DataFrame:
     """Insight by name; unknown names raise ``ValueError``."""
     if name not in INSIGHTS:
         raise ValueError(f"invalid insight type: {name!r}")
-    return INSIGHTS[name](plays, as_of, days_back, limit)
+    return INSIGHTS[name](plays, as_of, days_back, limit, users)
 
 
-def executive_summary(plays: DataFrame, as_of=None, days_back: int = 30, user_id=None) -> DataFrame:
+def executive_summary(plays: DataFrame, as_of=None, days_back: int = 30, user_id=None,
+                      users: DataFrame | None = None) -> DataFrame:
     """Top artist, plays of the top 3, weekend preference, taste label, activity level.
 
-    Two scans: the 30-day top-3 artists and one per-user aggregation with the
-    weekday/weekend and tier aggregates, joined on user_id (one row per user each).
+    Three reads of the window: the top-3 artists, and the day and artist levels of one per-user aggregation, joined
+    on user_id (one row per user each). With ``users`` nothing outside the window is read.
     """
     top3 = I.top_artists(plays, as_of, days_back, 3, user_id)
     top = top3.groupBy("user_id").agg(
         F.min_by("artist_name", "rank").alias("top_artist_raw"),
         F.sum("play_count").alias("total_top_plays"))
-    agg = I.user_category_aggregates(plays, as_of, days_back, days_back, days_back, user_id)
+    agg = I.user_category_aggregates(plays, as_of, days_back, days_back, days_back, user_id, users)
     users = agg.select(
         "user_id",
         L.pct("weekend_plays", F.col("weekday_plays") + F.col("weekend_plays")).alias("weekend_pct"),
@@ -200,7 +203,8 @@ def weekly_evolution(plays: DataFrame) -> DataFrame:
                       F.when(prev > 0, (F.col("plays") - prev) / prev.cast("double") * 100).alias("plays_change_pct"))
 
 
-def dashboard(plays: DataFrame, profiles: DataFrame, as_of=None, days_back: int = 90, recent: int = 10, tops: int = 5) -> DataFrame:
+def dashboard(plays: DataFrame, profiles: DataFrame, as_of=None, days_back: int = 90, recent: int = 10, tops: int = 5,
+              users: DataFrame | None = None) -> DataFrame:
     """One row per user with the four parts of the dashboard.
 
     ``recents`` and ``tops`` are arrays of at most ``recent`` and ``tops`` structs in rank order; the executive summary
@@ -212,10 +216,10 @@ def dashboard(plays: DataFrame, profiles: DataFrame, as_of=None, days_back: int
 
     rec = listed(recent_plays(plays, recent), "recent_rank", "recents")
     top = listed(I.top_artists(plays, as_of, days_back, tops), "rank", "tops")
-    available = I.insights_available(plays, as_of).select("user_id", "insights_available")
+    available = I.insights_available(plays, as_of, users=users).select("user_id", "insights_available")
     prof = profiles.select("user_id", "profile_name", "profile_emoji")
     j = (rec.join(top, "user_id", "left").join(available, "user_id", "left")
-         .join(executive_summary(plays, as_of), "user_id", "left").join(prof, "user_id", "left"))
+         .join(executive_summary(plays, as_of, users=users), "user_id", "left").join(prof, "user_id", "left"))
     return j.withColumns({"tops": F.coalesce("tops", F.array().cast(top.schema["tops"].dataType)),
                           "profile_name": F.coalesce("profile_name", F.lit(DEFAULT_PROFILE["name"])),
                           "profile_emoji": F.coalesce("profile_emoji", F.lit(DEFAULT_PROFILE["emoji"]))})

@@ -3,6 +3,8 @@ P16, P19-P23, P25-P30, S15, S18, S22, U02, W01, W02, W06, A18-A20, A23, A24, A26
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -51,13 +53,30 @@ C05_SQL = " union all ".join([
 @query("c05_insights_summary", C05_SQL)
 def c05_insights_summary(spark, sf):
     """All four insight families (+ tier summary) for every user in one long table (90 days)."""
-    return D.insights_summary(_plays(spark, sf), AS_OF, 90)
+    return D.insights_summary(_plays(spark, sf), AS_OF, 90, users=fx.users(spark, sf))
+
+
+C06_SQL = " union all ".join([
+    _long_sql(_top_sql(90, 10), "top_artists", "artist_name", "null", "play_count"),
+    _long_sql(_hourly_sql(30), "daily_pattern", "hour_label", "null", "play_count"),
+    _long_sql(_weekly_sql(90), "weekly_pattern", "day_type", "null", "play_count"),
+    _long_sql(_tiers_sql(90), "popularity_distribution", "popularity_tier", "null", "play_count")])
+C06_ITEMS = {"top_artists": "artist_name", "daily_pattern": "hour_label", "weekly_pattern": "day_type",
+             "popularity_distribution": "popularity_tier"}
 
 
-@query("c06_parametrized_insight", _hourly_sql(30))
+@query("c06_parametrized_insight", f"select user_id, insight, item, play_count from ({C06_SQL}) x")
 def c06_parametrized_insight(spark, sf):
-    """Insight chosen by name ('daily_pattern', days_back=90 -> capped at 30 days)."""
-    return D.run_insight("daily_pattern", _plays(spark, sf), AS_OF, 90, 10)
+    """Every insight by its name (days_back=90; the daily pattern is capped at 30 days); another name is an error."""
+    p, users = _plays(spark, sf), fx.users(spark, sf)
+    parts = [D.run_insight(n, p, AS_OF, 90, 10, users).select(
+        "user_id", F.lit(n).alias("insight"), F.col(item).cast("string").alias("item"), F.col("play_count").cast("bigint").alias("play_count"))
+        for n, item in C06_ITEMS.items()]
+    try:
+        D.run_insight("no_such_insight", p)
+    except ValueError:
+        return reduce(lambda a, b: a.unionByName(b), parts)
+    raise AssertionError("an unknown insight name must be refused")
 
 
 def _exec_sql(days: int) -> str:
@@ -89,7 +108,7 @@ from x left join top on top.user_id = x.user_id left join dom on dom.user_id = x
 @query("c07_executive_summary", _exec_sql(30))
 def c07_executive_summary(spark, sf):
     """Top artist, top-3 plays, weekend preference, taste label and activity level (30 days)."""
-    return D.executive_summary(_plays(spark, sf), AS_OF, 30)
+    return D.executive_summary(_plays(spark, sf), AS_OF, 30, users=fx.users(spark, sf))
 
 
 @query("p27_taste_label", f"""
@@ -98,7 +117,7 @@ select user_id, dominant_tier, case dominant_tier when 'emergent' then 'Descubri
   music_taste_profile from ({_dominant_sql(7)}) d""")
 def p27_taste_label(spark, sf):
     """Dominant popularity tier (7 days) mapped to its taste label."""
-    s = I.popularity_summary(_plays(spark, sf), AS_OF, 7)
+    s = I.popularity_summary(_plays(spark, sf), AS_OF, 7, users=fx.users(spark, sf))
     return s.select("user_id", "dominant_tier", L.taste_label("dominant_tier").alias("music_taste_profile"))
 
 
@@ -279,7 +298,7 @@ left join ex on ex.user_id = rc.user_id left join prof on prof.user_id = rc.user
 def j09_dashboard_combination(spark, sf):
     """Per user in one row: the recent plays, the top artists, the executive insights and the profile."""
     from encore.plans.queries_profiles import _profiled
-    d = D.dashboard(_plays(spark, sf), _profiled(spark, sf, 30), AS_OF)
+    d = D.dashboard(_plays(spark, sf), _profiled(spark, sf, 30), AS_OF, users=fx.users(spark, sf))
     line = lambda c, *keys: F.array_join(F.transform(c, lambda x: F.concat_ws(" ", *[x[k].cast("string") for k in keys])), "|")
     return d.select("user_id", line("recents", "recent_rank", "track_id", "played_date").alias("recents"),
                     line("tops", "rank", "artist_name", "play_count").alias("tops"), "insights_available", "top_artist",

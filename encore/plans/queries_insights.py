@@ -99,43 +99,43 @@ where rank <= {limit}"""
 @query("a02_hourly_pattern", _hourly_sql(30))
 def a02_hourly_pattern(spark, sf):
     """Plays per local hour over 30 days, all 24 hours per user."""
-    return I.hourly_pattern(_plays(spark, sf), AS_OF, 30)
+    return I.hourly_pattern(_plays(spark, sf), AS_OF, 30, users=fx.users(spark, sf))
 
 
 @query("j02_hour_spine", _hourly_sql(7))
 def j02_hour_spine(spark, sf):
     """24-hour spine over a short 7-day window: most hours are zero-filled."""
-    return I.hourly_pattern(_plays(spark, sf), AS_OF, 7)
+    return I.hourly_pattern(_plays(spark, sf), AS_OF, 7, users=fx.users(spark, sf))
 
 
 @query("a03_weekday_weekend", _weekly_sql(90))
 def a03_weekday_weekend(spark, sf):
     """Weekday vs weekend: plays, active days, avg popularity, share (90 days)."""
-    return I.weekday_weekend(_plays(spark, sf), AS_OF, 90)
+    return I.weekday_weekend(_plays(spark, sf), AS_OF, 90, users=fx.users(spark, sf))
 
 
 @query("j03_category_spine", _weekly_sql(2))
 def j03_category_spine(spark, sf):
     """Day-type spine over a 2-day window: users without plays keep zero rows."""
-    return I.weekday_weekend(_plays(spark, sf), AS_OF, 2)
+    return I.weekday_weekend(_plays(spark, sf), AS_OF, 2, users=fx.users(spark, sf))
 
 
 @query("a04_popularity_distribution", _tiers_sql(90))
 def a04_popularity_distribution(spark, sf):
     """Plays, distinct artists, avg popularity and share per popularity tier."""
-    return I.popularity_distribution(_plays(spark, sf), AS_OF, 90)
+    return I.popularity_distribution(_plays(spark, sf), AS_OF, 90, users=fx.users(spark, sf))
 
 
 @query("a13_share_of_total", _tiers_sql(5))
 def a13_share_of_total(spark, sf):
     """Tier shares over 5 days (zero totals give 0 shares)."""
-    return I.popularity_distribution(_plays(spark, sf), AS_OF, 5)
+    return I.popularity_distribution(_plays(spark, sf), AS_OF, 5, users=fx.users(spark, sf))
 
 
 @query("a05_dominant_tier", _dominant_sql(90))
 def a05_dominant_tier(spark, sf):
     """Total plays with popularity and dominant tier per user (tie order T12)."""
-    return I.popularity_summary(_plays(spark, sf), AS_OF, 90)
+    return I.popularity_summary(_plays(spark, sf), AS_OF, 90, users=fx.users(spark, sf))
 
 
 @query("k01_top_k", _top_sql(30, 3))
@@ -161,4 +161,4 @@ select user_id, bool_or({win(90)}) has_top_artists, bool_or({win(30)}) has_daily
 from plays group by user_id""")
 def a27_insights_available(spark, sf):
     """Per user: does any insight family have data?"""
-    return I.insights_available(_plays(spark, sf), AS_OF)
+    return I.insights_available(_plays(spark, sf), AS_OF, users=fx.users(spark, sf))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from encore.functions.time import DEFAULT_TZ, calendar_fields, season, to_local
+from encore.session import scratch_path
 from encore.sources.tables import read_table
 
 _CACHE: dict = {}
@@ -85,6 +86,14 @@ def plays(spark: SparkSession, sf_dir: str, tz: str = DEFAULT_TZ) -> DataFrame:
     )
 
 
+@memoized
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user dimension: one row per user with a play, derived once per session and kept in the shared folder."""
+    path = scratch_path(spark, "users")
+    read_table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("user_id")).distinct().write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def duration_minutes(ms) -> F.Column:
     """round(ms / 60000, 2) with HALF_UP done in exact integer arithmetic (P10)."""
     c = F.col(ms) if isinstance(ms, str) else ms

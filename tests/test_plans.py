@@ -4,6 +4,7 @@ import pytest
 
 from conftest import SF01
 from encore.plans.registry import load_all
+from encore.session import scratch_path
 from encore.sources.tables import read_table
 
 REG = load_all()
@@ -55,6 +56,20 @@ def test_genre_rules_stay_in_the_row(spark):
     assert "Join" not in text and "Exchange" not in text and "Contains(" in text
 
 
+def test_window_insights_read_the_window_and_the_user_dimension(spark):
+    """Every scan of the plays carries the window's time bound; the spine is the one-row-per-user dimension."""
+    from encore.operators import insights as I
+    from encore.plans import dashboard as D
+    from encore.sources import fixtures as fx
+    path = scratch_path(spark, "stored_plays")
+    fx.plays(spark, SF01).write.parquet(path)
+    plays, users = spark.read.parquet(path), fx.users(spark, SF01)
+    for df, most in ((D.insights_summary(plays, "2024-01-31", 30, users=users), 3), (D.executive_summary(plays, "2024-01-31", 30, users=users), 3),
+                     (I.hourly_pattern(plays, "2024-01-31", 7, users=users), 1), (I.insights_available(plays, "2024-01-31", users=users), 1)):
+        scans = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x and "stored_plays" in x]
+        assert 1 <= len(scans) <= most and all("GreaterThanOrEqual(played_at_local" in x for x in scans), scans
+
+
 def test_user_features_copy_no_play(spark):
     for name in ("m01_user_features", "a06_user_stats"):
         assert "Expand" not in plan_of(REG[name].build(spark, SF01)), name
