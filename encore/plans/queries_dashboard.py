@@ -463,6 +463,18 @@ def k02_result_ordering(spark, sf):
             .orderBy(F.desc("total_plays"), F.asc("user_id")))
 
 
+@query("k02_order_by_hour", _hourly_sql(30))
+def k02_order_by_hour(spark, sf):
+    """The hourly pattern in the order of user and hour."""
+    return I.hourly_pattern(_plays(spark, sf), AS_OF, 30, users=fx.users(spark, sf)).orderBy("user_id", "hour")
+
+
+@query("k02_order_by_popularity", _tiers_sql(90))
+def k02_order_by_popularity(spark, sf):
+    """The popularity tiers of each user in the order of average popularity."""
+    return I.popularity_distribution(_plays(spark, sf), AS_OF, 90, users=fx.users(spark, sf)).orderBy("user_id", "avg_popularity", "popularity_tier")
+
+
 @query("k07_head_tail", """
 (select event_id, user_id, played_at_utc, 'head' part from plays order by played_at_utc, event_id limit 5)
 union all
