@@ -33,6 +33,11 @@ def _with_processed_at(df: DataFrame, with_time: bool) -> DataFrame:
     return df.withColumn("processed_at", F.current_timestamp() if with_time else F.lit(None).cast("timestamp"))
 
 
+def with_lineage(df: DataFrame, source: str, with_time: bool = True) -> DataFrame:
+    """The source literal and the processing time beside the user taken from the input."""
+    return _with_processed_at(df.withColumn("data_source", F.lit(source)), with_time)
+
+
 def plays_valid(raw: DataFrame) -> F.Column:
     """Required keys present in the raw text."""
     return F.col("played_at").isNotNull() & F.col("track_id").isNotNull() & F.col("artist_id").isNotNull()

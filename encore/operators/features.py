@@ -31,6 +31,19 @@ FEATURE_COLUMNS = [
 ]
 
 
+def distinct_counts(rows: DataFrame, columns: dict[str, F.Column]) -> DataFrame:
+    """Per user the number of distinct non-null values of each expression.
+
+    Rows are reduced to the distinct combinations first, before any shuffle; each count groups the reduced rows.
+    """
+    reduced = rows.filter(F.col("user_id").isNotNull()).groupBy("user_id", *[e.alias(c) for c, e in columns.items()]).agg(F.lit(1).alias("_one"))
+    out = None
+    for c in columns:
+        per = reduced.groupBy("user_id", c).agg(F.lit(1).alias("_one")).groupBy("user_id").agg(F.count(c).alias(c))
+        out = per if out is None else out.join(per, "user_id")
+    return out
+
+
 def user_stats(plays: DataFrame, min_plays: int = MIN_PLAYS) -> DataFrame:
     """A06 + A10 + A11 + A12: 14 listening aggregates per user, users with >= ``min_plays``.
 

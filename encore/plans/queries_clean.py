@@ -124,8 +124,8 @@ def p12_season(spark, sf):
 select user_id, track_id, '{DATA_SOURCE}' data_source, true has_processed_at from dedup""")
 def p13_lineage(spark, sf):
     """Lineage columns: user_id from the input, a source literal and a processing time."""
-    c = etl.clean_plays(_raw(spark, sf), with_time=True)
-    return c.select("user_id", "track_id", F.lit(DATA_SOURCE).alias("data_source"),
+    c = etl.with_lineage(etl.clean_plays(_raw(spark, sf), with_time=False), DATA_SOURCE)
+    return c.select("user_id", "track_id", "data_source",
                     F.col("processed_at").isNotNull().alias("has_processed_at"))
 
 

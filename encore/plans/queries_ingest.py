@@ -450,6 +450,10 @@ from top_tracks""")
 def s21_top_item_pages(spark, sf):
     """S21 + S23: ranked top-track pages (20 items each, with the API's offset) landed as JSON lines,
     concatenated in page order and ranked by position: the ranks come back as stored."""
+    return raw.flatten_top_items(_top_pages(spark, sf), F.col("offset"))
+
+
+def _top_pages(spark, sf):
     t = fx.top_tracks(spark, sf)
     artists = F.array(F.struct(F.col("artists_id").alias("id"), F.lit(None).cast("string").alias("name")))
     track = _track(F.col("track_id"), F.lit(None).cast("string"), F.col("track_popularity") * 1000,
@@ -461,8 +465,19 @@ def s21_top_item_pages(spark, sf):
              .select("user_id", (F.col("_page") * TOP_PAGE_SIZE).cast("int").alias("offset"),
                      F.transform("_items", lambda x: x["t"]).alias("items")))
     root = raw.stage_pages(pages, scratch_path(spark, "top_pages"))
-    read = raw.read_pages(spark, root, raw.TOP_PAGE_DDL, "*.json", multi_line=False)
-    return raw.flatten_top_items(read, F.col("offset"))
+    return raw.read_pages(spark, root, raw.TOP_PAGE_DDL, "*.json", multi_line=False)
+
+
+@query("s23_page_concatenation", f"""
+select user_id, cast(ceil(count(*) / {TOP_PAGE_SIZE}.0) as bigint) pages, count(*) items,
+  string_agg(track_id, ',' order by ith_preference) track_ids from top_tracks group by user_id""")
+def s23_page_concatenation(spark, sf):
+    """The pages of every user put together in page order: how many, and the tracks (at most 50) in their order."""
+    pages = _top_pages(spark, sf)
+    tracks = raw.flatten_top_items(pages, F.col("offset")).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("items"), F.array_sort(F.collect_list(F.struct("ith_preference", "track_id"))).alias("t"))
+    n = pages.groupBy("user_id").agg(F.count(F.lit(1)).alias("pages"))
+    return n.join(tracks, "user_id").select("user_id", "pages", "items", F.array_join(F.transform("t", lambda x: x["track_id"]), ",").alias("track_ids"))
 
 
 @query("s05_artists_json_scan", "select id, name, popularity, followers, genres from artists_raw")

@@ -169,11 +169,9 @@ select user_id, count(distinct artist_id) distinct_artists, count(distinct track
   count(distinct cast(played_at_local as date)) distinct_days
 from plays group by user_id""")
 def a11_distinct_counts(spark, sf):
-    """Distinct artists, tracks and active days per user."""
-    return fx.plays(spark, sf).groupBy("user_id").agg(
-        F.count_distinct("artist_id").alias("distinct_artists"),
-        F.count_distinct("track_id").alias("distinct_tracks"),
-        F.count_distinct(F.to_date("played_at_local")).alias("distinct_days"))
+    """Distinct artists, tracks and active local days per user."""
+    return FE.distinct_counts(fx.plays(spark, sf), {
+        "distinct_artists": F.col("artist_id"), "distinct_tracks": F.col("track_id"), "distinct_days": F.to_date("played_at_local")})
 
 
 @query("a12_sample_stddev", f"""with {USER_STATS}

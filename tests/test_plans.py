@@ -71,7 +71,7 @@ def test_window_insights_read_the_window_and_the_user_dimension(spark):
 
 
 def test_user_features_copy_no_play(spark):
-    for name in ("m01_user_features", "a06_user_stats"):
+    for name in ("m01_user_features", "a06_user_stats", "a11_distinct_counts"):
         assert "Expand" not in plan_of(REG[name].build(spark, SF01)), name
 
 
