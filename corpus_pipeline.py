@@ -14,22 +14,26 @@ from encore.llm.compression import keep_compressible
 from encore.llm.multiorder_join import keep_one_per_group
 from encore.llm.queries import MIX
 from encore.llm.secret_cnn import redact_secrets, train
+from encore.llm.textops import bounded_batches
 from encore.session import ensure_session, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie in the compression bands; the others go."""
+    bounded_batches(spark)
     return keep_compressible(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the least id, of each group of near copies."""
+    bounded_batches(spark)
     ensure_session(spark)
     return keep_one_per_group(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mask, n_chars renewed where the text changed."""
+    bounded_batches(spark)
     return redact_secrets(docs, train(docs))
 
 
@@ -42,6 +46,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source and the piece ids of every document."""
+    bounded_batches(spark)
     vocabulary = piece_viterbi.read_vocabulary(piece_viterbi.model_path(spark))
     return piece_viterbi.encode(docs, vocabulary).select("doc_id", "lang", "source", "ids")
 

@@ -49,13 +49,15 @@ _LAST_RANK = 255
 class JoinParams:
     """percent: least Jaccard similarity in percent. batch_tokens: shingles a map task sorts and packs at once.
 
-    common: a shingle of at least so many different texts of one batch travels pre-aggregated (result unaffected).
+    common: a shingle of at least so many different texts of one batch travels pre-aggregated. pieces: a counting task
+    works through its hash range in so many pieces. None of these three changes the result.
     """
 
     words: int = 5
     percent: int = 75
-    batch_tokens: int = 1 << 21
+    batch_tokens: int = 1 << 20
     common: int = 64
+    pieces: int = 8
 
 
 def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -158,6 +160,29 @@ def _pack(sets: dict[int, np.ndarray], parts: int, common: int) -> list[tuple]:
     return out
 
 
+def _shared(token: np.ndarray, sid: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(packed rank and token, class) of the entries whose token two classes hold, or that is known to be common."""
+    order = np.argsort(token)
+    token, sid = token[order], sid[order]
+    del order
+    known = np.isin(token, often) if len(often) else np.zeros(len(token), bool)
+    more = known.copy()
+    alike = token[1:] == token[:-1]
+    more[1:] |= alike
+    more[:-1] |= alike
+    token, sid, known = token[more], sid[more], known[more]
+    order = np.lexsort((sid, token))
+    token, sid, known = token[order], sid[order], known[order]
+    new = np.ones(len(token), bool)  # a class counts once, though several batches sent it
+    new[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
+    token, sid, known = token[new], sid[new], known[new]
+    cuts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True]))) if len(token) else np.zeros(1, np.int64)
+    df = np.repeat(np.diff(cuts), np.diff(cuts))
+    keep = known | (df > 1)
+    rank = np.where(known, _LAST_RANK, np.minimum(4 * np.log2(np.maximum(df, 1)), _LAST_RANK - 1)).astype(U64)
+    return token[keep] | rank[keep] << U64(TOKEN_BITS), sid[keep]
+
+
 def _shared_shingles(docs: DataFrame, p: JoinParams, text_col: str) -> DataFrame:
     """(sig, n, vals): classes that share at least ceil(t * n) shingles with others, vals in first order."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -177,50 +202,40 @@ def _shared_shingles(docs: DataFrame, p: JoinParams, text_col: str) -> DataFrame
             yield _rows(_pack(sets, parts, p.common))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, sigs, ns, common, base = [], [], [], [], 0
+        runs, sigs, ns, common, base = [], [], [], [], 0
         for b in batches:
             own = []
             for r in b.to_pylist():
                 if r["home"] >= 0:
                     own.append(tuple(r[c] for c in _RUN_COLUMNS))
                     continue
-                v = np.frombuffer(r["vals"], U64)
+                runs.append((np.frombuffer(r["vals"], U64), base))
                 sigs.append(np.frombuffer(r["sigs"], np.int64))
                 ns.append(np.frombuffer(r["ns"], np.int32))
-                packed.append((v >> U64(16), (v & U64(0xFFFF)).astype(np.int64) + base))
                 common.append(np.frombuffer(r["common"], U64))
                 base += len(sigs[-1])
             if own:
                 yield _rows(own)
-        if not packed:
+        if not runs:
             return
-        token, at = np.concatenate([x for x, _ in packed]), np.concatenate([x for _, x in packed])
-        del packed
         sigs, which, sid = np.unique(np.concatenate(sigs), return_index=True, return_inverse=True)
-        ns = np.concatenate(ns)[which]
-        often = np.unique(np.concatenate(common))
-        order = np.argsort(token)
-        token, at = token[order], at[order]
-        known = np.isin(token, often) if len(often) else np.zeros(len(token), bool)
-        alike = token[1:] == token[:-1]
-        more = known.copy()
-        more[1:] |= alike
-        more[:-1] |= alike
-        token, sid, known = token[more], sid[at[more]], known[more]
-        order = np.lexsort((sid, token))
-        token, sid, known = token[order], sid[order], known[order]
-        new = np.ones(len(token), bool)  # a class counts once, though several batches sent it
-        new[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
-        token, sid, known = token[new], sid[new], known[new]
-        if not len(token):
-            return
-        cuts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
-        df = np.repeat(np.diff(cuts), np.diff(cuts))
-        keep = known | (df > 1)
-        rank = np.where(known, _LAST_RANK, np.minimum(4 * np.log2(np.maximum(df, 1)), _LAST_RANK - 1)).astype(U64)
-        out = _homeward(sigs, ns, sid[keep], token[keep] | rank[keep] << U64(TOKEN_BITS), parts)
-        if out:
-            yield _rows(out)
+        ns, often, sid = np.concatenate(ns)[which], np.unique(np.concatenate(common)), sid.astype(np.int32)
+        # runs are sorted, so the range is counted piece by piece: the work arrays hold one piece
+        borders = np.linspace(0, 1 << TOKEN_BITS, 1 + max(1, p.pieces) * parts).astype(U64) << U64(16)
+        first = min((int(v[0]) for v, _ in runs if len(v)), default=0)
+        last = max((int(v[-1]) for v, _ in runs if len(v)), default=0)
+        inner = borders[(borders > first) & (borders <= last)]
+        cuts = [np.concatenate(([0], np.searchsorted(v, inner), [len(v)])) for v, _ in runs]
+        kept = []
+        for k in range(len(inner) + 1):
+            part = [(v[c[k]:c[k + 1]], at) for (v, at), c in zip(runs, cuts, strict=True) if c[k] < c[k + 1]]
+            if part:
+                kept.append(_shared(np.concatenate([v >> U64(16) for v, _ in part]),
+                                    np.concatenate([sid[(v & U64(0xFFFF)).astype(np.int64) + at] for v, at in part]), often))
+        if kept:
+            out = _homeward(sigs, ns, np.concatenate([x for _, x in kept]).astype(np.int64), np.concatenate([v for v, _ in kept]), parts)
+            if out:
+                yield _rows(out)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, n, val = [], [], []
@@ -271,14 +286,21 @@ def _verify(pairs: DataFrame, shared: DataFrame, p: JoinParams) -> DataFrame:
     """The pairs (a, b) whose classes are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for na, nb, va, vb in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True):
-                x, y = (np.frombuffer(v, U64) & _TOKEN for v in (va, vb))
+            sizes, sides = [b.column(i).to_numpy() for i in (2, 3)], [packed(b.column(i)) for i in (4, 5)]
+            keep = np.zeros(b.num_rows, bool)
+            for k in range(b.num_rows):
+                x, y = (v[at[k]:at[k + 1]] & _TOKEN for v, at in sides)
+                na, nb = int(sizes[0][k]), int(sizes[1][k])
                 px, py = _prefix(len(x), na, p.percent), _prefix(len(y), nb, p.percent)
-                keep.append(all(len(np.intersect1d(_hash_order_prefix(x, px, k), _hash_order_prefix(y, py, k), True)) for k in (1, 2))
-                            and 100 * (o := len(np.intersect1d(x, y, True))) >= p.percent * (na + nb - o))
+                keep[k] = all(len(np.intersect1d(_hash_order_prefix(x, px, o), _hash_order_prefix(y, py, o), True)) for o in (1, 2)) \
+                    and 100 * (both := len(np.intersect1d(x, y, True))) >= p.percent * (na + nb - both)
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
+    def packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The packed shingles of a column of binaries and where each row's begin."""
+        data, at = text_bytes(column)
+        return np.frombuffer(data[at[0]:at[-1]].tobytes(), U64), (at - at[0]) // 8
+
     side = lambda c: shared.select(F.col("sig").alias(c), F.col("n").alias(f"n_{c}"), F.col("vals").alias(f"v_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "v_a", "v_b")
     return both.mapInArrow(run, "a long, b long")

@@ -14,6 +14,7 @@ from encore.llm import disclosure, maxscore, piece_viterbi, preference, raking,
 from encore.llm.compression import compression_report
 from encore.llm.multiorder_join import near_duplicates
 from encore.llm.secret_cnn import KINDS, scan_secrets, span_digest, train
+from encore.llm.textops import bounded_batches
 from encore.session import ensure_session, scratch_path
 from encore.sources.tables import read_table
 
@@ -32,6 +33,7 @@ ORACLE_SQL: dict[str, str] = {}
 def _query(name: str, sql: str | None = None):
     def register(fn):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bounded_batches(spark)
             return fn(ensure_session(spark), sf_dir)
         build.__name__, build.__doc__ = name, fn.__doc__
         QUERIES[name] = build

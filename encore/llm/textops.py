@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 U64 = np.uint64
 IS_SPACE = np.zeros(256, bool)
@@ -43,16 +44,19 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand Python workers at most ``rows`` rows at a time: with texts of some KB, a few MB; workers' memory follows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column, without a copy; a null is an empty text."""
+    """(bytes, offsets) of a string or binary column, without a copy; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if pa.types.is_null(column.type):
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
-    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
-        column = column.cast(pa.large_string())
     _, offsets, data = column.buffers()
-    wide = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    wide = np.int64 if column.type in (pa.large_string(), pa.large_binary()) else np.int32
     if offsets is None or len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
     at = np.frombuffer(offsets, wide)[column.offset:column.offset + len(column) + 1].astype(np.int64)

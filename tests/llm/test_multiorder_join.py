@@ -74,7 +74,7 @@ def test_near_copies_of_a_common_passage_and_small_batches(frame):
     passage = prose(11, 60)
     rows = [doc(i, f"{passage} {prose(100 + i, 30 if i % 3 else 2)}") for i in range(60)]
     rows += [doc(100 + i, edited(prose(12, 120), 30 + i, "z")) for i in range(40)]
-    for p in (JoinParams(batch_tokens=500, common=3), JoinParams()):
+    for p in (JoinParams(batch_tokens=500, common=3, pieces=3), JoinParams(pieces=1), JoinParams()):
         check(frame(rows), rows, p)
 
 
