@@ -108,7 +108,7 @@ class Codec:
             by.setdefault(len(p), []).append(i)
         for length, at in by.items():
             h = cls._rolling(cls._codes([pieces[i] for i in at]))
-            out[at] = cls._between(h, 0, length)
+            out[at] = cls._between(h, length)[:, 0]
         return out
 
     @staticmethod
@@ -119,12 +119,10 @@ class Codec:
         return h
 
     @staticmethod
-    def _between(h: np.ndarray, start: int, length: int, width: int = 1) -> np.ndarray:
-        """Hashes of the substrings of ``length`` at ``width`` starts from ``start``."""
+    def _between(h: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the substrings of ``length`` at every start, a row each word."""
         power = U64(pow(int(_STEP), length, 1 << 64))
-        s = h[:, start + length:start + length + width] - h[:, start:start + width] * power
-        s = fmix(s + U64(length))
-        return s[:, 0] if width == 1 and start == 0 and h.shape[1] == length + 1 else s
+        return fmix(h[:, length:] - h[:, :h.shape[1] - length] * power + U64(length))
 
     def _best(self, codes: np.ndarray) -> list[bytes]:
         """Ids of words of one length, by Viterbi over all rows together."""
@@ -134,7 +132,7 @@ class Codec:
         gain = np.full((most, n, length), -np.inf)  # by length - 1, word, start
         piece = np.full((most, n, length), -1, np.int64)
         for k in range(1, most + 1):
-            sub = self._between(h, 0, k, length - k + 1).reshape(n, length - k + 1)
+            sub = self._between(h, k)
             maybe = np.flatnonzero(self.seen_bits[(sub & U64((1 << 20) - 1)).astype(np.int64)])
             probe = sub.ravel()[maybe]
             at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
