@@ -191,7 +191,8 @@ def test_kmeans_restarts_invariants(spark):
                for i in range(4)]
     assert best.summary.trainingCost <= min(singles) + 1e-9
     again, best2 = CL.kmeans_clusters(df, k=3, restarts=4, max_iter=50, parallel=2)
-    assert best2.summary.trainingCost == best.summary.trainingCost
+    # summed over partitions in the order they finish: equal in the 10 digits that decide (clustering._restart_order)
+    assert f"{best2.summary.trainingCost:.10g}" == f"{best.summary.trainingCost:.10g}"
     assert {r.user_id: r.cluster for r in again.select("user_id", "cluster").collect()} == got
 
 
