@@ -130,9 +130,10 @@ def find_personal_data(docs: DataFrame, p: Disclosure = Disclosure(), id_col: st
     found = rows.withColumn("base", base_spans(text))
     inside = lambda w: F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))
     near = F.transform("base", lambda s: F.struct(_entity(s).alias("entity"), F.filter(_near_words(text, s, p), lambda w: ~inside(w)).alias("words")))
-    found = found.select("doc_id", "uid", "base", F.when(F.size("base") > 0, near).alias("near")).checkpoint()
+    # the row's id comes before explode: in one select with it, Spark would number the mentions
+    found = found.select("doc_id", "uid", F.monotonically_increasing_id().alias("row"), "base", F.when(F.size("base") > 0, near).alias("near")).checkpoint()
 
-    mentions = found.where("near is not null").select("uid", F.monotonically_increasing_id().alias("row"), F.explode("near").alias("m")) \
+    mentions = found.where("near is not null").select("uid", "row", F.explode("near").alias("m")) \
         .select("uid", "row", "m.entity", "m.words").checkpoint()
     n_e = mentions.groupBy("entity").agg(F.count_distinct("row").alias("n_e"))
     words = mentions.select("uid", "row", "entity", F.explode("words").alias("w")).select(

@@ -111,6 +111,17 @@ def test_terms_against_plain_version(frame):
     assert starts == sorted(starts) and "term" in spans[1]
 
 
+def test_an_entity_named_often_in_one_text_counts_once(frame):
+    own = "Zeuge Brackwasser quirin@example.org sah " * 4
+    texts = [own + prose(1, 20), *(prose(40 + i, 30) for i in range(20))]
+    assert plain_terms(texts) == {}
+    assert [r.doc_id for r in find_personal_data(frame([doc(i, t) for i, t in enumerate(texts)])).collect() if r.terms] == []
+    # more mentions than documents: the entity still has information
+    texts = [own * 3, own * 3, own * 3, *(prose(40 + i, 30) for i in range(6))]
+    got = {r.doc_id: [(t.start, t.end, t.value) for t in r.terms] for r in find_personal_data(frame([doc(i, t) for i, t in enumerate(texts)])).collect() if r.terms}
+    assert got == plain_terms(texts) and set(got) == {0, 1, 2}
+
+
 def test_repeated_rows_null_ids_and_empty_table(frame):
     assert find_personal_data(frame([])).count() == 0
     rows = find_personal_data(frame([doc(None, "a@b.com"), doc(1, "a@b.com"), doc(1, "a@b.com")])).collect()
