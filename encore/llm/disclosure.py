@@ -1,11 +1,12 @@
 """Operator 6, PII: information-theoretic sanitisation, in DataFrame expressions only.
 
 Personal data of fixed shape (e-mail and IP addresses, card and phone numbers) are the protected entities. A term
-near a mention discloses the entity as far as knowing the term tells the entity: with document counts over the
-whole corpus, PMI(t, e) = log2(N * n(t, e) / (n(t) * n(e))) as a share of the entity's own information
+of a document with a mention discloses the entity as far as knowing the term tells the entity: with document counts
+over the whole corpus, PMI(t, e) = log2(N * n(t, e) / (n(t) * n(e))) as a share of the entity's own information
 IC(e) = log2(N / n(e)). A share of 1 means that the term occurs with the entity only. Terms above the lower
-threshold are generalised to the class of their shape, above the higher one removed; entities are replaced by
-their kind. A term must be seen with the entity in ``support`` documents, so chance meetings don't count.
+threshold are generalised to the class of their shape, above the higher one removed, wherever they occur, also in
+documents without the entity; entities are replaced by their kind. A term must be seen with the entity in
+``support`` documents, so chance meetings don't count.
 
 Positions come from ``regexp_extract_all`` and ``split`` with the same pattern, whose results interleave.
 Patterns use possessive quantifiers and borders, so runs of any length are read once, without recursion.
@@ -29,31 +30,63 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 WORD = r"[\p{L}\p{N}]++"
 SPAN = "array<struct<start:long,rank:int,end:long,value:string>>"
+HIT = "array<struct<start:bigint,end:bigint,value:string>>"
+BLOCK, BUCKETS = 256, 1 << 20
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    """support: documents that must hold term and entity; context: characters looked at on either side."""
+    """support: documents that must hold term and entity; narrow: only words within ``context`` characters of a
+    mention are tried as terms, otherwise those of the whole text."""
 
     generalise: float = 0.8
     remove: float = 0.95
     support: int = 3
     context: int = 60
     min_length: int = 3
+    narrow: bool = False
 
 
-def _interleaved(text: Column, pattern: str) -> Column:
-    """(start, end, value) of every match, in code points."""
+def _pairs(text: Column, pattern: str) -> Column:
+    """(gap before it, value) of every match."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
+
+
+def _placed(pairs: Column) -> Column:
+    """(at, out): the length of all pairs, and (start, end, value) of each."""
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["value"])
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
             start.cast("long").alias("start"), end.cast("long").alias("end"), x["value"].alias("value")))).alias("out"))
 
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(HIT).alias("out")), step)
+
+
+def _interleaved(text: Column, pattern: str) -> Column:
+    """(start, end, value) of every match, in code points."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-    pairs = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]).otherwise(none)
+    return F.when(F.size(found) > 0, _placed(_pairs(text, pattern))["out"]).otherwise(F.array().cast(HIT))
+
+
+def _shift(words: Column, by: Column) -> Column:
+    return F.transform(words, lambda w: F.struct((w["start"] + by).alias("start"), (w["end"] + by).alias("end"), w["value"].alias("value")))
+
+
+def _words(text: Column, p: Disclosure) -> Column:
+    """(start, end, value) of every word of a text; placed in blocks, as appending to one array is quadratic."""
+    def blocks(pairs: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int")),
+                           lambda b: _placed(F.slice(pairs, b * BLOCK + 1, F.lit(BLOCK))))
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(_shift(x["out"], acc["at"]))).alias("out"))
+
+    # the one-item array binds the pairs, which would otherwise be made again for every block
+    placed = F.transform(F.array(_pairs(text, WORD)), lambda x: F.when(F.size(x) > 0, blocks(x)))[0]
+    out = F.flatten(F.aggregate(placed, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{HIT}>").alias("out")), step)["out"])
+    return F.filter(F.coalesce(out, F.array().cast(HIT)), lambda w: F.length(w["value"]) >= p.min_length)
 
 
 def _digits(value: Column) -> Column:
@@ -105,11 +138,9 @@ def _near_words(text: Column, s: Column, p: Disclosure) -> Column:
     lo = F.greatest(s["start"] - p.context, F.lit(0))
     left = F.substring(text, (lo + 1).cast("int"), (s["start"] - lo).cast("int"))
     right = F.substring(text, (s["end"] + 1).cast("int"), F.lit(p.context))
-    shift = lambda words, by: F.transform(words, lambda w: F.struct(
-        (w["start"] + by).alias("start"), (w["end"] + by).alias("end"), w["value"].alias("value")))
-    before = F.filter(shift(_interleaved(left, WORD), lo), lambda w: (w["start"] > lo) | (lo == 0))
+    before = F.filter(_shift(_interleaved(left, WORD), lo), lambda w: (w["start"] > lo) | (lo == 0))
     stop = s["end"] + p.context
-    after = F.filter(shift(_interleaved(right, WORD), s["end"]), lambda w: (w["end"] < stop) | (F.length(text) <= stop))
+    after = F.filter(_shift(_interleaved(right, WORD), s["end"]), lambda w: (w["end"] < stop) | (F.length(text) <= stop))
     return F.filter(F.concat(before, after), lambda w: F.length(w["value"]) >= p.min_length)
 
 
@@ -122,34 +153,57 @@ def find_personal_data(docs: DataFrame, p: Disclosure = Disclosure(), id_col: st
 
     Null texts are empty; repeated rows each get a row and count as a document each; null ids stay null; whole texts
     of any length; other columns are ignored; an empty table gives an empty result. A term inside a base finding is
-    not looked at; one on a threshold is above it. A term near several entities takes the highest disclosure. An
-    entity that every document holds has no information to disclose.
+    not looked at; one on a threshold is above it. A term that discloses several entities takes the highest
+    disclosure. An entity that every document holds has no information to disclose.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("uid", row_uid())
-    found = rows.withColumn("base", base_spans(text))
-    inside = lambda w: F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))
-    near = F.transform("base", lambda s: F.struct(_entity(s).alias("entity"), F.filter(_near_words(text, s, p), lambda w: ~inside(w)).alias("words")))
+    base = rows.withColumn("base", base_spans(text))
     # the row's id comes before explode: in one select with it, Spark would number the mentions
-    found = found.select("doc_id", "uid", F.monotonically_increasing_id().alias("row"), "base", F.when(F.size("base") > 0, near).alias("near")).checkpoint()
-
-    mentions = found.where("near is not null").select("uid", "row", F.explode("near").alias("m")) \
-        .select("uid", "row", "m.entity", "m.words").checkpoint()
-    n_e = mentions.groupBy("entity").agg(F.count_distinct("row").alias("n_e"))
-    words = mentions.select("uid", "row", "entity", F.explode("words").alias("w")).select(
-        "uid", "row", "entity", F.lower("w.value").alias("term"), "w.start", "w.end", "w.value")
-    n_te = words.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= p.support)
-    spoken = F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= p.min_length))
-    n_t = rows.select(F.explode(spoken).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    found = base.select("doc_id", "uid", F.monotonically_increasing_id().alias("row"), "base", F.when(F.size("base") > 0, text).alias("own")).checkpoint()
     total = rows.count()
+
+    mentions = found.where("own is not null")
+    n_e = mentions.select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e")) \
+        .where(F.col("n_e") >= p.support).withColumn("ic", F.log2(F.lit(float(total)) / F.col("n_e"))).where("ic > 0").checkpoint()
+    n_te = _met(mentions, n_e, p).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= p.support)
+    spoken = F.array_distinct(F.transform(F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= p.min_length), F.lower))
+    n_t = rows.select(F.explode(spoken).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     close = n_te.join(n_e, "entity").join(n_t, "term") \
-        .withColumn("ic", F.log2(F.lit(float(total)) / F.col("n_e"))).where("ic > 0") \
         .withColumn("disclosure", F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.col("ic")) \
-        .where(F.col("disclosure") >= p.generalise).select("entity", "term", "disclosure")
-    terms = words.join(close, ["entity", "term"]).groupBy("uid", "start", "end", "value").agg(F.max("disclosure").alias("disclosure")) \
-        .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "disclosure", "end", "value"))).alias("terms"))
+        .where(F.col("disclosure") >= p.generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure")).checkpoint()
+
+    # every occurrence in any text; a bitmap of fixed size leaves out nearly all other words before the join, never a term
+    bucket = lambda term: F.pmod(F.xxhash64(term), F.lit(BUCKETS))
+    bits = {r.k: r.v for r in close.select(bucket("term").alias("b")).groupBy(F.floor(F.col("b") / 64).alias("k")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("v")).collect()}
+    bitmap = F.split(F.lit(",".join(str(bits.get(k, 0)) for k in range(BUCKETS // 64))), ",").cast("array<bigint>")
+    maybe = lambda w: F.getbit(F.get(bitmap, F.floor(bucket(w) / 64).cast("int")), (bucket(w) % 64).cast("int")) == 1
+    words = rows.where(F.exists(spoken, maybe)).select("uid", F.explode(F.filter(_words(text, p), lambda w: maybe(F.lower(w["value"])))).alias("w"))
+    terms = words.select("uid", F.lower("w.value").alias("term"), "w.start", "w.end", "w.value").join(close, "term") \
+        .groupBy("uid", "start", "end", "value").agg(F.max("disclosure").alias("disclosure")) \
+        .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "disclosure", "end", "value"))).alias("all"))
     none = F.array().cast("array<struct<start:bigint,disclosure:double,end:bigint,value:string>>")
-    return found.select("doc_id", "uid", "base").join(terms, "uid", "left").withColumn("terms", F.coalesce("terms", none))
+    return found.select("doc_id", "uid", "base").join(terms, "uid", "left").select(
+        "doc_id", "uid", "base", F.coalesce(F.filter("all", lambda w: ~_inside(w)), none).alias("terms"))
+
+
+def _inside(w: Column) -> Column:
+    return F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))
+
+
+def _met(mentions: DataFrame, n_e: DataFrame, p: Disclosure) -> DataFrame:
+    """(entity, term) once for every document that holds both, for the entities of ``n_e``."""
+    own = F.col("own")
+    if p.narrow:
+        near = mentions.select("row", "base", "own", F.explode("base").alias("s")) \
+            .select("row", _entity(F.col("s")).alias("entity"), F.filter(_near_words(own, F.col("s"), p), lambda w: ~_inside(w)).alias("words"))
+        return near.join(n_e, "entity", "left_semi").select("row", "entity", F.explode("words.value").alias("w")) \
+            .select("row", "entity", F.lower("w").alias("term")).distinct().select("entity", "term")
+    held = mentions.select("row", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity")).join(n_e, "entity", "left_semi")
+    words = F.array_distinct(F.transform(F.filter(_words(own, p), lambda w: ~_inside(w)), lambda w: F.lower(w["value"])))
+    terms = mentions.join(held, "row", "left_semi").select("row", F.explode(words).alias("term"))
+    return held.join(terms, "row").select("entity", "term")
 
 
 def span_text(spans: Column) -> Column:

@@ -122,6 +122,20 @@ def test_an_entity_named_often_in_one_text_counts_once(frame):
     assert got == plain_terms(texts) and set(got) == {0, 1, 2}
 
 
+def test_terms_of_whole_texts_and_everywhere(frame):
+    far = "quirin@example.org " + prose(7, 40).replace("ab", "xx") + " Brackwasser"
+    texts = [f"{far} {prose(10 + i, 400)} Brackwasser, Ende" for i in range(4)] + [prose(40 + i, 30) for i in range(30)] + ["nur BRACKWASSER hier"]
+    df = frame([doc(i, t) for i, t in enumerate(texts)])
+    found = find_personal_data(df)
+    rows = {r.doc_id: r for r in found.collect()}
+    for i in (0, 1, 2, 3, 34):  # beyond the context, further on in the text, and without a mention
+        places = [m.start() for m in re.finditer("brackwasser", texts[i].lower())]
+        assert [t.start for t in rows[i].terms if t.value.lower() == "brackwasser"] == places and places, i
+        assert all(texts[i][t.start:t.end] == t.value for t in rows[i].terms)
+    assert not any("rackwasser" in r.text.lower() for r in sanitise(df, found).collect())
+    assert not any(t.value == "Brackwasser" for r in find_personal_data(df, Disclosure(narrow=True)).collect() for t in r.terms)
+
+
 def test_repeated_rows_null_ids_and_empty_table(frame):
     assert find_personal_data(frame([])).count() == 0
     rows = find_personal_data(frame([doc(None, "a@b.com"), doc(1, "a@b.com"), doc(1, "a@b.com")])).collect()
