@@ -3,7 +3,8 @@
 zstandard ratios (bytes / compressed bytes) of the whole document and of its fixed chunks must lie
 in a band that depends on the document's length: above it the text is repetitive, below it
 incompressible (encoded blobs, random characters). Short texts compress badly by nature, so the
-bands widen with length.
+bands rise with length. The limits lie just outside the ratios of 10000 documents of prose in four
+languages: there a text whose last quarter is base64 falls below its band, one of which 30 % repeats above it.
 """
 
 from __future__ import annotations
@@ -34,10 +35,11 @@ class CompressionRules:
     """Parameters. ``chunk_share``: a document goes when more than this share of its full chunks is out of band."""
 
     bands: tuple[Band, ...] = (
-        Band(0, 0.0, 3.0), Band(256, 1.05, 3.0), Band(1024, 1.25, 3.5), Band(4096, 1.4, 4.0), Band(16384, 1.5, 5.0))
+        Band(0, 0.0, 2.2), Band(256, 1.33, 1.92), Band(512, 1.44, 2.05), Band(1024, 1.65, 2.25), Band(2048, 1.8, 2.35),
+        Band(4096, 1.95, 2.45), Band(8192, 2.05, 2.5), Band(16384, 2.1, 2.6), Band(65536, 2.1, 2.75))
     chunk_bytes: int = 4096
-    chunk_lowest: float = 1.4
-    chunk_highest: float = 4.0
+    chunk_lowest: float = 1.85
+    chunk_highest: float = 2.7
     chunk_share: float = 0.25
     level: int = 3
     min_words: int = 50

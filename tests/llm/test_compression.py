@@ -1,10 +1,12 @@
+import base64
+import random
 import re
 from collections import Counter
 
 import pytest
 import zstandard
 
-from encore.llm.compression import CompressionRules, compression_report, keep_compressible
+from encore.llm.compression import Band, CompressionRules, compression_report, keep_compressible
 from encore.sources.tables import read_table
 from llm.conftest import doc, prose
 
@@ -64,6 +66,21 @@ def test_verdicts(frame):
     assert rows[1] == "kept" and rows[2] == "base" and rows[3] in ("base", "repetitive") and rows[4] == "kept" or rows[4].startswith("incomp")
 
 
+def encoded(n, seed=1):
+    return base64.b64encode(random.Random(seed).randbytes(n * 3 // 4)).decode()
+
+
+def test_one_text_per_verdict(frame):
+    few = prose(5, 1000)
+    text = prose(6, 12000)
+    texts = {"kept": prose(3, 500), "base": "short", "repetitive": few + " " + " ".join([few[:1500]] * 3), "incompressible": few[:3000] + " " + encoded(3000),
+             "repetitive_chunks": text[:55000] + few[:700] * 42, "incompressible_chunks": text[:55000] + encoded(27000)}
+    loose = CompressionRules(bands=(Band(0, 0.0, 99.0),))  # whole texts pass, so the chunks decide
+    for name, text in texts.items():
+        rules = loose if name.endswith("chunks") else CompressionRules()
+        assert [r.verdict for r in compression_report(frame([doc(1, text)]), rules).collect()] == [name]
+
+
 def test_empty_table_and_clashing_columns(spark, frame):
     assert compression_report(frame([])).count() == 0 and keep_compressible(frame([])).columns == ["doc_id", "text", "lang", "source", "n_chars"]
     df = frame([(1, prose(1, 80), "x", 3.5), (2, None, "y", None)], "doc_id long, text string, kept string, ratio double")
