@@ -32,7 +32,11 @@ class Band:
 
 @dataclass(frozen=True)
 class CompressionRules:
-    """Parameters. ``chunk_share``: a document goes when more than this share of its full chunks is out of band."""
+    """Parameters. ``chunk_share``: a document goes when more than this share of its chunks is out of band.
+
+    Chunks lie end to end; where they leave a rest, one more ends at the text's end. Texts shorter than ``chunk_bytes``
+    are measured in ``short_bytes`` chunks with limits of their own, still shorter ones only as a whole.
+    """
 
     bands: tuple[Band, ...] = (
         Band(0, 0.0, 2.2), Band(256, 1.33, 1.92), Band(512, 1.44, 2.05), Band(1024, 1.65, 2.25), Band(2048, 1.8, 2.35),
@@ -40,6 +44,9 @@ class CompressionRules:
     chunk_bytes: int = 4096
     chunk_lowest: float = 1.85
     chunk_highest: float = 2.7
+    short_bytes: int = 1024
+    short_lowest: float = 1.52
+    short_highest: float = 2.4
     chunk_share: float = 0.25
     level: int = 3
     min_words: int = 50
@@ -102,12 +109,18 @@ def _measure(column: pa.Array, rules: CompressionRules) -> dict[str, list]:
             repeat = _repeat_words(three[first[d]:], nw)
             failed = nw < rules.min_words or 100 * repeat > rules.max_repeat_percent * nw
             ratio = n / len(pack.compress(text)) if n else 0.0
-            full = [rules.chunk_bytes / len(pack.compress(text[j:j + rules.chunk_bytes]))
-                    for j in range(0, n - rules.chunk_bytes + 1, rules.chunk_bytes)]
-            high, low = sum(r > rules.chunk_highest for r in full), sum(r < rules.chunk_lowest for r in full)
+            size, lowest, highest = (rules.chunk_bytes, rules.chunk_lowest, rules.chunk_highest) if n >= rules.chunk_bytes else \
+                (rules.short_bytes, rules.short_lowest, rules.short_highest)
+            full = [size / len(pack.compress(text[j:j + size])) for j in range(0, n - size + 1, size)]
+            tail = [size / len(pack.compress(text[n - size:]))] if n > size and n % size else []
+            # a good tail excuses no share that the full chunks pass by themselves
+            out_of = lambda far: any(sum(map(far, c)) > rules.chunk_share * len(c) for c in (full, full + tail))  # noqa: B023, E731
+            too_high, too_low = out_of(lambda r: r > highest), out_of(lambda r: r < lowest)  # noqa: B023
+            full += tail
+            high, low = sum(r > highest for r in full), sum(r < lowest for r in full)
             band = rules.bands[int(np.searchsorted(floors, n, "right")) - 1]
             verdict = VERDICTS[1 if failed else 2 if ratio > band.highest else 3 if ratio < band.lowest
-                               else 4 if high > rules.chunk_share * len(full) else 5 if low > rules.chunk_share * len(full) else 0]
+                               else 4 if too_high else 5 if too_low else 0]
             for k, v in zip(out, (nw, int(chars[d]), int(symbols[d]), _dup_lines(text), repeat, failed, verdict == "kept",
                                   n, ratio, len(full), high, low, verdict), strict=True):
                 out[k].append(v)
@@ -119,9 +132,8 @@ def compression_report(docs: DataFrame, rules: CompressionRules = CompressionRul
     """One row per input row: ``doc_id``, the base counts, the ratios, ``kept`` and the ``verdict`` that decided.
 
     A null text counts as empty: no words, ``base_failed``, not kept. A null id stays null, repeated rows each
-    get a row, whole texts of any length are measured (compressed as a whole and chunk by chunk; a trailing
-    chunk shorter than ``chunk_bytes`` counts only in the whole). Other columns are ignored, an empty table
-    gives an empty result. A ratio on the limit is inside the band. Map-only: no shuffle, one pass.
+    get a row, whole texts of any length are measured (compressed as a whole and chunk by chunk up to the last
+    byte; below ``short_bytes`` only as a whole). Other columns are ignored, an empty table gives an empty result. A ratio on the limit is inside the band. Map-only: no shuffle, one pass.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -81,6 +81,20 @@ def test_one_text_per_verdict(frame):
         assert [r.verdict for r in compression_report(frame([doc(1, text)]), rules).collect()] == [name]
 
 
+def test_the_place_of_junk_does_not_matter(frame):
+    loose = CompressionRules(bands=(Band(0, 0.0, 99.0),))
+    for few, junk in ((prose(3, 500)[:4096], encoded(3900)), (prose(4, 300)[:2000], encoded(1800))):
+        both = [few + " " + junk, junk + " " + few]
+        rows = compression_report(frame([doc(i, t) for i, t in enumerate(both)]), loose).collect()
+        assert [r.verdict for r in rows] == ["incompressible_chunks"] * 2
+        same = few + " " + few[-300:] * (13 if len(few) > 4000 else 6)
+        rows = compression_report(frame([doc(0, same)]), loose).collect()
+        assert rows[0].verdict == "repetitive_chunks" or rows[0].base_failed
+    rows = {r.doc_id: r for r in compression_report(frame([doc(n, (prose(8, 2000) + prose(9, 2000))[:n]) for n in (1000, 1024, 1500, 4095, 4096, 4097, 8192)])).collect()}
+    assert {n: r.chunks for n, r in rows.items()} == {1000: 0, 1024: 1, 1500: 2, 4095: 4, 4096: 1, 4097: 2, 8192: 2}
+    assert all(r.kept for r in rows.values())
+
+
 def test_empty_table_and_clashing_columns(spark, frame):
     assert compression_report(frame([])).count() == 0 and keep_compressible(frame([])).columns == ["doc_id", "text", "lang", "source", "n_chars"]
     df = frame([(1, prose(1, 80), "x", 3.5), (2, None, "y", None)], "doc_id long, text string, kept string, ratio double")
