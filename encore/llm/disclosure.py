@@ -14,6 +14,7 @@ Patterns use possessive quantifiers and borders, so runs of any length are read
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +32,10 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 WORD = r"[\p{L}\p{N}]++"
 SPAN = "array<struct<start:long,rank:int,end:long,value:string>>"
 HIT = "array<struct<start:bigint,end:bigint,value:string>>"
-BLOCK, BUCKETS = 256, 1 << 20
+#: Words placed together where all words of a text are wanted.
+BLOCK = 64
+#: Bits a disclosing term in the bitmap that leaves out other words, and its least and largest size (2 MB) in bits.
+TERM_BITS, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 24
 
 
 @dataclass(frozen=True)
@@ -74,7 +78,22 @@ def _shift(words: Column, by: Column) -> Column:
     return F.transform(words, lambda w: F.struct((w["start"] + by).alias("start"), (w["end"] + by).alias("end"), w["value"].alias("value")))
 
 
-def _words(text: Column, p: Disclosure) -> Column:
+def _words(text: Column, p: Disclosure, wanted: Callable[[Column], Column]) -> Column:
+    """(start, end, value) of the ``wanted`` words of a text.
+
+    The fold carries the position and appends a word only if it is wanted, so its array stays as short as its result.
+    """
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.length(x["value"])
+        own = F.array(F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), x["value"].alias("value")))
+        hit = (F.length(x["value"]) >= p.min_length) & wanted(x["value"])
+        return F.struct(end.alias("at"), F.when(hit, F.concat(acc["out"], own)).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(_pairs(text, WORD), F.struct(F.lit(0).alias("at"), F.array().cast(HIT).alias("out")), step)["out"]
+
+
+def _all_words(text: Column, p: Disclosure) -> Column:
     """(start, end, value) of every word of a text; placed in blocks, as appending to one array is quadratic."""
     def blocks(pairs: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int")),
@@ -164,22 +183,19 @@ def find_personal_data(docs: DataFrame, p: Disclosure = Disclosure(), id_col: st
     total = rows.count()
 
     mentions = found.where("own is not null")
-    n_e = mentions.select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e")) \
+    held = mentions.select("row", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+    n_e = held.groupBy("entity").agg(F.count("*").alias("n_e"), *_signature()) \
         .where(F.col("n_e") >= p.support).withColumn("ic", F.log2(F.lit(float(total)) / F.col("n_e"))).where("ic > 0").checkpoint()
-    n_te = _met(mentions, n_e, p).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= p.support)
-    spoken = F.array_distinct(F.transform(F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= p.min_length), F.lower))
-    n_t = rows.select(F.explode(spoken).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    close = n_te.join(n_e, "entity").join(n_t, "term") \
+    n_te = _met_narrow(mentions, n_e, p) if p.narrow else _met(mentions, held, n_e, total, p)
+    word = lambda w: F.length(w) >= p.min_length
+    split = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), word)
+    n_t = rows.select(F.explode(F.array_distinct(F.transform(split, F.lower))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    close = n_te.join(n_t, "term") \
         .withColumn("disclosure", F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.col("ic")) \
         .where(F.col("disclosure") >= p.generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure")).checkpoint()
 
-    # every occurrence in any text; a bitmap of fixed size leaves out nearly all other words before the join, never a term
-    bucket = lambda term: F.pmod(F.xxhash64(term), F.lit(BUCKETS))
-    bits = {r.k: r.v for r in close.select(bucket("term").alias("b")).groupBy(F.floor(F.col("b") / 64).alias("k")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("v")).collect()}
-    bitmap = F.split(F.lit(",".join(str(bits.get(k, 0)) for k in range(BUCKETS // 64))), ",").cast("array<bigint>")
-    maybe = lambda w: F.getbit(F.get(bitmap, F.floor(bucket(w) / 64).cast("int")), (bucket(w) % 64).cast("int")) == 1
-    words = rows.where(F.exists(spoken, maybe)).select("uid", F.explode(F.filter(_words(text, p), lambda w: maybe(F.lower(w["value"])))).alias("w"))
+    maybe = _bitmap(close)
+    words = rows.where(F.exists(split, lambda w: maybe(F.lower(w)))).select("uid", F.explode(_words(text, p, lambda v: maybe(F.lower(v)))).alias("w"))
     terms = words.select("uid", F.lower("w.value").alias("term"), "w.start", "w.end", "w.value").join(close, "term") \
         .groupBy("uid", "start", "end", "value").agg(F.max("disclosure").alias("disclosure")) \
         .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "disclosure", "end", "value"))).alias("all"))
@@ -188,22 +204,59 @@ def find_personal_data(docs: DataFrame, p: Disclosure = Disclosure(), id_col: st
         "doc_id", "uid", "base", F.coalesce(F.filter("all", lambda w: ~_inside(w)), none).alias("terms"))
 
 
+def _bitmap(close: DataFrame) -> Callable[[Column], Column]:
+    """A test that passes every term of ``close`` and few other words, so that few are shuffled to the join with it.
+
+    The bitmap grows with the number of terms up to a fixed size; beyond it, it passes more words, never fewer terms.
+    """
+    n = min(MOST_BITS, max(LEAST_BITS, 1 << (TERM_BITS * close.count()).bit_length()))
+    bucket = lambda term: F.pmod(F.xxhash64(term), F.lit(n))
+    bits = {r.k: r.v for r in close.select(bucket("term").alias("b")).groupBy(F.floor(F.col("b") / 64).alias("k")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("v")).collect()}
+    bitmap = F.split(F.lit(",".join(str(bits.get(k, 0)) for k in range(n // 64))), ",").cast("array<bigint>")
+    return lambda w: F.getbit(F.get(bitmap, F.floor(bucket(w) / 64).cast("int")), (bucket(w) % 64).cast("int")) == 1
+
+
 def _inside(w: Column) -> Column:
     return F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))
 
 
-def _met(mentions: DataFrame, n_e: DataFrame, p: Disclosure) -> DataFrame:
-    """(entity, term) once for every document that holds both, for the entities of ``n_e``."""
-    own = F.col("own")
-    if p.narrow:
-        near = mentions.select("row", "base", "own", F.explode("base").alias("s")) \
-            .select("row", _entity(F.col("s")).alias("entity"), F.filter(_near_words(own, F.col("s"), p), lambda w: ~_inside(w)).alias("words"))
-        return near.join(n_e, "entity", "left_semi").select("row", "entity", F.explode("words.value").alias("w")) \
-            .select("row", "entity", F.lower("w").alias("term")).distinct().select("entity", "term")
-    held = mentions.select("row", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity")).join(n_e, "entity", "left_semi")
-    words = F.array_distinct(F.transform(F.filter(_words(own, p), lambda w: ~_inside(w)), lambda w: F.lower(w["value"])))
-    terms = mentions.join(held, "row", "left_semi").select("row", F.explode(words).alias("term"))
-    return held.join(terms, "row").select("entity", "term")
+def _signature() -> tuple[Column, Column]:
+    """Two hashes of the set of rows that a group holds, each row once."""
+    return tuple(F.expr(f"bit_xor(xxhash64(row, {k}))").alias(f"rows{k}") for k in (0, 1))
+
+
+def _met(mentions: DataFrame, held: DataFrame, n_e: DataFrame, total: int, p: Disclosure) -> DataFrame:
+    """(term, n_te, n_e, ic): in how many documents a term and an entity of ``n_e`` meet, if they could reach the threshold.
+
+    Entities of the same documents count alike, and so do terms: one of each such class stands for all, so a directory
+    of many numbers that is copied again and again gives one pair, not all numbers times all words. With n_te <= n_e
+    and n_te <= n(t), a pair whose best case stays below the threshold is left out before it is counted.
+    """
+    held = held.join(n_e, "entity", "left_semi")
+    words = F.array_distinct(F.transform(F.filter(_all_words(F.col("own"), p), lambda w: ~_inside(w)), lambda w: F.lower(w["value"])))
+    said = mentions.join(held, "row", "left_semi").select("row", F.explode(words).alias("term")).checkpoint()
+    set_of = ["n", "rows0", "rows1"]
+    terms = said.groupBy("term").agg(F.count("*").alias("n"), *_signature()).where(F.col("n") >= p.support)
+    classes = terms.groupBy(*set_of).agg(F.min("term").alias("first")).checkpoint()
+    entities = n_e.groupBy(F.col("n_e"), "rows0", "rows1").agg(F.min("entity").alias("entity"), F.first("ic").alias("ic"))
+    left = held.join(entities.select("entity", "n_e", "ic"), "entity")
+    right = said.join(classes.select(F.col("first").alias("term"), "n"), "term")
+    best = F.log2(F.lit(float(total)) / F.greatest("n_e", "n"))
+    met = left.join(right, "row").where(best >= F.col("ic") * (p.generalise - 1e-9)) \
+        .groupBy("entity", F.col("term").alias("first")).agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e"), F.first("ic").alias("ic")) \
+        .where(F.col("n_te") >= p.support)
+    members = terms.join(classes, set_of).select("term", "first")
+    return met.join(members, "first").select("term", "n_te", "n_e", "ic")
+
+
+def _met_narrow(mentions: DataFrame, n_e: DataFrame, p: Disclosure) -> DataFrame:
+    """As ``_met``, for the words within ``context`` characters of the entity's mentions."""
+    near = mentions.select("row", "base", "own", F.explode("base").alias("s")) \
+        .select("row", _entity(F.col("s")).alias("entity"), F.filter(_near_words(F.col("own"), F.col("s"), p), lambda w: ~_inside(w)).alias("words"))
+    met = near.join(n_e, "entity", "left_semi").select("row", "entity", F.explode("words.value").alias("w")) \
+        .select("row", "entity", F.lower("w").alias("term")).distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
+    return met.where(F.col("n_te") >= p.support).join(n_e, "entity").select("term", "n_te", "n_e", "ic")
 
 
 def span_text(spans: Column) -> Column:
