@@ -30,6 +30,7 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 WORD = r"[\p{L}\p{N}]++"
+MARK = "\x01"
 SPAN = "array<struct<start:long,rank:int,end:long,value:string>>"
 HIT = "array<struct<start:bigint,end:bigint,value:string>>"
 #: Words placed together where all words of a text are wanted.
@@ -78,23 +79,8 @@ def _shift(words: Column, by: Column) -> Column:
     return F.transform(words, lambda w: F.struct((w["start"] + by).alias("start"), (w["end"] + by).alias("end"), w["value"].alias("value")))
 
 
-def _words(text: Column, p: Disclosure, wanted: Callable[[Column], Column]) -> Column:
-    """(start, end, value) of the ``wanted`` words of a text.
-
-    The fold carries the position and appends a word only if it is wanted, so its array stays as short as its result.
-    """
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        own = F.array(F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), x["value"].alias("value")))
-        hit = (F.length(x["value"]) >= p.min_length) & wanted(x["value"])
-        return F.struct(end.alias("at"), F.when(hit, F.concat(acc["out"], own)).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(_pairs(text, WORD), F.struct(F.lit(0).alias("at"), F.array().cast(HIT).alias("out")), step)["out"]
-
-
-def _all_words(text: Column, p: Disclosure) -> Column:
-    """(start, end, value) of every word of a text; placed in blocks, as appending to one array is quadratic."""
+def _place_all(pairs: Column) -> Column:
+    """(start, end, value) of every pair, in blocks, as appending to one array is quadratic."""
     def blocks(pairs: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int")),
                            lambda b: _placed(F.slice(pairs, b * BLOCK + 1, F.lit(BLOCK))))
@@ -103,9 +89,27 @@ def _all_words(text: Column, p: Disclosure) -> Column:
         return F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(_shift(x["out"], acc["at"]))).alias("out"))
 
     # the one-item array binds the pairs, which would otherwise be made again for every block
-    placed = F.transform(F.array(_pairs(text, WORD)), lambda x: F.when(F.size(x) > 0, blocks(x)))[0]
+    placed = F.transform(F.array(pairs), lambda x: F.when(F.size(x) > 0, blocks(x)))[0]
     out = F.flatten(F.aggregate(placed, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{HIT}>").alias("out")), step)["out"])
-    return F.filter(F.coalesce(out, F.array().cast(HIT)), lambda w: F.length(w["value"]) >= p.min_length)
+    return F.coalesce(out, F.array().cast(HIT))
+
+
+def _all_words(text: Column, p: Disclosure) -> Column:
+    """(start, end, value) of every word of a text."""
+    return F.filter(_place_all(_pairs(text, WORD)), lambda w: F.length(w["value"]) >= p.min_length)
+
+
+def _words(text: Column, p: Disclosure, wanted: Callable[[Column], Column]) -> Column:
+    """(start, end, value) of the ``wanted`` words of a text (gaps that look wanted are among them).
+
+    Wanted words are put between marks and the text is cut there, so only they are placed, whatever the text's length.
+    """
+    marked = F.transform(F.regexp_extract_all(F.translate(text, MARK, " "), F.lit(rf"{WORD}|[^\p{{L}}\p{{N}}]++"), F.lit(0)),
+                         lambda w: F.when((F.length(w) >= p.min_length) & wanted(w), F.concat(F.lit(MARK), w, F.lit(MARK))).otherwise(w))
+    parts = F.split(F.array_join(marked, ""), MARK, -1)
+    pairs = F.transform(F.array(parts), lambda x: F.when(F.size(x) > 1, F.transform(
+        F.sequence(F.lit(0), F.size(x) - 3, F.lit(2)), lambda k: F.struct(F.get(x, k).alias("gap"), F.get(x, k + 1).alias("value")))))[0]
+    return _place_all(F.coalesce(pairs, F.array().cast("array<struct<gap:string,value:string>>")))
 
 
 def _digits(value: Column) -> Column:
@@ -187,15 +191,15 @@ def find_personal_data(docs: DataFrame, p: Disclosure = Disclosure(), id_col: st
     n_e = held.groupBy("entity").agg(F.count("*").alias("n_e"), *_signature()) \
         .where(F.col("n_e") >= p.support).withColumn("ic", F.log2(F.lit(float(total)) / F.col("n_e"))).where("ic > 0").checkpoint()
     n_te = _met_narrow(mentions, n_e, p) if p.narrow else _met(mentions, held, n_e, total, p)
-    word = lambda w: F.length(w) >= p.min_length
-    split = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), word)
-    n_t = rows.select(F.explode(F.array_distinct(F.transform(split, F.lower))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    spoken = F.array_distinct(F.transform(F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= p.min_length), F.lower))
+    n_t = rows.select(F.explode_outer(spoken).alias("term")).where("term is not null").groupBy("term").agg(F.count("*").alias("n_t"))
     close = n_te.join(n_t, "term") \
         .withColumn("disclosure", F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.col("ic")) \
         .where(F.col("disclosure") >= p.generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure")).checkpoint()
 
     maybe = _bitmap(close)
-    words = rows.where(F.exists(split, lambda w: maybe(F.lower(w)))).select("uid", F.explode(_words(text, p, lambda v: maybe(F.lower(v)))).alias("w"))
+    # explode_outer, as Spark would put explode's test for empty arrays, and with it all the work, before it once more
+    words = rows.select("uid", F.explode_outer(_words(text, p, lambda v: maybe(F.lower(v)))).alias("w")).where("w is not null")
     terms = words.select("uid", F.lower("w.value").alias("term"), "w.start", "w.end", "w.value").join(close, "term") \
         .groupBy("uid", "start", "end", "value").agg(F.max("disclosure").alias("disclosure")) \
         .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "disclosure", "end", "value"))).alias("all"))
