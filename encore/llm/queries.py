@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import disclosure, maxscore, piece_viterbi, preference, raking, slots, token_edits
+from encore.llm import disclosure, maxscore, piece_viterbi, preference, raking, slots, token_edits, turn_repair
 from encore.llm.compression import compression_report
 from encore.llm.multiorder_join import near_duplicates
 from encore.llm.secret_cnn import KINDS, scan_secrets, span_digest, train
@@ -173,3 +173,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(docs, train(docs))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(span_digest(F.col("spans"), KINDS[:3]), 256).alias("base_sha256"),
                         span_digest(F.col("spans")).alias("spans"), "n_cnn")
+
+
+@_query("op13_turn_repair")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation after damage."""
+    turns = read_table(spark, sf_dir, "conversations")
+    return turn_repair.audits(turn_repair.damaged(turns), turns)
