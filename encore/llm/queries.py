@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import disclosure, maxscore, piece_viterbi, preference, raking, slots, token_edits, turn_repair
+from encore.llm import context_trees, disclosure, maxscore, piece_viterbi, preference, raking, slots, token_edits, turn_repair
 from encore.llm.compression import compression_report
 from encore.llm.multiorder_join import near_duplicates
 from encore.llm.secret_cnn import KINDS, scan_secrets, span_digest, train
@@ -175,6 +175,16 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_digest(F.col("spans")).alias("spans"), "n_cnn")
 
 
+@_query("op12_context_trees")
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code length of every document under context trees, and its word score, learned from four fifths of all documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = context_trees.train(docs.where(~context_trees.is_held_out()))
+    return context_trees.score(docs, model).select(
+        "doc_id", context_trees.is_held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 @_query("op13_turn_repair")
 def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and repaired digest of every conversation after damage."""
