@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import context_trees, disclosure, maxscore, piece_viterbi, preference, raking, slots, token_edits, turn_repair
+from encore.llm import context_trees, disclosure, maxscore, piece_viterbi, preference, raking, slots, token_edits, turn_repair, zone_negatives
 from encore.llm.compression import compression_report
 from encore.llm.multiorder_join import near_duplicates
 from encore.llm.secret_cnn import KINDS, scan_secrets, span_digest, train
@@ -175,6 +175,29 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_digest(F.col("spans")).alias("spans"), "n_cnn")
 
 
+@_query("op11_zone_negatives", """
+with fine as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                     list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+              where vec_id is not null and label is not null and len(embedding) > 0
+                and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+v as (select * from fine qualify row_number() over (partition by vec_id order by label, v) = 1),
+s as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+             cast(list_dot_product(cast(a.v as double[]), cast(c.v as double[])) as bigint) as score
+      from v a join v c on a.vec_id % 100 = 0 and c.vec_id <> a.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (select p.*, s.vec_id as negative_id, s.score as negative_score,
+             cast(row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) as integer) as rank
+      from p join s on p.anchor_id = s.anchor_id and not s.same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10
+""")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of the five best positives of every hundredth vector, over all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = zone_negatives.integer_rows(read_table(spark, sf_dir, "embeddings"), label=label).checkpoint()
+    return zone_negatives.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 @_query("op12_context_trees")
 def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code length of every document under context trees, and its word score, learned from four fifths of all documents."""
