@@ -6,9 +6,14 @@ category; the best category wins with ties going to the earlier category, and
 artists with no hit get ``other`` (an empty genre list was replaced by
 ``['unknown']``, which hits nothing).
 
-The score depends on the row alone, so it is an expression of the row: one
-``aggregate`` over the genres per category with the fixed rules as literals. No
-join, no shuffle; rows that share an id are scored apart.
+With the fixed rules the score depends on the row alone and is an expression of
+the row: one ``aggregate`` over the genres per category with the rules as
+literals. No join, no shuffle; rows that share an id are scored apart.
+
+Rules of any number come as a DataFrame (``*_by_rules``): distinct genres and
+patterns meet on the pattern's rarest trigram, an equi-join, and ``contains``
+decides; shorter patterns meet on themselves. Scores of distinct genres are then
+joined to the artists' genre elements.
 """
 
 from __future__ import annotations
@@ -128,6 +133,69 @@ def primary_genre(artists: DataFrame, rules=None) -> DataFrame:
     return artists.select("id", primary_genre_of("genres", rules).alias("primary_genre"))
 
 
+RULES_DDL = "rule_no int, category string, category_ord int, weight int, pattern string"
+
+
+def rules_table(spark, rules=None) -> DataFrame:
+    """The fixed rules as a DataFrame (rule_no, category, category_ord, weight, pattern)."""
+    return spark.createDataFrame(rule_rows(rules), RULES_DDL)
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Distinct pieces of ``size`` characters of a text."""
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def genre_hits_by_rules(genres: DataFrame, rules: DataFrame) -> DataFrame:
+    """J07 on distinct lower-cased texts (``genre``): (genre, category, category_ord, score) by rules of any number.
+
+    A pattern of three or more characters meets the genres that hold its rarest trigram, a shorter one those that hold
+    itself as a piece, an empty one every genre; ``contains`` then decides. Patterns that occur in several rules count
+    for each; NULL patterns hit nothing.
+    """
+    text, pattern = F.col("genre"), F.col("pattern")
+    pieces = F.concat(F.array(F.lit("")), *[_grams(text, n) for n in (1, 2, 3)])
+    held = genres.select("genre", F.explode(pieces).alias("piece"))
+    often = held.where(F.length("piece") == 3).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    distinct = rules.where(pattern.isNotNull()).select("pattern").distinct()
+    # the trigram in the fewest genres; a pattern one of whose trigrams no genre holds hits nothing
+    long = distinct.where(F.length("pattern") >= 3).withColumn("asked", _grams(pattern, 3)).select("pattern", F.size("asked").alias("size"), F.explode("asked").alias("piece"))
+    rarest = long.join(often, "piece").groupBy("pattern", "size").agg(F.min(F.struct("n", "piece")).alias("best"), F.count(F.lit(1)).alias("met")) \
+        .where(F.col("met") == F.col("size")).select("pattern", F.col("best.piece").alias("piece"))
+    keyed = rarest.unionByName(distinct.where(F.length("pattern") < 3).select("pattern", F.col("pattern").alias("piece")))
+    found = held.join(keyed, "piece").where(text.contains(pattern)).select("genre", "pattern")
+    return found.join(rules, "pattern").groupBy("genre", "category", "category_ord").agg(F.sum(F.col("weight").cast("bigint")).alias("score")) \
+        .where(F.col("score") > 0)
+
+
+def genre_scores_by_rules(artists: DataFrame, rules: DataFrame) -> DataFrame:
+    """J07 with rules as data: (row, id, category, category_ord, score) for every artist row and category with a hit.
+
+    ``row`` tells rows that share an id apart. Every genre element of an artist counts, also a repeated one.
+    """
+    elements = artists.select(F.monotonically_increasing_id().alias("row"), "id", F.col("genres").alias("own")).checkpoint() \
+        .select("row", "id", F.explode("own").alias("g")).select("row", "id", F.lower("g").alias("genre")).where("genre is not null")
+    times = elements.groupBy("row", "id", "genre").agg(F.count(F.lit(1)).alias("times"))
+    hits = genre_hits_by_rules(elements.select("genre").distinct(), rules)
+    return times.join(hits, "genre").groupBy("row", "id", "category", "category_ord").agg(F.sum(F.col("score") * F.col("times")).alias("score"))
+
+
+def best_category_by_rules(artists: DataFrame, rules: DataFrame) -> DataFrame:
+    """W05 with rules as data: (row, id, best, best_score) for artist rows with hits; ties go to the earlier category."""
+    best = genre_scores_by_rules(artists, rules).groupBy("row", "id").agg(
+        F.max(F.struct("score", (-F.col("category_ord")).alias("early"), "category")).alias("b"))
+    return best.select("row", "id", F.col("b.category").alias("best"), F.col("b.score").alias("best_score"))
+
+
+def primary_genre_by_rules(artists: DataFrame, rules: DataFrame) -> DataFrame:
+    """G01 with rules as data: (id, primary_genre) for every artist row, ``other`` without hits."""
+    numbered = artists.select(F.monotonically_increasing_id().alias("n"), "id", "genres").checkpoint()
+    keyed = numbered.select(F.struct("n", "id").alias("id"), "genres")
+    best = best_category_by_rules(keyed, rules).select(F.col("id.n").alias("n"), "best")
+    return numbered.join(best, "n", "left").select("id", F.coalesce("best", F.lit(OTHER)).alias("primary_genre"))
+
+
 def artist_catalog(raw: DataFrame, rules=None, with_time: bool = True) -> DataFrame:
     """Cleaned catalog with popularity range, primary genre and followers tier (P14 order)."""
     return clean_artists(raw).select(

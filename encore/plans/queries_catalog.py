@@ -73,6 +73,20 @@ def j07_substring_theta_join(spark, sf):
     return G.genre_scores(a)
 
 
+@query("g01_rules_as_data", f"""with {SCORES}
+select ca.id, coalesce(best.best, 'other') primary_genre from ca left join best using (rn_)""")
+def g01_rules_as_data(spark, sf):
+    """Primary genre per artist with the rules as a DataFrame, by a join on the patterns' rarest trigrams."""
+    return G.primary_genre_by_rules(G.clean_artists(_raw(spark, sf)), G.rules_table(spark))
+
+
+@query("j07_trigram_join", f"""with {SCORES}
+select id, category, score from sc""")
+def j07_trigram_join(spark, sf):
+    """The substring join with the rules as a DataFrame: equi-join on trigrams, then contains."""
+    return G.genre_scores_by_rules(G.clean_artists(_raw(spark, sf)), G.rules_table(spark)).select("id", "category", "score")
+
+
 @query("w05_argmax_category", f"""with {SCORES}
 select id, best, best_score from best""")
 def w05_argmax_category(spark, sf):

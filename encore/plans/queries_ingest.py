@@ -329,8 +329,11 @@ def s13_catalog_build(spark, sf):
     """Create the database and its five external tables over what the jobs wrote, repair partitions, verify (S13 + S14)."""
     at = {name: _job(spark, sf, name).path for name in jobs.JOBS}
     at["artists_catalog"] = sinks.write_catalog(G.artist_catalog(fx.artists_raw(spark, sf)))
-    db = f"encore_{abs(hash(at['artists_catalog'])) % 10_000_000}"
-    return catalog.build_catalog(spark, db, at, replace=True)
+    db = "encore_s13_" + at["artists_catalog"].rsplit("-", 1)[-1]
+    try:
+        return catalog.build_catalog(spark, db, at, replace=True)
+    finally:
+        catalog.drop_database(spark, db)
 
 
 @query("s14_catalog_verify", f"""with {CATALOG}
@@ -338,10 +341,13 @@ select popularity_range, primary_genre, count(*) artists from cat group by popul
 def s14_catalog_verify(spark, sf):
     """Query the registered table through the catalog: rows per registered partition."""
     path = sinks.write_catalog(G.artist_catalog(fx.artists_raw(spark, sf)))
-    db = f"encore_{abs(hash(path)) % 10_000_000}"
+    db = "encore_s14_" + path.rsplit("-", 1)[-1]
     catalog.build_catalog(spark, db, {"artists_catalog": path}, replace=True)
-    return (spark.table(f"{db}.artists_catalog").groupBy("popularity_range", "primary_genre")
-            .agg(F.count(F.lit(1)).alias("artists")))
+    try:
+        return (spark.table(f"{db}.artists_catalog").groupBy("popularity_range", "primary_genre")
+                .agg(F.count(F.lit(1)).alias("artists")).checkpoint())
+    finally:
+        catalog.drop_database(spark, db)
 
 
 def _profile_table(spark, sf):

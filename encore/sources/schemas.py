@@ -57,6 +57,13 @@ TABLES: dict[str, TableSpec] = {t.name: t for t in [
         "play_day_of_week int, play_month int, play_year int, season string, processed_at timestamp",
         key=("user_id", "track_id", "played_at_utc"), sort=("played_at_utc",), partition_by=("user_id",),
         description="Cleaned, deduplicated play history"),
+    TableSpec(
+        "play_history",
+        "user_id string, played_at_utc timestamp, played_at_local timestamp_ntz, track_id string, artist_id string, artist_name string, "
+        "duration_ms bigint, duration_minutes double, popularity int, explicit boolean, play_hour int, play_day_of_week int, play_month int, "
+        "play_year int, season string, play_month_key string, user_bucket int",
+        key=("user_id", "track_id", "played_at_utc"), sort=("user_id", "played_at_utc"), partition_by=("play_month_key", "user_bucket"),
+        description="Play history by local month and user bucket, for trailing windows"),
     TableSpec(
         "likes",
         "user_id string, added_at_utc timestamp, added_at_local timestamp_ntz, track_id string, "
