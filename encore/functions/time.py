@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Formats and zone used by the raw inputs.
 PLAYED_AT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSX"   # 'Z' read as a UTC offset, not a literal
-SECONDS_PATTERN = "yyyy-MM-dd'T'HH:mm:ssX"         # without the fraction
+FRACTION_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SS][.S]X"   # none, or one to six digits
 DEFAULT_TZ = "America/Mexico_City"
 DISPLAY_FORMAT = "yyyy-MM-dd"
 EXPORT_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -20,12 +20,12 @@ def _c(c) -> Column:
 
 
 def parse_utc(c, pattern: str = PLAYED_AT_PATTERN) -> Column:
-    """ISO text with or without a fraction of three digits -> instant.
+    """ISO text without a fraction or with one of one to six digits -> instant.
 
     Other text (a time or a year alone, other formats) gives NULL; it never becomes a time of the run's own day.
     """
     c = _c(c)
-    return F.coalesce(F.try_to_timestamp(c, F.lit(pattern)), F.try_to_timestamp(c, F.lit(SECONDS_PATTERN)))
+    return F.coalesce(F.try_to_timestamp(c, F.lit(pattern)), F.try_to_timestamp(c, F.lit(FRACTION_PATTERN)))
 
 
 def to_local(ts_utc, tz: str = DEFAULT_TZ) -> Column:
@@ -75,6 +75,12 @@ def in_trailing_window(local, as_of, days_back: int, upper: bool = False) -> Col
     return cond
 
 
+def duration_minutes(ms) -> Column:
+    """round(ms / 60000, 2) with HALF_UP done in exact integer arithmetic (P10)."""
+    c = _c(ms)
+    return F.when(c >= 0, F.floor((c + 300) / 600) / 100.0).otherwise(F.round(c / 60000.0, 2))
+
+
 def date_part_of_iso(c) -> Column:
     """Text before the 'T' of an ISO string."""
     return F.split_part(_c(c), F.lit("T"), F.lit(1))

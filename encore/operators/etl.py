@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.functions.time import DEFAULT_TZ, calendar_fields, parse_utc, season, to_local
+from encore.functions.time import DEFAULT_TZ, calendar_fields, duration_minutes, parse_utc, season, to_local
 from encore.operators.dedup import keep_one
-from encore.sources.fixtures import duration_minutes
 from encore.sources.schemas import TABLES
 
 # Default texts and numbers filled in by the reference.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from encore.functions import labels as L
 from encore.functions.time import date_part_of_iso, in_trailing_window
+from encore.operators import daily as DY
 from encore.operators import insights as I
 from encore.operators.profiles import DEFAULT_PROFILE
 
@@ -41,6 +42,17 @@ def insights_summary(plays: DataFrame, as_of=None, days_back: int = 90, user_id=
     """
     top = I.top_artists(plays, as_of, days_back, 10, user_id)
     agg = I.user_category_aggregates(plays, as_of, min(days_back, 30), days_back, days_back, user_id, users)
+    return _summary(top, agg)
+
+
+def daily_summary(daily: DY.Daily, as_of=None, days_back: int = 90, user_id=None, users: DataFrame | None = None) -> DataFrame:
+    """C05 from the stored daily partials: the same table without reading plays."""
+    return _summary(DY.top_artists(daily, as_of, days_back, 10, user_id),
+                    DY.user_category_aggregates(daily, as_of, min(days_back, 30), days_back, days_back, user_id, users))
+
+
+def _summary(top: DataFrame, agg: DataFrame) -> DataFrame:
+    """The long table from the ranking and the per-user category aggregates."""
     none_i, none_l, none_d = F.lit(None).cast("int"), F.lit(None).cast("bigint"), F.lit(None).cast("double")
 
     def row(insight, item, position, play_count, distinct=none_l, avg_pop=none_d, pct=none_d):
@@ -77,6 +89,21 @@ def run_insight(name: str, plays: DataFrame, as_of=None, days_back: int = 90, li
     return INSIGHTS[name](plays, as_of, days_back, limit, users)
 
 
+DAILY_INSIGHTS = {
+    "top_artists": lambda daily, as_of, days_back, limit, users: DY.top_artists(daily, as_of, days_back, limit),
+    "daily_pattern": lambda daily, as_of, days_back, limit, users: DY.hourly_pattern(daily, as_of, min(days_back, 30), users=users),
+    "weekly_pattern": lambda daily, as_of, days_back, limit, users: DY.weekday_weekend(daily, as_of, days_back, users=users),
+    "popularity_distribution": lambda daily, as_of, days_back, limit, users: DY.popularity_distribution(daily, as_of, days_back, users=users),
+}
+
+
+def run_daily_insight(name: str, daily: DY.Daily, as_of=None, days_back: int = 90, limit: int = 10, users: DataFrame | None = None) -> DataFrame:
+    """C06 from the stored daily partials."""
+    if name not in DAILY_INSIGHTS:
+        raise ValueError(f"invalid insight type: {name!r}")
+    return DAILY_INSIGHTS[name](daily, as_of, days_back, limit, users)
+
+
 def executive_summary(plays: DataFrame, as_of=None, days_back: int = 30, user_id=None,
                       users: DataFrame | None = None) -> DataFrame:
     """Top artist, plays of the top 3, weekend preference, taste label, activity level.
@@ -192,12 +219,16 @@ def recents_card(plays: DataFrame, artists: DataFrame, as_of=None, days: int = R
 
 
 def weekly_evolution(plays: DataFrame) -> DataFrame:
-    """C11: plays and distinct artists per user and local week, change vs previous week."""
+    """C11: plays and distinct artists per user and local week, change against the calendar week before.
+
+    A week without plays counts as 0 plays (no percentage); a user's first week has nothing to compare with.
+    """
     wk = F.date_trunc("week", F.col("played_at_local")).cast("date")
     per = plays.groupBy("user_id", wk.alias("week_start")).agg(
         F.count(F.lit(1)).alias("plays"), F.count_distinct("artist_id").alias("distinct_artists"))
     w = Window.partitionBy("user_id").orderBy("week_start")
-    prev = F.lag("plays").over(w)
+    earlier = F.lag("week_start").over(w)
+    prev = F.when(earlier == F.date_sub("week_start", 7), F.lag("plays").over(w)).when(earlier.isNotNull(), F.lit(0))
     return per.select("user_id", "week_start", "plays", "distinct_artists",
                       (F.col("plays") - prev).alias("plays_change"),
                       F.when(prev > 0, (F.col("plays") - prev) / prev.cast("double") * 100).alias("plays_change_pct"))

@@ -24,7 +24,7 @@ clean_rows as (
     coalesce(trim(track_name), 'Unknown Track') track_name, coalesce(trim(artist_name), 'Unknown Artist') artist_name,
     coalesce(trim(album_name), 'Unknown Album') album_name, coalesce(cast(duration_ms as bigint), 0) duration_ms,
     coalesce(popularity, 0) popularity, coalesce(explicit, false) explicit, played_at_utc - interval 6 hour played_at_local
-  from (select *, coalesce(try_strptime(played_at, '%Y-%m-%dT%H:%M:%S.%gZ'), try_cast(played_at as timestamp)) played_at_utc
+  from (select *, coalesce(try_strptime(played_at, '%Y-%m-%dT%H:%M:%S.%gZ'), try_strptime(played_at, '%Y-%m-%dT%H:%M:%SZ')) played_at_utc
         from raw_rows where played_at is not null and track_id is not null and artist_id is not null) v)"""
 DEDUP = CLEAN_ROWS + """,
 dedup as (
@@ -81,7 +81,7 @@ def p05_default_fill(spark, sf):
 
 @query("p08_parse_utc", """
 select user_id, track_id, played_at,
-  coalesce(try_strptime(played_at, '%Y-%m-%dT%H:%M:%S.%gZ'), try_cast(played_at as timestamp)) played_at_utc
+  coalesce(try_strptime(played_at, '%Y-%m-%dT%H:%M:%S.%gZ'), try_strptime(played_at, '%Y-%m-%dT%H:%M:%SZ')) played_at_utc
 from raw_plays""")
 def p08_parse_utc(spark, sf):
     """ISO text -> UTC instant; NULL for missing or unparseable text."""
@@ -197,7 +197,7 @@ def u06_dedup_top_tracks(spark, sf):
 r as (select user_id, count(*) raw_records, count(*) filter (where track_id is null) null_track_ids,
         count(*) filter (where played_at is not null and track_id is not null and artist_id is not null) valid_records,
         count(*) filter (where played_at is not null and track_id is not null and artist_id is not null and
-          coalesce(try_strptime(played_at, '%Y-%m-%dT%H:%M:%S.%gZ'), try_cast(played_at as timestamp)) is null)
+          coalesce(try_strptime(played_at, '%Y-%m-%dT%H:%M:%S.%gZ'), try_strptime(played_at, '%Y-%m-%dT%H:%M:%SZ')) is null)
           unparsed_times
       from raw_rows group by user_id),
 c as (select user_id, count(*) clean_records, min(played_at_utc) min_utc, max(played_at_utc) max_utc,

@@ -21,6 +21,7 @@ from encore.plans.queries_catalog import CLEAN as CATALOG_CLEAN
 from encore.plans.queries_clean import DEDUP
 from encore.plans.queries_insights import _dominant_sql, _hourly_sql, _tiers_sql, _top_sql, _weekly_sql, win
 from encore.plans.queries_profiles import _profiled_sql
+from encore.plans import jobs
 from encore.plans.registry import query
 from encore.sources import fixtures as fx
 from encore.sources.tables import read_table
@@ -267,13 +268,12 @@ def c10_recents_card(spark, sf):
 
 @query("c11_weekly_evolution", """
 with g as (select user_id, cast(date_trunc('week', played_at_local) as date) week_start, count(*) plays,
-             count(distinct artist_id) distinct_artists from plays group by user_id, week_start)
-select user_id, week_start, plays, distinct_artists,
-  plays - lag(plays) over (partition by user_id order by week_start) plays_change,
-  case when lag(plays) over (partition by user_id order by week_start) > 0
-       then (plays - lag(plays) over (partition by user_id order by week_start))
-            / cast(lag(plays) over (partition by user_id order by week_start) as double) * 100 end plays_change_pct
-from g""")
+             count(distinct artist_id) distinct_artists from plays group by user_id, week_start),
+f as (select user_id, min(week_start) first_week from g group by user_id)
+select g.user_id, g.week_start, g.plays, g.distinct_artists,
+  case when g.week_start > first_week then g.plays - coalesce(p.plays, 0) end plays_change,
+  (g.plays - p.plays) / cast(p.plays as double) * 100 plays_change_pct
+from g join f on f.user_id = g.user_id left join g p on p.user_id = g.user_id and p.week_start = g.week_start - 7""")
 def c11_weekly_evolution(spark, sf):
     """Weekly plays and distinct artists per user with the change against the previous week."""
     return D.weekly_evolution(_plays(spark, sf))
@@ -522,12 +522,10 @@ def s22_followed_document(spark, sf):
 
 
 @query("a26_job_outcome", f"""with {DEDUP}
-select r.user_id, case when coalesce(c.n, 0) > 0 then 'processed' else 'skipped' end status, coalesce(c.n, 0) records
+select r.user_id, case when coalesce(c.n, 0) > 0 then 'processed' else 'failed' end status, coalesce(c.n, 0) records
 from (select distinct user_id from raw_rows) r left join (select user_id, count(*) n from dedup group by user_id) c
   using (user_id)""")
 def a26_job_outcome(spark, sf):
-    """Per-user job status of the plays ETL (processed when it produced rows)."""
-    raw = fx.raw_play_rows(spark, sf)
-    q = etl.plays_quality_one_pass(raw)
-    return q.select("user_id", F.when(F.col("clean_records") > 0, "processed").otherwise("skipped").alias("status"),
-                    F.col("clean_records").alias("records"))
+    """Per-user status of the plays ETL over rows in memory; the same rule as the jobs' outcome."""
+    q = etl.plays_quality_one_pass(fx.raw_play_rows(spark, sf))
+    return q.select("user_id", jobs.status(F.col("clean_records")).alias("status"), F.col("clean_records").alias("records"))

@@ -155,17 +155,16 @@ def _landed(spark, sf):
     return raw.stage_plays_csv(fx.raw_play_rows(spark, sf), scratch_path(spark, "raw_plays_csv"))
 
 
-def _streamed(spark, sf, hourly: bool = False) -> tuple[str, str | None]:
+def _streamed(spark, sf) -> str:
     """Two runs: the files of the later half of the month, then the late files of the earlier half."""
     rows = fx.raw_play_rows(spark, sf)
     late = F.coalesce(F.col("played_at") < "2024-01-16", F.lit(False))
     root = scratch_path(spark, "raw_plays_csv")
     table, ckpt = scratch_path(spark, "user_tracks_stream"), scratch_path(spark, "ingest_ckpt")
-    counts = scratch_path(spark, "hourly_stream") if hourly else None
     for part in (rows.filter(~late), rows.filter(late)):
         raw.stage_plays_csv(part, root, mode="append")
-        ingest.ingest_available(spark, root, table, ckpt, counts)
-    return table, counts
+        ingest.ingest_available(spark, root, table, ckpt)
+    return table
 
 
 @query("z02_stream_batch_equivalence", C01_CSV_SQL)
@@ -175,14 +174,14 @@ def z02_stream_batch_equivalence(spark, sf):
     Landing in CSV turns an empty name into an empty field, which reads back as
     NULL (then 'Unknown Artist'), exactly as the batch job reading the same files.
     """
-    return instants_as_ntz(ingest.read_plays(spark, _streamed(spark, sf)[0]).select(*OUT_COLS))
+    return instants_as_ntz(ingest.read_plays(spark, _streamed(spark, sf)).select(*OUT_COLS))
 
 
 @query("z01_incremental_ingest", f"""with {CLEAN_ROWS}
 select distinct user_id, track_id, played_at_utc from clean_rows""")
 def z01_incremental_ingest(spark, sf):
     """Keys in the table after two runs over new files, the second with older plays: none is lost, none is double."""
-    return instants_as_ntz(ingest.read_plays(spark, _streamed(spark, sf)[0]).select("user_id", "track_id", "played_at_utc"))
+    return instants_as_ntz(ingest.read_plays(spark, _streamed(spark, sf)).select("user_id", "track_id", "played_at_utc"))
 
 
 @query("z03_hourly_stream", f"""with {CLEAN_ROWS},
@@ -192,7 +191,7 @@ select user_id, hour_start_utc, hour_start_utc - interval 6 hour hour_start_loca
   cast(hour(hour_start_utc - interval 6 hour) as int) play_hour, plays from w""")
 def z03_hourly_stream(spark, sf):
     """Plays per user and hour kept by the stream, late plays included, all hours."""
-    return instants_as_ntz(ingest.read_hourly(spark, _streamed(spark, sf, hourly=True)[1]))
+    return instants_as_ntz(ingest.read_hourly(spark, _streamed(spark, sf)))
 
 
 # --- sources over landed files, catalog, profile sinks ------------------------------------
@@ -282,22 +281,24 @@ def c04_top_tracks_job(spark, sf):
 
 
 @query("a17_quality_all_tables", f"""with {DEDUP_CSV},
-lk as (select user_id, count(*) raw_records, min(added_at_utc) lo, max(added_at_utc) hi,
+lk as (select user_id, count(*) raw_records, date_trunc('second', min(added_at_utc)) lo, date_trunc('second', max(added_at_utc)) hi,
          count(distinct (track_id, date_trunc('second', added_at_utc))) clean from likes group by user_id),
 fo as (select user_id, count(*) raw_records, count(distinct artist_id) clean from follows_raw group by user_id),
 tt as (select user_id, count(*) raw_records from top_tracks group by user_id),
 r as (select user_id, count(*) raw_records, count(*) filter (where track_id is null) null_track_ids,
-        count(*) filter (where played_at is not null and track_id is not null and artist_id is not null) valid_records
+        count(*) filter (where played_at is not null and track_id is not null and artist_id is not null) valid_records,
+        count(*) filter (where played_at = 'bad' and track_id is not null and artist_id is not null) unparsed_times
       from raw_rows group by user_id),
-c as (select user_id, count(*) clean_records, min(played_at_utc) min_utc, max(played_at_utc) max_utc from dedup group by user_id)
-select 'user_tracks' table_name, r.user_id, raw_records, null_track_ids, valid_records, coalesce(clean_records, 0) clean_records,
-  valid_records - coalesce(clean_records, 0) duplicates_removed, min_utc, max_utc from r left join c using (user_id)
-union all select 'likes', user_id, raw_records, 0, raw_records, clean, raw_records - clean, date_trunc('second', lo), date_trunc('second', hi) from lk
-union all select 'followed_artists', user_id, raw_records, 0, raw_records, clean, raw_records - clean, null, null from fo
-union all select 'top_tracks', user_id, raw_records, 0, raw_records, raw_records, 0, null, null from tt""")
+c as (select user_id, count(*) clean_records, min(played_at_utc) min_utc, max(played_at_utc) max_utc, min(played_at_local) min_local,
+        max(played_at_local) max_local from dedup group by user_id)
+select 'user_tracks' table_name, r.user_id, raw_records, null_track_ids, valid_records, unparsed_times, coalesce(clean_records, 0) clean_records,
+  valid_records - coalesce(clean_records, 0) duplicates_removed, min_utc, max_utc, min_local, max_local from r left join c using (user_id)
+union all select 'likes', user_id, raw_records, 0, raw_records, 0, clean, raw_records - clean, lo, hi, lo - interval 6 hour, hi - interval 6 hour from lk
+union all select 'followed_artists', user_id, raw_records, 0, raw_records, 0, clean, raw_records - clean, null, null, null, null from fo
+union all select 'top_tracks', user_id, raw_records, 0, raw_records, 0, raw_records, 0, null, null, null, null from tt""")
 def a17_quality_all_tables(spark, sf):
-    """The quality reports of all four jobs, per table and user."""
-    reports = [_job(spark, sf, name).quality for name in jobs.JOBS]
+    """The quality reports of all four jobs, per table and user (the number of source files is the writer's)."""
+    reports = [_job(spark, sf, name).quality.drop("source_files") for name in jobs.JOBS]
     return instants_as_ntz(reduce(lambda a, b: a.unionByName(b), reports))
 
 
@@ -317,6 +318,18 @@ def a26_job_summary(spark, sf):
     return jobs.outcome_summary(res.outcome).drop("files")
 
 
+@query("a26_catalog_run", f"""with {CATALOG}
+select case when count(*) > 0 then 'processed' else 'failed' end status, (select count(*) from artists_raw) original_records, count(*) processed_records,
+  (select count(*) from artists_raw) - count(*) dropped_records,
+  (select count(*) from (select distinct popularity_range, primary_genre from cat) d) partitions, true timed from cat""")
+def a26_catalog_run(spark, sf):
+    """The report of a catalog run over landed artist documents: records in, kept, dropped, partitions (files are the writer's)."""
+    root = scratch_path(spark, "artists_json")
+    fx.artists_raw(spark, sf).write.mode("overwrite").json(root)
+    run = jobs.run_catalog_job(spark, root, scratch_path(spark, "artists_catalog"), multi_line=False)
+    return run.report.select("status", "original_records", "processed_records", "dropped_records", "partitions", (F.col("duration_seconds") > 0).alias("timed"))
+
+
 @query("s13_catalog_build", f"""with {CATALOG},
 p as (
   select 'artists_catalog' table_name, count(*) partitions from (select distinct popularity_range, primary_genre from cat) d

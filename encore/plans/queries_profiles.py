@@ -8,6 +8,7 @@ from encore.operators import clustering as CL
 from encore.operators import features as FE
 from encore.operators import profiles as PR
 from encore.plans.registry import query
+from encore.session import scratch_path
 from encore.sources import fixtures as fx
 
 
@@ -363,15 +364,30 @@ def _clustered(spark, sf):
 
 
 @query("m04_kmeans", f"""with {_features_sql(30)}
-select user_id, true valid_label, {CL.K} labels_used from feat""")
+select user_id, true nearest, true cost_matches, {CL.K} labels_used from feat""")
 def m04_kmeans(spark, sf):
     """K-means (k=5, seed 42, 20 restarts, 500 iterations) on robust-scaled features: one label per user, all k used.
 
-    Labels themselves are engine-specific, so the query states what holds for any of them.
+    Labels themselves are engine-specific, so the query checks them against the data: every user's cluster has the
+    nearest mean, and the fit's cost is the sum of squares around the means, both recomputed from the labels.
     """
-    c = _clustered(spark, sf).select("user_id", "cluster")
-    used = c.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).cast("int").alias("labels_used"))
-    return c.join(F.broadcast(used), F.lit(True)).select("user_id", F.col("cluster").between(0, CL.K - 1).alias("valid_label"), "labels_used")
+    clustered, fit = CL.kmeans_clusters(_features(spark, sf, 30))
+    c = CL.cluster_check(clustered, fit).select("user_id", "cluster", "nearest", "cost_matches")
+    used = c.agg(F.count_distinct("cluster").cast("int").alias("labels_used"))
+    return c.join(F.broadcast(used), F.lit(True)).select("user_id", "nearest", "cost_matches", "labels_used")
+
+
+@query("m04_stored_model", f"""with {_features_sql(30)}
+select user_id, true same_cluster from feat""")
+def m04_stored_model(spark, sf):
+    """The fitted scaler and centres saved as a Spark ML pipeline, loaded and applied: the same cluster for every user."""
+    from pyspark.ml import PipelineModel
+    features = _features(spark, sf, 30)
+    clustered, fit = CL.kmeans_clusters(features)
+    path = scratch_path(spark, "kmeans-model")
+    fit.pipeline().write().overwrite().save(path)
+    again = PipelineModel.load(path).transform(features).select("user_id", F.col("cluster").alias("loaded"))
+    return clustered.select("user_id", "cluster").join(again, "user_id").select("user_id", (F.col("cluster") == F.col("loaded")).alias("same_cluster"))
 
 
 @query("a16_cluster_centroids", f"""with {_features_sql(30)}

@@ -44,6 +44,6 @@ def query(name: str, sql: str | None = None, ctes: str = ""):
 
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries."""
-    from encore.plans import (queries_catalog, queries_clean, queries_dashboard,  # noqa: F401
+    from encore.plans import (queries_catalog, queries_clean, queries_daily, queries_dashboard,  # noqa: F401
                               queries_ingest, queries_insights, queries_profiles, queries_sql)
     return REGISTRY

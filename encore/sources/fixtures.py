@@ -18,7 +18,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from encore.functions.time import DEFAULT_TZ, calendar_fields, season, to_local
+from encore.functions.time import DEFAULT_TZ, calendar_fields, duration_minutes, season, to_local
 from encore.session import scratch_path
 from encore.sources.tables import read_table
 
@@ -94,12 +94,6 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def duration_minutes(ms) -> F.Column:
-    """round(ms / 60000, 2) with HALF_UP done in exact integer arithmetic (P10)."""
-    c = F.col(ms) if isinstance(ms, str) else ms
-    return F.when(c >= 0, F.floor((c + 300) / 600) / 100.0).otherwise(F.round(c / 60000.0, 2))
-
-
 @memoized
 def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = plays(spark, sf_dir).select("event_id", "k", "user_id", "track_id", "artist_id", "artist_name", "played_at_utc")

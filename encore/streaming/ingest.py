@@ -4,30 +4,30 @@
   it every few hours and stop. Every cleaned row reaches the keyed merge, however late: a new user's old history
   or a delayed file is merged like any other, and overlapping pulls meet on the play key there. No watermark
   decides about rows; the state is the table itself.
-* Z02: each micro-batch is merged into the plays table. Only the (bucket, month) partitions that the batch
-  touches are opened; the merged partitions are written as a new version and published by a manifest
-  (``sources.versioned``), so a crash at any point leaves the old version readable and a retried batch gives the
-  same table. The keep-one rule is associative, so the streamed table equals the batch rebuild (C01).
-* Z03: plays per user and hour, recounted from the merged plays of the touched partitions and published the same
-  way: late rows correct their hour, nothing waits for a watermark, nothing is collected.
+* Z02: each micro-batch writes its cleaned rows as plain Parquet under ``batch_id=<n>``, replacing that folder, so
+  a retried batch leaves what one run leaves. Reading applies the keep-one rule over all batches; the rule is
+  associative, so the streamed table equals the batch rebuild (C01), whatever came when. ``compact`` is the scheduled
+  job that rewrites the batches so far, deduplicated; reads then open its result and the batches after it.
+* Z03: plays per user and hour, grouped from the same read: late rows correct their hour, nothing waits for a
+  watermark, nothing is collected.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from encore.functions.time import DEFAULT_TZ, to_local
 from encore.operators import etl
-from encore.sources import versioned
+from encore.operators.dedup import keep_one
 from encore.sources.raw import with_path_user
 from encore.sources.schemas import RAW_PLAYS_DDL, TABLES
 
 ROW_COLUMNS = ["user_id", "track_id", "artist_id", "album_id", "played_at_utc", "track_name", "artist_name",
                "album_name", "duration_ms", "popularity", "explicit", "played_at_local"]
-HOURLY_DDL = "user_id string, hour_start_utc timestamp, hour_start_local timestamp_ntz, play_hour int, plays bigint"
 
 
 def play_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -44,14 +44,54 @@ def read_user_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TABLES["user_tracks"].schema).parquet(path)
 
 
-def read_plays(spark: SparkSession, table: str) -> DataFrame:
-    """The streamed plays table as published now."""
-    return versioned.read_current(spark, table, TABLES["user_tracks"].schema)
+def read_rows(spark: SparkSession, table: str, after: int | None = None) -> DataFrame:
+    """Cleaned rows of all batches (after batch ``after``), copies included."""
+    schema = StructType([f for f in TABLES["user_tracks"].schema.fields if f.name in ROW_COLUMNS] + [StructField("batch_id", LongType())])
+    try:
+        rows = spark.read.schema(schema).parquet(table)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schema)
+    rows = rows if after is None else rows.filter(F.col("batch_id") > after)
+    return rows.select(*ROW_COLUMNS)
+
 
+def read_plays(spark: SparkSession, table: str, compacted: str | None = None, upto: int | None = None) -> DataFrame:
+    """The streamed plays table: one row a play. With a ``compact`` result (its path and last batch) only later batches are read beside it."""
+    rows = read_rows(spark, table, upto if compacted else None)
+    if compacted:
+        rows = rows.unionByName(spark.read.schema(TABLES["user_tracks"].schema).parquet(compacted).select(*ROW_COLUMNS))
+    return etl.finish_plays(rows, with_time=False)
 
-def read_hourly(spark: SparkSession, table: str) -> DataFrame:
-    """The streamed hourly counts as published now."""
-    return versioned.read_current(spark, table, StructType.fromDDL(HOURLY_DDL))
+
+def compact(spark: SparkSession, table: str, out: str, compacted: str | None = None, upto: int | None = None) -> int | None:
+    """Scheduled job: write the plays of all batches so far, deduplicated, to ``out`` (a new folder); the last batch in it.
+
+    Pass ``out`` and the number to later reads, and the earlier result to the next compaction. Batches that arrive
+    meanwhile have greater numbers and stay outside.
+    """
+    last = read_batches(spark, table).agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return upto
+    (read_plays(spark, table, compacted, upto).hint("rebalance", "user_id").sortWithinPartitions("user_id", "played_at_utc")
+     .write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).parquet(out))
+    return last
+
+
+def read_batches(spark: SparkSession, table: str) -> DataFrame:
+    """(batch_id) of the rows written, from the folder names; an absent table has none."""
+    try:
+        return spark.read.schema("batch_id long").parquet(table).select("batch_id")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "batch_id long")
+
+
+def read_hourly(spark: SparkSession, table: str, compacted: str | None = None, upto: int | None = None) -> DataFrame:
+    """The hourly counts of the streamed plays."""
+    return hourly_counts(read_plays(spark, table, compacted, upto))
 
 
 def hourly_counts(plays: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
@@ -63,50 +103,28 @@ def hourly_counts(plays: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
     return g.select("user_id", "hour_start_utc", local.alias("hour_start_local"), F.hour(local).alias("play_hour"), "plays")
 
 
-def upsert_batch(batch: DataFrame, table: str, version: int, hourly: str | None = None, with_time: bool = False) -> None:
-    """Z02 (+ Z03): merge one micro-batch into the plays table (and the hourly counts) as ``version``.
+def write_batch(batch: DataFrame, table: str, batch_id: int) -> None:
+    """One micro-batch's cleaned rows as ``batch_id=<n>``; writing it again replaces the folder.
 
-    The partition is a function of the dedup key, so every copy of a play lives in one partition. A batch that was
-    published before and runs again starts from the versions before its own and gives the same result.
+    Copies inside the batch go first (the keep-one rule is associative), so pulls that overlap store little twice.
     """
-    spark = batch.sparkSession
-    rows = versioned.with_partition(batch.select(*ROW_COLUMNS), "user_id", F.col("played_at_utc")).persist()
-    try:
-        touched = [(r.bucket, r.month) for r in rows.select("bucket", "month").distinct().collect()]   # buckets x months at most
-        if not touched:
-            return
-        state = versioned.manifest(spark, table, before=version)
-        old = versioned.read_current(spark, table, TABLES["user_tracks"].schema, state, touched)
-        merged = etl.finish_plays(rows.select(*ROW_COLUMNS).unionByName(old.select(*ROW_COLUMNS)), with_time)
-        versioned.write_version(versioned.with_partition(merged, "user_id", F.col("played_at_utc")), table, version, ["user_id", "played_at_utc"])
-        state = versioned.publish(spark, table, version, state, touched)
-    finally:
-        rows.unpersist()
-    if hourly:
-        plays = versioned.read_current(spark, table, TABLES["user_tracks"].schema, state, touched)
-        counts = versioned.with_partition(hourly_counts(plays), "user_id", F.col("hour_start_utc"))
-        versioned.write_version(counts, hourly, version, ["user_id", "hour_start_utc"])
-        timed = [k for k in touched if k[1] != versioned.NO_MONTH]
-        versioned.publish(spark, hourly, version, versioned.manifest(spark, hourly, before=version), timed)
-
-
-def start_ingest(spark: SparkSession, root: str, table: str, checkpoint: str, hourly: str | None = None,
-                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    rows = keep_one(batch.select(*ROW_COLUMNS), TABLES["user_tracks"].key)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).parquet(f"{table}/batch_id={batch_id}")
+
+
+def start_ingest(spark: SparkSession, root: str, table: str, checkpoint: str, available_now: bool = True,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental ingest; ``availableNow`` processes what is there and stops."""
     stream = etl.clean_plays_rows(play_stream(spark, root, max_files_per_trigger))
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, epoch: upsert_batch(df, table, epoch, hourly)))
+         .foreachBatch(lambda df, epoch: write_batch(df, table, epoch)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def ingest_available(spark: SparkSession, root: str, table: str, checkpoint: str, hourly: str | None = None,
-                     max_files_per_trigger: int | None = None) -> None:
-    """Ingest all files that are there, wait, and remove the versions that are no longer current."""
-    q = start_ingest(spark, root, table, checkpoint, hourly, max_files_per_trigger=max_files_per_trigger)
+def ingest_available(spark: SparkSession, root: str, table: str, checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+    """Ingest all files that are there and wait."""
+    q = start_ingest(spark, root, table, checkpoint, max_files_per_trigger=max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    for t in (table, hourly):
-        if t:
-            versioned.vacuum(spark, t)
