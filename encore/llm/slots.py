@@ -13,17 +13,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 N_SLOTS = 4096
+#: Equal rows numbered by one task.
+COPIES = 4096
 
 
 def with_slots(docs: DataFrame, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, size, text_crc32, virtual_slot): size is UTF-8 bytes of the text (null: none) plus 8.
+    """(doc_id, size, text_crc32, copy, virtual_slot): size is UTF-8 bytes of the text (null: none) plus 8.
 
-    The slot is a hash of the id and the text's checksum, so rows without an id, or with the same, still spread.
+    The slot is a hash of the id, the text's checksum and the number of the copy (0 for a row unlike all others), so
+    repeated rows, and rows without an id or a text, spread over all slots instead of sharing one. Equal rows are
+    counted, before the shuffle, and written out again with their numbers; a group of more than ``COPIES`` is dealt to
+    several tasks for that.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"))
-    return rows.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n_slots)).cast("int"))
+    counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))).alias("part")
+    large = counted.where(F.col("n") > COPIES).select("*", parts).repartition("doc_id", "size", "text_crc32", "part")
+    every = counted.where(F.col("n") <= COPIES).withColumn("part", F.lit(0).cast("long")).unionByName(large)
+    first = F.col("part") * COPIES
+    copy = F.explode(F.sequence(first, F.least(F.col("n"), first + COPIES) - 1)).alias("copy")
+    return every.select("doc_id", "size", "text_crc32", copy).withColumn(
+        "virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32", "copy"), F.lit(n_slots)).cast("int"))
 
 
 def slot_bytes(rows: DataFrame) -> DataFrame:
@@ -44,7 +56,7 @@ def rebalance(slot_map: DataFrame, weights: DataFrame, n_shards: int) -> DataFra
     slots, largest first (ties: smaller slot), while their bytes stay within an equal share of all bytes; slots
     without rows stay where their shard still exists. The rest goes, largest first, to the shard with the fewest
     bytes (ties: smaller shard). Shards differ by less than the largest moved slot whenever every slot is below an
-    equal share.
+    equal share; a slot above it (one row larger than that) makes its shard the largest.
     """
     sized = slot_map.join(F.broadcast(weights), "virtual_slot", "left").select(
         "version", "virtual_slot", "shard", F.coalesce("bytes", F.lit(0)).alias("bytes"))
@@ -85,15 +97,15 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
 def place(rows: DataFrame, slot_map: DataFrame, weights: DataFrame) -> DataFrame:
     """``rows`` with their shard and ``slot``, the place in the shard (0, 1, ... without gaps).
 
-    A shard's virtual slots follow each other; inside one, rows are ordered by id, checksum and size. Only rows of
+    A shard's virtual slots follow each other; inside one, rows are ordered by id, checksum, size and copy. Only rows of
     one virtual slot are sorted together; the slots' offsets come from the ``n_slots`` row map.
     """
     own = slot_map.join(F.broadcast(weights), "virtual_slot")
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     own = own.select("virtual_slot", "shard", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "copy")
     numbered = rows.withColumn("within", F.row_number().over(inside) - 1)
-    return numbered.join(F.broadcast(own), "virtual_slot").withColumn("slot", (F.col("first") + F.col("within")).cast("long")).drop("first", "within")
+    return numbered.join(F.broadcast(own), "virtual_slot").withColumn("slot", (F.col("first") + F.col("within")).cast("long")).drop("first", "within", "copy")
 
 
 def shard(docs: DataFrame, n_shards: int = 24, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text",

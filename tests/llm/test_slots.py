@@ -73,3 +73,20 @@ def test_versions_and_resizing_against_plain_version(spark, frame, tmp_dir):
     again = rebalance(load_map(spark, path), weights, 3)
     moved = again.alias("a").join(load_map(spark, path).alias("b"), "virtual_slot").where("a.shard <> b.shard").count()
     assert moved <= 8  # a balanced map is left nearly as it is
+
+
+def test_a_third_of_all_rows_equal(frame, monkeypatch):
+    """2000 copies of one row and 500 rows of nulls beside 4000 distinct ones: shards stay near equal."""
+    from encore.llm import slots
+    monkeypatch.setattr(slots, "COPIES", 300)
+    texts = [(i, prose(i % 50, 12)) for i in range(4000)] + [(9, prose(7, 12))] * 2000 + [(None, None)] * 500
+    df = frame([doc(*t) for t in texts])
+    rows = shard(df, 24).collect()
+    check(rows, texts, 24)
+    sums = Counter()
+    for r in rows:
+        sums[r.shard] += r.size
+    assert len(sums) == 24 and max(sums.values()) <= 1.02 * min(sums.values()), sorted(sums.values())
+    numbers = with_slots(df).where("doc_id = 9 and size > 100").groupBy("text_crc32").agg(F.count("*").alias("n"), F.count_distinct("copy").alias("c"), F.max("copy").alias("m")).collect()
+    assert all(r.n == r.c == r.m + 1 for r in numbers) and max(r.n for r in numbers) >= 2000
+    assert with_slots(df).groupBy("virtual_slot").count().agg(F.max("count")).first()[0] < 30
