@@ -5,6 +5,11 @@ in a band that depends on the document's length: above it the text is repetitive
 incompressible (encoded blobs, random characters). Short texts compress badly by nature, so the
 bands rise with length. The limits lie just outside the ratios of 10000 documents of prose in four
 languages: there a text whose last quarter is base64 falls below its band, one of which 30 % repeats above it.
+
+What is compressed are characters, not UTF-8: a text that is not ASCII is first written with one byte a character (its
+distinct characters numbered in order), so a script of two bytes a letter meets the same bands as one of one byte.
+Texts of more than 256 distinct characters (logographic scripts) take two bytes a character, carry more information in
+each, and have bands of their own (``wide_lowest``, ``wide_highest``, as shares of the others).
 """
 
 from __future__ import annotations
@@ -32,14 +37,14 @@ class Band:
 
 @dataclass(frozen=True)
 class CompressionRules:
-    """Parameters. ``chunk_share``: a document goes when more than this share of its chunks is out of band.
+    """Parameters; lengths are bytes of the text as compressed. ``chunk_share``: a document goes when more than this share of its chunks is out of band.
 
     Chunks lie end to end; where they leave a rest, one more ends at the text's end. Texts shorter than ``chunk_bytes``
     are measured in ``short_bytes`` chunks with limits of their own, still shorter ones only as a whole.
     """
 
     bands: tuple[Band, ...] = (
-        Band(0, 0.0, 2.2), Band(256, 1.33, 1.92), Band(512, 1.44, 2.05), Band(1024, 1.65, 2.25), Band(2048, 1.8, 2.35),
+        Band(0, 0.0, 2.2), Band(256, 1.33, 1.96), Band(512, 1.44, 2.05), Band(1024, 1.65, 2.25), Band(2048, 1.8, 2.35),
         Band(4096, 1.95, 2.45), Band(8192, 2.05, 2.5), Band(16384, 2.1, 2.6), Band(65536, 2.1, 2.75))
     chunk_bytes: int = 4096
     chunk_lowest: float = 1.85
@@ -48,6 +53,8 @@ class CompressionRules:
     short_lowest: float = 1.52
     short_highest: float = 2.4
     chunk_share: float = 0.25
+    wide_lowest: float = 0.55
+    wide_highest: float = 0.9
     level: int = 3
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -90,6 +97,17 @@ def _dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def script_free(text: bytes) -> tuple[bytes, bool]:
+    """(the text with one byte a character, or two where it has more than 256 distinct ones; whether it has)."""
+    if text.isascii():
+        return text, False
+    codes = np.frombuffer(text.decode(errors="replace").encode("utf-32-le"), np.uint32)
+    used, number = np.unique(codes, return_inverse=True)
+    if len(used) <= 256:
+        return number.astype(np.uint8).tobytes(), False
+    return (codes.astype(np.uint16) if used[-1] < 1 << 16 else number.astype(np.uint32 if len(used) >= 1 << 16 else np.uint16)).tobytes(), True
+
+
 def _measure(column: pa.Array, rules: CompressionRules) -> dict[str, list]:
     data, at = text_bytes(column)
     pack = zstandard.ZstdCompressor(level=rules.level)
@@ -105,7 +123,9 @@ def _measure(column: pa.Array, rules: CompressionRules) -> dict[str, list]:
         symbols = _sums(SYMBOL[part], own)
         for d in range(hi - lo):
             text, nw = part[own[d]:own[d + 1]].tobytes(), int(n_words[d])
-            n = len(text)
+            n_bytes, dup = len(text), _dup_lines(text)
+            text, wide = script_free(text)
+            n, low_by, high_by = len(text), rules.wide_lowest if wide else 1.0, rules.wide_highest if wide else 1.0
             repeat = _repeat_words(three[first[d]:], nw)
             failed = nw < rules.min_words or 100 * repeat > rules.max_repeat_percent * nw
             ratio = n / len(pack.compress(text)) if n else 0.0
@@ -115,14 +135,15 @@ def _measure(column: pa.Array, rules: CompressionRules) -> dict[str, list]:
             tail = [size / len(pack.compress(text[n - size:]))] if n > size and n % size else []
             # a good tail excuses no share that the full chunks pass by themselves
             out_of = lambda far: any(sum(map(far, c)) > rules.chunk_share * len(c) for c in (full, full + tail))  # noqa: B023, E731
+            lowest, highest = lowest * low_by, highest * high_by
             too_high, too_low = out_of(lambda r: r > highest), out_of(lambda r: r < lowest)  # noqa: B023
             full += tail
             high, low = sum(r > highest for r in full), sum(r < lowest for r in full)
             band = rules.bands[int(np.searchsorted(floors, n, "right")) - 1]
-            verdict = VERDICTS[1 if failed else 2 if ratio > band.highest else 3 if ratio < band.lowest
+            verdict = VERDICTS[1 if failed else 2 if ratio > band.highest * high_by else 3 if ratio < band.lowest * low_by
                                else 4 if too_high else 5 if too_low else 0]
-            for k, v in zip(out, (nw, int(chars[d]), int(symbols[d]), _dup_lines(text), repeat, failed, verdict == "kept",
-                                  n, ratio, len(full), high, low, verdict), strict=True):
+            for k, v in zip(out, (nw, int(chars[d]), int(symbols[d]), dup, repeat, failed, verdict == "kept",
+                                  n_bytes, ratio, len(full), high, low, verdict), strict=True):
                 out[k].append(v)
     return out
 

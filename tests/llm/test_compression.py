@@ -26,13 +26,21 @@ def plain(text, rules=CompressionRules()):
     covered = {i + k for i, t in enumerate(three) if n[t] > 1 for k in range(3)}
     failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
     b, z = text.encode(), zstandard.ZstdCompressor(level=rules.level)
+    lo = hi = 1.0
+    if not text.isascii():
+        order = sorted(set(text))
+        if len(order) <= 256:
+            b = bytes(order.index(c) for c in text)
+        else:
+            assert max(order) < "\U00010000"
+            b, lo, hi = text.encode("utf-16-le"), rules.wide_lowest, rules.wide_highest
     band = [x for x in rules.bands if len(b) >= x.min_bytes][-1]
     ratio = len(b) / len(z.compress(b)) if b else 0.0
     size = rules.chunk_bytes
     full = [size / len(z.compress(b[j:j + size])) for j in range(0, len(b), size) if len(b) - j >= size]
-    bad = any(sum(x) > rules.chunk_share * len(full) for x in ([r > rules.chunk_highest for r in full], [r < rules.chunk_lowest for r in full]))
+    bad = any(sum(x) > rules.chunk_share * len(full) for x in ([r > rules.chunk_highest * hi for r in full], [r < rules.chunk_lowest * lo for r in full]))
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(covered), failed,
-            not failed and band.lowest <= ratio <= band.highest and not bad)
+            not failed and band.lowest * lo <= ratio <= band.highest * hi and not bad)
 
 
 def got(df):
@@ -105,3 +113,27 @@ def test_empty_table_and_clashing_columns(spark, frame):
 def test_a_missing_text_column_is_an_error(frame):
     with pytest.raises(Exception, match="text"):
         keep_compressible(frame([(1,)], "doc_id long"))
+
+
+def other_script(text):
+    """Every ASCII letter as a Cyrillic one, one to one."""
+    return "".join(chr(0x0410 + ord(c) - 65) if "A" <= c <= "Z" else chr(0x0450 + ord(c) - 97) if "a" <= c <= "z" else c for c in text)
+
+
+def test_another_script_is_judged_alike(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.text]
+    make = lambda f: spark.createDataFrame([(i, f(t)) for i, t in rows], "doc_id long, text string")
+    a, b = ({r.doc_id: r.verdict for r in compression_report(make(f)).collect()} for f in (lambda t: t, other_script))
+    kept = [sum(v == "kept" for v in x.values()) for x in (a, b)]
+    assert kept[0] > 800 and abs(kept[0] - kept[1]) <= 0.01 * kept[0], kept
+    assert sum(a[i] == b[i] for i in a) >= 0.98 * len(a)
+    assert len({v for v in b.values()}) > 1
+
+
+def test_many_distinct_characters():
+    from encore.llm.compression import script_free
+    assert script_free(b"abc") == (b"abc", False) and script_free("äbä".encode()) == (bytes([1, 0, 1]), False)
+    wide = "".join(chr(0x4E00 + k) for k in range(300))
+    assert script_free(wide.encode()) == (wide.encode("utf-16-le"), True)
+    assert len(script_free((wide + "\U0001F600").encode())[0]) == 602 and script_free(b"\xff\xfe")[1] is False
