@@ -41,57 +41,57 @@ def ask(spark, sf, name: str, **arguments):
     return sql_functions.ask(spark, name, **arguments)
 
 
-@query("sql_a23_plays_per_user", "select user_id, count(*) total_plays from plays group by user_id")
+@query("a23_sql_plays_per_user", "select user_id, count(*) total_plays from plays group by user_id")
 def sql_a23(spark, sf):
     """Plays per user, most active first, as a SQL function."""
     return ask(spark, sf, "plays_per_user")
 
 
-@query("sql_k05_top_ranked_tracks", "select user_id, track_id, artists_id, ith_preference from top_tracks where ith_preference <= 5")
+@query("k05_sql_top_ranked_tracks", "select user_id, track_id, artists_id, ith_preference from top_tracks where ith_preference <= 5")
 def sql_k05(spark, sf):
     """Top tracks up to a rank given as a parameter."""
     return ask(spark, sf, "top_ranked_tracks", max_rank=5)
 
 
-@query("sql_a24_likes_per_artist", "select artists_id, count(*) liked_tracks from likes group by artists_id")
+@query("a24_sql_likes_per_artist", "select artists_id, count(*) liked_tracks from likes group by artists_id")
 def sql_a24(spark, sf):
     """Likes per primary artist, most liked first."""
     return ask(spark, sf, "likes_per_artist")
 
 
-@query("sql_k06_artists_by", f"""with {CATALOG}
+@query("k06_sql_artists_by", f"""with {CATALOG}
 select id, name, popularity, followers, primary_genre from cat where popularity_range = 'very_high' and primary_genre = 'latin'""")
 def sql_k06(spark, sf):
     """Artists of a range and a genre, both parameters that prune partitions, most followed first."""
     return ask(spark, sf, "artists_by", in_range="very_high", in_genre="latin")
 
 
-@query("sql_a25_genre_counts", f"""with {CATALOG}
+@query("a25_sql_genre_counts", f"""with {CATALOG}
 select primary_genre, count(*) artist_count, avg(popularity) avg_popularity from cat group by primary_genre""")
 def sql_a25(spark, sf):
     """Artists and average popularity per primary genre."""
     return ask(spark, sf, "genre_counts")
 
 
-@query("sql_a01_top_artists", _top_sql(90, 10))
+@query("a01_sql_top_artists", _top_sql(90, 10))
 def sql_a01(spark, sf):
     """Top ten artists of all users over 90 days, as a SQL function."""
     return ask(spark, sf, "top_artists", only_user=None, as_of=AT, days_back=90, top_n=10)
 
 
-@query("sql_a02_hourly_pattern", _hourly_sql(30))
+@query("a02_sql_hourly_pattern", _hourly_sql(30))
 def sql_a02(spark, sf):
     """Plays per local hour of all users over 30 days, as a SQL function."""
     return ask(spark, sf, "hourly_pattern", only_user=None, as_of=AT, days_back=30)
 
 
-@query("sql_a03_weekday_weekend", _weekly_sql(90))
+@query("a03_sql_weekday_weekend", _weekly_sql(90))
 def sql_a03(spark, sf):
     """Weekday against weekend of all users over 90 days, as a SQL function."""
     return ask(spark, sf, "weekday_weekend", only_user=None, as_of=AT, days_back=90)
 
 
-@query("sql_a04_popularity_tiers", _tiers_sql(90))
+@query("a04_sql_popularity_tiers", _tiers_sql(90))
 def sql_a04(spark, sf):
     """Popularity tiers of all users over 90 days, as a SQL function."""
     return ask(spark, sf, "popularity_tiers", only_user=None, as_of=AT, days_back=90)
