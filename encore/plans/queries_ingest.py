@@ -318,6 +318,35 @@ def a26_job_summary(spark, sf):
     return jobs.outcome_summary(res.outcome).drop("files")
 
 
+#: Stand-in for damaged input: plays of these tracks come with text as duration, likes of them with text as popularity.
+BAD_TRACK = "right(track_id, 1) = '3'"
+GOOD = f"track_id is null or not ({BAD_TRACK})"
+REJECTED_CSV = DEDUP_CSV.replace("from raw_plays)", f"from raw_plays where {GOOD})", 1)
+assert REJECTED_CSV != DEDUP_CSV
+
+
+@query("a26_rejected_records", f"""with {REJECTED_CSV},
+f as (select 'user_tracks' table_name, user_id, count(*) filter (where {GOOD}) file_records, count(*) filter (where {BAD_TRACK}) rejected_records
+      from raw_plays group by user_id
+      union all select 'likes', user_id, count(*) filter (where {GOOD}), count(*) filter (where {BAD_TRACK}) from likes group by user_id),
+c as (select 'user_tracks' table_name, user_id, count(*) n from dedup group by user_id
+      union all select 'likes', user_id, count(distinct (track_id, date_trunc('second', added_at_utc))) from likes where {GOOD} group by user_id)
+select table_name, f.user_id, case when coalesce(n, 0) > 0 then 'processed' else 'failed' end status, coalesce(n, 0) clean_records, file_records,
+  rejected_records from f left join c using (table_name, user_id)""")
+def a26_rejected_records(spark, sf):
+    """Plays and likes jobs over input with records that do not fit the schema: rows kept, records in quarantine, status per user."""
+    text = lambda df, c: df.withColumn(c, F.lit("n/a"))
+    plays, likes, of = fx.raw_play_rows(spark, sf), raw_likes_rows(spark, sf), {}
+    of["user_tracks"] = raw.stage_plays_csv(plays.where(GOOD), scratch_path(spark, "raw_plays_damaged")), {}
+    raw.stage_plays_csv(text(plays.where(BAD_TRACK), "duration_ms"), of["user_tracks"][0], mode="append")
+    of["likes"] = scratch_path(spark, "raw_likes_damaged"), {"multi_line": False, "routed": False}
+    for rows in (likes.where(GOOD), text(likes.where(BAD_TRACK), "track_popularity")):
+        rows.hint("rebalance", "user_id").write.mode("append").partitionBy("user_id").json(of["likes"][0])
+    runs = {name: jobs.run_job(spark, name, root, scratch_path(spark, "processed"), with_time=False,
+                               quarantine=scratch_path(spark, "quarantine"), **options) for name, (root, options) in of.items()}
+    return reduce(lambda a, b: a.unionByName(b), [run.outcome.drop("files").withColumn("table_name", F.lit(name)) for name, run in runs.items()])
+
+
 @query("a26_catalog_run", f"""with {CATALOG}
 select case when count(*) > 0 then 'processed' else 'failed' end status, (select count(*) from artists_raw) original_records, count(*) processed_records,
   (select count(*) from artists_raw) - count(*) dropped_records,

@@ -39,18 +39,21 @@ def _scope(df: DataFrame, user_id: str | None) -> DataFrame:
     return df.filter(F.col("user_id") == F.lit(str(user_id)))
 
 
-def _base(spark: SparkSession, ddl: str):
-    return (spark.read.schema(StructType.fromDDL(ddl)).option("mode", "PERMISSIVE")
-            .option("ignoreMissingFiles", True))
+def _base(spark: SparkSession, ddl: str, corrupt: str | None = None):
+    """``corrupt`` names a column that gets the text of a record that does not fit the schema (NULL for good ones)."""
+    reader = spark.read.option("mode", "PERMISSIVE").option("ignoreMissingFiles", True)
+    if corrupt is None:
+        return reader.schema(StructType.fromDDL(ddl))
+    return reader.schema(StructType.fromDDL(f"{ddl}, {corrupt} string")).option("columnNameOfCorruptRecord", corrupt)
 
 
-def read_plays_csv(spark: SparkSession, root: str, user_id: str | None = ALL_USERS) -> DataFrame:
+def read_plays_csv(spark: SparkSession, root: str, user_id: str | None = ALL_USERS, corrupt: str | None = None) -> DataFrame:
     """S01 + S06 + S09: every ``<root>/<user>/*.csv`` with the declared 10-column schema.
 
     ``source_file`` keeps provenance. Users without any CSV produce no rows; see ``list_files`` and
     ``user_presence`` (S08) for who has input.
     """
-    df = (_base(spark, RAW_PLAYS_DDL).option("header", True).option("pathGlobFilter", "*.csv")
+    df = (_base(spark, RAW_PLAYS_DDL, corrupt).option("header", True).option("pathGlobFilter", "*.csv")
           .csv(f"{root.rstrip('/')}/*/"))
     df = with_path_user(df).withColumn("source_file", F.col("_metadata.file_name"))
     return _scope(df, user_id)
@@ -71,7 +74,7 @@ def file_kind(name: Column) -> Column:
 
 
 def _read_json_kind(spark: SparkSession, root: str, kind: str, ddl: str, glob: str,
-                    multi_line: bool = True, routed: bool = True) -> DataFrame:
+                    multi_line: bool = True, routed: bool = True, corrupt: str | None = None) -> DataFrame:
     """Documents of one kind under ``<root>/<user>/``.
 
     ``routed`` picks them by file name among the collector's mixed files (S07);
@@ -79,31 +82,35 @@ def _read_json_kind(spark: SparkSession, root: str, kind: str, ddl: str, glob: s
     (e.g. a landing zone written by Spark, whose files are named ``part-*``).
     ``multi_line=False`` reads JSON lines instead of one array/object per file.
     """
-    df = (_base(spark, ddl).option("multiLine", multi_line).option("pathGlobFilter", glob if routed else "*.json")
+    df = (_base(spark, ddl, corrupt).option("multiLine", multi_line).option("pathGlobFilter", glob if routed else "*.json")
           .json(f"{root.rstrip('/')}/*/"))
     df = with_path_user(df).withColumn("source_file", F.col("_metadata.file_name"))
     return df.filter(file_kind(F.col("source_file")) == kind) if routed else df
 
 
 def read_likes_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS,
-                    multi_line: bool = True, routed: bool = True) -> DataFrame:
+                    multi_line: bool = True, routed: bool = True, corrupt: str | None = None) -> DataFrame:
     """S02 (+S07, S09): every likes document (JSON array) of every user, one row per like."""
-    df = _read_json_kind(spark, root, "likes", RAW_LIKES_DDL, "*likes*.json", multi_line, routed)
+    df = _read_json_kind(spark, root, "likes", RAW_LIKES_DDL, "*likes*.json", multi_line, routed, corrupt)
     return _scope(df, user_id)
 
 
 def read_followed_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS,
-                       multi_line: bool = True, routed: bool = True) -> DataFrame:
+                       multi_line: bool = True, routed: bool = True, corrupt: str | None = None) -> DataFrame:
     """``{"artists_ids": [...]}`` documents exploded to (user_id, artist_id, source_file)."""
-    df = _read_json_kind(spark, root, "followed", RAW_FOLLOWED_DDL, "*followed*.json", multi_line, routed)
-    df = df.select("user_id", "source_file", F.explode("artists_ids").alias("artist_id"))
+    df = _read_json_kind(spark, root, "followed", RAW_FOLLOWED_DDL, "*followed*.json", multi_line, routed, corrupt)
+    if corrupt is None:
+        df = df.select("user_id", "source_file", F.explode("artists_ids").alias("artist_id"))
+    else:  # a document that could not be read keeps one row, for its text
+        ids = F.when(F.col(corrupt).isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(F.col("artists_ids"))
+        df = df.select("user_id", "source_file", corrupt, F.explode(ids).alias("artist_id"))
     return _scope(df, user_id)
 
 
 def read_top_tracks_json(spark: SparkSession, root: str, user_id: str | None = ALL_USERS,
-                         multi_line: bool = True, routed: bool = True) -> DataFrame:
+                         multi_line: bool = True, routed: bool = True, corrupt: str | None = None) -> DataFrame:
     """Ranked top-track documents; both ``duration_ms`` and the writer's ``duration`` key are read."""
-    df = _read_json_kind(spark, root, "top_tracks", RAW_TOP_TRACKS_DDL, "*top_*.json", multi_line, routed)
+    df = _read_json_kind(spark, root, "top_tracks", RAW_TOP_TRACKS_DDL, "*top_*.json", multi_line, routed, corrupt)
     return _scope(df, user_id)
 
 
