@@ -10,6 +10,9 @@ The model file holds pieces and scores; the best-scoring segmentation under them
 mode computes (the tests compare with it). A model of the merge kind gets the same treatment: its pieces and
 scores are taken as they are, so ids can differ from those of the merge order, decoding is the same.
 
+A word longer than ``LONG`` characters goes alone, in stretches of positions: the probes of a stretch are vectorised over
+its positions, a ring of the last sums (one for each piece length) moves on, and one byte a character is kept as back pointer.
+
 Text is cut before every space that follows another character, and around characters that occur in no
 other piece; no piece crosses such a place (checked when the model is read), so words can be encoded apart.
 """
@@ -32,8 +35,12 @@ SPACE = "▁"
 UNKNOWN = 10.0
 #: Words kept with their ids in a worker; beyond, the memory starts anew (results do not change).
 REMEMBERED = 300_000
+#: Characters of the words kept so; a word of many megabytes is not kept beyond its batch.
+REMEMBERED_CHARS = 1 << 24
 #: Words of one length that advance together.
 BLOCK = 8192
+#: Longer words advance alone, STRETCH positions at a time; memory is that of a stretch and some bytes a character.
+LONG, STRETCH = 2048, 1 << 15
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -91,6 +98,7 @@ class Codec:
         self.cut = re.compile(f" *[^ {apart}]+| +" + (f"|[{apart}]" if apart else ""))
         self.kind = np.uint16 if len(v.pieces) <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
+        self.held = 0
         self.table = [b"" if i in (0, 1, 2) else p.replace(SPACE, " ").encode() for i, p in enumerate(v.pieces)]
         for b, i in enumerate(v.bytes_at):
             self.table[i] = bytes([b])
@@ -174,10 +182,74 @@ class Codec:
             out[i] = np.array(own, self.kind).tobytes()
         return out
 
+    def _probe(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, starts, places among the keys) of the pieces of each length in one row of characters."""
+        sub = np.zeros(len(codes) + 1, U64)
+        for k in range(1, min(len(codes), self.longest) + 1):
+            sub = sub[:-1] * _STEP + codes[k - 1:] + U64(1)
+            key = fmix(sub + U64(k))
+            maybe = np.flatnonzero(self.seen_bits[(key & U64((1 << 20) - 1)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.keys, key[maybe]), len(self.keys) - 1)
+            hit = self.keys[at] == key[maybe]
+            yield k, maybe[hit], at[hit]
+
+    def _best_long(self, word: str) -> bytes:
+        """Ids of one long word: the same recurrence and ties as ``_best``, a stretch of end positions at a time."""
+        codes, most = self._codes([word])[0], self.longest
+        n = len(codes)
+        back = np.zeros(n + 1, np.uint8)
+        ring = np.full(most, -np.inf)  # best sums at the last ``most`` ends, oldest first
+        ring[-1] = 0.0
+        for lo in range(0, n, STRETCH):
+            hi, first = min(lo + STRETCH, n), max(0, lo - most + 1)
+            gain = np.full((hi - lo, most), -np.inf)  # by end, longest piece first: argmax keeps it in a tie
+            gain[:, -1] = self.unknown
+            for k, start, at in self._probe(codes[first:hi]):
+                end = start + first + k - 1 - lo
+                inside = end >= 0
+                gain[end[inside], most - k] = self.scores[at[inside]]
+            total = np.concatenate([ring, np.zeros(hi - lo)])
+            pick = np.zeros(hi - lo, np.uint8)
+            for e in range(hi - lo):
+                option = total[e:e + most] + gain[e]
+                j = option.argmax()
+                total[e + most], pick[e] = option[j], most - j
+            back[lo + 1:hi + 1], ring = pick, total[-most:]
+        step, e, cuts = back.tobytes(), n, []
+        while e:
+            cuts.append(e)
+            e -= step[e]
+        ends = np.array(cuts[::-1], np.int64)
+        return self._ids_between(codes, np.concatenate([[0], ends[:-1]]), ends)
+
+    def _ids_between(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+        """Ids of the pieces that a word was cut into; characters that are no piece as their bytes."""
+        out = []
+        for lo in range(0, len(ends), STRETCH):
+            s, e = starts[lo:lo + STRETCH], ends[lo:lo + STRETCH]
+            ids = np.full(len(s), -1, np.int64)
+            for k in range(1, self.longest + 1):
+                own = np.flatnonzero(e - s == k)
+                if len(own):
+                    key = self._between(self._rolling(codes[s[own, None] + np.arange(k)]), k)[:, 0]
+                    at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                    ids[own] = np.where(self.keys[at] == key, self.ids[at], -1)
+            if (ids >= 0).all():
+                out.append(ids.astype(self.kind).tobytes())
+            else:
+                parts = [[i] if i >= 0 else [self.v.bytes_at[b] for b in chr(codes[a]).encode("utf-8", "surrogatepass")]
+                         for i, a in zip(ids.tolist(), s.tolist(), strict=True)]
+                out.append(np.array([i for p in parts for i in p], self.kind).tobytes())
+        return b"".join(out)
+
     def learn(self, words: set[str]) -> None:
         by: dict[int, list[str]] = {}
         for w in words:
-            by.setdefault(len(w), []).append(w)
+            self.held += len(w)
+            if len(w) > LONG:
+                self.known[w] = self._best_long(w.replace(" ", SPACE))
+            else:
+                by.setdefault(len(w), []).append(w)
         for length, own in by.items():
             step = max(1, min(BLOCK, (1 << 21) // (length * min(length, self.longest))))
             for lo in range(0, len(own), step):
@@ -193,8 +265,9 @@ class Codec:
                 chars += len(texts[hi] or "")
                 hi += 1
             cut = [self.cut.findall((" " if self.v.prefix else "") + t) if t else [] for t in texts[lo:hi]]
-            if len(self.known) > REMEMBERED:
+            if len(self.known) > REMEMBERED or self.held > REMEMBERED_CHARS:
                 self.known.clear()
+                self.held = 0
             known = self.known
             self.learn({w for w in set().union(*cut) if w not in known})
             get = known.__getitem__
@@ -212,7 +285,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
     """``docs`` with a column ``out_col`` array<int> of piece ids (an existing column of that name is replaced).
 
     A null text gives null ids, an empty text an empty array; ties go to the longer last piece; whole texts of any
-    length (memory: a batch of texts and the tables of one block of words); repeated rows and other columns pass
+    length, also of one word (memory: a batch of texts, the tables of one block of words, about 20 bytes a character of a long word); repeated rows and other columns pass
     unchanged; an empty table stays empty. Map-only.
     """
     docs = docs.drop(out_col) if out_col in docs.columns else docs

@@ -46,13 +46,14 @@ def preference_examples(turns: DataFrame, pair_col: str = "pair_id", side_col: s
     with one side only has status 'missing_chosen' or 'missing_rejected', an empty prompt and an empty completion on
     that side; 'identical' pairs have empty completions; 'chosen_ends' and 'rejected_ends' mean that this side is a
     prefix of the other. Texts of any length; extra columns are ignored; an empty table gives an empty result. A
-    pair's turns end up in one row, which is the result asked for; pairs are independent.
+    pair's distinct turns end up in one row, which is the result asked for (repeats are dropped before the shuffle, and again
+    as partial sets meet, so a turn repeated in a third of all rows is held once a task); pairs are independent.
     """
     turn = F.struct(F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("role"),
                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = turns.where(F.col(pair_col).isNotNull() & F.col(side_col).isin(*SIDES)).select(
         F.col(pair_col).alias("pair_id"), F.col(side_col).alias("side"), turn.alias("t"))
-    both = rows.groupBy("pair_id").agg(*(F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("side") == s, F.col("t"))))).alias(s) for s in SIDES))
+    both = rows.groupBy("pair_id").agg(*(F.array_sort(F.collect_set(F.when(F.col("side") == s, F.col("t")))).alias(s) for s in SIDES))
     same = F.zip_with("chosen", "rejected", lambda a, b: F.coalesce((a["role"] == b["role"]) & (a["text"] == b["text"]), F.lit(False)))
     first = F.array_position(same, False)
     n = F.when(first > 0, first - 1).otherwise(F.least(F.size("chosen"), F.size("rejected"))).cast("int")

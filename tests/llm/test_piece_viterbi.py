@@ -99,3 +99,43 @@ def test_empty_table_and_forgetting(spark, frame, vocabulary, monkeypatch):
     codec, fresh = Codec(vocabulary), Codec(vocabulary)
     for t in TEXTS * 2:
         assert np.array_equal(next(codec.encode_batch([t])), next(fresh.encode_batch([t])))
+
+
+def mixed(seed, n):
+    """One word: letters, digits and signs drawn at random, runs, and characters that are no piece."""
+    rng = np.random.default_rng(seed)
+    parts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/="), n // 2)), "a" * (n // 8), "the" * (n // 24), "\U0001F600漢é" * (n // 24)]
+    return "".join(parts[i] for i in rng.permutation(len(parts))) + "".join(rng.choice(list("aehilnorst"), n // 4))
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 50, 1 << 15])
+def test_long_words_against_plain_and_batched(vocabulary, monkeypatch, stretch):
+    monkeypatch.setattr("encore.llm.piece_viterbi.STRETCH", stretch)
+    codec = Codec(vocabulary)
+    for k, n in enumerate((1, 2, 17, 400, 3000)):
+        word = SPACE + (mixed(k, n) or "q")
+        long, batched = codec._best_long(word), codec._best(codec._codes([word]))[0]
+        assert long == batched
+        if n <= 400:
+            assert np.frombuffer(long, codec.kind).tolist() == plain(vocabulary, word[1:])
+
+
+def test_memory_of_one_long_word(vocabulary):
+    """Memory per character stays small and the text comes back; the word is not kept for later batches."""
+    import tracemalloc
+
+    codec, word = Codec(vocabulary), mixed(9, 400_000)
+    tracemalloc.start()
+    ids = next(codec.encode_batch([word]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert codec.decode(ids) == word
+    assert peak < 60 * len(word) + (32 << 20)
+    codec.held = 1 << 30
+    assert len(next(codec.encode_batch(["a b"]))) and len(codec.known) == 2
+
+
+def test_long_words_in_a_table(frame, vocabulary):
+    texts = ["x" * 50_000, "a " + mixed(1, 30_000) + " b", mixed(2, 30_000)] * 2
+    rows = decode(encode(frame([doc(k, t) for k, t in enumerate(texts)]), vocabulary), vocabulary).collect()
+    assert len(rows) == 6 and all(r.decoded == r.text for r in rows)
