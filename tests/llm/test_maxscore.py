@@ -69,3 +69,20 @@ def test_probing_prunes():
     beat = int(np.sort(score)[-10])
     at, s = index.search(q, beat)
     assert set(at) == set(np.flatnonzero(score >= beat)) and (s == score[at]).all()
+
+
+def test_a_known_score_leaves_out_only_lower_ones():
+    """A score reached elsewhere drops what is below it and keeps what equals it; sparse and dense lists agree."""
+    rng = np.random.default_rng(2)
+    rows = rng.integers(-300, 300, (3000, 12)) * (rng.random((3000, 12)) < rng.random(12) * 0.5)
+    qid, qs, ids = np.arange(5), rows[:5], np.arange(3000)
+    free = maxscore.search_cell((qid, qs), (ids, rows), 4)
+    kth = np.array([min(s for q, _, s in free if q == i) for i in qid], float)
+    assert maxscore.search_cell((qid, qs), (ids, rows), 4, kth) == free
+    above = maxscore.search_cell((qid, qs), (ids, rows), 4, kth + 1)
+    assert above == [r for r in free if r[2] > kth[r[0]]]
+
+
+def test_products_are_exact_for_large_components():
+    big = np.array([[(1 << 28) + 1, 3], [-(1 << 28), 5]])
+    assert (maxscore.products(big, big) == [[sum(int(x) * int(y) for x, y in zip(a, b, strict=True)) for b in big] for a in big]).all()
