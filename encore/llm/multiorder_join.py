@@ -19,9 +19,10 @@ Jobs, each a DataFrame step with Spark doing the partitioning:
 4. links, round 1: in each posting list (classes with the same first-order prefix shingle) everyone is compared
    with the class that has the smallest share of shingles of its own: in a group of edited copies that is the text
    they were made from, or the least edited one. Verified links are merged into components.
-5. links, round 2: all other pairs of a posting list whose members are in *different* components (size and
-   position filters in the join). Pairs within one component need no test: their result is known. So a large
-   group of near copies costs its size, not its square, and no link between components is lost.
+5. links, round 2: all other pairs of a posting list whose members are in *different* components. Entries meet by
+   shingle and size class, in the range of sizes that their position leaves. Pairs within one component are not
+   even formed: their result is known. So a large group of near copies costs its size, not its square, as do pages
+   of one template that are too different to link, and no link between components is lost.
 
 Results are exact up to 64-bit hash collisions of shingles and signatures (48 bits inside a candidate pair).
 """
@@ -43,6 +44,8 @@ from encore.llm.textops import LOWER, U64, fmix, slices, sorted_distinct, text_b
 TOKEN_BITS = 48
 _TOKEN = U64((1 << TOKEN_BITS) - 1)
 _LAST_RANK = 255
+#: Parts of a component when its id is given back to its classes.
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -306,6 +309,33 @@ def _verify(pairs: DataFrame, shared: DataFrame, p: JoinParams) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _apart(post: DataFrame, p: JoinParams) -> DataFrame:
+    """(a, b), a < b, from posting entries (val, sig, n, m, pos, component): the pairs of one list that are in different
+    components and that sizes and positions allow.
+
+    What a class still shares from this shingle on, m - pos, bounds the two sizes' sum; so every entry has its own range
+    of partners' sizes. Entries meet by shingle and size class, the larger set going to the classes of its range: pages of
+    one template with too much text of their own have no range left and meet nobody. Components of a list meet first, by
+    their extreme sizes, and only members of two that may fit are paired: members of one component never are.
+    """
+    size_class = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.lit(float(np.log(1.1))))
+    most = F.floor(F.lit(100 + p.percent) * (F.col("m") - F.col("pos")) / F.lit(p.percent)) - F.col("n")  # the partner's size
+    post = post.withColumn("most", most)
+    small = post.where("most >= n").select("val", size_class("n").alias("size"), "component", "sig", "n", "most")
+    large = post.select("val", "component", "sig", "n", F.ceil(F.lit(p.percent) * F.col("n") / F.lit(100)).alias("lo"),
+                        F.least("n", "most").alias("top")).where("lo <= top")
+    large = large.withColumn("size", F.explode(F.sequence(size_class("lo"), size_class("top"))))
+    groups_x = small.groupBy("val", "size", F.col("component").alias("cx")).agg(F.min("n").alias("least"), F.max("most").alias("most"))
+    groups_y = large.groupBy("val", "size", F.col("component").alias("cy")) \
+        .agg(F.max("top").alias("top"), F.min("n").alias("n"))
+    may = groups_x.join(groups_y, ["val", "size"]).where("cx <> cy and least <= top and most >= n").select("val", "size", "cx", "cy")
+    x = small.select("val", "size", F.col("component").alias("cx"), F.col("sig").alias("x"), F.col("n").alias("nx"), "most")
+    y = large.select("val", "size", F.col("component").alias("cy"), F.col("sig").alias("y"), F.col("n").alias("ny"), "lo", "top")
+    pairs = may.join(x, ["val", "size", "cx"]).join(y, ["val", "size", "cy"]) \
+        .where("nx between lo and top and ny <= most and (nx < ny or x < y)")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def class_links(docs: DataFrame, p: JoinParams = JoinParams(), text_col: str = "text") -> DataFrame:
     """(sig, component) of all classes with a link to another class; component is the least sig reachable."""
     shared = _shared_shingles(docs, p, text_col).checkpoint()
@@ -322,13 +352,7 @@ def class_links(docs: DataFrame, p: JoinParams = JoinParams(), text_col: str = "
     placed = post.join(near.select(F.col("node").alias("sig"), "component"), "sig", "left") \
         .withColumn("component", F.coalesce("component", "sig")).checkpoint()
     split = placed.groupBy("val").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("val")
-    left = placed.join(split, "val", "left_semi")
-    x, y = left.alias("x"), left.alias("y")
-    least = F.ceil(F.lit(p.percent) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + p.percent))
-    room = F.least(F.col("x.m") - F.col("x.pos"), F.col("y.m") - F.col("y.pos"))  # this shingle and all after it
-    second = x.join(y, (F.col("x.val") == F.col("y.val")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.component") != F.col("y.component"))
-                    & fits(F.col("x.n"), F.col("y.n")) & (room >= least)) \
-        .select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
+    second = _apart(placed.join(split, "val", "left_semi"), p)
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _verify(second.join(tried, ["a", "b"], "left_anti"), shared, p)
     whole = components(linked.unionByName(more))
@@ -346,9 +370,14 @@ def near_duplicates(docs: DataFrame, p: JoinParams = JoinParams(), id_col: str =
     """
     rows = signatures(docs, p, id_col, text_col).checkpoint()
     classes = rows.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
-    classes = classes.join(class_links(docs, p, text_col), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    group = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(group, "component").select(F.col("sig").alias("class_sig"), "component_id")
+    classes = classes.join(class_links(docs, p, text_col), "sig", "left").checkpoint()
+    alone = classes.where("component is null").select(F.col("sig").alias("class_sig"), F.col("least").alias("component_id"))
+    # a component may hold a third of all classes: its id comes back by (component, salt), once for each salt it has
+    linked = classes.where("component is not null").withColumn("salt", F.pmod(F.xxhash64("sig"), F.lit(SALTS)))
+    group = linked.groupBy("component", "salt").agg(F.min("least").alias("least")).groupBy("component") \
+        .agg(F.min("least").alias("component_id"), F.collect_list("salt").alias("salts"))
+    group = group.select("component", "component_id", F.explode("salts").alias("salt"))
+    named = alone.unionByName(linked.join(group, ["component", "salt"]).select(F.col("sig").alias("class_sig"), "component_id"))
     out = rows.join(named, rows.sig == F.col("class_sig"), "left")
     return out.select("doc_id", "uid", "n_shingles", F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 

@@ -1,7 +1,8 @@
 import itertools
+import random
 
 from encore.llm.graph import components
-from encore.llm.multiorder_join import JoinParams, keep_one_per_group, near_duplicates
+from encore.llm.multiorder_join import JoinParams, _apart, keep_one_per_group, near_duplicates
 from encore.sources.tables import read_table
 from llm.conftest import doc, prose
 
@@ -78,6 +79,40 @@ def test_near_copies_of_a_common_passage_and_small_batches(frame):
         check(frame(rows), rows, p)
 
 
+def test_pages_of_one_template(frame):
+    """Pages share a template and differ in the rest: the lesser rests link, the greater ones do not, and a few copies of both."""
+    template = prose(21, 100)
+    rows = [doc(i, f"{template} {prose(300 + i, 5 + i)}") for i in range(60)]
+    rows += [doc(100 + i, edited(f"{template} {prose(300 + 50 + i, 55 + i)}", 100, "v")) for i in range(8)]
+    check(frame(rows), rows)
+
+
+def test_second_round_pairs_against_all_pairs(spark):
+    """Every pair of one list that positions and sizes allow, in different components, is formed, and no other."""
+    rng = random.Random(4)
+    rows = []
+    for sig in range(300):
+        n = rng.choice([rng.randint(1, 12), rng.randint(90, 130), rng.randint(500, 900)])
+        m = rng.randint(-(-3 * n // 4), n)
+        prefix = m - -(-75 * n // 100) + 1
+        component = sig if rng.random() < 0.4 else -rng.randint(1, 3)
+        rows += [(val, sig, n, m, pos, component) for pos, val in enumerate(rng.sample(range(40), min(prefix, 4)))]
+    want = set()
+    for a, b in itertools.combinations(rows, 2):
+        if a[0] == b[0] and a[5] != b[5] and 100 * min(a[2], b[2]) >= 75 * max(a[2], b[2]) and \
+                175 * min(a[3] - a[4], b[3] - b[4]) >= 75 * (a[2] + b[2]):
+            want.add((min(a[1], b[1]), max(a[1], b[1])))
+    got = [tuple(r) for r in _apart(spark.createDataFrame(rows, "val long, sig long, n long, m long, pos int, component long"), JoinParams()).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
+def test_one_large_component_keeps_its_least_id(frame):
+    """A component of many classes gets its id back over many salts."""
+    base = prose(31, 200)
+    rows = [doc(1000 - i, f"{base} end{i}") for i in range(150)]
+    check(frame(rows), rows)
+
+
 def test_keep_one(frame):
     base = prose(5, 100)
     rows = [doc(7, base), doc(3, base), doc(3, base), doc(9, base + " x"), doc(None, base), doc(30, None), doc(31, ""), doc(31, ""), doc(None, "a b")]
