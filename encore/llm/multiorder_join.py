@@ -316,7 +316,8 @@ def _apart(post: DataFrame, p: JoinParams) -> DataFrame:
     What a class still shares from this shingle on, m - pos, bounds the two sizes' sum; so every entry has its own range
     of partners' sizes. Entries meet by shingle and size class, the larger set going to the classes of its range: pages of
     one template with too much text of their own have no range left and meet nobody. Components of a list meet first, by
-    their extreme sizes, and only members of two that may fit are paired: members of one component never are.
+    their extreme sizes; of two that may fit, the one with fewer members is spelled out before the other's members are
+    compared with it. Members of one component are never paired.
     """
     size_class = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.lit(float(np.log(1.1))))
     most = F.floor(F.lit(100 + p.percent) * (F.col("m") - F.col("pos")) / F.lit(p.percent)) - F.col("n")  # the partner's size
@@ -325,15 +326,18 @@ def _apart(post: DataFrame, p: JoinParams) -> DataFrame:
     large = post.select("val", "component", "sig", "n", F.ceil(F.lit(p.percent) * F.col("n") / F.lit(100)).alias("lo"),
                         F.least("n", "most").alias("top")).where("lo <= top")
     large = large.withColumn("size", F.explode(F.sequence(size_class("lo"), size_class("top"))))
-    groups_x = small.groupBy("val", "size", F.col("component").alias("cx")).agg(F.min("n").alias("least"), F.max("most").alias("most"))
-    groups_y = large.groupBy("val", "size", F.col("component").alias("cy")) \
-        .agg(F.max("top").alias("top"), F.min("n").alias("n"))
-    may = groups_x.join(groups_y, ["val", "size"]).where("cx <> cy and least <= top and most >= n").select("val", "size", "cx", "cy")
     x = small.select("val", "size", F.col("component").alias("cx"), F.col("sig").alias("x"), F.col("n").alias("nx"), "most")
     y = large.select("val", "size", F.col("component").alias("cy"), F.col("sig").alias("y"), F.col("n").alias("ny"), "lo", "top")
-    pairs = may.join(x, ["val", "size", "cx"]).join(y, ["val", "size", "cy"]) \
-        .where("nx between lo and top and ny <= most and (nx < ny or x < y)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    groups_x = x.groupBy("val", "size", "cx").agg(F.min("nx").alias("least_x"), F.max("most").alias("most_x"), F.count("*").alias("kx"))
+    groups_y = y.groupBy("val", "size", "cy").agg(F.max("top").alias("top_y"), F.min("ny").alias("least_y"), F.count("*").alias("ky"))
+    may = groups_x.join(groups_y, ["val", "size"]).where("cx <> cy and least_x <= top_y and most_x >= least_y").checkpoint()
+    fit = "nx between lo and top and ny <= most and (nx < ny or x < y)"
+    few_x = may.where("kx <= ky").join(x, ["val", "size", "cx"]).where("nx <= top_y and most >= least_y") \
+        .join(y, ["val", "size", "cy"]).where(fit)
+    few_y = may.where("kx > ky").join(y, ["val", "size", "cy"]).where("top >= least_x and ny <= most_x") \
+        .join(x, ["val", "size", "cx"]).where(fit)
+    ends = (F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return few_x.select(*ends).unionByName(few_y.select(*ends)).distinct()
 
 
 def class_links(docs: DataFrame, p: JoinParams = JoinParams(), text_col: str = "text") -> DataFrame:
