@@ -215,7 +215,11 @@ def fit_kmeans(features: DataFrame, k: int = K, seed: int = SEED, restarts: int
 
 def kmeans_clusters(features: DataFrame, k: int = K, seed: int = SEED, restarts: int = RESTARTS,
                     max_iter: int = MAX_ITER, cols: list[str] | None = None) -> tuple[DataFrame, KMeansFit]:
-    """(features with ``cluster``, the fit); the labels are those of the fit's stored form."""
+    """(features with ``cluster``, the fit); the labels are those of the fit's stored form.
+
+    The features are checkpointed first: scaling, points, labels and what is asked of the labels all read them."""
+    checkpoint_dir(features.sparkSession)
+    features = features.checkpoint()
     fit = fit_kmeans(features, k, seed, restarts, max_iter, cols)
     return fit.pipeline().transform(features).select(*features.columns, "cluster"), fit
 

@@ -88,3 +88,18 @@ def test_few_and_equal_points(spark):
     assert {r.cluster for r in clustered.collect()} == {0} and fit.cost == 0 and len(fit.centers) == 1
     with pytest.raises(ValueError, match="at least one"):
         CL.fit_kmeans(same.limit(0))
+
+
+def test_features_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    cols = CL.CLUSTER_FEATURES
+    rows = spark.range(40).selectExpr("cast(id as string) user_id", *[f"cast((id * {j + 3}) % 11 as double) {c}" for j, c in enumerate(cols)])
+    features = rows.mapInPandas(counted, rows.schema)
+    clustered, fit = CL.kmeans_clusters(features, restarts=2)
+    assert CL.cluster_check(clustered, fit).count() == 40 and seen.value == 40
