@@ -89,3 +89,17 @@ def test_a_rerun_replaces_the_users_it_has(spark, tmp_dir):
 def test_job_input_does_not_grow_folders_with_users(spark, name):
     root, options = QI._job_input(spark, "/root/testdata/sf0.001", name)
     assert folders(root) == [raw.GROUPED] and options["grouped"]
+
+
+def test_folders_per_user_hold_no_checksum_files(spark, tmp_dir):
+    """Each such file costs a local file system several forks."""
+    rows = play_rows(spark).where("user_id is not null")
+    root = raw.stage_plays_csv(rows, f"{tmp_dir}/in")
+    table = sinks.write_per_user(rows, f"{tmp_dir}/table", ["played_at"], new=True)
+    again = sinks.write_per_user(rows, sinks.write_per_user(rows, f"{tmp_dir}/again", ["played_at"]), ["played_at"])
+    for path in (root, table, again):
+        names = [f for d in folders(path) for f in os.listdir(f"{path}/{d}")]
+        assert len(folders(path)) == USERS and len(names) == USERS and not [f for f in names if f.endswith(".crc")]
+    for path in (table, again):
+        assert same(spark.read.schema(rows.schema).parquet(path), rows)
+    assert same(raw.read_plays_csv(spark, root).select("user_id", "played_at", "track_id"), rows.select("user_id", "played_at", "track_id"))
