@@ -11,13 +11,16 @@ neither the rules nor the shape knows is judged, but never learned from. The key
 of the rules' values, so that the value's own shape has to be learned. The threshold must hold for formats the network
 has not seen: in three folds a rule's kind and a third of the shipped formats, secret and harmless, are left out of
 training and scored; these scores calibrate (Platt), and the threshold is the highest that keeps the required recall on
-them. The corpus sample is bounded (``CnnParams.sample``); scanning covers every candidate of every whole text.
+them. All findings of the corpus train, calibrate and set the threshold: those of a frequent label are dealt over tasks by
+hash, every task goes on from one start over its own, and the networks are averaged. However many they are, they weigh
+together as ``CnnParams.sample`` findings, so that they don't drown the other formats.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,7 +42,7 @@ KINDS = ("assign", "access", "hex", "cnn")
 CONTEXT, PIECE, STEP, WIDTH = 24, 64, 48, 5
 LENGTH = PIECE + 2 * CONTEXT
 CANDIDATE_MIN, WORD_MIN, LETTERS = 8, 12, 16
-FOLDS = 3
+FOLDS, BATCH = 3, 128
 
 
 def _table(chars: bytes) -> np.ndarray:
@@ -55,8 +58,9 @@ RUN = DIGIT | _table(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-
 
 @dataclass(frozen=True)
 class CnnParams:
-    """sample: most findings of each label taken from the corpus. recall: share of the secrets of left-out formats that
-    must pass. formats: shipped findings of each format."""
+    """sample: what a label of the corpus weighs at most, in shipped findings; all of its findings share that weight alike.
+    recall: share of the secrets of left-out formats that must pass. formats: shipped findings of each format. shard:
+    findings of frequent labels a task trains on. steps: least steps a task takes, going over its findings again."""
 
     sample: int = 400
     recall: float = 0.98
@@ -65,6 +69,8 @@ class CnnParams:
     epochs: int = 12
     seed: int = 10
     formats: int = 40
+    shard: int = 20_000
+    steps: int = 150
 
 
 @dataclass
@@ -174,77 +180,120 @@ def _inputs(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return x[:, 1:], ((k >= CONTEXT) & (k < CONTEXT + x[:, :1].astype(np.int64))).astype(np.float32)
 
 
-def _forward(m: CnnModel, x: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(windows, activations, place of each filter's maximum, its value, mean inside the candidate, logit)."""
-    z = np.concatenate([m.embed[x], inside[:, :, None]], 2)
-    w = np.lib.stride_tricks.sliding_window_view(z, WIDTH, 1).transpose(0, 1, 3, 2).reshape(len(x), LENGTH - WIDTH + 1, -1)
-    a = w @ m.conv + m.bias
-    here = inside[:, 2:2 + a.shape[1]]
-    a[here == 0] -= 2.0  # context counts, but less than the candidate itself
+def _tables(m: CnnModel) -> np.ndarray:
+    """(place in the window, byte + 256 if inside, filter): what that byte adds to the filter there; the middle one has the
+    bias, and outside the candidate a penalty (context counts, but less than the candidate itself)."""
+    conv = m.conv.reshape(WIDTH, -1, len(m.bias))
+    outside = m.embed @ conv[:, :-1]
+    t = np.concatenate([outside, outside + conv[:, -1:]], 1)
+    t[WIDTH // 2] += m.bias
+    t[WIDTH // 2, :256] -= 2.0
+    return t
+
+
+def _forward(m: CnnModel, x: np.ndarray, inside: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(activations, place of each filter's maximum, its value, mean inside the candidate, logit)."""
+    code, n = x + (inside > 0) * np.intp(256), LENGTH - WIDTH + 1
+    a = np.take(tables[0], code[:, :n], 0)
+    more = np.empty_like(a)
+    for k in range(1, WIDTH):
+        a += np.take(tables[k], code[:, k:k + n], 0, out=more, mode="clip")
+    here = inside[:, WIDTH // 2:WIDTH // 2 + n]
     best = a.argmax(1)
     top = np.take_along_axis(a, best[:, None], 1)[:, 0]
     share = here / np.maximum(here.sum(1, keepdims=True), 1)
-    mean = np.einsum("rp,rpf->rf", share, np.maximum(a, 0))
-    return w, a, best, top, mean, np.maximum(top, 0) @ m.out[:len(m.bias)] + mean @ m.out[len(m.bias):] + m.shift
-
-
-def fit(rows: list[bytes], labels: np.ndarray, p: CnnParams) -> CnnModel:
-    """Train by Adam on the logistic loss, both labels weighing alike; the same rows in the same order give the same network."""
+    mean = (share[:, None] @ np.maximum(a, 0, out=more))[:, 0]
+    return a, best, top, mean, np.maximum(top, 0) @ m.out[:len(m.bias)] + mean @ m.out[len(m.bias):] + m.shift
+
+
+def _gradients(m: CnnModel, x: np.ndarray, inside: np.ndarray, err: np.ndarray, a: np.ndarray, best: np.ndarray, top: np.ndarray) -> list[np.ndarray]:
+    """Gradients of the embeddings, the convolution and its bias: only places inside and of a maximum have any."""
+    f, d = len(m.bias), m.embed.shape[1]
+    here = inside[:, WIDTH // 2:WIDTH // 2 + a.shape[1]]
+    lit = here > 0
+    np.put_along_axis(lit, best, True, 1)
+    row, place = np.nonzero(lit)
+    number = np.zeros(lit.shape, np.intp)
+    number[row, place] = np.arange(len(row))
+    share = (err[:, None] * here / np.maximum(here.sum(1, keepdims=True), 1))[row, place]
+    back = m.out[f:] * share[:, None] * (a[row, place] > 0)  # the mean's part, then the maximum's
+    back[np.take_along_axis(number, best, 1), np.arange(f)] += err[:, None] * m.out[:f] * (top > 0)
+    at = place[:, None] + np.arange(WIDTH)
+    own = x[row[:, None], at].astype(np.intp)
+    z = np.concatenate([m.embed[own], inside[row[:, None], at][:, :, None]], 2).reshape(len(row), -1)
+    grad_z = (back @ m.conv.T).reshape(len(row), WIDTH, d + 1)[..., :d]
+    grad_e = np.bincount((own[:, :, None] * d + np.arange(d)).ravel(), grad_z.ravel(), m.embed.size)
+    return [grad_e.reshape(m.embed.shape).astype(np.float32), z.T @ back, back.sum(0)]
+
+
+def fit(rows: list[bytes], labels: np.ndarray, p: CnnParams, weights: np.ndarray | None = None, start: CnnModel | None = None,
+        rate: float = 0.01, epochs: int | None = None) -> CnnModel:
+    """Train by Adam on the logistic loss, both labels weighing alike; the same rows in the same order give the same network.
+    ``start`` is a network to go on from."""
     rng = np.random.default_rng(p.seed)
     size, f = WIDTH * (p.dims + 1), p.filters
     m = CnnModel(rng.normal(0, 0.3, (256, p.dims)).astype(np.float32), rng.normal(0, size ** -0.5, (size, f)).astype(np.float32),
                  np.zeros(f, np.float32), rng.normal(0, 0.3, 2 * f).astype(np.float32), 0.0)
-    x, inside = _inputs(rows)
-    weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6)).astype(np.float32)
-    params = [m.embed, m.conv, m.bias, m.out, np.zeros(1, np.float32)]
+    if start is not None:
+        m = unpacked(packed(start), p)
+    own = np.ones(len(rows)) if weights is None else weights / weights.mean()
+    share = (own * labels).mean()
+    weight = (own * np.where(labels == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))).astype(np.float32)
+    params = [m.embed, m.conv, m.bias, m.out, np.full(1, m.shift, np.float32)]
     moment = [[np.zeros_like(v), np.zeros_like(v)] for v in params]
     step = 0
-    for _ in range(p.epochs):
+    for _ in range(epochs or p.epochs):
         order = rng.permutation(len(rows))
-        for lo in range(0, len(order), 128):
-            i = order[lo:lo + 128]
-            w, a, best, top, mean, logit = _forward(m, x[i], inside[i])
+        for lo in range(0, len(order), BATCH):
+            i = order[lo:lo + BATCH]
+            x, inside = _inputs([rows[k] for k in i.tolist()])
+            a, best, top, mean, logit = _forward(m, x, inside, _tables(m))
             err = (weight[i] * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[i])).astype(np.float32) / len(i)
-            here = inside[i][:, 2:2 + a.shape[1]]
-            share = here / np.maximum(here.sum(1, keepdims=True), 1)
-            back = (err[:, None] * m.out[f:])[:, None] * share[:, :, None] * (a > 0)  # to every activation: the mean's part, then the maximum's
-            np.put_along_axis(back, best[:, None], np.take_along_axis(back, best[:, None], 1) + (err[:, None] * m.out[:f] * (top > 0))[:, None], 1)
-            grad_conv = np.tensordot(w, back, ([0, 1], [0, 1]))
-            grad_z = (back @ m.conv.T).reshape(len(i), a.shape[1], WIDTH, p.dims + 1)[..., :p.dims]
-            grad_e = np.zeros_like(m.embed)
-            for k in range(WIDTH):
-                flat = x[i][:, k:k + a.shape[1]].ravel()
-                for d in range(p.dims):
-                    grad_e[:, d] += np.bincount(flat, weights=grad_z[:, :, k, d].ravel(), minlength=256).astype(np.float32)
-            grads = [grad_e, grad_conv, back.sum((0, 1)), np.concatenate([err @ np.maximum(top, 0), err @ mean]), np.array([err.sum()], np.float32)]
+            grads = [*_gradients(m, x, inside, err, a, best, top), np.concatenate([err @ np.maximum(top, 0), err @ mean]), np.array([err.sum()], np.float32)]
             step += 1
             for v, g, mv in zip(params, grads, moment, strict=True):
                 mv[0] += 0.1 * (g - mv[0])
                 mv[1] += 0.01 * (g * g - mv[1])
-                v -= 0.01 * (mv[0] / (1 - 0.9 ** step)) / (np.sqrt(mv[1] / (1 - 0.99 ** step)) + 1e-8)
+                v -= rate * (mv[0] / (1 - 0.9 ** step)) / (np.sqrt(mv[1] / (1 - 0.99 ** step)) + 1e-8)
             m.shift = float(params[4][0])
     return m
 
 
+def packed(m: CnnModel) -> np.ndarray:
+    """The network's numbers in one row."""
+    return np.concatenate([m.embed.ravel(), m.conv.ravel(), m.bias, m.out, [m.shift]]).astype(np.float32)
+
+
+def unpacked(v: np.ndarray, p: CnnParams) -> CnnModel:
+    size, f = WIDTH * (p.dims + 1), p.filters
+    embed, conv, bias, out, shift = np.split(v.astype(np.float32), np.cumsum([256 * p.dims, size * f, f, 2 * f]))
+    return CnnModel(embed.reshape(256, p.dims), conv.reshape(size, f), bias, out, float(shift[0]))
+
+
 def _logits(m: CnnModel, rows: list[bytes]) -> np.ndarray:
-    out = [_forward(m, *_inputs(rows[lo:lo + 128]))[-1] for lo in range(0, len(rows), 128)]
+    tables = _tables(m)
+    out = [_forward(m, *_inputs(rows[lo:lo + BATCH]), tables)[-1] for lo in range(0, len(rows), BATCH)]
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def calibrated(m: CnnModel, s: np.ndarray, labels: np.ndarray, recall: float) -> CnnModel:
+def calibrated(m: CnnModel, s: np.ndarray, labels: np.ndarray, recall: float, weights: np.ndarray | None = None) -> CnnModel:
     """Platt scaling of scores by Newton steps; then the highest threshold with the asked recall and a standard error to spare."""
     slope, offset = 1.0, 0.0
-    target = np.where(labels == 1, (labels.sum() + 1) / (labels.sum() + 2), 1 / ((1 - labels).sum() + 2))
+    u = np.ones(len(s)) if weights is None else weights
+    n_good, n_bad = (u * labels).sum(), (u * (1 - labels)).sum()
+    target = np.where(labels == 1, (n_good + 1) / (n_good + 2), 1 / (n_bad + 2))
     for _ in range(25):
         q = 1 / (1 + np.exp(-np.clip(slope * s + offset, -30, 30)))
-        g = np.array([((q - target) * s).sum() + 1e-3 * (slope - 1), (q - target).sum()])
-        v = q * (1 - q) + 1e-6
+        g = np.array([(u * (q - target) * s).sum() + 1e-3 * (slope - 1), (u * (q - target)).sum()])
+        v = u * (q * (1 - q) + 1e-6)
         h = np.array([[(v * s * s).sum() + 1e-3, (v * s).sum()], [(v * s).sum(), v.sum()]])
         d = np.linalg.solve(h, g)
         slope, offset = slope - float(np.clip(d[0], -1, 1)), offset - float(np.clip(d[1], -2, 2))
     m.slope, m.offset = max(slope, 1e-3), offset
-    good = np.sort(1 / (1 + np.exp(-np.clip(m.slope * s[labels == 1] + m.offset, -50, 50))))
-    m.threshold = float(good[max(0, int((1 - recall) * len(good) - math.sqrt(recall * (1 - recall) * len(good))))])
+    good, u = s[labels == 1], u[labels == 1]
+    order = good.argsort(kind="stable")
+    least = np.searchsorted(np.cumsum(u[order]), max(0.0, (1 - recall) * n_good - math.sqrt(recall * (1 - recall) * n_good)), "right")
+    m.threshold = float(1 / (1 + np.exp(-np.clip(m.slope * good[order[min(least, len(good) - 1)]] + m.offset, -50, 50))))
     return m
 
 
@@ -285,27 +334,71 @@ def shipped_rows(n: int) -> list[tuple[str, int, bytes]]:
     return [(name, label, w) for name, label, text, i, j in shipped(n) for w in windows(text, i, j)]
 
 
+def _fold(label: int, row: bytes) -> int:
+    """A rule's kind is left out as a whole; harmless runs of the corpus are dealt to the folds."""
+    return label - 1 if label > 0 else zlib.crc32(row) % FOLDS
+
+
+def _tuned(dealt: DataFrame, starts: list[CnnModel], fixed: tuple[list[bytes], np.ndarray, np.ndarray], weigh: dict[int, float],
+           p: CnnParams) -> list[CnnModel]:
+    """Every partition goes on from ``starts`` over its findings and the ``fixed`` ones; the networks, averaged. Network k
+    never sees fold k, the last one sees all. Sums are of whole numbers, so the order of tasks does not matter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sorted((r, k) for b in batches for k, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        if not own:
+            return
+        rows = [r for r, _ in own] + fixed[0]
+        labels = np.concatenate([np.array([k > 0 for _, k in own], np.float32), fixed[1]])
+        fold = np.concatenate([np.array([_fold(k, r) for r, k in own]), fixed[2]])
+        weights = np.concatenate([np.array([weigh[k] for _, k in own]), np.ones(len(fixed[0]))])
+        epochs = max(1, math.ceil(p.steps * BATCH / len(rows)))
+        for k, start in enumerate(starts):
+            use = np.flatnonzero(fold != k)
+            m = fit([rows[i] for i in use.tolist()], labels[use], p, weights[use], start, 0.003, epochs)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.rint(packed(m) * 2.0 ** 32).astype(np.int64)], pa.list_(pa.int64()))],
+                                             names=["net", "v"])
+
+    every = dealt.select("label", "row").mapInArrow(run, "net int, v array<long>").select("net", F.posexplode("v").alias("at", "v"))
+    out = [packed(m).astype(np.float64) for m in starts]
+    for r in every.groupBy("net", "at").agg(F.sum("v").alias("v"), F.count(F.lit(1)).alias("n")).collect():
+        out[r.net][r.at] = r.v / r.n / 2.0 ** 32
+    return [unpacked(v, p) for v in out]
+
+
+def _left_out_scores(dealt: DataFrame, nets: list[CnnModel]) -> list[tuple[int, float, int]]:
+    """(label, score, findings): the scores of the networks that did not see them, rounded down to 1/256 between -64 and 64."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            label, rows = b.column(0).to_numpy(), b.column(1).to_pylist()
+            fold = np.array([_fold(k, r) for k, r in zip(label.tolist(), rows, strict=True)])
+            for k in range(FOLDS):
+                use = np.flatnonzero(fold == k)
+                grid = np.clip(np.floor(_logits(nets[k], [rows[i] for i in use.tolist()]) * 256), -(1 << 14), 1 << 14).astype(np.int64)
+                kinds, n = np.unique(np.stack([label[use].astype(np.int64), grid]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds[0], pa.int32()), pa.array(kinds[1], pa.int32()), pa.array(n, pa.int64())],
+                                                 names=["label", "grid", "n"])
+
+    counted = dealt.select("label", "row").mapInArrow(run, "label int, grid int, n long").groupBy("label", "grid").agg(F.sum("n").alias("n"))
+    return sorted((r.label, r.grid / 256, r.n) for r in counted.collect())
+
+
 def train(docs: DataFrame, p: CnnParams = CnnParams(), text_col: str = "text") -> CnnModel:
-    """Fit on the shipped findings and at most ``p.sample`` findings of each label of the corpus (the least by hash, of
-    all its texts), with a threshold from formats left out.
+    """Fit on the shipped findings and all findings of the corpus, each distinct one once, with a threshold from formats left out.
 
     Candidates that neither a rule nor a harmless shape labels are left out: among them are the secrets to be found.
-    Rule kinds, words and other harmless runs are sampled apart, which keeps the rare ones in the sample. A corpus
-    without findings, or an empty table, leaves the shipped ones: the network judges candidates at every size.
+    Rule kinds, words and other harmless runs weigh apart, which keeps the rare ones in sight. Labels with at most
+    ``p.sample`` findings go to every task as the shipped ones do; they make the start from which the tasks go on over the
+    findings of the other labels. A corpus without findings, or an empty table, leaves the shipped ones: the network judges
+    candidates at every size.
     """
-    seen = labelled_findings(docs, text_col).withColumn("h", F.pmod(F.xxhash64("row"), F.lit(1 << 40)))
-    held = {r.label: r.n for r in seen.groupBy("label").agg(F.approx_count_distinct("h").alias("n")).collect()}
-    # a hash limit a label lets through about 1.3 times the sample, whatever the number of findings, copies and tasks
-    limit = F.coalesce(*(F.when(F.col("label") == k, F.lit(min(1 << 40, int((1 << 40) * 1.3 * p.sample / max(n, 1)) + 1)))
-                         for k, n in held.items()), F.lit(0))
-    picked = sorted({(r.label, r.h, bytes(r.row)) for r in seen.where(F.col("h") < limit).distinct().collect()})
+    seen = labelled_findings(docs, text_col).distinct().checkpoint()
+    held = {r.label: r.n for r in seen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    many = {k: n for k, n in held.items() if n > p.sample}
     rows, y, fold = [], [], []
-    for label in (-2, 0, 1, 2, 3):
-        own = [row for k, _, row in picked if k == label][:p.sample]
-        rows += own
-        y += [int(label > 0)] * len(own)
-        # a rule's kind is left out as a whole; harmless runs of the corpus are dealt to the folds
-        fold += [label - 1] * len(own) if label > 0 else [k % FOLDS for k in range(len(own))]
+    for label, row in sorted((r.label, bytes(r.row)) for r in seen.where(~F.col("label").isin(*many)).collect()):
+        rows.append(row)
+        y.append(int(label > 0))
+        fold.append(_fold(label, row))
     formats: dict[str, int] = {}
     for name, label, row in shipped_rows(p.formats):
         rows.append(row)
@@ -313,10 +406,19 @@ def train(docs: DataFrame, p: CnnParams = CnnParams(), text_col: str = "text") -
         fold.append(formats.setdefault(f"{label}{name}", len(formats)) % FOLDS)
     labels, fold = np.array(y, np.float32), np.array(fold)
     pick = lambda which: [r for r, w in zip(rows, which, strict=True) if w]
+    nets = [fit(pick(fold != k), labels[fold != k], p) for k in range(FOLDS + 1)]
+    shards = math.ceil(sum(many.values()) / p.shard)
+    scored = []
+    if shards:
+        dealt = seen.where(F.col("label").isin(*many)).repartition(shards, "row")
+        nets = _tuned(dealt, nets, (rows, labels, fold), {k: p.sample * shards / n for k, n in many.items()}, p)
+        scored = _left_out_scores(dealt, nets)
     scores = np.zeros(len(rows))
     for k in range(FOLDS):
-        scores[fold == k] = _logits(fit(pick(fold != k), labels[fold != k], p), pick(fold == k))
-    return calibrated(fit(rows, labels, p), scores, labels, p.recall)
+        scores[fold == k] = _logits(nets[k], pick(fold == k))
+    weights = np.array([n * p.sample / many[k] for k, _, n in scored])
+    return calibrated(nets[FOLDS], np.concatenate([scores, [s for _, s, _ in scored]]), np.concatenate([labels, [float(k > 0) for k, _, _ in scored]]),
+                      p.recall, np.concatenate([np.ones(len(rows)), weights]))
 
 
 def _findings(column: pa.Array, model: CnnModel) -> Iterator[tuple[int, bytes, list[tuple[int, int, int]]]]:

@@ -210,3 +210,44 @@ def test_pieces_that_findings_leave():
     found = [(5, 0, 20), (8, 2, 15), (40, 1, 60)]
     assert C._outside([(0, 30), (30, 45), (58, 70), (70, 78)], found, 5) == [(0, 5), (20, 30), (30, 40), (60, 70), (70, 78)]
     assert C._outside([(6, 14), (16, 19)], found, 1) == []
+
+
+def test_all_findings_train_and_set_the_threshold(frame, monkeypatch):
+    """Frequent labels are dealt over tasks whole: none of their findings is left out of the weights or the threshold."""
+    rng = random.Random(51)
+    df = frame([doc(i, f"{prose(i, 4)} token = {key(rng)} {key(rng, 'abcdefghijklmnopqrstuvwxyz', 14)} {prose(i, 3)}") for i in range(900)])
+    asked = {}
+    monkeypatch.setattr(C, "calibrated", lambda m, s, y, recall, w=None, real=C.calibrated: asked.update(y=y, w=w) or real(m, s, y, recall, w))
+    tuned, p = C._tuned, CnnParams(shard=300)
+    monkeypatch.setattr(C, "_tuned", lambda dealt, *rest: asked.update(seen=dealt.groupBy("label").count().collect(), parts=dealt.rdd.getNumPartitions()) or tuned(dealt, *rest))
+    m = train(df, p)
+    held = {r.label: r["count"] for r in labelled_findings(df).distinct().groupBy("label").count().collect()}
+    assert held[0] >= 900 and held[1] >= 900
+    assert {r.label: r["count"] for r in asked["seen"]} == {k: n for k, n in held.items() if n > 400} and asked["parts"] >= 6
+    shipped_good = sum(label for _, label, _ in C.shipped_rows(p.formats))
+    assert np.isclose((asked["w"] * asked["y"]).sum(), shipped_good + 400)   # all values together weigh as 400
+    assert np.array_equal(C.packed(m), C.packed(train(df, p)))
+    fresh = [w for i in range(40) for w in windows(f"{prose(i, 9)} {key(rng)} and".encode(), len(prose(i, 9)) + 1, len(prose(i, 9)) + 33)]
+    words = [w for i in range(40) for w in windows(f"{prose(i, 9)} {key(rng, 'abcdefghijklmnopqrstuvwxyz', 14)} and".encode(), len(prose(i, 9)) + 1, len(prose(i, 9)) + 15)]
+    assert (probabilities(m, fresh) >= m.threshold).mean() >= 0.95 and (probabilities(m, words) >= m.threshold).mean() <= 0.3
+
+
+def test_gradients_against_differences():
+    rng = random.Random(61)
+    rows = [w for _, _, text, i, j in shipped(1, seed=9) for w in windows(text, i, j)][:20]
+    x, inside = C._inputs(rows)
+    m = fit(rows, np.arange(20) % 2 * 1.0, CnnParams(epochs=1))
+    for name in ("embed", "conv", "bias"):
+        setattr(m, name, getattr(m, name).astype(np.float64))
+    err = np.linspace(-1, 1, 20)
+    logit = lambda: (err * C._forward(m, x, inside.astype(np.float64), C._tables(m))[-1]).sum()
+    a, best, top, _, _ = C._forward(m, x, inside.astype(np.float64), C._tables(m))
+    for v, g in zip((m.embed, m.conv, m.bias), C._gradients(m, x, inside.astype(np.float64), err, a, best, top), strict=True):
+        for _ in range(30):
+            k = np.unravel_index(rng.randrange(v.size), v.shape)
+            v[k] += 1e-6
+            up = logit()
+            v[k] -= 2e-6
+            down = logit()
+            v[k] += 1e-6
+            assert abs((up - down) / 2e-6 - g[k]) < 1e-3
