@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.textops import LOWER, SEGMENT, U64, slices, text_bytes, word_hashes, words
+from encore.llm.textops import LOWER, U64, slices, text_bytes, word_hashes, words
 
 DEPTH = 4
 START, END = 0xFE, 0xFF
@@ -78,7 +78,7 @@ def _counted(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray,
 def _pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets in them) of about a megabyte each."""
     data, at = text_bytes(column)
-    for lo, hi in slices(at, SEGMENT):
+    for lo, hi in slices(at, 1 << 20):
         yield lo, hi, data[int(at[lo]):int(at[hi])], at[lo:hi + 1] - int(at[lo])
 
 

@@ -141,8 +141,11 @@ def _homeward(sigs: np.ndarray, ns: np.ndarray, sid: np.ndarray, vals: np.ndarra
 def _pack(sets: dict[int, np.ndarray], parts: int, common: int) -> list[tuple]:
     """Runs of a batch of classes, for the hash ranges (and straight home, for common shingles)."""
     sigs, ns = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()], np.int64)
-    ref = np.repeat(np.arange(len(ns), dtype=U64), ns)
-    packed = np.sort((np.concatenate(list(sets.values())) >> U64(64 - TOKEN_BITS)) << U64(16) | ref)
+    packed = np.concatenate(list(sets.values()))  # in place from here: a batch of shingles is large
+    packed >>= U64(64 - TOKEN_BITS)
+    packed <<= U64(16)
+    packed |= np.repeat(np.arange(len(ns), dtype=U64), ns)
+    packed.sort()
     token = packed >> U64(16)
     cuts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
     many = np.repeat(np.diff(cuts) >= common, np.diff(cuts))

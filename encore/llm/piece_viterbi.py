@@ -34,9 +34,9 @@ from encore.llm.textops import U64, fmix
 SPACE = "▁"
 UNKNOWN = 10.0
 #: Words kept with their ids in a worker; beyond, the memory starts anew (results do not change).
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Characters of the words kept so; a word of many megabytes is not kept beyond its batch.
-REMEMBERED_CHARS = 1 << 24
+REMEMBERED_CHARS = 1 << 22
 #: Words of one length that advance together.
 BLOCK = 8192
 #: Longer words advance alone, STRETCH positions at a time; memory is that of a stretch and some bytes a character.
@@ -261,7 +261,7 @@ class Codec:
         lo, n = 0, len(texts)
         while lo < n:
             hi, chars = lo, 0
-            while hi < n and (hi == lo or chars < 1 << 21):
+            while hi < n and (hi == lo or chars < 1 << 19):
                 chars += len(texts[hi] or "")
                 hi += 1
             cut = [self.cut.findall((" " if self.v.prefix else "") + t) if t else [] for t in texts[lo:hi]]

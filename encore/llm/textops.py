@@ -20,7 +20,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 #: Bytes hashed in one go: bounds the 8-byte work arrays, whatever a text's length.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 _R = 0x9E3779B97F4A7C15 | 1
 _POWERS: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
@@ -44,9 +44,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand Python workers at most ``rows`` rows at a time: with texts of some KB, a few MB; workers' memory follows."""
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: int = 1 << 22) -> None:
+    """Hand Python workers at most ``rows`` rows at a time, and no further row once a batch has ``size`` bytes, however long
+    texts or packed columns are: the batch lies outside the heap in the JVM and again in the worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
