@@ -7,7 +7,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from encore.sources import folders, sinks
+from encore.operators import etl
+from encore.plans import jobs
+from encore.sources import folders, raw, sinks
 from test_landing import play_rows, same
 
 ODD = [None, "", folders.NO_VALUE, "a b", "a/b", "a:b=c", "50%", "%41", "{x}[y]^", "é\n\t\x7f", "'q\"", "#?*\\", "~,;&"]
@@ -101,3 +103,17 @@ def test_a_table_without_rows(spark, tmp_dir):
 def test_only_local_paths_are_written_by_the_tasks(spark):
     assert [folders.local_path(spark, p) for p in ("/a/b", "file:/a/b", "file:///a/b", "hdfs://h/a", "s3a://b/a", "viewfs:/a", "file://h/a", "a/b")] == \
         ["/a/b", "/a/b", "/a/b", None, None, None, None, None]
+
+
+@pytest.mark.parametrize("quarantine", [False, True])
+def test_reports_of_a_new_table_open_none_of_its_files(spark, tmp_dir, quarantine):
+    """One small file a user: the reports came from opening each of them again."""
+    rows = play_rows(spark).withColumn("played_at", F.when(F.col("user_id") == "5", "bad").otherwise(F.col("played_at")))
+    root = raw.stage_plays_csv(rows.unionByName(rows), f"{tmp_dir}/raw", grouped=True)
+    res = jobs.run_job(spark, "user_tracks", root, f"{tmp_dir}/out", new=True, grouped=True, quarantine=f"{tmp_dir}/q" if quarantine else None)
+    assert "table" not in vars(res)   # its folders are listed only when it is asked for
+    assert not [f for f in res.quality.inputFiles() + res.outcome.inputFiles() if f"{tmp_dir}/out" in f]
+    assert same(res.quality, jobs.table_quality("user_tracks", res.rows, res.table))
+    assert same(res.table.drop("processed_at"), etl.clean_plays(res.rows).drop("processed_at").where(F.col("user_id") != folders.NO_VALUE)
+                .unionByName(etl.clean_plays(res.rows).drop("processed_at").where(F.col("user_id") == folders.NO_VALUE).withColumn("user_id", F.lit(None))))
+    assert res.outcome.where("status = 'processed'").count() == 60
