@@ -1,6 +1,7 @@
 """Folders per user written by the tasks: the same folders and rows as Spark's writer, whole or not at all, listed as written."""
 
 import os
+from types import SimpleNamespace
 
 import pyarrow.parquet as pq
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import etl
 from encore.plans import jobs
+from encore.plans import queries_ingest as QI
 from encore.sources import folders, raw, sinks
 from test_landing import play_rows, same
 
@@ -117,3 +119,15 @@ def test_reports_of_a_new_table_open_none_of_its_files(spark, tmp_dir, quarantin
     assert same(res.table.drop("processed_at"), etl.clean_plays(res.rows).drop("processed_at").where(F.col("user_id") != folders.NO_VALUE)
                 .unionByName(etl.clean_plays(res.rows).drop("processed_at").where(F.col("user_id") == folders.NO_VALUE).withColumn("user_id", F.lit(None))))
     assert res.outcome.where("status = 'processed'").count() == 60
+
+
+def test_the_catalog_is_scored_by_many_tasks(spark, tmp_dir, monkeypatch):
+    """The artists are few bytes, so a scan made one task of them."""
+    spark.range(1000).select(F.col("id").alias("p_partkey"), F.lit("x").alias("p_name"), (F.col("id") % 50).cast("int").alias("p_size")).coalesce(1).write.parquet(f"{tmp_dir}/part.parquet")
+    seen = []
+    monkeypatch.setattr(QI, "_job", lambda *a: SimpleNamespace(path="/x"))
+    monkeypatch.setattr(QI.sinks, "write_catalog", lambda df: seen.append(df) or "/x-1")
+    monkeypatch.setattr(QI.catalog, "build_catalog", lambda spark, db, at, replace: sorted(at))
+    monkeypatch.setattr(QI.catalog, "drop_database", lambda *a: None)
+    assert QI.s13_catalog_build(spark, tmp_dir) == sorted([*jobs.JOBS, "artists_catalog"])
+    assert seen[0].rdd.getNumPartitions() == sinks.TASKS_A_CORE * spark.sparkContext.defaultParallelism and seen[0].count() == 990
